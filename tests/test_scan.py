@@ -86,3 +86,10 @@ def test_nearest_struct_is_lag(spark):
     res = {r["seq"]: (r["prev"]["v"] if r["prev"] else None) for r in got.collect()}
     assert res == {1: None, 2: 5, 3: 6, 4: None}
     assert tuples(got.select("seq"), ["seq"]) == [(1,), (2,), (3,), (4,)]
+
+
+def test_null_key_is_its_own_group(spark):
+    rows = [(None, 10, 1, 1), (None, 5_000, 2, 2), (None, 9_000, 3, 4), (1, 20, 4, 8)]
+    df = add_chunk(frame(spark, rows, SCHEMA), "ts_us", 1000)
+    got = running(df, ["k"], ["ts_us", "seq"], "v", "out", "_chunk")
+    assert {r["seq"]: r["out"] for r in got.collect()} == {1: 1, 2: 3, 3: 7, 4: 8}

@@ -11,6 +11,13 @@ decreases (a time bucket of the ordering timestamp):
    summary, bounded by the number of chunks, i.e. by time span / width);
 3. one equi-join on ``(key, chunk)`` stitches the two.
 
+The summary is an aggregate of the input per (key, chunk): partial
+aggregation shrinks it to one row per chunk and task before its shuffle, so
+the second branch costs a scan of the few columns it needs and a small
+shuffle. The stitch join meets a table with one row per chunk; adaptive
+execution broadcasts it when its measured size is small and shuffles it
+otherwise.
+
 Work per task is bounded by the rows of one chunk, not of one key. Every
 frame used here grows from ``UNBOUNDED PRECEDING``, which Spark evaluates
 in one pass; "following" searches run on the reversed order.
@@ -34,6 +41,23 @@ def _ordered(order: Sequence[str], descending: bool) -> list[Column]:
     return [F.col(c).desc() if descending else F.col(c).asc() for c in order]
 
 
+def _pos(order: Sequence[str]) -> Column:
+    return F.struct(*[F.col(c) for c in order])
+
+
+def stitch(local: DataFrame, carry: DataFrame, part: Sequence[str]) -> DataFrame:
+    """Left join of scanned rows with their chunk's carry on ``part``, NULL-safe.
+
+    NULL keys are a group like any other in a window, so they must meet their
+    carry too; ``<=>`` also keeps the optimizer from inferring NOT NULL filters
+    on one side only, which would stop the two branches sharing one shuffle.
+    """
+    renamed = carry.select(*[F.col(c).alias(f"_k_{c}") for c in part],
+                           *[c for c in carry.columns if c not in part])
+    cond = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in part]
+    return local.join(renamed, on=cond, how="left").drop(*[f"_k_{c}" for c in part])
+
+
 def add_chunk(df: DataFrame, ts_col: str, width_us: int, name: str = "_chunk") -> DataFrame:
     """Chunk id = epoch-aligned bucket of ``ts_col`` (BIGINT microseconds)."""
     c = F.col(ts_col)
@@ -55,13 +79,11 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str
     per_chunk = df.groupBy(*part).agg(agg(F.col(value)).alias("_tot"))
     wc = _spec(keys).orderBy(F.col(chunk)).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_chunk.select(*part, agg(F.col("_tot")).over(wc).alias("_carry"))
-    joined = local.join(carry, on=part, how="left")
+    joined = stitch(local, carry, part)
     if how == "sum":
         res = F.coalesce(F.col("_loc"), F.lit(0)) + F.coalesce(F.col("_carry"), F.lit(0))
-    elif how == "max":
-        res = F.greatest(F.col("_loc"), F.col("_carry"))
     else:
-        res = F.least(F.col("_loc"), F.col("_carry"))
+        res = (F.greatest if how == "max" else F.least)(F.col("_loc"), F.col("_carry"))
     return joined.withColumn(out, res).drop("_loc", "_carry")
 
 
@@ -78,11 +100,12 @@ def nearest(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str
     w = (_spec(part).orderBy(*_ordered(order, after))
          .rowsBetween(Window.unboundedPreceding, -1))
     local = df.withColumn("_near", F.last(F.col(value), ignorenulls=True).over(w))
-    pos = F.when(F.col(value).isNotNull(), F.struct(*[F.col(c) for c in order]))
-    edge = (F.min_by if after else F.max_by)(F.col(value), pos)
-    per_chunk = df.groupBy(*part).agg(edge.alias("_edge"))
+    # the chunk's edge: its last (or, scanning backwards, first) non-NULL value;
+    # rows with a NULL value have a NULL position and are skipped by min_by/max_by
+    pos = F.when(F.col(value).isNotNull(), _pos(order))
+    per_chunk = df.groupBy(*part).agg((F.min_by if after else F.max_by)(F.col(value), pos).alias("_edge"))
     wc = (_spec(keys).orderBy(F.col(chunk).desc() if after else F.col(chunk).asc())
           .rowsBetween(Window.unboundedPreceding, -1))
     carry = per_chunk.select(*part, F.last(F.col("_edge"), ignorenulls=True).over(wc).alias("_carry"))
-    joined = local.join(carry, on=part, how="left")
+    joined = stitch(local, carry, part)
     return joined.withColumn(out, F.coalesce(F.col("_near"), F.col("_carry"))).drop("_near", "_carry")

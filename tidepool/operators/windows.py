@@ -17,11 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.functions.timecols import floor_div, pane_end, parse_duration_us
-from tidepool.operators.scan import add_chunk, nearest, running
+from tidepool.operators.scan import add_chunk, stitch
 
 
 def window_count(df: DataFrame, keys: Sequence[str], size: str, slide: str | None = None,
@@ -62,12 +62,7 @@ def sliding_count(df: DataFrame, keys: Sequence[str], size, slide, expand: bool
     points = (enter.unionByName(leave)
                    .groupBy(*keys, "point").agg(F.sum("delta").alias("delta"))
                    .where(F.col("delta") != 0))
-    points = add_chunk(points, "point", parse_duration_us(chunk))
-    points = running(points, keys, ["point"], "delta", out, "_chunk")
-    points = nearest(points.withColumn("_pt", F.col("point")), keys, ["point"], "_pt", "_next",
-                     "_chunk", direction="after")
-    segs = points.where(F.col(out) != 0).select(*keys, F.col("point").alias("_from"),
-                                                F.col("_next").alias("_to"), F.col(out).cast("long").alias(out))
+    segs = _sweep(add_chunk(points, "point", parse_duration_us(chunk)), keys, out)
     if not expand:
         return segs.select(*keys, floor_div(F.col("_from"), 1000).alias("end_from"),
                            floor_div(F.col("_to"), 1000).alias("end_to"), F.col(out))
@@ -75,3 +70,24 @@ def sliding_count(df: DataFrame, keys: Sequence[str], size, slide, expand: bool
     return (segs.select(*keys, ends.alias("_e"), F.col(out))
                 .select(*keys, floor_div(F.col("_e") - F.lit(size_us), 1000).alias("window_start"),
                         floor_div(F.col("_e"), 1000).alias("window_end"), F.col(out)))
+
+
+def _sweep(points: DataFrame, keys: list[str], out: str) -> DataFrame:
+    """Running sum of ``delta`` and the next point, per key in point order,
+    as one chunked scan: within (key, chunk) a window gives both; a small
+    per-chunk table gives the sum of earlier chunks and the next chunk's
+    first point. Returns segments (keys, _from, _to, out) with out != 0."""
+    part = [*keys, "_chunk"]
+    spec = Window.partitionBy(*part).orderBy("point")
+    local = (points.withColumn("_inc", F.sum("delta").over(spec.rowsBetween(Window.unboundedPreceding, 0)))
+                   .withColumn("_nx", F.lead("point").over(spec)))
+    per_chunk = local.groupBy(*part).agg(F.max_by("_inc", "point").alias("_tot"), F.min("point").alias("_first"))
+    cs = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    cs = cs.orderBy("_chunk")
+    carry = per_chunk.select(*part, F.sum("_tot").over(cs.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+                             F.lead("_first").over(cs).alias("_next_first"))
+    res = stitch(local, carry, part)
+    cnt = (F.col("_inc") + F.coalesce(F.col("_before"), F.lit(0))).cast("long")
+    return (res.select(*keys, F.col("point").alias("_from"), F.coalesce(F.col("_nx"), F.col("_next_first")).alias("_to"),
+                       cnt.alias(out))
+               .where(F.col(out) != 0))

@@ -34,11 +34,12 @@ def _ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ub(spark, d):
-    return views.user_behavior(_ev(spark, d))
+    """Page-view rows of the user-behaviour view (every job here reads only 'pv')."""
+    return views.user_behavior(_ev(spark, d), only="pv")
 
 
-def _log(spark, d):
-    return views.page_log(_ev(spark, d))
+def _log(spark, d, only_get=True):
+    return views.page_log(_ev(spark, d), only_get=only_get)
 
 
 def _changelog(spark, d):
@@ -50,7 +51,8 @@ def _changelog(spark, d):
 
 
 def _late(spark, d, which):
-    on_time, late = jobs.late_pages(_log(spark, d))
+    # the watermark comes from every log line, so no GET filter before the split
+    on_time, late = jobs.late_pages(_log(spark, d, only_get=False))
     return late if which == "late" else on_time
 
 

@@ -39,16 +39,25 @@ def prop_k(props: str = "props") -> Column:
 _TIME = ("ts", "ts_us", "seq", "arrival_us")
 
 
-def user_behavior(ev: DataFrame) -> DataFrame:
-    """UserBehavior: item = k, category = k mod 10, behavior 'pv' for views."""
+def user_behavior(ev: DataFrame, only: str | None = None) -> DataFrame:
+    """UserBehavior: item = k, category = k mod 10, behavior 'pv' for views.
+
+    ``only`` keeps one behaviour, filtering the raw event type so the
+    predicate reaches the parquet scan (a filter on the mapped column would not).
+    """
     k = prop_k()
+    if only is not None:
+        ev = ev.where(F.col("event_type") == ("view" if only == "pv" else only))
     return ev.select("user_id", k.alias("item_id"), (k % 10).cast("int").alias("category_id"),
                      F.when(F.col("event_type") == "view", F.lit("pv")).otherwise(F.col("event_type")).alias("behavior"),
                      *_TIME)
 
 
-def page_log(ev: DataFrame) -> DataFrame:
-    """ApacheLogEvent: url '/p/<k>', GET for views, POST otherwise."""
+def page_log(ev: DataFrame, only_get: bool = False) -> DataFrame:
+    """ApacheLogEvent: url '/p/<k>', GET for views, POST otherwise
+    (``only_get`` keeps GET lines with a filter the scan can take)."""
+    if only_get:
+        ev = ev.where(F.col("event_type") == "view")
     return ev.select(F.concat(F.lit("10.0.0."), (F.col("user_id") % 256).cast("string")).alias("ip"),
                      F.col("user_id").cast("string").alias("user_id"),
                      F.when(F.col("event_type") == "view", F.lit("GET")).otherwise(F.lit("POST")).alias("method"),
