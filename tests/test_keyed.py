@@ -143,3 +143,11 @@ def test_salted_and_plain_page_views_agree(spark):
     ub = frame(spark, rows, "user_id long, behavior string, ts_us long, seq long")
     assert tuples(jobs.page_views(ub)) == tuples(jobs.page_views_salted(ub, 7))
     assert F is not None
+
+
+def test_fail_bursts_with_identical_records(spark):
+    # repeated lines are separate events even with the same tie-break value
+    rows = [(1, "fail", 59 * SEC, 0), (1, "fail", 62 * SEC, 0), (1, "fail", 62 * SEC, 0),
+            (1, "fail", 63 * SEC, 0), (1, "fail", 64 * SEC, 0), (1, "fail", 65 * SEC, 0)]
+    got = keyed.fail_bursts(frame(spark, rows, LOGIN), "user_id", 2 * SEC, 2)
+    assert tuples(got, ["first_fail_ms", "last_fail_ms", "fail_count"]) == [(62_000, 64_000, 4)]

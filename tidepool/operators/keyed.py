@@ -98,24 +98,28 @@ def fail_bursts(df: DataFrame, key: str = "user_id", within_us: int = 2_000_000,
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    order = ["ts_us", "seq", "_id"]
     base = add_chunk(df.withColumn("_ok", (F.col("event_type") != "fail").cast("long")), "ts_us", chunk_us)
     # run = successes strictly before the row: fails of one run have no success between them
     base = running(base, [key], ["ts_us", "seq"], "_ok", "run", "_chunk", inclusive=False)
-    fails = base.where(F.col("_ok") == 0).withColumn("_one", F.lit(1))
-    fails = running(fails, [key, "run"], ["ts_us", "seq"], "_one", "rank", "_chunk")
-    fails = fails.select(key, "run", "ts_us", "seq", "_chunk", "rank").checkpoint(eager=True)
+    # a unique id per fail (records may repeat), fixed by the checkpoint before anything orders by it
+    fails = (base.where(F.col("_ok") == 0).select(key, "run", "ts_us", "seq", "_chunk")
+                 .withColumn("_id", F.monotonically_increasing_id())).checkpoint(eager=True)
+    fails = running(fails.withColumn("_one", F.lit(1)), [key, "run"], order, "_one", "rank", "_chunk")
+    fails = fails.select(key, "run", "ts_us", "seq", "_id", "_chunk", "rank").checkpoint(eager=True)
 
     # next(s): first fail of the run strictly after ts + within (targets sort before probes on ties)
-    targets = fails.select(key, "run", F.col("ts_us").alias("_pos"), F.lit(0).alias("_kind"), "seq",
-                           F.col("seq").alias("_tgt"), F.lit(None).cast("long").alias("_probe"))
+    targets = fails.select(key, "run", F.col("ts_us").alias("_pos"), F.lit(0).alias("_kind"), "seq", "_id",
+                           F.col("_id").alias("_tgt"), F.lit(None).cast("long").alias("_probe"))
     probes = fails.select(key, "run", (F.col("ts_us") + F.lit(within_us)).alias("_pos"), F.lit(1).alias("_kind"),
-                          "seq", F.lit(None).cast("long").alias("_tgt"), F.col("seq").alias("_probe"))
+                          "seq", "_id", F.lit(None).cast("long").alias("_tgt"), F.col("_id").alias("_probe"))
     both = add_chunk(targets.unionByName(probes), "_pos", chunk_us, "_pchunk")
-    both = nearest(both, [key, "run"], ["_pos", "_kind", "seq"], "_tgt", "_nxt", "_pchunk", direction="after")
+    both = nearest(both, [key, "run"], ["_pos", "_kind", "seq", "_id"], "_tgt", "_nxt", "_pchunk",
+                   direction="after")
     jump = both.where(F.col("_kind") == 1).select(F.col("_probe").alias("id"), F.col("_nxt").alias("to"))
     jump = first_jump = jump.checkpoint(eager=True)
 
-    starts = (fails.groupBy(key, "run").agg(F.min_by("seq", F.struct("ts_us", "seq")).alias("id"))
+    starts = (fails.groupBy(key, "run").agg(F.min_by("_id", F.struct(*order)).alias("id"))
                    .select("id")).checkpoint(eager=True)
     frontier = starts
     while True:
@@ -129,12 +133,12 @@ def fail_bursts(df: DataFrame, key: str = "user_id", within_us: int = 2_000_000,
         jump = (jump.join(nxt2, jump["to"] == nxt2["_mid"], "left")
                     .select("id", F.col("_to2").alias("to"))).checkpoint(eager=True)
 
-    info = fails.select(F.col("seq").alias("id"), key, "run", "ts_us", "rank")
+    info = fails.select(F.col("_id").alias("id"), key, "run", "ts_us", "rank")
     nexts = first_jump.select("id", F.col("to").alias("nxt_id"))
     # previous fail of each fail, to read the last member of a burst
-    prev = nearest(fails.withColumn("_u", F.col("ts_us")), [key, "run"], ["ts_us", "seq"], "_u", "_prev_u",
+    prev = nearest(fails.withColumn("_u", F.col("ts_us")), [key, "run"], order, "_u", "_prev_u",
                    "_chunk", direction="before")
-    nxt_info = prev.select(F.col("seq").alias("nxt_id"), F.col("rank").alias("nxt_rank"),
+    nxt_info = prev.select(F.col("_id").alias("nxt_id"), F.col("rank").alias("nxt_rank"),
                            F.col("_prev_u").alias("nxt_prev_u"))
     run_end = fails.groupBy(key, "run").agg(F.max("rank").alias("last_rank"), F.max("ts_us").alias("last_u"))
     closers = (base.where(F.col("_ok") == 1)

@@ -32,40 +32,42 @@ RECORDS = {"user_behavior": (USER_BEHAVIOR, "s"), "ad_click": (AD_CLICK, "s"), "
            "order": (ORDER, "s"), "receipt": (RECEIPT, "s"), "market": (MARKET, "ms")}
 
 
-def _finish(df: DataFrame, kind: str, unit: str, seq: bool) -> DataFrame:
+def _finish(df: DataFrame, kind: str, unit: str, seq: str) -> DataFrame:
+    """Typed time columns and the tie-break ``seq``.
+
+    ``seq='arrival'``: position in the input (batch only); ``seq='hash'``: a
+    hash of the record's fields, the same in batch and streaming reads.
+    """
+    fields = [c for c in df.columns if c != "_corrupt_record"]
     if kind == "order":
         # an empty tx id field reads as NULL; the record holds an empty string
         df = df.withColumn("tx_id", F.coalesce(F.col("tx_id"), F.lit("")))
     df = with_event_time(df, "ts", unit)
-    if seq:
-        # arrival position within the file set; stable for a given input
-        df = df.withColumn("seq", F.monotonically_increasing_id())
-        df = df.withColumn("arrival_us", F.col("ts_us"))
-    return df
+    tie = F.monotonically_increasing_id() if seq == "arrival" else F.xxhash64(*fields)
+    return df.withColumn("seq", tie).withColumn("arrival_us", F.col("ts_us"))
 
 
-def read_records(spark: SparkSession, path: str, kind: str, mode: str = "FAILFAST") -> DataFrame:
+def read_records(spark: SparkSession, path: str, kind: str, mode: str = "FAILFAST",
+                 seq: str = "arrival") -> DataFrame:
     """Typed records from header-less CSV lines; adds ts_us, ts, seq, arrival_us."""
     schema, unit = RECORDS[kind]
     reader = spark.read.schema(schema).option("mode", mode).option("header", "false")
     if mode == "PERMISSIVE":
         schema = T.StructType(schema.fields + [T.StructField("_corrupt_record", S, True)])
         reader = spark.read.schema(schema).option("mode", mode).option("columnNameOfCorruptRecord", "_corrupt_record")
-    return _finish(reader.csv(path), kind, unit, seq=True)
+    return _finish(reader.csv(path), kind, unit, seq)
 
 
 def stream_records(spark: SparkSession, path: str, kind: str, max_files: int | None = None) -> DataFrame:
     """The same records as a file stream (one micro-batch per new file).
 
-    ``seq`` is the arrival position inside a file; across files, arrival is
-    the file order.
+    Ties in time are broken by a hash of the record (``seq='hash'``).
     """
     schema, unit = RECORDS[kind]
     reader = spark.readStream.schema(schema).option("header", "false")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    df = _finish(reader.csv(path), kind, unit, seq=False)
-    return df.withColumn("seq", F.monotonically_increasing_id()).withColumn("arrival_us", F.col("ts_us"))
+    return _finish(reader.csv(path), kind, unit, "hash")
 
 
 # Web log layout - space separated, field 0 ip, 1 user id,
