@@ -94,7 +94,9 @@ def fail_bursts(df: DataFrame, key: str = "user_id", within_us: int = 2_000_000,
     the same run. The chain is followed by pointer doubling: round j adds the
     next 2^j starts with one join against the 2^j-step jump table, then
     squares that table. Rounds = log2(longest chain); every join is on unique
-    row ids, so no key, however hot, lands in one task.
+    row ids, so no key, however hot, lands in one task. Each fail then joins
+    the latest start at or before it (a chunked scan) and bursts are a
+    group-by with partial aggregation.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -105,8 +107,6 @@ def fail_bursts(df: DataFrame, key: str = "user_id", within_us: int = 2_000_000,
     # a unique id per fail (records may repeat), fixed by the checkpoint before anything orders by it
     fails = (base.where(F.col("_ok") == 0).select(key, "run", "ts_us", "seq", "_chunk")
                  .withColumn("_id", F.monotonically_increasing_id())).checkpoint(eager=True)
-    fails = running(fails.withColumn("_one", F.lit(1)), [key, "run"], order, "_one", "rank", "_chunk")
-    fails = fails.select(key, "run", "ts_us", "seq", "_id", "_chunk", "rank").checkpoint(eager=True)
 
     # next(s): first fail of the run strictly after ts + within (targets sort before probes on ties)
     targets = fails.select(key, "run", F.col("ts_us").alias("_pos"), F.lit(0).alias("_kind"), "seq", "_id",
@@ -116,46 +116,36 @@ def fail_bursts(df: DataFrame, key: str = "user_id", within_us: int = 2_000_000,
     both = add_chunk(targets.unionByName(probes), "_pos", chunk_us, "_pchunk")
     both = nearest(both, [key, "run"], ["_pos", "_kind", "seq", "_id"], "_tgt", "_nxt", "_pchunk",
                    direction="after")
-    jump = both.where(F.col("_kind") == 1).select(F.col("_probe").alias("id"), F.col("_nxt").alias("to"))
-    jump = first_jump = jump.checkpoint(eager=True)
+    jump = first_jump = (both.where(F.col("_kind") == 1)
+                             .select(F.col("_probe").alias("id"), F.col("_nxt").alias("to"))).checkpoint(eager=True)
 
-    starts = (fails.groupBy(key, "run").agg(F.min_by("_id", F.struct(*order)).alias("id"))
-                   .select("id")).checkpoint(eager=True)
-    frontier = starts
+    starts = fails.groupBy(key, "run").agg(F.min_by("_id", F.struct(*order)).alias("id")).select("id")
     while True:
-        step = (frontier.join(jump, "id").where(F.col("to").isNotNull())
-                        .select(F.col("to").alias("id"))).checkpoint(eager=True)
+        step = (starts.join(jump, "id").where(F.col("to").isNotNull())
+                      .select(F.col("to").alias("id"))).checkpoint(eager=True)
         if step.isEmpty():
             break
         starts = starts.unionByName(step)
-        frontier = starts
         nxt2 = jump.select(F.col("id").alias("_mid"), F.col("to").alias("_to2"))
         jump = (jump.join(nxt2, jump["to"] == nxt2["_mid"], "left")
                     .select("id", F.col("_to2").alias("to"))).checkpoint(eager=True)
 
-    info = fails.select(F.col("_id").alias("id"), key, "run", "ts_us", "rank")
-    nexts = first_jump.select("id", F.col("to").alias("nxt_id"))
-    # previous fail of each fail, to read the last member of a burst
-    prev = nearest(fails.withColumn("_u", F.col("ts_us")), [key, "run"], order, "_u", "_prev_u",
-                   "_chunk", direction="before")
-    nxt_info = prev.select(F.col("_id").alias("nxt_id"), F.col("rank").alias("nxt_rank"),
-                           F.col("_prev_u").alias("nxt_prev_u"))
-    run_end = fails.groupBy(key, "run").agg(F.max("rank").alias("last_rank"), F.max("ts_us").alias("last_u"))
-    closers = (base.where(F.col("_ok") == 1)
-                   .select(key, "run", F.col("ts_us").alias("close_u")))
-    b = (starts.join(info, "id").join(nexts, "id")
-               .join(nxt_info, "nxt_id", "left")
-               .join(run_end, [key, "run"], "left")
+    # each fail belongs to the latest start at or before it
+    flagged = (fails.join(starts.select(F.col("id").alias("_id"), F.col("id").alias("_sid")), "_id", "left")
+                    .withColumn("_u", F.col("ts_us")))
+    flagged = nearest(flagged, [key, "run"], order, "_sid", "_prev_sid", "_chunk", direction="before")
+    bursts = (flagged.groupBy(key, "run", F.coalesce("_sid", "_prev_sid").alias("id"))
+                     .agg(F.count(F.lit(1)).alias("fail_count"), F.min("ts_us").alias("first_u"),
+                          F.max("ts_us").alias("last_u")))
+    closers = base.where(F.col("_ok") == 1).select(key, "run", F.col("ts_us").alias("close_u"))
+    b = (bursts.join(first_jump, "id")
                .join(closers, [key, "run"], "left"))
-    count = F.coalesce(F.col("nxt_rank"), F.col("last_rank") + F.lit(1)) - F.col("rank")
-    last_u = F.coalesce(F.col("nxt_prev_u"), F.col("last_u"))
-    cancelled = (F.col("nxt_id").isNull() & F.col("close_u").isNotNull()
-                 & (F.col("close_u") <= F.col("ts_us") + F.lit(within_us)))
+    cancelled = (F.col("to").isNull() & F.col("close_u").isNotNull()
+                 & (F.col("close_u") <= F.col("first_u") + F.lit(within_us)))
     secs = within_us // 1_000_000
-    out = (b.withColumn("fail_count", count.cast("long"))
-            .where(~cancelled & (F.col("fail_count") >= min_fails)))
-    return out.select(F.col(key), ms_of(F.col("ts_us")).alias("first_fail_ms"), ms_of(last_u).alias("last_fail_ms"),
-                      F.col("fail_count"),
+    out = b.where(~cancelled & (F.col("fail_count") >= min_fails))
+    return out.select(F.col(key), ms_of(F.col("first_u")).alias("first_fail_ms"),
+                      ms_of(F.col("last_u")).alias("last_fail_ms"), F.col("fail_count").cast("long"),
                       F.concat(F.lit(f"login fail in {secs}s for "), F.col("fail_count").cast("string"),
                                F.lit(" times. ")).alias("msg"))
 
