@@ -115,3 +115,128 @@ def test_stream_login_bursts(spark, tmp_dir):
     b = readers.read_records(spark, root, "login", seq="hash").where(f"ts_us < {SENTINEL}000000")
     cols = ["user_id", "first_fail_ms", "last_fail_ms", "fail_count", "msg"]
     assert tuples(got, cols) == tuples(batch.login_fail_burst(b, "2 seconds"), cols)
+
+
+def _login_rows(seed, n=300, min_step=0):
+    rnd = random.Random(seed)
+    rows, t = [], 1_558_430_800
+    for _ in range(n):
+        t += rnd.randrange(min_step, 3)
+        rows.append((rnd.randrange(1, 5), "1.1.1.1", "fail" if rnd.random() < 0.7 else "success", t))
+    return rows
+
+
+def _shuffle_within(rows, per_file, seed):
+    rnd = random.Random(seed)
+    out = []
+    for i in range(0, len(rows), per_file):
+        part = rows[i:i + per_file]
+        rnd.shuffle(part)
+        out.extend(part)
+    return out
+
+
+def test_stream_login_pattern_buffers_until_watermark(spark, tmp_dir):
+    rows = _login_rows(11)
+    root = _write_files(os.path.join(tmp_dir, "lp"), _shuffle_within(rows, 25, 1) + [(0, "0", "success", SENTINEL)], 25)
+    got = _run(spark, stream.login_fail_pattern(readers.stream_records(spark, root, "login", max_files=1),
+                                                "2 seconds", delay="0 seconds"), "s_lp")
+    b = readers.read_records(spark, root, "login", seq="hash").where(f"ts_us < {SENTINEL}000000")
+    cols = ["user_id", "first_fail_ms", "last_fail_ms", "msg"]
+    exp = tuples(batch.login_fail_pattern(b, "2 seconds"), cols)
+    assert tuples(got, cols) == exp and len(exp) > 5
+
+
+def test_stream_login_consecutive(spark, tmp_dir):
+    # arrival order = time order only without ties across files, so time strictly increases
+    rows = _login_rows(12, min_step=1)
+    root = _write_files(os.path.join(tmp_dir, "lc"), rows, 25)
+    got = _run(spark, stream.login_fail_consecutive(readers.stream_records(spark, root, "login", max_files=1),
+                                                    "2 seconds"), "s_lc")
+    b = readers.read_records(spark, root, "login", seq="hash")
+    cols = ["user_id", "first_fail_ms", "last_fail_ms", "msg"]
+    exp = tuples(batch.login_fail_consecutive(b, "2 seconds", order=("ts_us", "seq")), cols)
+    assert tuples(got, cols) == exp and len(exp) > 5
+
+
+def test_stream_order_pattern(spark, tmp_dir):
+    rnd = random.Random(21)
+    rows, t = [], 1_558_430_000
+    for _ in range(200):
+        t += rnd.randrange(0, 60)
+        rows.append((rnd.randrange(0, 25), rnd.choice(["create", "create", "pay"]), "", t))
+    root = _write_files(os.path.join(tmp_dir, "op"), _shuffle_within(rows, 20, 2) + [(10**6, "pay", "x", SENTINEL)], 20)
+    got = _run(spark, stream.order_timeout_pattern(readers.stream_records(spark, root, "order", max_files=1),
+                                                   "15 minutes"), "s_op")
+    b = readers.read_records(spark, root, "order", seq="hash").where(f"ts_us < {SENTINEL}000000")
+    paid, timeouts = batch.order_timeout_pattern(b, "15 minutes")
+    assert tuples(got.where("pay_ms IS NOT NULL"), ["order_id", "create_ms", "pay_ms"]) == \
+        tuples(paid, ["order_id", "create_ms", "pay_ms"])
+    assert tuples(got.where("pay_ms IS NULL"), ["order_id", "result"]) == tuples(timeouts, ["order_id", "result"])
+    assert timeouts.count() > 0 and paid.count() > 0
+
+
+def test_stream_click_limit(spark, tmp_dir):
+    rnd = random.Random(31)
+    rows, t = [], 1_511_658_000
+    for _ in range(300):
+        t += rnd.randrange(0, 900)
+        rows.append((rnd.randrange(1, 4), rnd.randrange(1, 3), rnd.choice(["beijing", "shanghai"]), "c", t))
+    root = _write_files(os.path.join(tmp_dir, "ad"), rows, 30)
+    got = _run(spark, stream.click_limit(readers.stream_records(spark, root, "ad_click", max_files=1), 5), "s_ad")
+    b = readers.read_records(spark, root, "ad_click", seq="hash")
+    from tidepool.operators.keyed import click_limit
+    passed, warnings = click_limit(b, ["user_id", "ad_id"], 5)
+    assert tuples(got.where("kind = 'pass'"), ["user_id", "ad_id", "ts_ms"]) == \
+        sorted((r["user_id"], r["ad_id"], r["ts_us"] // 1000) for r in passed.collect())
+    assert tuples(got.where("kind = 'warn'"), ["user_id", "ad_id", "day", "ts_ms", "msg"]) == \
+        tuples(warnings, ["user_id", "ad_id", "day", "ts_ms", "msg"])
+    assert warnings.count() > 0
+
+
+def test_labelled_sink_and_lateness_update_mode(spark, tmp_dir):
+    from tidepool.sources import sinks
+    lines = [f"10.0.0.1 - - 17/05/2015:10:0{m}:0{s} +0000 GET /p/{m % 2}" for m in range(3) for s in range(3)]
+    # one late line, 70 s behind the newest: past the 1 s delay but within delay + 1 min lateness
+    lines.append("10.0.0.1 - - 17/05/2015:10:01:00 +0000 GET /p/1")
+    root = os.path.join(tmp_dir, "weblog")
+    os.makedirs(root)
+    for i, chunk in enumerate([lines[:9], lines[9:]]):
+        p = os.path.join(root, f"part-{i}.txt")
+        with open(p, "w") as f:
+            f.write("\n".join(chunk))
+        os.utime(p, (1_600_000_000 + i, 1_600_000_000 + i))
+    raw = spark.readStream.option("maxFilesPerTrigger", 1).text(root)
+    log = readers.parse_web_log(raw)
+    counts = stream.page_counts_with_lateness(log, "10 minutes", "5 seconds", "1 second", "1 minute")
+    q = sinks.start_labelled(counts, "count result", output_mode="update", trigger={"availableNow": True})
+    q.awaitTermination(120)
+    res = spark.table("count_result")
+    # the late line revised windows of /p/1 that were already emitted
+    ends = res.where("url = '/p/1'").groupBy("window_end").count().where("count > 1").count()
+    assert ends > 0
+
+
+def test_stream_tx_full_outer_keeps_unmatched(spark, tmp_dir):
+    orders = [(1, "pay", "a", 100), (2, "pay", "b", 100)]
+    receipts = [("a", "wechat", 103), ("c", "alipay", 104)]
+    o_root = _write_files(os.path.join(tmp_dir, "o2"), orders + [(9, "pay", "sentinel", SENTINEL)], 10)
+    r_root = _write_files(os.path.join(tmp_dir, "r2"), receipts + [("sentinel", "x", SENTINEL)], 10)
+    j = stream.tx_match(readers.stream_records(spark, o_root, "order"), readers.stream_records(spark, r_root, "receipt"),
+                        how="full_outer")
+    got = _run(spark, j, "s_tx_outer").where("tx_id != 'sentinel'")
+    rows = tuples(got, ["tx_id", "pay_ms", "receipt_ms"])
+    assert rows == [("a", 100_000, 103_000), ("b", 100_000, None), ("c", None, 104_000)]
+
+
+def test_stream_uv_estimate_update_mode(spark, tmp_dir, behaviour_rows):
+    root = _write_files(os.path.join(tmp_dir, "ub3"), behaviour_rows)
+    q = (stream.unique_visitors_approx(readers.stream_records(spark, root, "user_behavior", max_files=1))
+               .writeStream.format("memory").queryName("s_uv_est").outputMode("update")
+               .trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    est = spark.table("s_uv_est").groupBy("window_end").agg({"uv": "max"}).collect()
+    exact = dict(tuples(batch.unique_visitors(readers.read_records(spark, root, "user_behavior")),
+                        ["window_end", "uv"]))
+    assert {r[0] for r in est} == set(exact)
+    assert all(abs(r[1] - exact[r[0]]) <= 1 for r in est)

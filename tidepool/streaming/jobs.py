@@ -198,3 +198,177 @@ def login_fail_bursts(logins: DataFrame, within="2 seconds", min_fails: int = 2,
     return (logins.withWatermark("ts", delay)
                   .groupBy("user_id")
                   .applyInPandasWithState(step, BURST_OUT, BURST_STATE, "append", GroupStateTimeout.EventTimeTimeout))
+
+
+# ----------------------------------------------------------------------------- ordered release
+def _release(batches, state, buffered):
+    """Rows of this key that can no longer be overtaken, in (ts_us, seq) order.
+
+    A pattern engine buffers rows until the watermark passes them: rows older
+    than the watermark are dropped by Spark, so every row with ts < watermark
+    that is buffered now is final in its order. Returns (released rows,
+    rows still pending) as lists of tuples (ts_us, seq, tag).
+    """
+    rows = list(buffered)
+    for pdf in batches:
+        rows.extend(zip(pdf["ts_us"].astype("int64"), pdf["seq"].astype("int64"), pdf["event_type"]))
+    rows.sort(key=lambda r: (r[0], r[1]))
+    wm_us = state.getCurrentWatermarkMs() * 1000
+    ready = [r for r in rows if r[0] < wm_us]
+    return ready, [r for r in rows if r[0] >= wm_us]
+
+
+def _pending_timer(state, pending, extra_us=()):
+    """Fire again once the watermark passes the oldest pending row (or a deadline)."""
+    marks = [p[0] + 1 for p in pending] + [u for u in extra_us]
+    if marks:
+        state.setTimeoutTimestamp(max(min(marks) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+
+
+PAIR_OUT = "user_id long, first_fail_ms long, last_fail_ms long, msg string"
+SEQ_STATE = ("pending array<struct<ts_us: long, seq: long, t: string>>, "
+             "last_t string, last_us long")
+
+
+def login_fail_pattern(logins: DataFrame, within="2 seconds", delay="3 seconds") -> DataFrame:
+    """begin(fail).next(fail).within(d) per user in event-time order.
+
+    Rows wait in state until the watermark passes them, then are matched in
+    order against the previous row of the user (strict contiguity)."""
+    w_us = parse_duration_us(within)
+
+    def step(key, batches, state):
+        pending, last_t, last_us = state.get if state.exists else ([], None, None)
+        ready, pending = _release(batches, state, [tuple(p) for p in (pending or [])])
+        out = []
+        for ts, _seq, t in ready:
+            if t == "fail" and last_t == "fail" and ts - last_us < w_us:
+                out.append((key[0], last_us // 1000, ts // 1000, "login fail"))
+            last_t, last_us = t, ts
+        state.update((pending, last_t, last_us))
+        _pending_timer(state, pending)
+        if out:
+            yield pd.DataFrame(out, columns=["user_id", "first_fail_ms", "last_fail_ms", "msg"])
+
+    return (logins.withWatermark("ts", delay).groupBy("user_id")
+                  .applyInPandasWithState(step, PAIR_OUT, SEQ_STATE, "append", GroupStateTimeout.EventTimeTimeout))
+
+
+def login_fail_consecutive(logins: DataFrame, within="2 seconds") -> DataFrame:
+    """A fail right after a fail of the same user, less than d later, in
+    arrival order (rows of a micro-batch in (ts, seq) order); no timers."""
+    w_us = parse_duration_us(within)
+    secs = w_us // 1_000_000
+
+    def step(key, batches, state):
+        last_t, last_us = state.get if state.exists else (None, None)
+        out = []
+        for pdf in batches:
+            for ts, t in pdf.sort_values(["ts_us", "seq"])[["ts_us", "event_type"]].itertuples(index=False):
+                if t == "fail" and last_t == "fail" and ts < last_us + w_us:
+                    out.append((key[0], last_us // 1000, int(ts) // 1000, f"login fail 2 times in {secs}s"))
+                last_t, last_us = t, int(ts)
+        state.update((last_t, last_us))
+        if out:
+            yield pd.DataFrame(out, columns=["user_id", "first_fail_ms", "last_fail_ms", "msg"])
+
+    return (logins.groupBy("user_id")
+                  .applyInPandasWithState(step, PAIR_OUT, "last_t string, last_us long", "append",
+                                          GroupStateTimeout.NoTimeout))
+
+
+ORDER_PATTERN_OUT = "order_id long, result string, create_ms long, pay_ms long"
+ORDER_PATTERN_STATE = ("pending array<struct<ts_us: long, seq: long, t: string>>, "
+                       "creates array<long>")
+
+
+def order_timeout_pattern(orders: DataFrame, within="15 minutes", delay="0 seconds") -> DataFrame:
+    """begin(create).followedBy(pay).within(d) per order.
+
+    Released rows are matched in event-time order: a pay resolves every
+    create waiting before it (paid if less than d later, else timed out); a
+    create whose deadline the watermark has passed times out. Output rows:
+    ('payed successfully', create_ms, pay_ms) or ('timeout : +<ms>', NULL, NULL).
+    """
+    w_us = parse_duration_us(within)
+
+    def step(key, batches, state):
+        pending, creates = state.get if state.exists else ([], [])
+        creates = list(creates or [])
+        ready, pending = _release(batches, state, [tuple(p) for p in (pending or [])])
+        out = []
+
+        def expire(upto_us):
+            keep = []
+            for c in creates:
+                if c + w_us <= upto_us:
+                    out.append((key[0], f"timeout : +{(c + w_us) // 1000}", None, None))
+                else:
+                    keep.append(c)
+            return keep
+
+        for ts, _seq, t in ready:
+            creates = expire(ts)
+            if t == "create":
+                creates.append(ts)
+            elif t == "pay":
+                out.extend((key[0], "payed successfully", c // 1000, ts // 1000) for c in creates)
+                creates = []
+        creates = expire(state.getCurrentWatermarkMs() * 1000)
+        if pending or creates:
+            state.update((pending, creates))
+            _pending_timer(state, pending, [c + w_us for c in creates])
+        elif state.exists:
+            state.remove()
+        if out:
+            df = pd.DataFrame(out, columns=["order_id", "result", "create_ms", "pay_ms"])
+            yield df.astype({"create_ms": "Int64", "pay_ms": "Int64"})
+
+    return (orders.withWatermark("ts", delay).groupBy("order_id")
+                  .applyInPandasWithState(step, ORDER_PATTERN_OUT, ORDER_PATTERN_STATE, "append",
+                                          GroupStateTimeout.EventTimeTimeout))
+
+
+CLICK_OUT = "kind string, user_id long, ad_id long, province string, ts_ms long, day string, msg string"
+
+
+def click_limit(clicks: DataFrame, limit: int = 100, zone: str = "Asia/Shanghai") -> DataFrame:
+    """Per (user, ad): the first ``limit`` clicks of each local day pass
+    (kind 'pass'), click limit+1 gives one warning (kind 'warn'), the rest are
+    dropped. State is (day, count); a new day starts from zero."""
+    from zoneinfo import ZoneInfo
+
+    tz = ZoneInfo(zone)
+
+    def step(key, batches, state):
+        day, n = state.get if state.exists else (None, 0)
+        out = []
+        for pdf in batches:
+            pdf = pdf.sort_values(["ts_us", "seq"])
+            days = (pd.to_datetime(pdf["ts_us"], unit="us", utc=True).dt.tz_convert(tz)
+                      .dt.strftime("%Y-%m-%d"))
+            for ts, prov, d in zip(pdf["ts_us"], pdf["province"], days):
+                if d != day:
+                    day, n = d, 0
+                n += 1
+                if n <= limit:
+                    out.append(("pass", key[0], key[1], prov, int(ts) // 1000, d, None))
+                elif n == limit + 1:
+                    out.append(("warn", key[0], key[1], None, int(ts) // 1000, d,
+                                f"Click ad over {limit} times today."))
+        state.update((day, n))
+        if out:
+            yield pd.DataFrame(out, columns=["kind", "user_id", "ad_id", "province", "ts_ms", "day", "msg"])
+
+    return (clicks.groupBy("user_id", "ad_id")
+                  .applyInPandasWithState(step, CLICK_OUT, "day string, n long", "append",
+                                          GroupStateTimeout.NoTimeout))
+
+
+def unique_visitors_approx(ub: DataFrame, size="1 hour", delay="0 seconds") -> DataFrame:
+    """Update mode: a revised distinct-user estimate per window after every
+    micro-batch (the per-element refire of the reference, batched)."""
+    return (ub.where(F.col("behavior") == "pv").withWatermark("ts", delay)
+              .groupBy(F.window("ts", size).alias("w"))
+              .agg(F.approx_count_distinct("user_id").alias("uv"))
+              .select(F.unix_millis("w.end").alias("window_end"), "uv"))
