@@ -16,7 +16,9 @@ from tidepool.functions.timecols import day_in_zone, floor_div, ms_of, pane_end,
 from tidepool.operators.scan import add_chunk, nearest, running
 from tidepool.session import ensure_checkpoint_dir
 
-HOUR_US = 3_600_000_000
+# Chunk width of per-key ordered scans: a task holds at most one key's rows of
+# one minute, which stays small even for a key with a third of all rows.
+CHUNK_US = 60_000_000
 
 
 # --------------------------------------------------------------------------- click limit
@@ -63,7 +65,7 @@ def order_pay_status(df: DataFrame, key: str = "order_id", limit_us: int = 900_0
 
 # --------------------------------------------------------------------------- login: consecutive fails
 def consecutive_fails(df: DataFrame, key: str = "user_id", within_us: int = 2_000_000,
-                      order: Sequence[str] = ("ts_us", "seq"), chunk_us: int = HOUR_US) -> DataFrame:
+                      order: Sequence[str] = ("ts_us", "seq"), chunk_us: int = CHUNK_US) -> DataFrame:
     """A fail whose previous event of the same key (in ``order``) is a fail
     less than ``within`` earlier (a negative gap also counts) -> one warning
     (key, first_fail_ms, last_fail_ms, msg)."""
@@ -81,7 +83,7 @@ def consecutive_fails(df: DataFrame, key: str = "user_id", within_us: int = 2_00
 
 # --------------------------------------------------------------------------- login: bursts
 def fail_bursts(df: DataFrame, key: str = "user_id", within_us: int = 2_000_000, min_fails: int = 2,
-                chunk_us: int = HOUR_US) -> DataFrame:
+                chunk_us: int = CHUNK_US) -> DataFrame:
     """Greedy fail bursts per key in event-time order.
 
     A fail opens a burst with deadline ts + within; later fails up to the
@@ -116,18 +118,20 @@ def fail_bursts(df: DataFrame, key: str = "user_id", within_us: int = 2_000_000,
     both = add_chunk(targets.unionByName(probes), "_pos", chunk_us, "_pchunk")
     both = nearest(both, [key, "run"], ["_pos", "_kind", "seq", "_id"], "_tgt", "_nxt", "_pchunk",
                    direction="after")
-    jump = first_jump = (both.where(F.col("_kind") == 1)
-                             .select(F.col("_probe").alias("id"), F.col("_nxt").alias("to"))).checkpoint(eager=True)
+    first_jump = (both.where(F.col("_kind") == 1)
+                      .select(F.col("_probe").alias("id"), F.col("_nxt").alias("to"))).checkpoint(eager=True)
+    # the jump table keeps only jumps that land: it shrinks every round, and no
+    # NULL join key (a jump past the end of a run) piles up in one task
+    jump = first_jump.where(F.col("to").isNotNull())
 
     starts = fails.groupBy(key, "run").agg(F.min_by("_id", F.struct(*order)).alias("id")).select("id")
     while True:
-        step = (starts.join(jump, "id").where(F.col("to").isNotNull())
-                      .select(F.col("to").alias("id"))).checkpoint(eager=True)
+        step = starts.join(jump, "id").select(F.col("to").alias("id")).checkpoint(eager=True)
         if step.isEmpty():
             break
         starts = starts.unionByName(step)
         nxt2 = jump.select(F.col("id").alias("_mid"), F.col("to").alias("_to2"))
-        jump = (jump.join(nxt2, jump["to"] == nxt2["_mid"], "left")
+        jump = (jump.join(nxt2, jump["to"] == nxt2["_mid"])
                     .select("id", F.col("_to2").alias("to"))).checkpoint(eager=True)
 
     # each fail belongs to the latest start at or before it
@@ -136,10 +140,12 @@ def fail_bursts(df: DataFrame, key: str = "user_id", within_us: int = 2_000_000,
     flagged = nearest(flagged, [key, "run"], order, "_sid", "_prev_sid", "_chunk", direction="before")
     bursts = (flagged.groupBy(key, "run", F.coalesce("_sid", "_prev_sid").alias("id"))
                      .agg(F.count(F.lit(1)).alias("fail_count"), F.min("ts_us").alias("first_u"),
-                          F.max("ts_us").alias("last_u")))
+                          F.max("ts_us").alias("last_u"))
+                     .join(first_jump, "id"))
+    # only the last burst of a run (no next start) can be cancelled, by the success closing the run
     closers = base.where(F.col("_ok") == 1).select(key, "run", F.col("ts_us").alias("close_u"))
-    b = (bursts.join(first_jump, "id")
-               .join(closers, [key, "run"], "left"))
+    last = bursts.where(F.col("to").isNull()).join(closers, [key, "run"], "left")
+    b = bursts.where(F.col("to").isNotNull()).withColumn("close_u", F.lit(None).cast("long")).unionByName(last)
     cancelled = (F.col("to").isNull() & F.col("close_u").isNotNull()
                  & (F.col("close_u") <= F.col("first_u") + F.lit(within_us)))
     secs = within_us // 1_000_000
@@ -153,13 +159,14 @@ def fail_bursts(df: DataFrame, key: str = "user_id", within_us: int = 2_000_000,
 # --------------------------------------------------------------------------- late rows
 def split_late(df: DataFrame, size="10 minutes", slide="5 seconds", lateness="1 minute",
                delay="1 second", arrival: Sequence[str] = ("arrival_us", "seq"),
-               chunk="1 hour") -> tuple[DataFrame, DataFrame]:
+               chunk="1 second") -> tuple[DataFrame, DataFrame]:
     """(on-time rows, late rows) of a sliding-window job with bounded disorder.
 
     Before each arrival the watermark is max(ts of earlier arrivals) - delay.
     A row is late when even its newest window [start, start + size) is
     closed for good: start + size - 1 ms + lateness <= watermark. The running
-    maximum over the global arrival order is a chunked scan with no key.
+    maximum over the global arrival order is a chunked scan with no key
+    (one-second chunks; the carry runs over one row per second of arrivals).
     Adds ``watermark_us`` (NULL before the first arrival).
     """
     size_us, slide_us = parse_duration_us(size), parse_duration_us(slide)

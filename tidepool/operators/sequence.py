@@ -24,7 +24,7 @@ def _carry_cols(df: DataFrame, payload: Sequence[str]) -> Column:
 
 
 def match_next(df: DataFrame, keys: Sequence[str], first: Column, second: Column, within_us: int,
-               payload: Sequence[str] = (), chunk_us: int = 3_600_000_000) -> DataFrame:
+               payload: Sequence[str] = (), chunk_us: int = 60_000_000) -> DataFrame:
     """Pairs (row, very next row of its key) with ``first`` true on the row,
     ``second`` true on the next row and next.ts - row.ts < within.
 
@@ -40,7 +40,7 @@ def match_next(df: DataFrame, keys: Sequence[str], first: Column, second: Column
 
 
 def match_followed_by(df: DataFrame, keys: Sequence[str], first: Column, second: Column, within_us: int,
-                      payload: Sequence[str] = (), chunk_us: int = 3_600_000_000
+                      payload: Sequence[str] = (), chunk_us: int = 60_000_000
                       ) -> tuple[DataFrame, DataFrame]:
     """begin(first).followedBy(second).within(d), per key, in event-time order.
 
