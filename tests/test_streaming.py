@@ -240,3 +240,15 @@ def test_stream_uv_estimate_update_mode(spark, tmp_dir, behaviour_rows):
                         ["window_end", "uv"]))
     assert {r[0] for r in est} == set(exact)
     assert all(abs(r[1] - exact[r[0]]) <= 1 for r in est)
+
+
+def test_stream_hot_items_per_batch_ranking(spark, tmp_dir, behaviour_rows):
+    root = _write_files(os.path.join(tmp_dir, "ub4"), behaviour_rows + [(0, 0, 0, "pv", SENTINEL)])
+    out = os.path.join(tmp_dir, "top_out")
+    w = stream.hot_items_writer(readers.stream_records(spark, root, "user_behavior", max_files=1),
+                                lambda df, epoch: df.write.mode("append").parquet(out), n=3)
+    q = w.option("checkpointLocation", os.path.join(tmp_dir, "ck_top")).trigger(availableNow=True).start()
+    q.awaitTermination(240)
+    b = readers.read_records(spark, root, "user_behavior", seq="hash").where(f"ts_us < {SENTINEL}000000")
+    cols = ["window_end", "rnk", "item_id", "cnt"]
+    assert tuples(spark.read.parquet(out), cols) == tuples(batch.hot_items(b, 3), cols)

@@ -44,7 +44,9 @@ def hot_items(ub: DataFrame, n: int = 5, size="1 hour", slide="5 minutes", delay
     """Top-n items per window: counts per (window, item), then a second
     aggregation per window keeps the n best (count desc, item asc).
 
-    Output rows: window_end, rnk, item_id, cnt (append mode).
+    Output rows: window_end, rnk, item_id, cnt (append mode). The second
+    aggregation holds every item count of an open window in its state (as the
+    reference's list state does); ``hot_items_writer`` keeps no such state.
     """
     counts = (ub.where(F.col("behavior") == "pv").withWatermark("ts", delay)
                 .groupBy(F.window("ts", size, slide).alias("w"), "item_id")
@@ -58,6 +60,24 @@ def hot_items(ub: DataFrame, n: int = 5, size="1 hour", slide="5 minutes", delay
         (-F.col("t.neg")).alias("cnt"))
 
 
+def hot_items_writer(ub: DataFrame, write_batch, n: int = 5, size="1 hour", slide="5 minutes",
+                     delay="0 seconds"):
+    """Top-n per window with no per-window state: the append-mode counts of a
+    micro-batch are the final counts of the windows that just closed, so each
+    micro-batch is ranked as a batch (partial WindowGroupLimit before the
+    shuffle) and handed to ``write_batch(df, epoch_id)``. Returns the
+    DataStreamWriter; set a checkpoint location and start it."""
+    from tidepool.operators.topn import top_n
+
+    counts = window_counts(ub.where(F.col("behavior") == "pv"), ["item_id"], size, slide, delay)
+
+    def each(batch: DataFrame, epoch_id: int) -> None:
+        ranked = top_n(batch, ["window_end"], "cnt", n, tie=["item_id"], rank_col="rnk")
+        write_batch(ranked.select("window_end", "rnk", "item_id", "cnt"), epoch_id)
+
+    return counts.writeStream.outputMode("append").foreachBatch(each)
+
+
 def unique_visitors(ub: DataFrame, size="1 hour", delay="0 seconds") -> DataFrame:
     """Exact distinct users per tumbling window: one row per (window, user),
     then a count per window, both in append mode."""
