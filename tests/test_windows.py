@@ -63,3 +63,12 @@ def test_tumbling_window_count(spark):
 def test_empty_input(spark):
     df = frame(spark, [], SCHEMA)
     assert sliding_count(df, ["k"], "1 day", "5 seconds").count() == 0
+
+
+def test_pane_window_count_equals_builtin(spark):
+    from tidepool.operators.windows import pane_window_count
+    rows = _rows(4)
+    df = frame(spark, rows, SCHEMA)
+    cols = ["k", "window_start", "window_end", "cnt"]
+    assert tuples(pane_window_count(df, ["k"], "1 hour", "5 minutes"), cols) == \
+        tuples(window_count(df, ["k"], "1 hour", "5 minutes"), cols)

@@ -16,14 +16,14 @@ from tidepool.functions.text import ITEM_LABEL, PAGE_LABEL
 from tidepool.functions.timecols import ms_of, parse_duration_us
 from tidepool.operators import aggs, keyed, sequence, joins
 from tidepool.operators.topn import changelog, ranking_report, top_n
-from tidepool.operators.windows import sliding_count, window_count
+from tidepool.operators.windows import pane_window_count, sliding_count
 
 
 # ----------------------------------------------------------------------------- hot items
 def item_view_counts(ub: DataFrame, size="1 hour", slide="5 minutes", behavior="pv") -> DataFrame:
     """(item_id, window_end, cnt) per sliding window, for one behaviour."""
     views = ub.where(F.col("behavior") == behavior)
-    return window_count(views, ["item_id"], size, slide).drop("window_start")
+    return pane_window_count(views, ["item_id"], size, slide).drop("window_start")
 
 
 def hot_items(ub: DataFrame, n: int = 5, size="1 hour", slide="5 minutes") -> DataFrame:
