@@ -151,3 +151,14 @@ def test_fail_bursts_with_identical_records(spark):
             (1, "fail", 63 * SEC, 0), (1, "fail", 64 * SEC, 0), (1, "fail", 65 * SEC, 0)]
     got = keyed.fail_bursts(frame(spark, rows, LOGIN), "user_id", 2 * SEC, 2)
     assert tuples(got, ["first_fail_ms", "last_fail_ms", "fail_count"]) == [(62_000, 64_000, 4)]
+
+
+def test_hot_pages_can_leave_out_late_rows(spark):
+    cols = "url string, method string, ts_us long, seq long, arrival_us long"
+    rows = [("/a", "GET", 1000 * SEC, 1, 1), ("/b", "GET", 2000 * SEC, 2, 2),
+            ("/a", "GET", 1000 * SEC + 5, 3, 3)]            # late: never counted by a stream
+    log = frame(spark, rows, cols)
+    every = jobs.hot_pages(log, 3)
+    on_time = jobs.hot_pages(log, 3, drop_late=True)
+    assert max(r["cnt"] for r in every.where("url = '/a'").collect()) == 2
+    assert max(r["cnt"] for r in on_time.where("url = '/a'").collect()) == 1

@@ -98,8 +98,16 @@ def page_counts(log: DataFrame, size="10 minutes", slide="5 seconds", method="GE
     return sliding_count(log.where(F.col("method") == method), ["url"], size, slide, expand=True)
 
 
-def hot_pages(log: DataFrame, n: int = 3, size="10 minutes", slide="5 seconds") -> DataFrame:
-    """Top-n urls per window end: window_end, rnk, url, cnt."""
+def hot_pages(log: DataFrame, n: int = 3, size="10 minutes", slide="5 seconds", drop_late: bool = False,
+              lateness="1 minute", delay="1 second") -> DataFrame:
+    """Top-n urls per window end: window_end, rnk, url, cnt.
+
+    ``drop_late`` leaves out the rows a streaming run would side-output as
+    too late (``late_pages``), as the reference's counts do; by default every
+    row is counted, which is what a run without disorder gives.
+    """
+    if drop_late:
+        log, _ = keyed.split_late(log, size, slide, lateness, delay)
     ranked = top_n(page_counts(log, size, slide), ["window_end"], "cnt", n, tie=["url"], rank_col="rnk")
     return ranked.select("window_end", "rnk", "url", "cnt")
 
@@ -126,6 +134,12 @@ def market_by_channel(mk: DataFrame, exclude="uninstall", size="1 day", slide="5
     return sliding_count(mk.where(F.col("behavior") != exclude), ["channel", "behavior"], size, slide, expand=expand)
 
 
+def ad_passed_clicks(clicks: DataFrame, limit: int = 100, zone: str = "Asia/Shanghai") -> DataFrame:
+    """The click stream after the blacklist filter: user_id, ad_id, province, ts_ms."""
+    passed, _ = keyed.click_limit(clicks, ["user_id", "ad_id"], limit, zone)
+    return passed.select("user_id", "ad_id", "province", ms_of(F.col("ts_us")).alias("ts_ms"))
+
+
 def ad_clicks(clicks: DataFrame, limit: int = 100, size="1 day", slide="5 seconds",
               zone: str = "Asia/Shanghai", expand: bool = False) -> tuple[DataFrame, DataFrame]:
     """(counts per province over passed clicks, blacklist warnings)."""

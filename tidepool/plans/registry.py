@@ -78,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                                                           expand=True),
         "ad_province_counts": lambda s, d: jobs.ad_clicks(views.ad_clicks(_ev(s, d)), limit=AD_LIMIT)[0],
         "ad_blacklist": lambda s, d: jobs.ad_clicks(views.ad_clicks(_ev(s, d)), limit=AD_LIMIT)[1],
+        "ad_passed_clicks": lambda s, d: jobs.ad_passed_clicks(views.ad_clicks(_ev(s, d)), limit=AD_LIMIT),
         "login_fail_pattern": lambda s, d: jobs.login_fail_pattern(views.login_events(_ev(s, d)), LOGIN_WITHIN),
         "login_fail_consecutive": lambda s, d: jobs.login_fail_consecutive(views.login_events(_ev(s, d)),
                                                                            LOGIN_WITHIN),
@@ -273,6 +274,8 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY ALL""",
         "ad_province_counts": _change_points(f"SELECT province, ts_us FROM {_AD_RANKED} WHERE rn <= {AD_LIMIT}",
                                              ["province"], 24 * H, 5_000_000),
+        "ad_passed_clicks": f"""
+            SELECT user_id, ad_id, province, ts_us // 1000 AS ts_ms FROM {_AD_RANKED} WHERE rn <= {AD_LIMIT}""",
         "ad_blacklist": f"""
             SELECT user_id, ad_id, day, ts_us // 1000 AS ts_ms, 'Click ad over {AD_LIMIT} times today.' AS msg
             FROM {_AD_RANKED} WHERE rn = {AD_LIMIT + 1}""",

@@ -52,3 +52,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     else:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")
     return sc.getCheckpointDir()
+
+
+def sized_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of input.
+
+    Scan splits and post-shuffle partitions of about ``partition_bytes`` keep a
+    task's working set well inside executor memory; the initial shuffle width
+    is at least 3 tasks per core and at least input / partition size, and AQE
+    coalesces what turns out smaller. Pass the result as ``conf`` to
+    ``get_session``.
+    """
+    parts = max(3 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
