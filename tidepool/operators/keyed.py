@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.functions.timecols import day_in_zone, floor_div, ms_of, pane_end, parse_duration_us
+from tidepool.functions.timecols import day_in_zone, ms_of, pane_end, parse_duration_us
 from tidepool.operators.scan import add_chunk, nearest, running
 from tidepool.session import ensure_checkpoint_dir
 
@@ -179,11 +179,3 @@ def split_late(df: DataFrame, size="10 minutes", slide="5 seconds", lateness="1
     is_late = F.coalesce(newest_end - F.lit(1000) + F.lit(late_us) <= F.col("watermark_us"), F.lit(False))
     d = d.withColumn("_late", is_late)
     return d.where(~F.col("_late")).drop("_late"), d.where(F.col("_late")).drop("_late")
-
-
-def local_day(us: Column, zone: str) -> Column:  # re-export for jobs
-    return day_in_zone(us, zone)
-
-
-__all__ = ["click_limit", "order_pay_status", "consecutive_fails", "fail_bursts", "split_late",
-           "floor_div"]

@@ -26,9 +26,6 @@ TX_LOWER, TX_UPPER = "-3 hours", "5 hours"
 AD_LIMIT = 1
 H = 3_600_000_000  # one hour in µs
 
-_cache: dict[str, Callable] = {}
-
-
 def _ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.events(spark, sf_dir)
 
