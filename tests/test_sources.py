@@ -56,3 +56,8 @@ def test_line_sink_round_trip(spark, tmp_dir):
     sinks.write_lines(sinks.as_lines(df), out)
     back = spark.read.text(out)
     assert tuples(back) == [("1,a",), ("2,b",)]
+
+
+def test_kafka_source_needs_its_connector(spark):
+    with pytest.raises(RuntimeError, match="connector"):
+        readers.kafka_lines(spark, "localhost:9092", "hotitems")

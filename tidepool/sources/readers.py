@@ -101,6 +101,12 @@ def kafka_lines(spark: SparkSession, servers: str, topic: str, streaming: bool =
     parse the result with the functions above.
     """
     reader = spark.readStream if streaming else spark.read
-    raw = (reader.format("kafka").option("kafka.bootstrap.servers", servers)
-                 .option("subscribe", topic).load())
+    try:
+        raw = (reader.format("kafka").option("kafka.bootstrap.servers", servers)
+                     .option("subscribe", topic).load())
+    except Exception as e:  # the data source is resolved at load()
+        if "kafka" in str(e).lower() and ("find" in str(e).lower() or "not" in str(e).lower()):
+            raise RuntimeError("the Kafka source needs the spark-sql-kafka connector on the classpath "
+                               "(spark.jars.packages); read files with read_records/stream_records") from e
+        raise
     return raw.select(F.col("value").cast("string").alias("value"))
