@@ -67,15 +67,20 @@ def running_distinct(df: DataFrame, keys: Sequence[str], of: str, id_col: str,
                      chunk="1 minute") -> DataFrame:
     """Per row: distinct ``of`` values of its group seen up to and including it.
 
-    First sightings come from an aggregate (min_by per group and value, so a
-    hot value costs a partial aggregate, not a sort); they are flagged by a
-    join on the unique ``id_col``; the running sum is a chunked scan.
+    The first sighting of each (group, value) comes from an aggregate (a
+    partial min, so a hot value costs no sort); each sighting becomes a +1
+    marker that sorts just before the row it belongs to. Markers and rows go
+    through one chunked running sum, read off at the rows. Returns keys,
+    ``id_col``, the order columns and ``out``.
     """
-    order = list(order)
-    firsts = (df.groupBy(*keys, of)
-                .agg(F.min_by(F.col(id_col), F.struct(*[F.col(c) for c in order])).alias(id_col))
-                .select(id_col, F.lit(1).alias("_new")))
-    flagged = df.join(firsts, on=id_col, how="left").withColumn("_new", F.coalesce(F.col("_new"), F.lit(0)))
-    flagged = add_chunk(flagged, order[0], parse_duration_us(chunk))
-    res = running(flagged, list(keys), order, "_new", out, "_chunk")
-    return res.withColumn(out, F.col(out).cast("long")).drop("_new", "_chunk")
+    keys, order = list(keys), list(order)
+    firsts = (df.groupBy(*keys, of).agg(F.min(F.struct(*[F.col(c) for c in order])).alias("_f"))
+                .select(*keys, *[F.col(f"_f.{c}").alias(c) for c in order]))
+    ids = [] if id_col in order else [id_col]
+    marks = firsts.select(*keys, *order, F.lit(1).alias("_v"), F.lit(0).alias("_kind"),
+                          *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in ids])
+    rows = df.select(*keys, *order, F.lit(0).alias("_v"), F.lit(1).alias("_kind"), *ids)
+    both = add_chunk(marks.unionByName(rows), order[0], parse_duration_us(chunk))
+    res = running(both, keys, [*order, "_kind"], "_v", out, "_chunk")
+    return (res.where(F.col("_kind") == 1)
+               .select(*keys, *ids, *order, F.col(out).cast("long").alias(out)))

@@ -88,7 +88,7 @@ def unique_visitors(ub: DataFrame, size="1 hour", method: str = "exact") -> Data
 def unique_visitors_running(ub: DataFrame, size="1 hour") -> DataFrame:
     """One row per view: event id, window_end, distinct users of the window so far."""
     v = aggs.tumbling_end(_views(ub), size).select("seq", "user_id", "ts_us", "window_end")
-    res = aggs.running_distinct(v, ["window_end"], "user_id", "seq", out="uv")
+    res = aggs.running_distinct(v, ["window_end"], "user_id", "seq", order=("ts_us", "seq"), out="uv")
     return res.select(F.col("seq").alias("event_id"), "window_end", "uv")
 
 
