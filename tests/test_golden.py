@@ -83,3 +83,11 @@ def test_command_line_runner(spark, tmp_dir):
     run.main(["login-fail-cep", src, "--out", out])
     assert tuples(spark.read.parquet(os.path.join(out, "warning")), ["user_id", "first_fail_ms"]) == \
         [(1035, (T0 + 2) * 1000)]
+
+
+def test_window_text_in_reference_layout(spark, tmp_dir):
+    rows = [("u1", "view", "weibo", 1558430842123)]
+    df = readers.read_records(spark, _csv(tmp_dir, "m.csv", rows), "market")
+    got = jobs.market_by_channel(df, size="10 seconds", slide="5 seconds", expand=True, text_zone="Asia/Shanghai")
+    assert tuples(got, ["window_start_text", "window_end_text", "cnt"]) == [
+        ("2019-05-21 17:27:15.0", "2019-05-21 17:27:25.0", 1), ("2019-05-21 17:27:20.0", "2019-05-21 17:27:30.0", 1)]

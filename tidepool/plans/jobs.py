@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions.text import ITEM_LABEL, PAGE_LABEL
-from tidepool.functions.timecols import ms_of, parse_duration_us
+from tidepool.functions.timecols import ms_of, parse_duration_us, timestamp_text
 from tidepool.operators import aggs, keyed, sequence, joins
 from tidepool.operators.topn import changelog, ranking_report, top_n
 from tidepool.operators.windows import pane_window_count, sliding_count
@@ -112,8 +112,8 @@ def hot_pages(log: DataFrame, n: int = 3, size="10 minutes", slide="5 seconds",
     return ranked.select("window_end", "rnk", "url", "cnt")
 
 
-def hot_pages_report(log: DataFrame, n: int = 3, zone: str = "UTC") -> DataFrame:
-    return ranking_report(hot_pages(log, n), "window_end", "rnk", "url", "cnt", PAGE_LABEL, zone)
+def hot_pages_report(log: DataFrame, n: int = 3, zone: str = "UTC", drop_late: bool = False) -> DataFrame:
+    return ranking_report(hot_pages(log, n, drop_late=drop_late), "window_end", "rnk", "url", "cnt", PAGE_LABEL, zone)
 
 
 def late_pages(log: DataFrame, size="10 minutes", slide="5 seconds", lateness="1 minute", delay="1 second",
@@ -127,11 +127,22 @@ def late_pages(log: DataFrame, size="10 minutes", slide="5 seconds", lateness="1
 
 
 # ----------------------------------------------------------------------------- market
+def _with_text(df: DataFrame, zone: str | None) -> DataFrame:
+    """Window bounds also as timestamp text, in the layout the reference prints."""
+    if zone is None:
+        return df
+    return (df.withColumn("window_start_text", timestamp_text(F.col("window_start") * F.lit(1000), zone))
+              .withColumn("window_end_text", timestamp_text(F.col("window_end") * F.lit(1000), zone)))
+
+
 def market_by_channel(mk: DataFrame, exclude="uninstall", size="1 day", slide="5 seconds",
-                      expand: bool = False) -> DataFrame:
+                      expand: bool = False, text_zone: str | None = None) -> DataFrame:
     """Counts per (channel, behavior) in sliding windows, as change points
-    (end_from, end_to, cnt) or, with ``expand``, one row per window."""
-    return sliding_count(mk.where(F.col("behavior") != exclude), ["channel", "behavior"], size, slide, expand=expand)
+    (end_from, end_to, cnt) or, with ``expand``, one row per window (with
+    ``text_zone``, bounds also as text in that zone)."""
+    counts = sliding_count(mk.where(F.col("behavior") != exclude), ["channel", "behavior"], size, slide,
+                           expand=expand)
+    return _with_text(counts, text_zone) if expand else counts
 
 
 def ad_passed_clicks(clicks: DataFrame, limit: int = 100, zone: str = "Asia/Shanghai") -> DataFrame:
@@ -141,11 +152,12 @@ def ad_passed_clicks(clicks: DataFrame, limit: int = 100, zone: str = "Asia/Shan
 
 
 def ad_clicks(clicks: DataFrame, limit: int = 100, size="1 day", slide="5 seconds",
-              zone: str = "Asia/Shanghai", expand: bool = False) -> tuple[DataFrame, DataFrame]:
+              zone: str = "Asia/Shanghai", expand: bool = False,
+              text_zone: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(counts per province over passed clicks, blacklist warnings)."""
     passed, warnings = keyed.click_limit(clicks, ["user_id", "ad_id"], limit, zone)
     counts = sliding_count(passed, ["province"], size, slide, expand=expand)
-    return counts, warnings
+    return (_with_text(counts, text_zone) if expand else counts), warnings
 
 
 # ----------------------------------------------------------------------------- login

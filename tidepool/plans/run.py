@@ -36,13 +36,14 @@ def _outputs(job: str, spark, a) -> dict[str, DataFrame]:
         return {"uv": jobs.unique_visitors_running(rec("user_behavior"))}
     if job == "hot-pages":
         log = readers.read_web_log(spark, a.input, a.zone)
-        on_time, late = jobs.late_pages(log)
-        return {"hot_pages": jobs.hot_pages_report(log, a.top or 3, a.zone), "late": late}
+        _, late = jobs.late_pages(log)
+        return {"hot_pages": jobs.hot_pages_report(log, a.top or 3, a.zone, drop_late=True), "late": late}
     if job == "ad-clicks":
-        counts, warnings = jobs.ad_clicks(rec("ad_click"), a.limit or 100, zone=a.zone, expand=a.expand)
+        counts, warnings = jobs.ad_clicks(rec("ad_click"), a.limit or 100, zone=a.zone, expand=a.expand,
+                                          text_zone=a.zone)
         return {"count_result": counts, "warning": warnings}
     if job == "market":
-        return {"market": jobs.market_by_channel(rec("market"), expand=a.expand)}
+        return {"market": jobs.market_by_channel(rec("market"), expand=a.expand, text_zone=a.zone)}
     if job == "login-fail":
         return {"warning": jobs.login_fail_burst(rec("login"))}
     if job == "login-fail-advance":
