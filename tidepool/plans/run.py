@@ -1,8 +1,8 @@
 """Run a job on record files, as the reference's job mains do.
 
-    python -m tidepool.plans.run hot-items UserBehavior.csv
-    python -m tidepool.plans.run ad-clicks AdClickLog.csv --out /data/out --format parquet
-    python -m tidepool.plans.run tx-match OrderLog.csv --receipts ReceiptLog.csv
+    python -m tidepool.plans.run hot-items behaviour.csv
+    python -m tidepool.plans.run ad-clicks clicks.csv --out /data/out --format parquet
+    python -m tidepool.plans.run tx-match orders.csv --receipts receipts.csv
 
 Each output of a job (the reference's main result and its side outputs) is
 shown, or written under ``--out/<name>``.

@@ -71,7 +71,7 @@ def market_events(ev: DataFrame) -> DataFrame:
 
 
 def ad_clicks(ev: DataFrame) -> DataFrame:
-    """AdClickLog from clicks: ad = k mod 5, province = user_id mod 7."""
+    """Ad click records from clicks: ad = k mod 5, province = user_id mod 7."""
     return (ev.where(F.col("event_type") == "click")
               .select("user_id", (prop_k() % 5).alias("ad_id"),
                       (F.col("user_id") % 7).cast("string").alias("province"),
