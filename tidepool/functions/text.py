@@ -5,14 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Labels and layout of the ranking report, as printed by the
-# reference jobs (header, id label for items, id label for pages, count label,
-# closing rule).
-REPORT_HEADER = "窗口结束时间："
-ITEM_LABEL = "商品ID = "
-PAGE_LABEL = "页面URL = "
-COUNT_LABEL = "热门度 = "
-RULE = "===================================="
+from tidepool.functions.messages import COUNT_LABEL, ITEM_LABEL, PAGE_LABEL, REPORT_HEADER, RULE  # noqa: F401
 
 
 def ranking_text(end_text: Column, ranked: Column, id_field: str, cnt_field: str,

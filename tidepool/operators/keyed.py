@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepool.functions import messages as M
 from tidepool.functions.timecols import day_in_zone, ms_of, pane_end, parse_duration_us
 from tidepool.operators.scan import add_chunk, nearest, running
 from tidepool.session import ensure_checkpoint_dir
@@ -38,7 +39,7 @@ def click_limit(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"), limit
     passed = ranked.where(F.col("_rn") <= limit).drop("_rn", "day")
     warnings = (ranked.where(F.col("_rn") == limit + 1)
                       .select(*keys, "day", ms_of(F.col("ts_us")).alias("ts_ms"),
-                              F.lit(f"Click ad over {limit} times today.").alias("msg")))
+                              F.lit(M.CLICK_LIMIT.format(limit=limit)).alias("msg")))
     return passed, warnings
 
 
@@ -56,10 +57,10 @@ def order_pay_status(df: DataFrame, key: str = "order_id", limit_us: int = 900_0
                     F.min(F.when(F.col(kind) == "pay", F.col("ts_us"))).alias("_p"))
                .where(F.col("_c").isNotNull() | F.col("_p").isNotNull()))
     result = (F.when(F.col("_c").isNotNull() & F.col("_p").isNotNull(),
-                     F.when(F.col("_p") < F.col("_c") + F.lit(limit_us), F.lit("payed successfully"))
-                      .otherwise(F.lit("payed but already timeout")))
-               .when(F.col("_p").isNotNull(), F.lit("payed but not found create log"))
-               .otherwise(F.lit("order timeout")))
+                     F.when(F.col("_p") < F.col("_c") + F.lit(limit_us), F.lit(M.PAID))
+                      .otherwise(F.lit(M.PAID_LATE)))
+               .when(F.col("_p").isNotNull(), F.lit(M.PAY_WITHOUT_CREATE))
+               .otherwise(F.lit(M.ORDER_TIMEOUT)))
     return first.select(F.col(key), result.alias("result"))
 
 
@@ -78,7 +79,7 @@ def consecutive_fails(df: DataFrame, key: str = "user_id", within_us: int = 2_00
     secs = within_us // 1_000_000
     return d.where(hit).select(F.col(key), ms_of(F.col("_prev.u")).alias("first_fail_ms"),
                                ms_of(F.col("ts_us")).alias("last_fail_ms"),
-                               F.lit(f"login fail 2 times in {secs}s").alias("msg"))
+                               F.lit(M.LOGIN_CONSECUTIVE.format(secs=secs)).alias("msg"))
 
 
 # --------------------------------------------------------------------------- login: bursts
@@ -152,8 +153,7 @@ def fail_bursts(df: DataFrame, key: str = "user_id", within_us: int = 2_000_000,
     out = b.where(~cancelled & (F.col("fail_count") >= min_fails))
     return out.select(F.col(key), ms_of(F.col("first_u")).alias("first_fail_ms"),
                       ms_of(F.col("last_u")).alias("last_fail_ms"), F.col("fail_count").cast("long"),
-                      F.concat(F.lit(f"login fail in {secs}s for "), F.col("fail_count").cast("string"),
-                               F.lit(" times. ")).alias("msg"))
+                      F.format_string(M.LOGIN_BURST.format(secs=secs, n="%d"), F.col("fail_count")).alias("msg"))
 
 
 # --------------------------------------------------------------------------- late rows

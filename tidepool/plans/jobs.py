@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.functions import messages as M
 from tidepool.functions.text import ITEM_LABEL, PAGE_LABEL
 from tidepool.functions.timecols import ms_of, parse_duration_us, timestamp_text
 from tidepool.operators import aggs, keyed, sequence, joins
@@ -166,7 +167,7 @@ def login_fail_pattern(logins: DataFrame, within="2 seconds") -> DataFrame:
     fail = F.col("event_type") == "fail"
     m = sequence.match_next(logins, ["user_id"], fail, fail, parse_duration_us(within))
     return m.select("user_id", ms_of(F.col("ts_us")).alias("first_fail_ms"),
-                    ms_of(F.col("nxt.ts_us")).alias("last_fail_ms"), F.lit("login fail").alias("msg"))
+                    ms_of(F.col("nxt.ts_us")).alias("last_fail_ms"), F.lit(M.LOGIN_PATTERN).alias("msg"))
 
 
 def login_fail_consecutive(logins: DataFrame, within="2 seconds",
@@ -184,9 +185,9 @@ def order_timeout_pattern(orders: DataFrame, within="15 minutes") -> tuple[DataF
     w = parse_duration_us(within)
     m, t = sequence.match_followed_by(orders, ["order_id"], F.col("event_type") == "create",
                                       F.col("event_type") == "pay", w)
-    paid = m.select("order_id", F.lit("payed successfully").alias("result"),
+    paid = m.select("order_id", F.lit(M.PAID).alias("result"),
                     ms_of(F.col("ts_us")).alias("create_ms"), ms_of(F.col("nxt.ts_us")).alias("pay_ms"))
-    timeouts = t.select("order_id", F.concat(F.lit("timeout : +"), ms_of(F.col("timeout_us")).cast("string"))
+    timeouts = t.select("order_id", F.format_string(M.PATTERN_TIMEOUT.format(ms="%d"), ms_of(F.col("timeout_us")))
                         .alias("result"))
     return paid, timeouts
 

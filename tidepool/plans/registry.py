@@ -15,7 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.functions.text import COUNT_LABEL, ITEM_LABEL, PAGE_LABEL, REPORT_HEADER, RULE
+from tidepool.functions import messages as M
+from tidepool.functions.messages import COUNT_LABEL, ITEM_LABEL, PAGE_LABEL, REPORT_HEADER, RULE
 from tidepool.plans import jobs
 from tidepool.sources import views
 from tidepool.operators.windows import sliding_count
@@ -187,6 +188,8 @@ _LATE = f"""
     SELECT event_id, url, ts_us // 1000 AS ts_ms, wm // 1000 AS watermark_ms FROM v
     WHERE event_type = 'view' AND {{neg}} coalesce(ts_us - ts_us % 5000000 + 600000000 - 1000 + 60000000 <= wm, false)"""
 
+_BURST_A, _BURST_B = M.LOGIN_BURST.format(secs=6 * 3600, n="\x00").split("\x00")
+
 _BURST = f"""
     WITH RECURSIVE r AS (
       SELECT user_id, t, ts_us, seq,
@@ -211,7 +214,7 @@ _BURST = f"""
           LEFT JOIN closers cl ON cl.user_id = c.user_id AND cl.run_id = c.run_id)
     SELECT user_id, ts_us // 1000 AS first_fail_ms, last_u // 1000 AS last_fail_ms,
            CAST(fail_count AS BIGINT) AS fail_count,
-           'login fail in 21600s for ' || fail_count || ' times. ' AS msg
+           '{_BURST_A}' || fail_count || '{_BURST_B}' AS msg
     FROM b
     WHERE fail_count >= 2 AND NOT (nrk IS NULL AND close_u IS NOT NULL AND close_u <= ts_us + {6 * H})"""
 
@@ -274,34 +277,34 @@ def oracle_sql() -> dict[str, str]:
         "ad_passed_clicks": f"""
             SELECT user_id, ad_id, province, ts_us // 1000 AS ts_ms FROM {_AD_RANKED} WHERE rn <= {AD_LIMIT}""",
         "ad_blacklist": f"""
-            SELECT user_id, ad_id, day, ts_us // 1000 AS ts_ms, 'Click ad over {AD_LIMIT} times today.' AS msg
+            SELECT user_id, ad_id, day, ts_us // 1000 AS ts_ms, '{M.CLICK_LIMIT.format(limit=AD_LIMIT)}' AS msg
             FROM {_AD_RANKED} WHERE rn = {AD_LIMIT + 1}""",
         "login_fail_pattern": f"""
             WITH n AS (SELECT *, lead(t) OVER w AS nt, lead(ts_us) OVER w AS nu FROM {_LOGIN}
                        WINDOW w AS (PARTITION BY user_id ORDER BY ts_us, seq))
-            SELECT user_id, ts_us // 1000 AS first_fail_ms, nu // 1000 AS last_fail_ms, 'login fail' AS msg
+            SELECT user_id, ts_us // 1000 AS first_fail_ms, nu // 1000 AS last_fail_ms, '{M.LOGIN_PATTERN}' AS msg
             FROM n WHERE t = 'fail' AND nt = 'fail' AND nu - ts_us < {6 * H}""",
         "login_fail_consecutive": f"""
             WITH n AS (SELECT *, lag(t) OVER w AS pt, lag(ts_us) OVER w AS pu FROM {_LOGIN}
                        WINDOW w AS (PARTITION BY user_id ORDER BY arrival_us, seq))
             SELECT user_id, pu // 1000 AS first_fail_ms, ts_us // 1000 AS last_fail_ms,
-                   'login fail 2 times in 21600s' AS msg
+                   '{M.LOGIN_CONSECUTIVE.format(secs=6 * 3600)}' AS msg
             FROM n WHERE t = 'fail' AND pt = 'fail' AND ts_us < pu + {6 * H}""",
         "login_fail_burst": _BURST,
         "order_pattern_paid": _ORDER_MATCH + f"""
-            SELECT order_id, 'payed successfully' AS result, ts_us // 1000 AS create_ms, pay_u // 1000 AS pay_ms
+            SELECT order_id, '{M.PAID}' AS result, ts_us // 1000 AS create_ms, pay_u // 1000 AS pay_ms
             FROM m WHERE pay_u IS NOT NULL AND pay_u - ts_us < {12 * H}""",
         "order_pattern_timeout": _ORDER_MATCH + f"""
-            SELECT order_id, 'timeout : +' || CAST((ts_us + {12 * H}) // 1000 AS VARCHAR) AS result
+            SELECT order_id, '{M.PATTERN_TIMEOUT.format(ms="")}' || CAST((ts_us + {12 * H}) // 1000 AS VARCHAR) AS result
             FROM m WHERE NOT (pay_u IS NOT NULL AND pay_u - ts_us < {12 * H})""",
         "order_pay_status": f"""
             WITH g AS (SELECT order_id, min(CASE WHEN t = 'create' THEN ts_us END) AS c,
                               min(CASE WHEN t = 'pay' THEN ts_us END) AS p FROM {_ORDERS} GROUP BY 1)
             SELECT order_id, CASE
                 WHEN c IS NOT NULL AND p IS NOT NULL THEN
-                    CASE WHEN p < c + {12 * H} THEN 'payed successfully' ELSE 'payed but already timeout' END
-                WHEN p IS NOT NULL THEN 'payed but not found create log'
-                ELSE 'order timeout' END AS result
+                    CASE WHEN p < c + {12 * H} THEN '{M.PAID}' ELSE '{M.PAID_LATE}' END
+                WHEN p IS NOT NULL THEN '{M.PAY_WITHOUT_CREATE}'
+                ELSE '{M.ORDER_TIMEOUT}' END AS result
             FROM g""",
         "tx_match_join": _PAIRS,
         "tx_matched": _PAIRS,

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from tidepool.functions import messages as M
 from tidepool.functions.timecols import parse_duration_us
 
 
@@ -138,7 +139,7 @@ def order_pay_status(orders: DataFrame, limit="15 minutes", delay="0 seconds") -
             c, p = state.get
             state.remove()
             yield pd.DataFrame({"order_id": [key[0]],
-                                "result": ["order timeout" if p is None else "payed but not found create log"]})
+                                "result": [M.ORDER_TIMEOUT if p is None else M.PAY_WITHOUT_CREATE]})
             return
         c, p = state.get if state.exists else (None, None)
         for pdf in batches:
@@ -151,14 +152,14 @@ def order_pay_status(orders: DataFrame, limit="15 minutes", delay="0 seconds") -
                 p = int(ps.iloc[0]) if p is None else min(p, int(ps.iloc[0]))
         if c is not None and p is not None:
             state.remove()
-            msg = "payed successfully" if p < c + limit_us else "payed but already timeout"
+            msg = M.PAID if p < c + limit_us else M.PAID_LATE
             yield pd.DataFrame({"order_id": [key[0]], "result": [msg]})
             return
         deadline_ms = ((c if c is not None else p) + limit_us) // 1000
         if deadline_ms <= state.getCurrentWatermarkMs():
             state.remove()
             yield pd.DataFrame({"order_id": [key[0]],
-                                "result": ["order timeout" if p is None else "payed but not found create log"]})
+                                "result": [M.ORDER_TIMEOUT if p is None else M.PAY_WITHOUT_CREATE]})
             return
         state.update((c, p))
         state.setTimeoutTimestamp(deadline_ms)
@@ -181,7 +182,7 @@ def login_fail_bursts(logins: DataFrame, within="2 seconds", min_fails: int = 2,
 
     def warn(key, first, last, n):
         return {"user_id": key, "first_fail_ms": first // 1000, "last_fail_ms": last // 1000,
-                "fail_count": n, "msg": f"login fail in {secs}s for {n} times. "}
+                "fail_count": n, "msg": M.LOGIN_BURST.format(secs=secs, n=n)}
 
     def step(key, batches, state):
         out = []
@@ -263,7 +264,7 @@ def login_fail_pattern(logins: DataFrame, within="2 seconds", delay="3 seconds")
         out = []
         for ts, _seq, t in ready:
             if t == "fail" and last_t == "fail" and ts - last_us < w_us:
-                out.append((key[0], last_us // 1000, ts // 1000, "login fail"))
+                out.append((key[0], last_us // 1000, ts // 1000, M.LOGIN_PATTERN))
             last_t, last_us = t, ts
         state.update((pending, last_t, last_us))
         _pending_timer(state, pending)
@@ -286,7 +287,7 @@ def login_fail_consecutive(logins: DataFrame, within="2 seconds") -> DataFrame:
         for pdf in batches:
             for ts, t in pdf.sort_values(["ts_us", "seq"])[["ts_us", "event_type"]].itertuples(index=False):
                 if t == "fail" and last_t == "fail" and ts < last_us + w_us:
-                    out.append((key[0], last_us // 1000, int(ts) // 1000, f"login fail 2 times in {secs}s"))
+                    out.append((key[0], last_us // 1000, int(ts) // 1000, M.LOGIN_CONSECUTIVE.format(secs=secs)))
                 last_t, last_us = t, int(ts)
         state.update((last_t, last_us))
         if out:
@@ -322,7 +323,7 @@ def order_timeout_pattern(orders: DataFrame, within="15 minutes", delay="0 secon
             keep = []
             for c in creates:
                 if c + w_us <= upto_us:
-                    out.append((key[0], f"timeout : +{(c + w_us) // 1000}", None, None))
+                    out.append((key[0], M.PATTERN_TIMEOUT.format(ms=(c + w_us) // 1000), None, None))
                 else:
                     keep.append(c)
             return keep
@@ -332,7 +333,7 @@ def order_timeout_pattern(orders: DataFrame, within="15 minutes", delay="0 secon
             if t == "create":
                 creates.append(ts)
             elif t == "pay":
-                out.extend((key[0], "payed successfully", c // 1000, ts // 1000) for c in creates)
+                out.extend((key[0], M.PAID, c // 1000, ts // 1000) for c in creates)
                 creates = []
         creates = expire(state.getCurrentWatermarkMs() * 1000)
         if pending or creates:
@@ -375,7 +376,7 @@ def click_limit(clicks: DataFrame, limit: int = 100, zone: str = "Asia/Shanghai"
                     out.append(("pass", key[0], key[1], prov, int(ts) // 1000, d, None))
                 elif n == limit + 1:
                     out.append(("warn", key[0], key[1], None, int(ts) // 1000, d,
-                                f"Click ad over {limit} times today."))
+                                M.CLICK_LIMIT.format(limit=limit)))
         state.update((day, n))
         if out:
             yield pd.DataFrame(out, columns=["kind", "user_id", "ad_id", "province", "ts_ms", "day", "msg"])
