@@ -75,8 +75,7 @@ def epoch_us(df: DataFrame, name: str, unit: str | None = None) -> Column:
 def with_event_time(df: DataFrame, src: str = "ts", unit: str | None = None) -> DataFrame:
     """Add ``ts_us`` and replace ``ts`` by the matching instant."""
     us = epoch_us(df, src, unit)
-    out = df.withColumn("ts_us", us)
-    return out.withColumn("ts", F.timestamp_micros(F.col("ts_us")))
+    return df.withColumns({"ts_us": us, "ts": F.timestamp_micros(us)})
 
 
 def ntz_of(us: Column) -> Column:

@@ -146,6 +146,11 @@ def market_by_channel(mk: DataFrame, exclude="uninstall", size="1 day", slide="5
     return _with_text(counts, text_zone) if expand else counts
 
 
+def ad_blacklist(clicks: DataFrame, limit: int = 100, zone: str = "Asia/Shanghai") -> DataFrame:
+    """Blacklist warnings only: keys, day, ts_ms, msg."""
+    return keyed.click_limit(clicks, ["user_id", "ad_id"], limit, zone)[1]
+
+
 def ad_passed_clicks(clicks: DataFrame, limit: int = 100, zone: str = "Asia/Shanghai") -> DataFrame:
     """The click stream after the blacklist filter: user_id, ad_id, province, ts_ms."""
     passed, _ = keyed.click_limit(clicks, ["user_id", "ad_id"], limit, zone)
@@ -218,12 +223,22 @@ def tx_match_join(orders: DataFrame, rc: DataFrame, lower="-3 seconds", upper="5
     return _pairs(j)
 
 
+def tx_unmatched_pays(orders: DataFrame, rc: DataFrame, lower="-3 seconds", upper="5 seconds") -> DataFrame:
+    """Pays with no receipt in [pay + lower, pay + upper]: event_id, tx_id, ts_ms."""
+    lp = joins.interval_join(_pays(orders), _receipts(rc), ["tx_id"], parse_duration_us(lower),
+                             parse_duration_us(upper), "left_anti", "pay_us", "receipt_us")
+    return lp.select(F.col("pay_event_id").alias("event_id"), "tx_id", ms_of(F.col("pay_us")).alias("ts_ms"))
+
+
+def tx_unmatched_receipts(orders: DataFrame, rc: DataFrame, lower="-3 seconds", upper="5 seconds") -> DataFrame:
+    """Receipts with no pay they could belong to: event_id, tx_id, ts_ms."""
+    lr = joins.interval_join(_receipts(rc), _pays(orders), ["tx_id"], -parse_duration_us(upper),
+                             -parse_duration_us(lower), "left_anti", "receipt_us", "pay_us")
+    return lr.select(F.col("receipt_event_id").alias("event_id"), "tx_id", ms_of(F.col("receipt_us")).alias("ts_ms"))
+
+
 def tx_match(orders: DataFrame, rc: DataFrame, lower="-3 seconds", upper="5 seconds"
              ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(matched pairs, unmatched pays, unmatched receipts)."""
-    m, lp, lr = joins.match_two_streams(_pays(orders), _receipts(rc), ["tx_id"], parse_duration_us(lower),
-                                        parse_duration_us(upper), "pay_us", "receipt_us")
-    return (_pairs(m),
-            lp.select(F.col("pay_event_id").alias("event_id"), "tx_id", ms_of(F.col("pay_us")).alias("ts_ms")),
-            lr.select(F.col("receipt_event_id").alias("event_id"), "tx_id",
-                      ms_of(F.col("receipt_us")).alias("ts_ms")))
+    return (tx_match_join(orders, rc, lower, upper), tx_unmatched_pays(orders, rc, lower, upper),
+            tx_unmatched_receipts(orders, rc, lower, upper))

@@ -75,7 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sliding_count_check": lambda s, d: sliding_count(_ev(s, d), ["event_type"], "1 hour", "5 minutes",
                                                           expand=True),
         "ad_province_counts": lambda s, d: jobs.ad_clicks(views.ad_clicks(_ev(s, d)), limit=AD_LIMIT)[0],
-        "ad_blacklist": lambda s, d: jobs.ad_clicks(views.ad_clicks(_ev(s, d)), limit=AD_LIMIT)[1],
+        "ad_blacklist": lambda s, d: jobs.ad_blacklist(views.ad_clicks(_ev(s, d)), limit=AD_LIMIT),
         "ad_passed_clicks": lambda s, d: jobs.ad_passed_clicks(views.ad_clicks(_ev(s, d)), limit=AD_LIMIT),
         "login_fail_pattern": lambda s, d: jobs.login_fail_pattern(views.login_events(_ev(s, d)), LOGIN_WITHIN),
         "login_fail_consecutive": lambda s, d: jobs.login_fail_consecutive(views.login_events(_ev(s, d)),
@@ -88,12 +88,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "order_pay_status": lambda s, d: jobs.order_pay_status(views.order_events(_ev(s, d)), ORDER_LIMIT),
         "tx_match_join": lambda s, d: jobs.tx_match_join(views.order_events(_ev(s, d)), views.receipts(_ev(s, d)),
                                                          TX_LOWER, TX_UPPER),
-        "tx_matched": lambda s, d: jobs.tx_match(views.order_events(_ev(s, d)), views.receipts(_ev(s, d)),
-                                                 TX_LOWER, TX_UPPER)[0],
-        "tx_unmatched_pay": lambda s, d: jobs.tx_match(views.order_events(_ev(s, d)), views.receipts(_ev(s, d)),
-                                                       TX_LOWER, TX_UPPER)[1],
-        "tx_unmatched_receipt": lambda s, d: jobs.tx_match(views.order_events(_ev(s, d)),
-                                                           views.receipts(_ev(s, d)), TX_LOWER, TX_UPPER)[2],
+        "tx_matched": lambda s, d: jobs.tx_match_join(views.order_events(_ev(s, d)), views.receipts(_ev(s, d)),
+                                                      TX_LOWER, TX_UPPER),
+        "tx_unmatched_pay": lambda s, d: jobs.tx_unmatched_pays(views.order_events(_ev(s, d)),
+                                                                views.receipts(_ev(s, d)), TX_LOWER, TX_UPPER),
+        "tx_unmatched_receipt": lambda s, d: jobs.tx_unmatched_receipts(views.order_events(_ev(s, d)),
+                                                                        views.receipts(_ev(s, d)), TX_LOWER, TX_UPPER),
     }
 
 

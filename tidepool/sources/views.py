@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = with_event_time(table(spark, sf_dir, "events"), "ts")
     arrival = F.col("ts_us") + F.pmod(F.col("event_id") * F.lit(7919), F.lit(1200)) * F.lit(MICROS)
-    return ev.withColumn("seq", F.col("event_id")).withColumn("arrival_us", arrival)
+    return ev.withColumns({"seq": F.col("event_id"), "arrival_us": arrival})
 
 
 def prop_k(props: str = "props") -> Column:
