@@ -45,17 +45,19 @@ def _pos(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
-def stitch(local: DataFrame, carry: DataFrame, part: Sequence[str]) -> DataFrame:
+def stitch(local: DataFrame, carry: DataFrame, part: Sequence[str], out: list | None = None) -> DataFrame:
     """Left join of scanned rows with their chunk's carry on ``part``, NULL-safe.
 
     NULL keys are a group like any other in a window, so they must meet their
     carry too; ``<=>`` also keeps the optimizer from inferring NOT NULL filters
     on one side only, which would stop the two branches sharing one shuffle.
+    ``out`` is the final column list (names or expressions over both sides);
+    by default the scanned rows' columns plus the carry's.
     """
-    renamed = carry.select(*[F.col(c).alias(f"_k_{c}") for c in part],
-                           *[c for c in carry.columns if c not in part])
+    names = [c for c in carry.columns if c not in part]
+    renamed = carry.select(*[F.col(c).alias(f"_k_{c}") for c in part], *names)
     cond = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in part]
-    return local.join(renamed, on=cond, how="left").drop(*[f"_k_{c}" for c in part])
+    return local.join(renamed, on=cond, how="left").select(*(out or [*local.columns, *names]))
 
 
 def add_chunk(df: DataFrame, ts_col: str, width_us: int, name: str = "_chunk") -> DataFrame:
@@ -79,12 +81,11 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str
     per_chunk = df.groupBy(*part).agg(agg(F.col(value)).alias("_tot"))
     wc = _spec(keys).orderBy(F.col(chunk)).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_chunk.select(*part, agg(F.col("_tot")).over(wc).alias("_carry"))
-    joined = stitch(local, carry, part)
     if how == "sum":
         res = F.coalesce(F.col("_loc"), F.lit(0)) + F.coalesce(F.col("_carry"), F.lit(0))
     else:
         res = (F.greatest if how == "max" else F.least)(F.col("_loc"), F.col("_carry"))
-    return joined.withColumn(out, res).drop("_loc", "_carry")
+    return stitch(local, carry, part, [*[c for c in df.columns if c != out], res.alias(out)])
 
 
 def nearest(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
@@ -107,5 +108,5 @@ def nearest(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str
     wc = (_spec(keys).orderBy(F.col(chunk).desc() if after else F.col(chunk).asc())
           .rowsBetween(Window.unboundedPreceding, -1))
     carry = per_chunk.select(*part, F.last(F.col("_edge"), ignorenulls=True).over(wc).alias("_carry"))
-    joined = stitch(local, carry, part)
-    return joined.withColumn(out, F.coalesce(F.col("_near"), F.col("_carry"))).drop("_near", "_carry")
+    res = F.coalesce(F.col("_near"), F.col("_carry"))
+    return stitch(local, carry, part, [*[c for c in df.columns if c != out], res.alias(out)])

@@ -109,8 +109,7 @@ def _sweep(points: DataFrame, keys: list[str], out: str) -> DataFrame:
     cs = cs.orderBy("_chunk")
     carry = per_chunk.select(*part, F.sum("_tot").over(cs.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
                              F.lead("_first").over(cs).alias("_next_first"))
-    res = stitch(local, carry, part)
     cnt = (F.col("_inc") + F.coalesce(F.col("_before"), F.lit(0))).cast("long")
-    return (res.select(*keys, F.col("point").alias("_from"), F.coalesce(F.col("_nx"), F.col("_next_first")).alias("_to"),
-                       cnt.alias(out))
-               .where(F.col(out) != 0))
+    res = stitch(local, carry, part, [*keys, F.col("point").alias("_from"),
+                                      F.coalesce(F.col("_nx"), F.col("_next_first")).alias("_to"), cnt.alias(out)])
+    return res.where(F.col(out) != 0)
