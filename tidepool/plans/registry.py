@@ -69,6 +69,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "uv_running": lambda s, d: jobs.unique_visitors_running(_ub(s, d)),
         "hot_pages": lambda s, d: jobs.hot_pages(_log(s, d)),
         "hot_pages_report": lambda s, d: jobs.hot_pages_report(_log(s, d)),
+        # as a streaming run counts them: rows past the allowed lateness are left out
+        "hot_pages_on_time": lambda s, d: jobs.hot_pages(_log(s, d, only_get=False), drop_late=True),
         "late_rows": lambda s, d: _late(s, d, "late"),
         "on_time_rows": lambda s, d: _late(s, d, "on_time"),
         "market_by_channel": lambda s, d: jobs.market_by_channel(views.market_events(_ev(s, d)), exclude="signup"),
@@ -138,6 +140,20 @@ HOT_PAGES = f"""
         GROUP BY ALL))
     WHERE rnk <= 3"""
 
+HOT_PAGES_ON_TIME = f"""
+    WITH v AS (SELECT event_id, event_type, '/p/' || k AS url, ts_us,
+                 max(ts_us) OVER (ORDER BY arrival_us, event_id
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1000000 AS wm
+               FROM {EV}),
+    ok AS (SELECT url, ts_us FROM v WHERE event_type = 'view'
+           AND NOT coalesce(ts_us - ts_us % 5000000 + 600000000 - 1000 + 60000000 <= wm, false))
+    SELECT window_end, rnk, url, cnt FROM (
+      SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS rnk FROM (
+        SELECT url, (ts_us - ts_us % 5000000 + 5000000 * (r.i + 1)) // 1000 AS window_end, count(*) AS cnt
+        FROM ok, range(120) AS r(i)
+        GROUP BY ALL))
+    WHERE rnk <= 3"""
+
 _HOURLY = "(ts_us - ts_us % 3600000000 + 3600000000) // 1000"
 
 
@@ -262,6 +278,7 @@ def oracle_sql() -> dict[str, str]:
             FROM f""",
         "hot_pages": HOT_PAGES,
         "hot_pages_report": _report_sql(HOT_PAGES, "url", PAGE_LABEL),
+        "hot_pages_on_time": HOT_PAGES_ON_TIME,
         "late_rows": _LATE.format(neg=""),
         "on_time_rows": _LATE.format(neg="NOT"),
         "market_by_channel": _change_points(
