@@ -252,3 +252,33 @@ def test_stream_hot_items_per_batch_ranking(spark, tmp_dir, behaviour_rows):
     b = readers.read_records(spark, root, "user_behavior", seq="hash").where(f"ts_us < {SENTINEL}000000")
     cols = ["window_end", "rnk", "item_id", "cnt"]
     assert tuples(spark.read.parquet(out), cols) == tuples(batch.hot_items(b, 3), cols)
+
+
+def _expand(segments, keys, slide_ms):
+    out = {}
+    for r in segments:
+        for e in range(r["end_from"], r["end_to"], slide_ms):
+            k = (*[r[c] for c in keys], e)
+            assert k not in out  # every window end is emitted once
+            out[k] = r["cnt"]
+    return out
+
+
+def test_stream_fine_sliding_counts(spark, tmp_dir):
+    from tidepool.operators.windows import sliding_count
+    rnd = random.Random(17)
+    rows, t = [], 1_558_400_000_000
+    for _ in range(240):
+        t += rnd.randrange(0, 60_000)
+        rows.append((f"u{rnd.randrange(9)}", rnd.choice(["view", "download"]), rnd.choice(["weibo", "wechat"]), t))
+    root = _write_files(os.path.join(tmp_dir, "mk"), rows + [("s", "view", "sentinel", SENTINEL * 1000)], 30)
+    out = os.path.join(tmp_dir, "mk_out")
+    w = stream.sliding_count_writer(readers.stream_records(spark, root, "market", max_files=1), ["channel"],
+                                    "1 hour", "5 seconds", os.path.join(tmp_dir, "mk_state"),
+                                    lambda df, epoch: df.write.mode("append").parquet(out))
+    q = w.option("checkpointLocation", os.path.join(tmp_dir, "ck_mk")).trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    got = _expand(spark.read.parquet(out).collect(), ["channel"], 5000)
+    b = readers.read_records(spark, root, "market").where(f"ts_us < {SENTINEL}000000")
+    exp = _expand(sliding_count(b, ["channel"], "1 hour", "5 seconds").collect(), ["channel"], 5000)
+    assert got == exp and len(exp) > 1000

@@ -78,14 +78,9 @@ def sliding_count(df: DataFrame, keys: Sequence[str], size, slide, expand: bool
     if size_us % slide_us:
         raise ValueError("slide must divide size")
     keys = list(keys)
-    panes = (df.select(*keys, pane_end(F.col(ts_col), slide_us).alias("_p"))
-               .groupBy(*keys, "_p").agg(F.count(F.lit(1)).alias("_n")))
-    enter = panes.select(*keys, F.col("_p").alias("point"), F.col("_n").alias("delta"))
-    leave = panes.select(*keys, (F.col("_p") + F.lit(size_us)).alias("point"), (-F.col("_n")).alias("delta"))
-    points = (enter.unionByName(leave)
-                   .groupBy(*keys, "point").agg(F.sum("delta").alias("delta"))
-                   .where(F.col("delta") != 0))
-    segs = _sweep(add_chunk(points, "point", parse_duration_us(chunk)), keys, out)
+    panes = (df.select(*keys, pane_end(F.col(ts_col), slide_us).alias("pane"))
+               .groupBy(*keys, "pane").agg(F.count(F.lit(1)).alias("n")))
+    segs = changes_from_panes(panes, keys, size_us, slide_us, out, chunk)
     if not expand:
         return segs.select(*keys, floor_div(F.col("_from"), 1000).alias("end_from"),
                            floor_div(F.col("_to"), 1000).alias("end_to"), F.col(out))
@@ -95,6 +90,20 @@ def sliding_count(df: DataFrame, keys: Sequence[str], size, slide, expand: bool
                         floor_div(F.col("_e"), 1000).alias("window_end"), F.col(out)))
 
 
+def changes_from_panes(panes: DataFrame, keys: Sequence[str], size_us: int, slide_us: int, out: str = "cnt",
+                       chunk="1 day") -> DataFrame:
+    """Segments (keys, _from, _to, out) of constant non-zero window count from
+    pane counts (keys, pane, n): +n at the pane's end, -n at end + size, then
+    one chunked running sum per key. Window ends are in µs, _to exclusive."""
+    keys = list(keys)
+    enter = panes.select(*keys, F.col("pane").alias("point"), F.col("n").alias("delta"))
+    leave = panes.select(*keys, (F.col("pane") + F.lit(size_us)).alias("point"), (-F.col("n")).alias("delta"))
+    points = (enter.unionByName(leave)
+                   .groupBy(*keys, "point").agg(F.sum("delta").alias("delta"))
+                   .where(F.col("delta") != 0))
+    return _sweep(add_chunk(points, "point", parse_duration_us(chunk)), keys, out)
+
+
 def _sweep(points: DataFrame, keys: list[str], out: str) -> DataFrame:
     """Running sum of ``delta`` and the next point, per key in point order,
     as one chunked scan: within (key, chunk) a window gives both; a small

@@ -393,3 +393,70 @@ def unique_visitors_approx(ub: DataFrame, size="1 hour", delay="0 seconds") -> D
               .groupBy(F.window("ts", size).alias("w"))
               .agg(F.approx_count_distinct("user_id").alias("uv"))
               .select(F.unix_millis("w.end").alias("window_end"), "uv"))
+
+
+# ----------------------------------------------------------------------------- fine sliding windows
+def sliding_count_writer(df: DataFrame, keys, size, slide, state_dir: str, write_batch,
+                         delay="0 seconds", ts_col: str = "ts_us"):
+    """Sliding counts as a stream, for slides too fine for ``F.window``.
+
+    ``foreachBatch``: the micro-batch is counted per pane (a batch aggregate);
+    the pane counts are merged into a pane table kept under ``state_dir``
+    (one version per epoch, so a replayed epoch rewrites the same version);
+    windows whose end the watermark (max event time - delay) has passed are
+    swept into change points (keys, end_from, end_to, cnt) and handed to
+    ``write_batch(df, epoch_id)`` exactly once. Panes older than every open
+    window are dropped, so the table holds about ``size`` of panes per key.
+    A row counts in its windows not yet emitted; a row whose newest window is
+    already out is late and dropped.
+    """
+    from tidepool.functions.timecols import pane_end
+    from tidepool.operators.windows import changes_from_panes
+
+    keys = list(keys)
+    size_us, slide_us, delay_us = parse_duration_us(size), parse_duration_us(slide), parse_duration_us(delay)
+
+    def version(epoch: int) -> str:
+        return f"{state_dir.rstrip('/')}/v={epoch}"
+
+    def each(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        prev_meta = None
+        if epoch_id > 0:
+            try:
+                prev_meta = spark.read.parquet(version(epoch_id - 1) + "/meta").first()
+            except Exception:  # no earlier version: first epoch of this state folder
+                prev_meta = None
+        emitted = prev_meta["emitted_us"] if prev_meta else None
+        max_ts = prev_meta["max_ts_us"] if prev_meta else None
+        new = (batch.select(*keys, pane_end(F.col(ts_col), slide_us).alias("pane"))
+                    .groupBy(*keys, "pane").agg(F.count(F.lit(1)).alias("n")))
+        if emitted is not None:  # a row is late only when its newest window is already out
+            new = new.where(F.col("pane") + F.lit(size_us - slide_us) > F.lit(emitted))
+        panes = new
+        if prev_meta is not None:
+            old = spark.read.parquet(version(epoch_id - 1) + "/panes")
+            panes = old.unionByName(new).groupBy(*keys, "pane").agg(F.sum("n").cast("long").alias("n"))
+        batch_max = batch.agg(F.max(ts_col)).first()[0]
+        max_ts = batch_max if max_ts is None else (max_ts if batch_max is None else max(max_ts, batch_max))
+        wm = None if max_ts is None else max_ts - delay_us
+        closed_to = None if wm is None else wm - wm % slide_us  # last window end <= watermark
+        if closed_to is not None and (emitted is None or closed_to > emitted):
+            lo = emitted if emitted is not None else -(1 << 62)
+            seg = changes_from_panes(panes, keys, size_us, slide_us)
+            seg = (seg.where((F.col("_to") > F.lit(lo + slide_us)) & (F.col("_from") <= F.lit(closed_to)))
+                      .select(*keys, F.greatest(F.col("_from"), F.lit(lo + slide_us)).alias("_from"),
+                              F.least(F.col("_to"), F.lit(closed_to + slide_us)).alias("_to"), "cnt"))
+            write_batch(seg.select(*keys, (F.col("_from") / 1000).cast("long").alias("end_from"),
+                                   (F.col("_to") / 1000).cast("long").alias("end_to"), "cnt"), epoch_id)
+            emitted = closed_to
+        keep = panes if emitted is None else panes.where(F.col("pane") > F.lit(emitted - size_us))
+        keep.write.mode("overwrite").parquet(version(epoch_id) + "/panes")
+        spark.createDataFrame([(emitted, max_ts)], "emitted_us long, max_ts_us long") \
+             .write.mode("overwrite").parquet(version(epoch_id) + "/meta")
+        if epoch_id >= 2:  # a replay of this epoch reads epoch_id - 1; older versions can go
+            jvm = spark.sparkContext._jvm
+            old_path = jvm.org.apache.hadoop.fs.Path(version(epoch_id - 2))
+            old_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old_path, True)
+
+    return df.writeStream.outputMode("append").foreachBatch(each)
