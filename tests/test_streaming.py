@@ -282,3 +282,32 @@ def test_stream_fine_sliding_counts(spark, tmp_dir):
     b = readers.read_records(spark, root, "market").where(f"ts_us < {SENTINEL}000000")
     exp = _expand(sliding_count(b, ["channel"], "1 hour", "5 seconds").collect(), ["channel"], 5000)
     assert got == exp and len(exp) > 1000
+
+
+def test_stream_hot_pages(spark, tmp_dir):
+    rnd = random.Random(23)
+    t, lines = 1431856800, []
+    for _ in range(200):
+        t += rnd.randrange(0, 20)
+        hh, rest = divmod(t - 1431820800, 3600)
+        mm, ss = divmod(rest, 60)
+        lines.append(f"10.0.0.{rnd.randrange(9)} - - 17/05/2015:{hh:02d}:{mm:02d}:{ss:02d} +0000 "
+                     f"{rnd.choice(['GET', 'GET', 'POST'])} /p/{rnd.randrange(6)}")
+    lines.append("10.0.0.1 - - 17/05/2016:00:00:00 +0000 GET /sentinel")  # a year later: closes everything
+    root = os.path.join(tmp_dir, "weblog2")
+    os.makedirs(root)
+    for i in range(0, len(lines), 25):
+        p = os.path.join(root, f"part-{i:05d}.txt")
+        with open(p, "w") as f:
+            f.write("\n".join(lines[i:i + 25]))
+        os.utime(p, (1_600_000_000 + i, 1_600_000_000 + i))
+    out = os.path.join(tmp_dir, "hp_out")
+    log = readers.parse_web_log(spark.readStream.option("maxFilesPerTrigger", 1).text(root))
+    w = stream.hot_pages_writer(log, lambda df, epoch: df.write.mode("append").parquet(out),
+                                os.path.join(tmp_dir, "hp_state"))
+    q = w.option("checkpointLocation", os.path.join(tmp_dir, "ck_hp")).trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    blog = readers.read_web_log(spark, root).where("url != '/sentinel'")
+    cols = ["window_end", "rnk", "url", "cnt"]
+    exp = tuples(batch.hot_pages(blog, 3), cols)
+    assert tuples(spark.read.parquet(out), cols) == exp and len(exp) > 100

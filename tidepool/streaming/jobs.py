@@ -460,3 +460,28 @@ def sliding_count_writer(df: DataFrame, keys, size, slide, state_dir: str, write
             old_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old_path, True)
 
     return df.writeStream.outputMode("append").foreachBatch(each)
+
+
+def hot_pages_writer(log: DataFrame, write_batch, state_dir: str, n: int = 3, size="10 minutes",
+                     slide="5 seconds", delay="1 second", lateness="1 minute"):
+    """Top-n urls per window as a stream (the reference's hot pages).
+
+    Counts come from ``sliding_count_writer`` with the watermark held back by
+    delay + lateness, so each window is ranked once with every row that
+    arrived within the allowed lateness; the closed windows of a micro-batch
+    are expanded and ranked with the batch top-N (partial limit before the
+    shuffle). ``write_batch`` gets (window_end, rnk, url, cnt) frames.
+    """
+    from tidepool.operators.topn import top_n
+
+    slide_ms = parse_duration_us(slide) // 1000
+    hold = f"{(parse_duration_us(delay) + parse_duration_us(lateness)) // 1_000_000} seconds"
+
+    def rank(segments: DataFrame, epoch_id: int) -> None:
+        ends = F.explode(F.sequence(F.col("end_from"), F.col("end_to") - F.lit(slide_ms), F.lit(slide_ms)))
+        windows = segments.select("url", ends.alias("window_end"), "cnt")
+        ranked = top_n(windows, ["window_end"], "cnt", n, tie=["url"], rank_col="rnk")
+        write_batch(ranked.select("window_end", "rnk", "url", "cnt"), epoch_id)
+
+    return sliding_count_writer(log.where(F.col("method") == "GET"), ["url"], size, slide, state_dir, rank,
+                                delay=hold)
