@@ -311,3 +311,23 @@ def test_stream_hot_pages(spark, tmp_dir):
     cols = ["window_end", "rnk", "url", "cnt"]
     exp = tuples(batch.hot_pages(blog, 3), cols)
     assert tuples(spark.read.parquet(out), cols) == exp and len(exp) > 100
+
+
+def test_stream_ad_clicks_pipeline(spark, tmp_dir):
+    rnd = random.Random(29)
+    rows, t = [], 1_511_658_000
+    for _ in range(300):
+        t += rnd.randrange(0, 120)
+        rows.append((rnd.randrange(1, 4), rnd.randrange(1, 3), rnd.choice(["beijing", "shanghai"]), "c", t))
+    root = _write_files(os.path.join(tmp_dir, "ad2"), rows + [(0, 0, "sentinel", "c", SENTINEL)], 30)
+    out = os.path.join(tmp_dir, "ad_out")
+    w = stream.ad_clicks_writer(readers.stream_records(spark, root, "ad_click", max_files=1),
+                                lambda df, epoch: df.write.mode("append").parquet(out),
+                                os.path.join(tmp_dir, "ad_state"), limit=20, size="2 hours")
+    q = w.option("checkpointLocation", os.path.join(tmp_dir, "ck_ad")).trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    got = _expand(spark.read.parquet(out).collect(), ["province"], 5000)
+    b = readers.read_records(spark, root, "ad_click", seq="hash").where(f"ts_us < {SENTINEL}000000")
+    counts, warnings = batch.ad_clicks(b, limit=20, size="2 hours")
+    exp = _expand(counts.collect(), ["province"], 5000)
+    assert got == exp and warnings.count() > 0

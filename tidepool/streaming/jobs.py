@@ -485,3 +485,21 @@ def hot_pages_writer(log: DataFrame, write_batch, state_dir: str, n: int = 3, si
 
     return sliding_count_writer(log.where(F.col("method") == "GET"), ["url"], size, slide, state_dir, rank,
                                 delay=hold)
+
+
+def ad_clicks_writer(clicks: DataFrame, write_counts, state_dir: str, limit: int = 100, size="1 day",
+                     slide="5 seconds", zone: str = "Asia/Shanghai", delay="0 seconds"):
+    """The ad-click job as a stream: the click limit per (user, ad, day) in
+    keyed state, then province counts of the passed clicks in sliding windows
+    (``sliding_count_writer``). Warnings are the rows with kind 'warn' of
+    ``click_limit``; start that query separately to keep them."""
+    passed = (click_limit(clicks, limit, zone).where(F.col("kind") == "pass")
+              .select("province", (F.col("ts_ms") * F.lit(1000)).alias("ts_us")))
+    return sliding_count_writer(passed, ["province"], size, slide, state_dir, write_counts, delay=delay)
+
+
+def market_writer(mk: DataFrame, write_counts, state_dir: str, exclude="uninstall", size="1 day",
+                  slide="5 seconds", delay="0 seconds"):
+    """Counts per (channel, behavior) in sliding windows, as a stream of change points."""
+    return sliding_count_writer(mk.where(F.col("behavior") != exclude), ["channel", "behavior"], size, slide,
+                                state_dir, write_counts, delay=delay)
