@@ -331,3 +331,29 @@ def test_stream_ad_clicks_pipeline(spark, tmp_dir):
     counts, warnings = batch.ad_clicks(b, limit=20, size="2 hours")
     exp = _expand(counts.collect(), ["province"], 5000)
     assert got == exp and warnings.count() > 0
+
+
+def test_stream_late_rows_go_to_side_output(spark, tmp_dir):
+    day = "17/05/2015"
+    batches = [[f"10.0.0.1 - - {day}:10:00:0{s} +0000 GET /a" for s in range(5)],
+               [f"10.0.0.1 - - {day}:10:30:00 +0000 GET /b"],                 # watermark -> 10:29:59 - 1 min
+               [f"10.0.0.1 - - {day}:10:00:07 +0000 GET /a",                  # newest window ends 10:10:10: late
+                f"10.0.0.1 - - {day}:10:25:00 +0000 GET /c"],                 # still open
+               [f"10.0.0.1 - - 17/05/2016:00:00:00 +0000 GET /sentinel"]]
+    root = os.path.join(tmp_dir, "weblog3")
+    os.makedirs(root)
+    for i, b in enumerate(batches):
+        p = os.path.join(root, f"part-{i}.txt")
+        with open(p, "w") as f:
+            f.write("\n".join(b))
+        os.utime(p, (1_600_000_000 + i, 1_600_000_000 + i))
+    out, late = os.path.join(tmp_dir, "hp3_out"), os.path.join(tmp_dir, "hp3_late")
+    log = readers.parse_web_log(spark.readStream.option("maxFilesPerTrigger", 1).text(root))
+    w = stream.hot_pages_writer(log, lambda df, e: df.write.mode("append").parquet(out), os.path.join(tmp_dir, "hp3"),
+                                write_late=lambda df, e: df.select("url", "ts_us").write.mode("append").parquet(late))
+    q = w.option("checkpointLocation", os.path.join(tmp_dir, "ck_hp3")).trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    assert tuples(spark.read.parquet(late)) == [("/a", 1431856807 * 1_000_000)]
+    counts = spark.read.parquet(out)
+    assert counts.where("url = '/a'").agg({"cnt": "max"}).first()[0] == 5   # the late row is not counted
+    assert counts.where("url = '/c'").count() > 0

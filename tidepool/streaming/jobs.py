@@ -397,7 +397,7 @@ def unique_visitors_approx(ub: DataFrame, size="1 hour", delay="0 seconds") -> D
 
 # ----------------------------------------------------------------------------- fine sliding windows
 def sliding_count_writer(df: DataFrame, keys, size, slide, state_dir: str, write_batch,
-                         delay="0 seconds", ts_col: str = "ts_us"):
+                         delay="0 seconds", ts_col: str = "ts_us", write_late=None):
     """Sliding counts as a stream, for slides too fine for ``F.window``.
 
     ``foreachBatch``: the micro-batch is counted per pane (a batch aggregate);
@@ -408,7 +408,8 @@ def sliding_count_writer(df: DataFrame, keys, size, slide, state_dir: str, write
     ``write_batch(df, epoch_id)`` exactly once. Panes older than every open
     window are dropped, so the table holds about ``size`` of panes per key.
     A row counts in its windows not yet emitted; a row whose newest window is
-    already out is late and dropped.
+    already out is late: it is not counted and, when ``write_late`` is given,
+    handed to ``write_late(rows, epoch_id)`` (the reference's late side output).
     """
     from tidepool.functions.timecols import pane_end
     from tidepool.operators.windows import changes_from_panes
@@ -429,10 +430,14 @@ def sliding_count_writer(df: DataFrame, keys, size, slide, state_dir: str, write
                 prev_meta = None
         emitted = prev_meta["emitted_us"] if prev_meta else None
         max_ts = prev_meta["max_ts_us"] if prev_meta else None
-        new = (batch.select(*keys, pane_end(F.col(ts_col), slide_us).alias("pane"))
-                    .groupBy(*keys, "pane").agg(F.count(F.lit(1)).alias("n")))
+        rows = batch
         if emitted is not None:  # a row is late only when its newest window is already out
-            new = new.where(F.col("pane") + F.lit(size_us - slide_us) > F.lit(emitted))
+            on_time = pane_end(F.col(ts_col), slide_us) + F.lit(size_us - slide_us) > F.lit(emitted)
+            if write_late is not None:
+                write_late(batch.where(~on_time), epoch_id)
+            rows = batch.where(on_time)
+        new = (rows.select(*keys, pane_end(F.col(ts_col), slide_us).alias("pane"))
+                   .groupBy(*keys, "pane").agg(F.count(F.lit(1)).alias("n")))
         panes = new
         if prev_meta is not None:
             old = spark.read.parquet(version(epoch_id - 1) + "/panes")
@@ -463,14 +468,15 @@ def sliding_count_writer(df: DataFrame, keys, size, slide, state_dir: str, write
 
 
 def hot_pages_writer(log: DataFrame, write_batch, state_dir: str, n: int = 3, size="10 minutes",
-                     slide="5 seconds", delay="1 second", lateness="1 minute"):
+                     slide="5 seconds", delay="1 second", lateness="1 minute", write_late=None):
     """Top-n urls per window as a stream (the reference's hot pages).
 
     Counts come from ``sliding_count_writer`` with the watermark held back by
     delay + lateness, so each window is ranked once with every row that
     arrived within the allowed lateness; the closed windows of a micro-batch
     are expanded and ranked with the batch top-N (partial limit before the
-    shuffle). ``write_batch`` gets (window_end, rnk, url, cnt) frames.
+    shuffle). ``write_batch`` gets (window_end, rnk, url, cnt) frames;
+    ``write_late`` gets the GET rows too late for any open window.
     """
     from tidepool.operators.topn import top_n
 
@@ -484,7 +490,7 @@ def hot_pages_writer(log: DataFrame, write_batch, state_dir: str, n: int = 3, si
         write_batch(ranked.select("window_end", "rnk", "url", "cnt"), epoch_id)
 
     return sliding_count_writer(log.where(F.col("method") == "GET"), ["url"], size, slide, state_dir, rank,
-                                delay=hold)
+                                delay=hold, write_late=write_late)
 
 
 def ad_clicks_writer(clicks: DataFrame, write_counts, state_dir: str, limit: int = 100, size="1 day",
