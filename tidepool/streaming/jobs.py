@@ -14,7 +14,11 @@ What maps to what:
 * payment matching: stream-stream join on tx id with a time-range condition;
   watermarks on both sides bound the join state.
 * order status and login bursts: ``applyInPandasWithState`` per key with an
-  event-time timeout (the watermark plays the reference's timers).
+  event-time timeout (the watermark plays the reference's timers); patterns
+  buffer rows in state until the watermark passes them, then match in order.
+* windows too fine for ``F.window`` (1 day / 5 s), hot pages with lateness
+  and the late side output: ``foreachBatch`` writers that keep a versioned
+  pane table in a shared state folder and emit each closed window once.
 
 A bounded input does not close its last windows (the watermark never passes
 them); feed a row far in the future to flush, as the tests do.
@@ -22,13 +26,17 @@ them); feed a row far in the future to flush, as the tests do.
 
 from __future__ import annotations
 
+from zoneinfo import ZoneInfo
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidepool.functions import messages as M
-from tidepool.functions.timecols import parse_duration_us
+from tidepool.functions.timecols import pane_end, parse_duration_us
+from tidepool.operators.topn import top_n
+from tidepool.operators.windows import changes_from_panes
 
 
 def window_counts(df: DataFrame, keys, size: str, slide: str | None = None, delay: str = "0 seconds",
@@ -68,8 +76,6 @@ def hot_items_writer(ub: DataFrame, write_batch, n: int = 5, size="1 hour", slid
     micro-batch is ranked as a batch (partial WindowGroupLimit before the
     shuffle) and handed to ``write_batch(df, epoch_id)``. Returns the
     DataStreamWriter; set a checkpoint location and start it."""
-    from tidepool.operators.topn import top_n
-
     counts = window_counts(ub.where(F.col("behavior") == "pv"), ["item_id"], size, slide, delay)
 
     def each(batch: DataFrame, epoch_id: int) -> None:
@@ -357,8 +363,6 @@ def click_limit(clicks: DataFrame, limit: int = 100, zone: str = "Asia/Shanghai"
     """Per (user, ad): the first ``limit`` clicks of each local day pass
     (kind 'pass'), click limit+1 gives one warning (kind 'warn'), the rest are
     dropped. State is (day, count); a new day starts from zero."""
-    from zoneinfo import ZoneInfo
-
     tz = ZoneInfo(zone)
 
     def step(key, batches, state):
@@ -411,8 +415,6 @@ def sliding_count_writer(df: DataFrame, keys, size, slide, state_dir: str, write
     already out is late: it is not counted and, when ``write_late`` is given,
     handed to ``write_late(rows, epoch_id)`` (the reference's late side output).
     """
-    from tidepool.functions.timecols import pane_end
-    from tidepool.operators.windows import changes_from_panes
 
     keys = list(keys)
     size_us, slide_us, delay_us = parse_duration_us(size), parse_duration_us(slide), parse_duration_us(delay)
@@ -478,8 +480,6 @@ def hot_pages_writer(log: DataFrame, write_batch, state_dir: str, n: int = 3, si
     shuffle). ``write_batch`` gets (window_end, rnk, url, cnt) frames;
     ``write_late`` gets the GET rows too late for any open window.
     """
-    from tidepool.operators.topn import top_n
-
     slide_ms = parse_duration_us(slide) // 1000
     hold = f"{(parse_duration_us(delay) + parse_duration_us(lateness)) // 1_000_000} seconds"
 
