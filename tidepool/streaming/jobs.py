@@ -414,6 +414,9 @@ def sliding_count_writer(df: DataFrame, keys, size, slide, state_dir: str, write
     A row counts in its windows not yet emitted; a row whose newest window is
     already out is late: it is not counted and, when ``write_late`` is given,
     handed to ``write_late(rows, epoch_id)`` (the reference's late side output).
+    ``state_dir`` must be a shared folder (like the checkpoint location); a
+    replayed epoch calls the writers again with the same rows, so they should
+    write idempotently per epoch (e.g. overwrite a partition named by it).
     """
 
     keys = list(keys)
