@@ -91,3 +91,26 @@ def test_window_text_in_reference_layout(spark, tmp_dir):
     got = jobs.market_by_channel(df, size="10 seconds", slide="5 seconds", expand=True, text_zone="Asia/Shanghai")
     assert tuples(got, ["window_start_text", "window_end_text", "cnt"]) == [
         ("2019-05-21 17:27:15.0", "2019-05-21 17:27:25.0", 1), ("2019-05-21 17:27:20.0", "2019-05-21 17:27:30.0", 1)]
+
+
+def test_every_cli_job_runs(spark, tmp_dir):
+    from tidepool.plans import run
+    ub = _csv(tmp_dir, "ub.csv", [(1, 10, 1, "pv", T0), (2, 10, 1, "pv", T0 + 5), (2, 11, 1, "cart", T0 + 9)])
+    ad = _csv(tmp_dir, "ad.csv", [(1, 5, "beijing", "beijing", T0), (1, 5, "beijing", "beijing", T0 + 1)])
+    mk = _csv(tmp_dir, "mk.csv", [("u1", "view", "weibo", T0 * 1000), ("u2", "install", "wechat", T0 * 1000 + 7)])
+    lg = _csv(tmp_dir, "lg.csv", [(1, "1.1.1.1", "fail", T0), (1, "1.1.1.1", "fail", T0 + 1)])
+    od = _csv(tmp_dir, "od.csv", [(7, "create", "", T0), (7, "pay", "t7", T0 + 3)])
+    rc = _csv(tmp_dir, "rc.csv", [("t7", "wechat", T0 + 4)])
+    web = os.path.join(tmp_dir, "web.log")
+    with open(web, "w") as f:
+        f.write("83.149.9.216 - - 17/05/2015:10:05:03 +0000 GET /a\n83.149.9.216 - - 17/05/2015:10:05:04 +0000 GET /b")
+    inputs = {"hot-pages": web, "ad-clicks": ad, "market": mk, "login-fail": lg, "login-fail-advance": lg,
+              "login-fail-cep": lg, "order-timeout": od, "order-timeout-without-cep": od, "tx-match": od,
+              "tx-match-join": od}
+    for job in run.JOBS:
+        out = os.path.join(tmp_dir, "cli", job)
+        args = [job, inputs.get(job, ub), "--out", out]
+        if job.startswith("tx-match"):
+            args += ["--receipts", rc]
+        run.main(args)
+        assert os.listdir(out), job
