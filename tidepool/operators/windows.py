@@ -84,6 +84,9 @@ def sliding_count(df: DataFrame, keys: Sequence[str], size, slide, expand: bool
     if not expand:
         return segs.select(*keys, floor_div(F.col("_from"), 1000).alias("end_from"),
                            floor_div(F.col("_to"), 1000).alias("end_to"), F.col(out))
+    # the expansion multiplies rows many times over what the last shuffle
+    # measured, so spread the compact segments over every core first
+    segs = segs.repartition(df.sparkSession.sparkContext.defaultParallelism)
     ends = F.explode(F.sequence(F.col("_from"), F.col("_to") - F.lit(slide_us), F.lit(slide_us)))
     return (segs.select(*keys, ends.alias("_e"), F.col(out))
                 .select(*keys, floor_div(F.col("_e") - F.lit(size_us), 1000).alias("window_start"),
