@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.timecols import floor_div, pane_end, parse_duration_us
 from tidepool.operators.scan import add_chunk, stitch
+from tidepool.session import parallelism
 
 
 def window_count(df: DataFrame, keys: Sequence[str], size: str, slide: str | None = None,
@@ -86,7 +87,7 @@ def sliding_count(df: DataFrame, keys: Sequence[str], size, slide, expand: bool
                            floor_div(F.col("_to"), 1000).alias("end_to"), F.col(out))
     # the expansion multiplies rows many times over what the last shuffle
     # measured, so spread the compact segments over every core first
-    segs = segs.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    segs = segs.repartition(parallelism(df.sparkSession))
     ends = F.explode(F.sequence(F.col("_from"), F.col("_to") - F.lit(slide_us), F.lit(slide_us)))
     return (segs.select(*keys, ends.alias("_e"), F.col(out))
                 .select(*keys, floor_div(F.col("_e") - F.lit(size_us), 1000).alias("window_start"),

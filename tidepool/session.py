@@ -45,9 +45,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Only a local-mode session without that setting (tests, laptops) gets a
     scratch folder of its own; on a cluster an unset value is an error,
-    because a machine-local folder would not survive a lost executor.
+    because a machine-local folder would not survive a lost executor. A
+    Spark Connect session has no context here: its server's setting is used.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: checkpoint folder is the server's spark.checkpoint.dir
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -78,3 +82,11 @@ def sized_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 <<
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
     }
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Cores available to the session (shuffle width when no context is at hand)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
