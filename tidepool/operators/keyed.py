@@ -136,8 +136,7 @@ def fail_bursts(df: DataFrame, key: str = "user_id", within_us: int = 2_000_000,
                     .select("id", F.col("_to2").alias("to"))).checkpoint(eager=True)
 
     # each fail belongs to the latest start at or before it
-    flagged = (fails.join(starts.select(F.col("id").alias("_id"), F.col("id").alias("_sid")), "_id", "left")
-                    .withColumn("_u", F.col("ts_us")))
+    flagged = fails.join(starts.select(F.col("id").alias("_id"), F.col("id").alias("_sid")), "_id", "left")
     flagged = nearest(flagged, [key, "run"], order, "_sid", "_prev_sid", "_chunk", direction="before")
     bursts = (flagged.groupBy(key, "run", F.coalesce("_sid", "_prev_sid").alias("id"))
                      .agg(F.count(F.lit(1)).alias("fail_count"), F.min("ts_us").alias("first_u"),
