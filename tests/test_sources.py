@@ -61,3 +61,12 @@ def test_line_sink_round_trip(spark, tmp_dir):
 def test_kafka_source_needs_its_connector(spark):
     with pytest.raises(RuntimeError, match="connector"):
         readers.kafka_lines(spark, "localhost:9092", "hotitems")
+
+
+def test_sized_conf_scales_with_input():
+    from tidepool.session import sized_conf
+    small = sized_conf(1 << 30, 100)
+    big = sized_conf(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 300          # 3 tasks per core
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600         # 100 TB / 256 MB
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
