@@ -357,3 +357,23 @@ def test_stream_late_rows_go_to_side_output(spark, tmp_dir):
     counts = spark.read.parquet(out)
     assert counts.where("url = '/a'").agg({"cnt": "max"}).first()[0] == 5   # the late row is not counted
     assert counts.where("url = '/c'").count() > 0
+
+
+def test_stream_top_n_retract_changelog(spark, tmp_dir, behaviour_rows):
+    root = _write_files(os.path.join(tmp_dir, "ub5"), behaviour_rows, 40)
+    out = os.path.join(tmp_dir, "chg_out")
+    w = stream.hot_items_changelog_writer(readers.stream_records(spark, root, "user_behavior", max_files=1),
+                                          lambda df, e: df.write.mode("append").parquet(out),
+                                          os.path.join(tmp_dir, "chg_state"), n=3, delay="2 hours")
+    q = w.option("checkpointLocation", os.path.join(tmp_dir, "ck_chg")).trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    changes = spark.read.parquet(out).collect()
+    net = {}
+    for r in changes:
+        k = (r["window_end"], r["item_id"], r["cnt"], r["row_num"])
+        net[k] = net.get(k, 0) + (1 if r["is_add"] else -1)
+    final = sorted(k for k, v in net.items() for _ in range(v))
+    assert all(v >= 0 for v in net.values())
+    b = readers.read_records(spark, root, "user_behavior", seq="hash")
+    assert final == tuples(batch.hot_items_sql(spark, b, 3), ["window_end", "item_id", "cnt", "row_num"])
+    assert any(not r["is_add"] for r in changes)  # counts grew across micro-batches: ranks were retracted

@@ -35,7 +35,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidepool.functions import messages as M
 from tidepool.functions.timecols import pane_end, parse_duration_us
-from tidepool.operators.topn import top_n
+from tidepool.operators.topn import changelog, top_n
 from tidepool.operators.windows import changes_from_panes
 
 
@@ -512,3 +512,82 @@ def market_writer(mk: DataFrame, write_counts, state_dir: str, exclude="uninstal
     """Counts per (channel, behavior) in sliding windows, as a stream of change points."""
     return sliding_count_writer(mk.where(F.col("behavior") != exclude), ["channel", "behavior"], size, slide,
                                 state_dir, write_counts, delay=delay)
+
+
+# ----------------------------------------------------------------------------- retract stream of the top-N
+CHANGE_SCHEMA = "is_add boolean, window_end long, item_id long, cnt long, row_num long"
+
+
+def hot_items_changelog_writer(ub: DataFrame, write_changes, state_dir: str, n: int = 5, size="1 hour",
+                               slide="5 minutes", delay="0 seconds"):
+    """The SQL top-N as a retract stream: after every micro-batch, the rows
+    (is_add, window_end ms, item_id, cnt, row_num) that turn the previous
+    top-N of each window into the current one (false = retract, true = add).
+
+    State under ``state_dir`` (one version per epoch, replay-safe): pane counts
+    per (item, pane) of windows still open, and the last top-N of each open
+    window. A micro-batch recounts only the windows its rows fall in: panes are
+    copied to their window ends and joined with those ends on equality. A
+    window whose end the watermark (max event time - delay) has passed is
+    final and leaves the state; rows that only fall in final windows are late
+    and not counted.
+    """
+    size_us, slide_us, delay_us = parse_duration_us(size), parse_duration_us(slide), parse_duration_us(delay)
+    span = size_us - slide_us
+
+    def version(epoch: int) -> str:
+        return f"{state_dir.rstrip('/')}/v={epoch}"
+
+    def ends_of(pane_col):
+        return F.explode(F.sequence(pane_col, pane_col + F.lit(span), F.lit(slide_us)))
+
+    def each(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        prev = None
+        if epoch_id > 0:
+            try:
+                prev = spark.read.parquet(version(epoch_id - 1) + "/meta").first()
+            except Exception:  # first epoch of this state folder
+                prev = None
+        closed = prev["closed_us"] if prev else None
+        max_ts = prev["max_ts_us"] if prev else None
+        views = batch.where(F.col("behavior") == "pv")
+        new = (views.select("item_id", pane_end(F.col("ts_us"), slide_us).alias("pane"))
+                    .groupBy("item_id", "pane").agg(F.count(F.lit(1)).alias("n")))
+        if closed is not None:
+            new = new.where(F.col("pane") + F.lit(span) > F.lit(closed))
+        touched = new.select(ends_of(F.col("pane")).alias("window_end")).distinct()
+        if closed is not None:
+            touched = touched.where(F.col("window_end") > F.lit(closed))
+        panes, snap = new, spark.createDataFrame([], "window_end long, item_id long, cnt long, row_num long")
+        if prev is not None:
+            old = spark.read.parquet(version(epoch_id - 1) + "/panes")
+            panes = old.unionByName(new).groupBy("item_id", "pane").agg(F.sum("n").cast("long").alias("n"))
+            snap = spark.read.parquet(version(epoch_id - 1) + "/snapshot")
+        counts = (panes.select("item_id", ends_of(F.col("pane")).alias("window_end"), "n")
+                       .join(touched, "window_end", "left_semi")
+                       .groupBy("window_end", "item_id").agg(F.sum("n").cast("long").alias("cnt")))
+        cur = (top_n(counts, ["window_end"], "cnt", n, tie=["item_id"], rank_col="row_num")
+                 .select("window_end", "item_id", "cnt", "row_num"))
+        before = snap.join(touched, "window_end", "left_semi")
+        changes = changelog(before, cur)
+        write_changes(changes.withColumn("window_end", (F.col("window_end") / F.lit(1000)).cast("long")), epoch_id)
+        batch_max = views.agg(F.max("ts_us")).first()[0]
+        max_ts = batch_max if max_ts is None else (max_ts if batch_max is None else max(max_ts, batch_max))
+        if max_ts is not None:
+            wm = max_ts - delay_us
+            closed = max(closed or wm - wm % slide_us, wm - wm % slide_us)
+        snap = snap.join(touched, "window_end", "left_anti").unionByName(cur)
+        if closed is not None:
+            snap = snap.where(F.col("window_end") > F.lit(closed))
+            panes = panes.where(F.col("pane") + F.lit(span) > F.lit(closed))
+        panes.write.mode("overwrite").parquet(version(epoch_id) + "/panes")
+        snap.write.mode("overwrite").parquet(version(epoch_id) + "/snapshot")
+        spark.createDataFrame([(closed, max_ts)], "closed_us long, max_ts_us long") \
+             .write.mode("overwrite").parquet(version(epoch_id) + "/meta")
+        if epoch_id >= 2:  # a replay of this epoch reads epoch_id - 1; older versions can go
+            jvm = spark.sparkContext._jvm
+            old_path = jvm.org.apache.hadoop.fs.Path(version(epoch_id - 2))
+            old_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old_path, True)
+
+    return ub.writeStream.outputMode("append").foreachBatch(each)
