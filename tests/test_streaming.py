@@ -377,3 +377,33 @@ def test_stream_top_n_retract_changelog(spark, tmp_dir, behaviour_rows):
     b = readers.read_records(spark, root, "user_behavior", seq="hash")
     assert final == tuples(batch.hot_items_sql(spark, b, 3), ["window_end", "item_id", "cnt", "row_num"])
     assert any(not r["is_add"] for r in changes)  # counts grew across micro-batches: ranks were retracted
+
+
+def test_stream_hot_pages_fire_early_and_revise(spark, tmp_dir):
+    rnd = random.Random(37)
+    t, lines = 1431856800, []
+    for _ in range(120):
+        t += rnd.randrange(0, 30)
+        hh, rest = divmod(t - 1431820800, 3600)
+        mm, ss = divmod(rest, 60)
+        lines.append(f"10.0.0.1 - - 17/05/2015:{hh:02d}:{mm:02d}:{ss:02d} +0000 GET /p/{rnd.randrange(4)}")
+    root = os.path.join(tmp_dir, "weblog4")
+    os.makedirs(root)
+    for i in range(0, len(lines), 20):
+        p = os.path.join(root, f"part-{i:05d}.txt")
+        with open(p, "w") as f:
+            f.write("\n".join(lines[i:i + 20]))
+        os.utime(p, (1_600_000_000 + i, 1_600_000_000 + i))
+    out = os.path.join(tmp_dir, "hp4_out")
+    log = readers.parse_web_log(spark.readStream.option("maxFilesPerTrigger", 1).text(root))
+    w = stream.hot_pages_changelog_writer(log, lambda df, e: df.write.mode("append").parquet(out),
+                                          os.path.join(tmp_dir, "hp4_state"))
+    q = w.option("checkpointLocation", os.path.join(tmp_dir, "ck_hp4")).trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    net = {}
+    for r in spark.read.parquet(out).collect():
+        k = (r["window_end"], r["row_num"], r["url"], r["cnt"])
+        net[k] = net.get(k, 0) + (1 if r["is_add"] else -1)
+    final = sorted(k for k, v in net.items() for _ in range(v))
+    exp = tuples(batch.hot_pages(readers.read_web_log(spark, root), 3), ["window_end", "rnk", "url", "cnt"])
+    assert final == exp and len(exp) > 100

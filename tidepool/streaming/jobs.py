@@ -31,6 +31,7 @@ from zoneinfo import ZoneInfo
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidepool.functions import messages as M
@@ -515,17 +516,15 @@ def market_writer(mk: DataFrame, write_counts, state_dir: str, exclude="uninstal
 
 
 # ----------------------------------------------------------------------------- retract stream of the top-N
-CHANGE_SCHEMA = "is_add boolean, window_end long, item_id long, cnt long, row_num long"
-
-
-def hot_items_changelog_writer(ub: DataFrame, write_changes, state_dir: str, n: int = 5, size="1 hour",
-                               slide="5 minutes", delay="0 seconds"):
-    """The SQL top-N as a retract stream: after every micro-batch, the rows
-    (is_add, window_end ms, item_id, cnt, row_num) that turn the previous
-    top-N of each window into the current one (false = retract, true = add).
+def top_n_changelog_writer(rows: DataFrame, id_col: str, write_changes, state_dir: str, n: int, size, slide,
+                           delay="0 seconds"):
+    """Top-n ids per sliding window as a retract stream: after every
+    micro-batch, the rows (is_add, window_end ms, id, cnt, row_num) that turn
+    the previous top-n of each window into the current one (false = retract,
+    true = add). Counts are of ``rows`` per ``id_col``.
 
     State under ``state_dir`` (one version per epoch, replay-safe): pane counts
-    per (item, pane) of windows still open, and the last top-N of each open
+    per (id, pane) of windows still open, and the last top-n of each open
     window. A micro-batch recounts only the windows its rows fall in: panes are
     copied to their window ends and joined with those ends on equality. A
     window whose end the watermark (max event time - delay) has passed is
@@ -551,24 +550,28 @@ def hot_items_changelog_writer(ub: DataFrame, write_changes, state_dir: str, n:
                 prev = None
         closed = prev["closed_us"] if prev else None
         max_ts = prev["max_ts_us"] if prev else None
-        views = batch.where(F.col("behavior") == "pv")
-        new = (views.select("item_id", pane_end(F.col("ts_us"), slide_us).alias("pane"))
-                    .groupBy("item_id", "pane").agg(F.count(F.lit(1)).alias("n")))
+        views = batch
+        new = (views.select(id_col, pane_end(F.col("ts_us"), slide_us).alias("pane"))
+                    .groupBy(id_col, "pane").agg(F.count(F.lit(1)).alias("n")))
         if closed is not None:
             new = new.where(F.col("pane") + F.lit(span) > F.lit(closed))
         touched = new.select(ends_of(F.col("pane")).alias("window_end")).distinct()
         if closed is not None:
             touched = touched.where(F.col("window_end") > F.lit(closed))
-        panes, snap = new, spark.createDataFrame([], "window_end long, item_id long, cnt long, row_num long")
+        panes = new
+        snap = spark.createDataFrame([], T.StructType([T.StructField("window_end", T.LongType()),
+                                                       rows.schema[id_col],
+                                                       T.StructField("cnt", T.LongType()),
+                                                       T.StructField("row_num", T.LongType())]))
         if prev is not None:
             old = spark.read.parquet(version(epoch_id - 1) + "/panes")
-            panes = old.unionByName(new).groupBy("item_id", "pane").agg(F.sum("n").cast("long").alias("n"))
+            panes = old.unionByName(new).groupBy(id_col, "pane").agg(F.sum("n").cast("long").alias("n"))
             snap = spark.read.parquet(version(epoch_id - 1) + "/snapshot")
-        counts = (panes.select("item_id", ends_of(F.col("pane")).alias("window_end"), "n")
+        counts = (panes.select(id_col, ends_of(F.col("pane")).alias("window_end"), "n")
                        .join(touched, "window_end", "left_semi")
-                       .groupBy("window_end", "item_id").agg(F.sum("n").cast("long").alias("cnt")))
-        cur = (top_n(counts, ["window_end"], "cnt", n, tie=["item_id"], rank_col="row_num")
-                 .select("window_end", "item_id", "cnt", "row_num"))
+                       .groupBy("window_end", id_col).agg(F.sum("n").cast("long").alias("cnt")))
+        cur = (top_n(counts, ["window_end"], "cnt", n, tie=[id_col], rank_col="row_num")
+                 .select("window_end", id_col, "cnt", "row_num"))
         before = snap.join(touched, "window_end", "left_semi")
         changes = changelog(before, cur)
         write_changes(changes.withColumn("window_end", (F.col("window_end") / F.lit(1000)).cast("long")), epoch_id)
@@ -590,4 +593,23 @@ def hot_items_changelog_writer(ub: DataFrame, write_changes, state_dir: str, n:
             old_path = jvm.org.apache.hadoop.fs.Path(version(epoch_id - 2))
             old_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old_path, True)
 
-    return ub.writeStream.outputMode("append").foreachBatch(each)
+    return rows.writeStream.outputMode("append").foreachBatch(each)
+
+
+def hot_items_changelog_writer(ub: DataFrame, write_changes, state_dir: str, n: int = 5, size="1 hour",
+                               slide="5 minutes", delay="0 seconds"):
+    """The reference's SQL top-N as a retract stream (rows: is_add,
+    window_end, item_id, cnt, row_num); see ``top_n_changelog_writer``."""
+    return top_n_changelog_writer(ub.where(F.col("behavior") == "pv"), "item_id", write_changes, state_dir, n,
+                                  size, slide, delay)
+
+
+def hot_pages_changelog_writer(log: DataFrame, write_changes, state_dir: str, n: int = 3, size="10 minutes",
+                               slide="5 seconds", delay="1 second", lateness="1 minute"):
+    """Hot pages that fire early and revise: after every micro-batch the
+    top-n urls of each window it touched are re-ranked and the changes
+    emitted, until the watermark passes the window's end plus the allowed
+    lateness (rows: is_add, window_end, url, cnt, row_num)."""
+    hold = f"{(parse_duration_us(delay) + parse_duration_us(lateness)) // 1_000_000} seconds"
+    return top_n_changelog_writer(log.where(F.col("method") == "GET"), "url", write_changes, state_dir, n,
+                                  size, slide, hold)
