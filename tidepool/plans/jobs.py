@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from tidepool.functions import messages as M
 from tidepool.functions.text import ITEM_LABEL, PAGE_LABEL
-from tidepool.functions.timecols import ms_of, parse_duration_us, timestamp_text
+from tidepool.functions.timecols import floor_div, ms_of, pane_end, parse_duration_us, timestamp_text
 from tidepool.operators import aggs, keyed, sequence, joins
-from tidepool.operators.topn import changelog, ranking_report, top_n
+from tidepool.operators.topn import ranking_report, top_n
 from tidepool.operators.windows import pane_window_count, sliding_count
 
 
@@ -54,13 +54,37 @@ def hot_items_report(ub: DataFrame, n: int = 5, zone: str = "UTC") -> DataFrame:
     return ranking_report(hot_items(ub, n), "window_end", "rnk", "item_id", "cnt", ITEM_LABEL, zone)
 
 
-def hot_items_changelog(spark: SparkSession, ub: DataFrame, as_of_us, n: int = 5) -> DataFrame:
-    """Retract stream between the SQL top-n as of event time ``as_of_us`` (a
-    BIGINT column expression or number) and the final one."""
+def hot_items_changelog(spark: SparkSession, ub: DataFrame, as_of_us, n: int = 5, size="1 hour",
+                        slide="5 minutes") -> DataFrame:
+    """Retract stream between the top-n as of event time ``as_of_us`` (a
+    BIGINT column expression or number) and the final one: (is_add,
+    window_end, item_id, cnt, row_num), false = retract, true = add.
+
+    One pass: each (item, pane) is counted twice (all rows, rows before the
+    cut), panes are copied to their windows once, the two snapshots are ranked
+    together (partial WindowGroupLimit per snapshot and window), and each
+    ranked row nets +1 (now) / -1 (before) in one group-by.
+    """
     cut = F.lit(as_of_us) if isinstance(as_of_us, int) else as_of_us
-    prev = hot_items_sql(spark, ub.where(F.col("ts_us") < cut), n)
-    cur = hot_items_sql(spark, ub, n)
-    return changelog(prev, cur)
+    size_us, slide_us = parse_duration_us(size), parse_duration_us(slide)
+    views = ub.where(F.col("behavior") == "pv")
+    panes = (views.select("item_id", pane_end(F.col("ts_us"), slide_us).alias("_p"),
+                          (F.col("ts_us") < cut).alias("_before"))
+                  .groupBy("item_id", "_p")
+                  .agg(F.count("item_id").alias("_now"), F.count(F.when(F.col("_before"), F.col("item_id"))).alias("_then")))
+    ends = F.explode(F.sequence(F.col("_p"), F.col("_p") + F.lit(size_us - slide_us), F.lit(slide_us)))
+    windows = (panes.select("item_id", ends.alias("_e"), "_now", "_then")
+                    .groupBy("item_id", "_e").agg(F.sum("_now").alias("_now"), F.sum("_then").alias("_then")))
+    snaps = (windows.select("item_id", floor_div(F.col("_e"), 1000).alias("window_end"),
+                            F.explode(F.array(F.struct(F.lit(1).alias("sign"), F.col("_now").cast("long").alias("cnt")),
+                                              F.struct(F.lit(-1).alias("sign"), F.col("_then").cast("long").alias("cnt"))))
+                            .alias("_s"))
+                    .select("item_id", "window_end", "_s.sign", "_s.cnt")
+                    .where(F.col("cnt") > 0))
+    ranked = top_n(snaps, ["sign", "window_end"], "cnt", n, tie=["item_id"], rank_col="row_num")
+    net = ranked.groupBy("window_end", "item_id", "cnt", "row_num").agg(F.sum("sign").alias("_net"))
+    return net.where(F.col("_net") != 0).select((F.col("_net") > 0).alias("is_add"), "window_end", "item_id", "cnt",
+                                                 "row_num")
 
 
 # ----------------------------------------------------------------------------- page views / visitors
