@@ -5,7 +5,8 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tidepool.plans.registry import oracle_sql, queries
 from conftest import SF_SMALL
 from tidepool.sources.views import TABLES
 
