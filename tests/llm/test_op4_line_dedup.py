@@ -1,0 +1,63 @@
+"""Line dedup: the hash tables alone, and the whole operator against brute force."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tidepool.llm import line_dedup as ld
+
+
+def brute(texts, min_docs):
+    split = [(t or "").split("\n") for t in texts]
+    key = lambda s: "".join(c.lower() if "A" <= c <= "Z" else c for c in s.strip(" \t\n\v\f\r"))
+    counts = Counter(k for lines in split for k in {key(x) for x in lines} if k)
+    return [(len(lines), "\n".join(x for x in lines if counts[key(x)] < min_docs)) for lines in split]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5000])
+def test_minimal_perfect_hash(n):
+    rng = np.random.default_rng(n)
+    high, low = rng.integers(0, 1 << 63, (2, n), dtype=np.uint64)
+    if n > 3:
+        high[1] = high[0]  # keys that differ in one half only
+    sizes, bits = ld.build(high, low)
+    slots = ld.Index(sizes, bits.tobytes(), b"", b"").slots(high, low)
+    assert sorted(slots) == list(range(n))
+    prints = np.zeros(n, "<u4")
+    prints[slots] = (low & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    index = ld.Index(sizes, bits.tobytes(), prints.tobytes(), np.full(n, 7, "<u2").tobytes())
+    assert (index.count(high, low) == 7).all()
+    other = rng.integers(0, 1 << 63, (2, 2000), dtype=np.uint64)
+    assert (index.count(*other) == 0).sum() >= 1999
+
+
+ROWS = [(i, f"Shared LINE \n\nunique {i}\n  shared line\t\nÄ") for i in range(12)] + [
+    (100, None), (101, ""), (102, "\n\n"), (102, "\n\n"), (None, "shared line"), (103, "x" * 200_000 + "\nshared line\v"),
+    (104, "ä"), (105, "tail\n")]
+
+
+@pytest.mark.parametrize("shard,copied", [(200_000, 4096), (3, 4096), (10, 2)])
+def test_equals_brute_force(spark, monkeypatch, shard, copied):
+    monkeypatch.setattr(ld, "SHARD", 1 if copied == 2 else shard)
+    monkeypatch.setattr(ld, "COPIED", copied)
+    rng = random.Random(shard)
+    texts = ROWS + [(200 + i, "\n".join(rng.choices([f"l{j}" for j in range(40)], k=rng.randint(1, 12)))) for i in range(80)]
+    df = spark.createDataFrame([(d, t, 1, "e", 5) for d, t in texts], "doc_id long, text string, N_LINES int, doc string, kept int").repartition(4)
+    index = ld.line_index
+    monkeypatch.setattr(ld, "line_index", lambda p: index(p, shard))
+    got = ld.drop_frequent_lines(df, 10)
+    assert got.columns == ["doc_id", "text", "doc", "kept", "n_lines", "n_dropped"]
+    rows = sorted((str(r.doc_id), r.n_lines, r.text) for r in got.collect())
+    assert rows == sorted((str(d), n, t) for (d, _), (n, t) in zip(texts, brute([t for _, t in texts], 10)))
+
+
+def test_all_lines_go(spark):
+    df = spark.createDataFrame([(i, "a\nb") for i in range(10)], "doc_id long, text string")
+    assert {(r.text, r.n_lines, r.n_dropped) for r in ld.drop_frequent_lines(df, 10).collect()} == {("", 2, 2)}
+    assert {r.text for r in ld.drop_frequent_lines(df, 11).collect()} == {"a\nb"}
+
+
+def test_empty_table(spark):
+    assert ld.drop_frequent_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []

@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,3 +38,9 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def row_hash(df: DataFrame, seed: int = 0):
+    """A 64-bit hash of a whole row; null and empty fields differ. Maps, which Spark can't hash, are left out."""
+    fields = [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    return F.xxhash64(F.lit(seed), *[x for c in fields for x in (c, c.isNull())])
