@@ -1,0 +1,77 @@
+"""Embedding near-duplicates against all pairs in double precision."""
+
+import numpy as np
+import pytest
+
+from tidepool.llm import embedding_dedup as ed
+
+
+def brute(rows, threshold=0.98):
+    ok = [label is not None and v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v) and any(v) for _, v, label in rows]
+    links, label = [0] * len(rows), list(range(len(rows)))
+
+    def find(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i, (_, a, la) in enumerate(rows):
+        for j, (_, b, lb) in enumerate(rows[:i]):
+            if ok[i] and ok[j] and la == lb and len(a) == len(b):
+                x, y = np.array(a, np.float32).astype(float), np.array(b, np.float32).astype(float)
+                if x @ y / (np.sqrt(x @ x) * np.sqrt(y @ y)) >= threshold:
+                    links[i] += 1
+                    links[j] += 1
+                    p, q = find(i), find(j)
+                    label[max(p, q)] = min(p, q)
+    groups = {}
+    for i in range(len(rows)):
+        groups.setdefault(find(i), []).append(i)
+    out = []
+    for members in groups.values():
+        ids = [rows[i][0] for i in members if rows[i][0] is not None]
+        least = min(ids) if ids else None
+        out += [(rows[i][0], links[i], least, rows[i][0] == least) for i in members]
+    return sorted(out, key=str)
+
+
+def near(rng, base, spread):
+    v = base + rng.normal(size=len(base)) * spread
+    return v.astype(np.float32).tolist()
+
+
+@pytest.mark.parametrize("tile,dims", [(2048, 16), (7, 16), (20, 3)])
+def test_equals_all_pairs(spark, tile, dims):
+    rng = np.random.default_rng(tile)
+    rows = []
+    for label in (1, 1, 1, 2, None):
+        base = rng.normal(size=dims)
+        rows += [(0, near(rng, base, 0.12), label) for _ in range(40)]
+    rows += [(0, rng.normal(size=dims).astype(np.float32).tolist(), int(rng.integers(1, 3))) for _ in range(80)]
+    rows += [(0, rows[3][1], 1)] * 6 + [(0, [x * 2 for x in rows[3][1]], 1)]
+    order = rng.permutation(len(rows))
+    rows = [(int(i), *rows[k][1:]) for i, k in enumerate(order)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<float>, label int, n_links string, node int").repartition(4)
+    got = ed.near_duplicate_vectors(df, tile=tile)
+    assert got.columns == ["vec_id", "n_links", "component_id", "kept"]
+    assert sorted([tuple(r) for r in got.collect()], key=str) == brute(rows)
+
+
+def test_edge_rows(spark):
+    e = [1.0, 2.0, 3.0]
+    rows = [(1, e, 1), (1, e, 1), (None, e, 1), (2, e, 2), (3, e, None), (4, None, 1), (5, [0.0, 0.0, 0.0], 1), (6, [1.0, None, 3.0], 1),
+            (7, [1.0, float("nan"), 3.0], 1), (8, [1.0, float("inf"), 3.0], 1), (9, [1.0, 2.0], 1), (10, [], 1), (11, [-1.0, -2.0, -3.0], 1), (12, [3e38, 3e38, 3e38], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    assert sorted([tuple(r) for r in ed.near_duplicate_vectors(df).collect()], key=str) == brute(rows)
+    assert ed.near_duplicate_vectors(df.limit(0)).collect() == []
+
+
+def test_close_pairs_prunes_safely():
+    rng = np.random.default_rng(3)
+    a = rng.normal(size=(300, 40)) * np.linspace(3, 0.1, 40)
+    b = np.concatenate((a[:100] + rng.normal(size=(100, 40)) * 0.05, rng.normal(size=(50, 40))))
+    turn = ed.axes(a.T @ a, a.sum(0), len(a))
+    cos = (a / np.linalg.norm(a, axis=1)[:, None]) @ (b / np.linalg.norm(b, axis=1)[:, None]).T
+    assert set(zip(*map(list, ed.close_pairs(a, b, turn, 0.98, False)))) == set(zip(*np.nonzero(cos >= 0.98)))
+    i, j = ed.close_pairs(a, a, turn, 0.9, True)
+    assert (i < j).all()

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidepool.llm import bpe, line_dedup, simhash
+from tidepool.llm import bpe, embedding_dedup, line_dedup, mixing, pii, quality, secret_scan, sharding, simhash, warc
+from tidepool.llm.scratch import new_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -22,6 +23,32 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_digest(docs: DataFrame) -> DataFrame:
+    found = secret_scan.scan(docs.select("doc_id", "text"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_guess", "max_cost")
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_digest(_table(spark, sf_dir, "documents"))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    return quality.judge(docs, trees).drop("text")
+
+
+#: The key of the registered query. Real runs pass a secret one.
+PII_KEY = b"tidepool registered query"
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    replaced = pii.replace_entities(docs, PII_KEY)
+    counts = [F.size(F.filter("entities", lambda e, k=k: e["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return replaced.select("doc_id", F.col("n_entities").cast("long").alias("n_entities"), *counts, "text")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = line_dedup.drop_frequent_lines(docs, min_docs=10)
@@ -50,6 +77,45 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs, weights=(3, 1, 2), share=1.5, cap=2.0).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op6_digest(docs: DataFrame) -> DataFrame:
+    crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32")
+    rows = sharding.histogram_shards(docs.select("doc_id", "text", crc), 8)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_digest(_table(spark, sf_dir, "documents"))
+
+
+def op7_digest(pages: DataFrame) -> DataFrame:
+    spark = pages.sparkSession
+    path = new_path(spark, "warc")
+    warc.write_pages(pages, path)
+    return warc.page_captures(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_digest(_table(spark, sf_dir, "pages"))
+
+
+OP7_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs, shingle=4, max_bits=4)
@@ -57,8 +123,9 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_line_dedup": op4_line_dedup, "op8_simhash": op8_simhash, "op10_bpe": op10_bpe}
+    return {f.__name__: f for f in (op1_secret_scan, op2_quality, op3_pii, op4_line_dedup, op5_mixing, op6_sharding, op7_warc,
+                                    op8_simhash, op9_embeddings, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": OP4_SQL}
+    return {"op4_line_dedup": OP4_SQL, "op7_warc": OP7_SQL}
