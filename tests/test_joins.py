@@ -33,7 +33,8 @@ def test_split_outputs_partition_both_sides(spark):
     left, right = _side(3, 120, "l"), _side(4, 120, "r")
     L = frame(spark, left, "tx string, l_us long, lid long")
     R = frame(spark, right, "tx string, r_us long, rid long")
-    m, lonely_l, lonely_r = match_two_streams(L, R, ["tx"], -3 * SEC, 5 * SEC, "l_us", "r_us")
+    both, lonely_r = match_two_streams(L, R, ["tx"], -3 * SEC, 5 * SEC, "l_us", "r_us")
+    m, lonely_l = both.where("rid IS NOT NULL"), both.where("rid IS NULL")
     pairs = models.interval_pairs([dict(tx=a, ts_us=t, id=i) for a, t, i in left],
                                   [dict(tx=a, ts_us=t, id=i) for a, t, i in right], "tx", -3 * SEC, 5 * SEC)
     assert tuples(m, ["lid", "rid"]) == pairs

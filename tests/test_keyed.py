@@ -160,3 +160,53 @@ def test_hot_pages_can_leave_out_late_rows(spark):
     on_time = jobs.hot_pages(log, 3, drop_late=True)
     assert max(r["cnt"] for r in every.where("url = '/a'").collect()) == 2
     assert max(r["cnt"] for r in on_time.where("url = '/a'").collect()) == 1
+
+
+@pytest.mark.parametrize("tied", [False, True])
+def test_hot_minute_is_cut(spark, tied):
+    """All rows in one minute, or at one time stamp: no chunk keeps more than a few times the limit, results stay."""
+    from pyspark.sql import functions as F
+    from tidepool.operators.scan import add_arrival_chunk
+    rnd = random.Random(40)
+    rows = [("/a", "GET", rnd.randrange(0, 4000) * SEC, i, 60 * SEC + (0 if tied else i * 20_000)) for i in range(2500)]
+    df = frame(spark, rows, "url string, method string, ts_us long, seq long, arrival_us long")
+    chunked, order = add_arrival_chunk(df, 60 * SEC, limit=100)
+    assert order == ["arrival_us", "seq"]
+    sizes = [r["count"] for r in chunked.groupBy("_chunk").count().collect()]
+    assert len(sizes) > 20 and max(sizes) <= 200
+    assert [r.seq for r in chunked.orderBy("_chunk", *order).select("seq").collect()] == [r[3] for r in rows]
+    on_time, late = keyed.split_late(df, limit=100)
+    plain_on, plain_late = keyed.split_late(df)
+    assert tuples(late, ["seq", "watermark_us"]) == tuples(plain_late, ["seq", "watermark_us"]) and late.count() > 100
+    assert on_time.count() == plain_on.count()
+
+
+def test_running_distinct_in_a_hot_hour(spark):
+    from tidepool.operators.aggs import running_distinct
+    rnd = random.Random(41)
+    rows = [(1, rnd.randrange(200), 5 * SEC if i % 2 else rnd.randrange(0, 3600) * SEC, i) for i in range(1500)]
+    df = frame(spark, rows, "w long, user_id long, ts_us long, seq long")
+    cut = running_distinct(df, ["w"], "user_id", "seq", limit=50)
+    seen, expect = set(), []
+    for r in sorted(rows, key=lambda r: (r[2], r[3])):
+        seen.add(r[1])
+        expect.append((r[3], len(seen)))
+    assert tuples(cut, ["seq", "uv"]) == sorted(expect)
+
+
+@pytest.mark.parametrize("gap_us,hits", [(2 * SEC - 1, 1), (2 * SEC, 0)])
+@pytest.mark.parametrize("start", [0, 59 * SEC, 60 * SEC - 1, 60 * SEC - 1_500_000, 8 * SEC - 1])
+def test_patterns_at_exactly_within_and_over_bucket_borders(spark, gap_us, hits, start):
+    rows = [(1, "fail", start, 1), (1, "fail", start + gap_us, 2), (2, "success", start, 3), (2, "fail", start + 1, 4)]
+    assert jobs.login_fail_pattern(frame(spark, rows, LOGIN), "2 seconds").count() == hits
+    orders = [(1, "create", "", start, 1), (1, "pay", "a", start + gap_us, 2), (1, "pay", "a", start + gap_us + 1, 3)]
+    paid, timeouts = jobs.order_timeout_pattern(frame(spark, orders, ORDER), "2 seconds")
+    assert (paid.count(), timeouts.count()) == (hits, 1 - hits)
+
+
+def test_hll_error_bound(spark):
+    """Above the size up to which the sketch is exact the estimate stays near the count."""
+    from tidepool.operators.aggs import distinct_hll
+    df = spark.range(60_000).selectExpr("id % 2 AS w", "id AS user_id")
+    for r in distinct_hll(df, ["w"], "user_id").collect():
+        assert 0 < abs(r.uv - 30_000) < 0.05 * 30_000 or r.uv == 30_000

@@ -70,3 +70,70 @@ def test_sized_conf_scales_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 300          # 3 tasks per core
     assert int(big["spark.sql.shuffle.partitions"]) == 409600         # 100 TB / 256 MB
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+
+
+@pytest.mark.parametrize("bad", ["1,x,fail", "1,1.2.3.4,fail,100,9", "1.5,x,fail,101", "99999999999999999999,x,fail,101", "", " 1,x,fail,101"])
+def test_bad_lines_are_found_under_any_projection(spark, tmp_dir, bad):
+    p = _write(os.path.join(tmp_dir, "login.csv"), "1,1.2.3.4,fail,100\n" + bad + "\n2,1.2.3.4,success,101")
+    df = readers.read_records(spark, p, "login")
+    for query in (df.select("ip"), df.groupBy().count(), df):
+        with pytest.raises(Exception, match="malformed login line"):
+            query.collect()
+    assert readers.read_records(spark, p, "login", mode="DROPMALFORMED").count() == 2
+    kept = readers.read_records(spark, p, "login", mode="PERMISSIVE")
+    assert [r[0] for r in kept.where("_corrupt_record IS NOT NULL").select("_corrupt_record").collect()] == [bad]
+    with pytest.raises(ValueError):
+        readers.read_records(spark, p, "login", mode="IGNORE")
+
+
+def test_bad_lines_stop_a_stream(spark, tmp_dir):
+    os.makedirs(os.path.join(tmp_dir, "in"))
+    _write(os.path.join(tmp_dir, "in", "a.csv"), "1,1.2.3.4,fail,100\nbroken")
+    q = readers.stream_records(spark, os.path.join(tmp_dir, "in"), "login").select("user_id").writeStream.format("memory").queryName("bad_lines").trigger(availableNow=True).start()
+    with pytest.raises(Exception, match="malformed login line"):
+        q.awaitTermination(120)
+
+
+def test_web_log_lines_are_checked(spark):
+    good = "83.149.9.216 - - 17/05/2015:10:05:03 +0000 GET /x"
+    for bad in ("83.149.9.216 - -", good.replace("17/05", "32/05"), good.replace("10:05", "25:05"), good.replace("17/05/2015", "2015-05-17")):
+        lines = spark.createDataFrame([(good,), (bad,)], "value string")
+        with pytest.raises(Exception, match="malformed web log line"):
+            readers.parse_web_log(lines).select("ip").collect()
+        assert readers.parse_web_log(lines, mode="DROPMALFORMED").count() == 1
+
+
+def test_kafka_lines_become_records(spark):
+    """What kafka_lines returns is a value column: any parser takes it."""
+    lines = spark.createDataFrame([("1,2,3,pv,100", b"k")], "value string, key binary")
+    assert readers.parse_records(lines, "user_behavior").columns == ["key", "user_id", "item_id", "category_id", "behavior", "ts", "ts_us", "seq"]
+
+
+def test_files_are_read_in_arrival_order(spark, tmp_dir):
+    """By file name, then place in the file, also where the larger file comes second."""
+    root = os.path.join(tmp_dir, "logins")
+    os.makedirs(root)
+    _write(os.path.join(root, "a.csv"), "1,ip,fail,10")
+    _write(os.path.join(root, "b.csv"), "1,ip,success,9\n1,ip,fail,11\n" + "\n".join(f"2,ip,success,{i}" for i in range(200, 2200)))
+    from tidepool.plans import jobs
+    df = readers.read_records(spark, root, "login")
+    ordered = df.where("user_id = 1").orderBy("seq").select("ts_us").collect()
+    assert [r[0] // 1_000_000 for r in ordered] == [10, 9, 11]
+    assert jobs.login_fail_consecutive(df, "2 seconds").collect() == []  # the success between clears the state
+    _write(os.path.join(root, "a.csv"), "1,ip,success,8\n1,ip,fail,10")
+    _write(os.path.join(root, "b.csv"), "1,ip,fail,9\n1,ip,fail,11")
+    got = jobs.login_fail_consecutive(readers.read_records(spark, root, "login"), "2 seconds")
+    assert tuples(got, ["first_fail_ms", "last_fail_ms"]) == [(9000, 11000), (10000, 9000)][1:]
+
+
+def test_late_log_lines_of_a_file(spark, tmp_dir):
+    line = "10.0.0.1 u - 17/05/2015:{} +0000 GET {}"
+    lines = [line.format("10:00:00", "/a"), line.format("12:00:00", "/b"), line.format("10:00:01", "/late"), line.format("11:59:00", "/c")]
+    p = _write(os.path.join(tmp_dir, "apache.log"), "\n".join(lines))
+    from tidepool.plans import jobs
+    log = readers.read_web_log(spark, p)
+    on_time, late = jobs.late_pages(log)
+    assert tuples(late, ["url", "ip", "user_id", "method"]) == [("/late", "10.0.0.1", "u", "GET")]
+    assert {r.url for r in on_time.collect()} == {"/a", "/b", "/c"}
+    assert "/late" not in {r.url for r in jobs.hot_pages(log, drop_late=True).collect()}
+    assert "/late" in {r.url for r in jobs.hot_pages(log).collect()}

@@ -57,15 +57,6 @@ def test_stream_page_views_and_uv(spark, tmp_dir, behaviour_rows):
     assert tuples(uv) == tuples(batch.unique_visitors(b), ["window_end", "uv"])
 
 
-def test_stream_hot_items(spark, tmp_dir, behaviour_rows):
-    root = _write_files(os.path.join(tmp_dir, "ub2"), behaviour_rows + [(0, 0, 0, "pv", SENTINEL)])
-    s = readers.stream_records(spark, root, "user_behavior", max_files=1)
-    b = readers.read_records(spark, root, "user_behavior", seq="hash").where(f"ts_us < {SENTINEL}000000")
-    got = _run(spark, stream.hot_items(s, 3), "s_hot")
-    assert tuples(got, ["window_end", "rnk", "item_id", "cnt"]) == \
-        tuples(batch.hot_items(b, 3), ["window_end", "rnk", "item_id", "cnt"])
-
-
 def test_stream_tx_match(spark, tmp_dir):
     rnd = random.Random(8)
     orders, receipts, t = [], [], 1_558_430_800
@@ -321,9 +312,13 @@ def test_stream_ad_clicks_pipeline(spark, tmp_dir):
         rows.append((rnd.randrange(1, 4), rnd.randrange(1, 3), rnd.choice(["beijing", "shanghai"]), "c", t))
     root = _write_files(os.path.join(tmp_dir, "ad2"), rows + [(0, 0, "sentinel", "c", SENTINEL)], 30)
     out = os.path.join(tmp_dir, "ad_out")
-    w = stream.ad_clicks_writer(readers.stream_records(spark, root, "ad_click", max_files=1),
-                                lambda df, epoch: df.write.mode("append").parquet(out),
-                                os.path.join(tmp_dir, "ad_state"), limit=20, size="2 hours")
+    passed = os.path.join(tmp_dir, "ad_passed")
+    q = (stream.passed_clicks(readers.stream_records(spark, root, "ad_click", max_files=1), limit=20).writeStream.format("parquet")
+         .option("path", passed).option("checkpointLocation", os.path.join(tmp_dir, "ck_pass")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    source = spark.readStream.schema(spark.read.parquet(passed).schema).option("maxFilesPerTrigger", 4).parquet(passed)
+    w = stream.province_counts_writer(source, lambda df, epoch: df.write.mode("append").parquet(out),
+                                      os.path.join(tmp_dir, "ad_state"), size="2 hours", delay="1 hour")
     q = w.option("checkpointLocation", os.path.join(tmp_dir, "ck_ad")).trigger(availableNow=True).start()
     q.awaitTermination(300)
     got = _expand(spark.read.parquet(out).collect(), ["province"], 5000)
@@ -349,11 +344,13 @@ def test_stream_late_rows_go_to_side_output(spark, tmp_dir):
         os.utime(p, (1_600_000_000 + i, 1_600_000_000 + i))
     out, late = os.path.join(tmp_dir, "hp3_out"), os.path.join(tmp_dir, "hp3_late")
     log = readers.parse_web_log(spark.readStream.option("maxFilesPerTrigger", 1).text(root))
-    w = stream.hot_pages_writer(log, lambda df, e: df.write.mode("append").parquet(out), os.path.join(tmp_dir, "hp3"),
-                                write_late=lambda df, e: df.select("url", "ts_us").write.mode("append").parquet(late))
+    w = stream.hot_pages_writer(log, lambda df, e: df.write.mode("append").parquet(out), os.path.join(tmp_dir, "hp3"))
     q = w.option("checkpointLocation", os.path.join(tmp_dir, "ck_hp3")).trigger(availableNow=True).start()
     q.awaitTermination(300)
-    assert tuples(spark.read.parquet(late)) == [("/a", 1431856807 * 1_000_000)]
+    q = (stream.late_rows(log).writeStream.format("parquet").option("path", late)
+         .option("checkpointLocation", os.path.join(tmp_dir, "ck_late3")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert tuples(spark.read.parquet(late), ["url", "ts_us"]) == [("/a", 1431856807 * 1_000_000)]
     counts = spark.read.parquet(out)
     assert counts.where("url = '/a'").agg({"cnt": "max"}).first()[0] == 5   # the late row is not counted
     assert counts.where("url = '/c'").count() > 0
@@ -407,3 +404,90 @@ def test_stream_hot_pages_fire_early_and_revise(spark, tmp_dir):
     final = sorted(k for k, v in net.items() for _ in range(v))
     exp = tuples(batch.hot_pages(readers.read_web_log(spark, root), 3), ["window_end", "rnk", "url", "cnt"])
     assert final == exp and len(exp) > 100
+
+
+def _login_disorder(seed, n=240, delay=3):
+    """Rows whose arrival is up to ``delay`` seconds behind their time, across micro-batches."""
+    rnd = random.Random(seed)
+    rows = _login_rows(seed, n, min_step=0)
+    return [r for _, r in sorted(((r[3] + rnd.random() * delay, r) for r in rows), key=lambda x: x[0])]
+
+
+@pytest.mark.parametrize("arrow_rows", [10_000, 2])
+def test_stream_rules_with_disorder_and_small_frames(spark, tmp_dir, arrow_rows):
+    rows = _login_disorder(51)
+    root = _write_files(os.path.join(tmp_dir, "dis"), rows + [(0, "0", "success", SENTINEL)], 7)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(arrow_rows))
+    try:
+        src = lambda: readers.stream_records(spark, root, "login", max_files=4)
+        bursts = tuples(_run(spark, stream.login_fail_bursts(src(), "2 seconds", 2), f"s_dis_b{arrow_rows}"))
+        pairs = tuples(_run(spark, stream.login_fail_pattern(src(), "2 seconds"), f"s_dis_p{arrow_rows}"))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    b = readers.read_records(spark, root, "login", seq="hash").where(f"ts_us < {SENTINEL}000000")
+    assert bursts == tuples(batch.login_fail_burst(b, "2 seconds")) and len(bursts) > 5
+    assert pairs == tuples(batch.login_fail_pattern(b, "2 seconds")) and len(pairs) > 5
+
+
+@pytest.mark.parametrize("arrow_rows", [10_000, 2])
+def test_stream_late_clicks_over_midnight(spark, tmp_dir, arrow_rows):
+    midnight = 1_511_712_000  # 0:00 of a day in Asia/Shanghai
+    rows = [(1, 9, "p", "c", midnight + d) for d in (-30, -20, 10, -10, 20, 30, -5)]  # two late ones among the next day's
+    root = _write_files(os.path.join(tmp_dir, f"mid{arrow_rows}"), rows, 2)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(arrow_rows))
+    try:
+        got = _run(spark, stream.click_limit(readers.stream_records(spark, root, "ad_click", max_files=1), 1), f"s_mid{arrow_rows}").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    per = {(k, d): sum(1 for r in got if r.kind == k and r.day == d) for k in ("pass", "warn") for d in {r.day for r in got}}
+    assert len(per) == 4 and set(per.values()) == {1}
+
+
+def test_stream_unreadable_state_raises(spark, tmp_dir):
+    root = _write_files(os.path.join(tmp_dir, "lost"), [("u", "view", "weibo", 1_558_400_000_000 + i * 7000) for i in range(40)], 10)
+    state = os.path.join(tmp_dir, "lost_state")
+    calls = []
+
+    def writer():
+        return stream.sliding_count_writer(readers.stream_records(spark, root, "market", max_files=1), ["channel"], "1 hour", "5 seconds",
+                                           state, lambda df, e: calls.append(df.count()))
+
+    w = writer().option("checkpointLocation", os.path.join(tmp_dir, "ck_lost"))
+    w.trigger(availableNow=True).start().awaitTermination(200)
+    assert calls
+    for folder, _, files in os.walk(state):  # an earlier epoch's table is damaged
+        for f in files:
+            if f.endswith(".parquet"):
+                with open(os.path.join(folder, f), "wb") as out:
+                    out.write(b"not parquet")
+    _write_files(root, [("u", "view", "weibo", 1_558_400_900_000)] * 50, 60)
+    os.utime(os.path.join(root, "part-00000.csv"), (1_700_000_000, 1_700_000_000))
+    os.rename(os.path.join(root, "part-00000.csv"), os.path.join(root, "part-99999.csv"))
+    with pytest.raises(Exception):
+        writer().option("checkpointLocation", os.path.join(tmp_dir, "ck_lost")).trigger(availableNow=True).start().awaitTermination(200)
+
+
+def test_stream_subsecond_bounds(spark, tmp_dir):
+    orders = [(1, "pay", "a", 100), (2, "pay", "b", 100)]
+    receipts = [("a", "wechat", 100), ("b", "alipay", 101)]
+    o_root = _write_files(os.path.join(tmp_dir, "o3"), orders, 10)
+    r_root = _write_files(os.path.join(tmp_dir, "r3"), receipts, 10)
+    j = stream.tx_match(readers.stream_records(spark, o_root, "order"), readers.stream_records(spark, r_root, "receipt"), "-500 ms", "999 ms")
+    assert tuples(_run(spark, j, "s_tx_sub"), ["tx_id", "order_id", "pay_channel"]) == [("a", 1, "wechat")]
+
+
+def test_stream_post_lines_advance_the_watermark(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "post")
+    os.makedirs(root)
+    for i, line in enumerate(["10:00:00 +0000 GET /a", "11:00:00 +0000 POST /b", "11:00:05 +0000 POST /b"]):
+        p = os.path.join(root, f"part-{i}.txt")
+        with open(p, "w") as f:
+            f.write(f"10.0.0.1 - - 17/05/2015:{line}")
+        os.utime(p, (1_600_000_000 + i, 1_600_000_000 + i))
+    log = readers.parse_web_log(spark.readStream.option("maxFilesPerTrigger", 1).text(root))
+    out = os.path.join(tmp_dir, "post_out")
+    w = stream.hot_pages_writer(log, lambda df, e: df.write.mode("append").parquet(out), os.path.join(tmp_dir, "post_state"))
+    w.option("checkpointLocation", os.path.join(tmp_dir, "ck_post")).trigger(availableNow=True).start().awaitTermination(200)
+    assert spark.read.parquet(out).where("url = '/a'").count() == 120  # all windows of the GET line closed by POST lines

@@ -43,7 +43,7 @@ def parse_duration_us(d) -> int:
 
 def floor_div(col: Column, n: int) -> Column:
     """Exact floor division of a BIGINT column by a positive constant."""
-    return ((col - F.pmod(col, F.lit(n))) / F.lit(n)).cast("long")
+    return F.call_function("div", col - F.pmod(col, F.lit(n)), F.lit(n))
 
 
 def pane_end(ts_us: Column, slide_us: int) -> Column:

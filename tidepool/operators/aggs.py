@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.hashing import poly_hash
 from tidepool.functions.timecols import floor_div, parse_duration_us
-from tidepool.operators.scan import add_chunk, running
+from tidepool.operators.scan import HOT_CHUNK, add_split_chunk, running
 
 
 def tumbling_end(df: DataFrame, size, out: str = "window_end") -> DataFrame:
@@ -64,13 +64,14 @@ def distinct_hll(df: DataFrame, keys: Sequence[str], of: str, out: str = "uv",
 
 def running_distinct(df: DataFrame, keys: Sequence[str], of: str, id_col: str,
                      order: Sequence[str] = ("ts_us", "seq"), out: str = "uv",
-                     chunk="1 minute") -> DataFrame:
+                     chunk="1 hour", limit: int = HOT_CHUNK) -> DataFrame:
     """Per row: distinct ``of`` values of its group seen up to and including it.
 
     The first sighting of each (group, value) comes from an aggregate (a
     partial min, so a hot value costs no sort); each sighting becomes a +1
     marker that sorts just before the row it belongs to. Markers and rows go
-    through one chunked running sum, read off at the rows. Returns keys,
+    through one chunked running sum (chunks that hold very many rows are cut,
+    ties of one time stamp too), read off at the rows. Returns keys,
     ``id_col``, the order columns and ``out``.
     """
     keys, order = list(keys), list(order)
@@ -80,7 +81,7 @@ def running_distinct(df: DataFrame, keys: Sequence[str], of: str, id_col: str,
     marks = firsts.select(*keys, *order, F.lit(1).alias("_v"), F.lit(0).alias("_kind"),
                           *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in ids])
     rows = df.select(*keys, *order, F.lit(0).alias("_v"), F.lit(1).alias("_kind"), *ids)
-    both = add_chunk(marks.unionByName(rows), order[0], parse_duration_us(chunk))
+    both = add_split_chunk(marks.unionByName(rows), keys, order[0], order[1], parse_duration_us(chunk), limit=limit)
     res = running(both, keys, [*order, "_kind"], "_v", out, "_chunk")
     return (res.where(F.col("_kind") == 1)
                .select(*keys, *ids, *order, F.col(out).cast("long").alias(out)))

@@ -55,11 +55,8 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], lower_us
 
 
 def match_two_streams(left: DataFrame, right: DataFrame, on: Sequence[str], lower_us: int, upper_us: int,
-                      left_ts: str = "ts_us", right_ts: str = "ts_us"
-                      ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(matched pairs, unmatched left rows, unmatched right rows) under the
-    interval condition: the full outer join, split by which side is missing."""
-    matched = interval_join(left, right, on, lower_us, upper_us, "inner", left_ts, right_ts)
-    lonely_left = interval_join(left, right, on, lower_us, upper_us, "left_anti", left_ts, right_ts)
-    lonely_right = interval_join(right, left, on, -upper_us, -lower_us, "left_anti", right_ts, left_ts)
-    return matched, lonely_left, lonely_right
+                      left_ts: str = "ts_us", right_ts: str = "ts_us") -> tuple[DataFrame, DataFrame]:
+    """(left rows with their partners or, with NULLs, without; right rows without a partner)."""
+    pairs = interval_join(left, right, on, lower_us, upper_us, "left_outer", left_ts, right_ts)
+    lonely = interval_join(right, left, on, -upper_us, -lower_us, "left_anti", right_ts, left_ts)
+    return pairs, lonely

@@ -9,17 +9,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool.functions import messages as M
-from tidepool.functions.timecols import day_in_zone, ms_of, pane_end, parse_duration_us
-from tidepool.operators.scan import add_chunk, nearest, running
-from tidepool.session import ensure_checkpoint_dir
+from tidepool.functions.timecols import day_in_zone, floor_div, ms_of, pane_end, parse_duration_us
+from tidepool.operators.scan import HOT_CHUNK, add_arrival_chunk, add_chunk, add_split_chunk, nearest, running
+from tidepool.operators.sequence import with_neighbours
+from tidepool.operators.topn import first_rows
+from tidepool.operators.windows import changes_from_points, expand_segments
 
-# Chunk width of per-key ordered scans: a task holds at most one key's rows of
-# one minute, which stays small even for a key with a third of all rows.
-CHUNK_US = 60_000_000
+# Chunk width of per-key ordered scans. Wide, so that a key's chunk sums up many
+# rows; where one holds very many it is cut (add_split_chunk).
+WIDE_CHUNK_US = 86_400_000_000
 
 
 # --------------------------------------------------------------------------- click limit
@@ -28,14 +32,13 @@ def click_limit(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"), limit
     """Per key and local day: pass the first ``limit`` clicks, drop the rest and
     warn once, at click limit+1.
 
-    Returns (passed rows, warnings: keys, day, ts_ms, msg). ``row_number() <=
-    limit + 1`` becomes a WindowGroupLimit, so a key with millions of clicks
-    sends at most limit+1 rows per task through the shuffle.
+    Returns (passed rows, warnings: keys, day, ts_ms, msg). Only the first
+    limit + 1 rows of a key and day get past ``first_rows``' limits, so a key
+    with millions of clicks never goes whole to one task.
     """
     keys = list(keys)
     d = df.withColumn("day", day_in_zone(F.col("ts_us"), zone))
-    w = Window.partitionBy(*keys, "day").orderBy("ts_us", "seq")
-    ranked = d.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit + 1)
+    ranked = first_rows(d, [*keys, "day"], [F.col("ts_us"), F.col("seq")], limit + 1, "_rn")
     passed = ranked.where(F.col("_rn") <= limit).drop("_rn", "day")
     warnings = (ranked.where(F.col("_rn") == limit + 1)
                       .select(*keys, "day", ms_of(F.col("ts_us")).alias("ts_ms"),
@@ -66,13 +69,19 @@ def order_pay_status(df: DataFrame, key: str = "order_id", limit_us: int = 900_0
 
 # --------------------------------------------------------------------------- login: consecutive fails
 def consecutive_fails(df: DataFrame, key: str = "user_id", within_us: int = 2_000_000,
-                      order: Sequence[str] = ("ts_us", "seq"), chunk_us: int = CHUNK_US) -> DataFrame:
-    """A fail whose previous event of the same key (in ``order``) is a fail
-    less than ``within`` earlier (a negative gap also counts) -> one warning
-    (key, first_fail_ms, last_fail_ms, msg)."""
-    order = list(order)
+                      order: Sequence[str] | None = ("ts_us", "seq"), chunk_us: int = WIDE_CHUNK_US) -> DataFrame:
+    """A fail whose previous event of the same key (in ``order``; None: in the
+    order of arrival) is a fail less than ``within`` earlier (a negative gap
+    also counts) -> one warning (key, first_fail_ms, last_fail_ms, msg).
+
+    The gap to the previous event has no bound in arrival order, so this is a
+    chunked scan; its chunks are wide enough to summarise a key's rows."""
     d = df.withColumn("_me", F.struct(F.col("event_type").alias("t"), F.col("ts_us").alias("u")))
-    d = add_chunk(d, order[0], chunk_us)
+    if order is None:
+        d, order = add_arrival_chunk(d, chunk_us, [key])
+    else:
+        order = list(order)
+        d = add_split_chunk(d, [key], order[0], order[1], chunk_us)
     d = nearest(d, [key], order, "_me", "_prev", "_chunk", direction="before")
     hit = ((F.col("event_type") == "fail") & (F.col("_prev.t") == "fail")
            & (F.col("ts_us") < F.col("_prev.u") + F.lit(within_us)))
@@ -83,8 +92,11 @@ def consecutive_fails(df: DataFrame, key: str = "user_id", within_us: int = 2_00
 
 
 # --------------------------------------------------------------------------- login: bursts
+_BURSTS = "first_u long, last_u long, fail_count long, close_u long"
+
+
 def fail_bursts(df: DataFrame, key: str = "user_id", within_us: int = 2_000_000, min_fails: int = 2,
-                chunk_us: int = CHUNK_US) -> DataFrame:
+                chunk_us: int = WIDE_CHUNK_US) -> DataFrame:
     """Greedy fail bursts per key in event-time order.
 
     A fail opens a burst with deadline ts + within; later fails up to the
@@ -93,89 +105,144 @@ def fail_bursts(df: DataFrame, key: str = "user_id", within_us: int = 2_000_000,
     after it start afresh. A burst that closes with >= ``min_fails`` fails
     gives (key, first_fail_ms, last_fail_ms, fail_count, msg).
 
-    Burst starts form a chain s -> next(s) = first fail after s + within of
-    the same run. The chain is followed by pointer doubling: round j adds the
-    next 2^j starts with one join against the 2^j-step jump table, then
-    squares that table. Rounds = log2(longest chain); every join is on unique
-    row ids, so no key, however hot, lands in one task. Each fail then joins
-    the latest start at or before it (a chunked scan) and bursts are a
-    group-by with partial aggregation.
+    A fail with no event of its key within ``within`` before it, or right after a
+    success, always opens a burst: it starts a segment. Both that and the
+    success that ends a segment are seen among the rows of a time bucket and
+    copies of its neighbours' edges, in one shuffle. A segment spanning
+    at most ``within`` is one burst, so it is one group of an aggregate. Only
+    longer segments are walked: their rows are sorted by key and segment and
+    streamed through, with one open burst in memory.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    order = ["ts_us", "seq", "_id"]
-    base = add_chunk(df.withColumn("_ok", (F.col("event_type") != "fail").cast("long")), "ts_us", chunk_us)
-    # run = successes strictly before the row: fails of one run have no success between them
-    base = running(base, [key], ["ts_us", "seq"], "_ok", "run", "_chunk", inclusive=False)
-    # a unique id per fail (records may repeat), fixed by the checkpoint before anything orders by it
-    fails = (base.where(F.col("_ok") == 0).select(key, "run", "ts_us", "seq", "_chunk")
-                 .withColumn("_id", F.monotonically_increasing_id())).checkpoint(eager=True)
-
-    # next(s): first fail of the run strictly after ts + within (targets sort before probes on ties)
-    targets = fails.select(key, "run", F.col("ts_us").alias("_pos"), F.lit(0).alias("_kind"), "seq", "_id",
-                           F.col("_id").alias("_tgt"), F.lit(None).cast("long").alias("_probe"))
-    probes = fails.select(key, "run", (F.col("ts_us") + F.lit(within_us)).alias("_pos"), F.lit(1).alias("_kind"),
-                          "seq", "_id", F.lit(None).cast("long").alias("_tgt"), F.col("_id").alias("_probe"))
-    both = add_chunk(targets.unionByName(probes), "_pos", chunk_us, "_pchunk")
-    both = nearest(both, [key, "run"], ["_pos", "_kind", "seq", "_id"], "_tgt", "_nxt", "_pchunk",
-                   direction="after")
-    first_jump = (both.where(F.col("_kind") == 1)
-                      .select(F.col("_probe").alias("id"), F.col("_nxt").alias("to"))).checkpoint(eager=True)
-    # the jump table keeps only jumps that land: it shrinks every round, and no
-    # NULL join key (a jump past the end of a run) piles up in one task
-    jump = first_jump.where(F.col("to").isNotNull())
-
-    starts = fails.groupBy(key, "run").agg(F.min_by("_id", F.struct(*order)).alias("id")).select("id")
-    while True:
-        step = starts.join(jump, "id").select(F.col("to").alias("id")).checkpoint(eager=True)
-        if step.isEmpty():
-            break
-        starts = starts.unionByName(step)
-        nxt2 = jump.select(F.col("id").alias("_mid"), F.col("to").alias("_to2"))
-        jump = (jump.join(nxt2, jump["to"] == nxt2["_mid"])
-                    .select("id", F.col("_to2").alias("to"))).checkpoint(eager=True)
-
-    # each fail belongs to the latest start at or before it
-    flagged = fails.join(starts.select(F.col("id").alias("_id"), F.col("id").alias("_sid")), "_id", "left")
-    flagged = nearest(flagged, [key, "run"], order, "_sid", "_prev_sid", "_chunk", direction="before")
-    bursts = (flagged.groupBy(key, "run", F.coalesce("_sid", "_prev_sid").alias("id"))
-                     .agg(F.count(F.lit(1)).alias("fail_count"), F.min("ts_us").alias("first_u"),
-                          F.max("ts_us").alias("last_u"))
-                     .join(first_jump, "id"))
-    # only the last burst of a run (no next start) can be cancelled, by the success closing the run
-    closers = base.where(F.col("_ok") == 1).select(key, "run", F.col("ts_us").alias("close_u"))
-    last = bursts.where(F.col("to").isNull()).join(closers, [key, "run"], "left")
-    b = bursts.where(F.col("to").isNotNull()).withColumn("close_u", F.lit(None).cast("long")).unionByName(last)
-    cancelled = (F.col("to").isNull() & F.col("close_u").isNotNull()
-                 & (F.col("close_u") <= F.col("first_u") + F.lit(within_us)))
+    events = df.select(key, "ts_us", "seq", (F.col("event_type") != "fail").cast("int").alias("_ok"))
+    near = with_neighbours(events, "ts_us", within_us, before=True, after=True)
+    # repeated records are one row with a count, so that the order is the same wherever it is computed
+    near = (near.repartition(key, "_bucket")
+                .groupBy(key, "_bucket", "ts_us", "seq", "_ok").agg(F.count(F.lit(1)).alias("_n"), F.min("_copy").alias("_copy")))
+    w = Window.partitionBy(key, "_bucket").orderBy("ts_us", "seq", "_ok")
+    near = near.withColumns({"_before": F.lag(F.struct("ts_us", "_ok")).over(w), "_after": F.lead(F.struct("ts_us", "_ok")).over(w)})
+    t = F.col("ts_us")
+    opens = F.coalesce((F.col("_before._ok") == 1) | (F.col("_before.ts_us") < t - F.lit(within_us)), F.lit(True))
+    fails = near.where((F.col("_copy") == 0) & (F.col("_ok") == 0)).select(
+        key, "ts_us", "seq", "_n", opens.cast("long").alias("_open"), F.when(F.col("_after._ok") == 1, F.col("_after.ts_us")).alias("_close"))
+    fails = add_chunk(fails, "ts_us", chunk_us)
+    fails = running(fails, [key], ["ts_us", "seq"], "_open", "_segment", "_chunk")
+
+    segments = fails.groupBy(key, "_segment").agg(
+        F.min("ts_us").alias("first_u"), F.max("ts_us").alias("last_u"), F.sum("_n").alias("fail_count"),
+        F.max_by("_close", F.struct("ts_us", "seq")).alias("close_u"))
+    is_long = F.col("last_u") - F.col("first_u") > F.lit(within_us)
+    short = segments.where(~is_long).drop("_segment")
+    rows = fails.select(F.col(key).alias("_k"), F.col("_segment").alias("_s"), "ts_us", "seq", "_n", "_close")
+    marks = segments.where(is_long).select(key, "_segment")
+    walked = (rows.join(marks, rows["_k"].eqNullSafe(marks[key]) & (rows["_s"] == marks["_segment"]), "left_semi")
+                  .repartition("_k", "_s").sortWithinPartitions("_k", "_s", "ts_us", "seq")
+                  .select(F.col("_k").alias(key), "_s", "ts_us", "_n", "_close"))
+    schema = T.StructType([df.schema[key], *T._parse_datatype_string(_BURSTS).fields])
+    bursts = short.select(schema.names).union(walked.mapInArrow(_walk(key, within_us, schema.names), schema))
+
+    cancelled = F.coalesce(F.col("close_u") <= F.col("first_u") + F.lit(within_us), F.lit(False))
     secs = within_us // 1_000_000
-    out = b.where(~cancelled & (F.col("fail_count") >= min_fails))
+    out = bursts.where(~cancelled & (F.col("fail_count") >= min_fails))
     return out.select(F.col(key), ms_of(F.col("first_u")).alias("first_fail_ms"),
                       ms_of(F.col("last_u")).alias("last_fail_ms"), F.col("fail_count").cast("long"),
                       F.format_string(M.LOGIN_BURST.format(secs=secs, n="%d"), F.col("fail_count")).alias("msg"))
 
 
+def _walk(key: str, within_us: int, names: list[str]):
+    """Bursts of sorted segments, row by row: a burst starts after the deadline of the one before."""
+
+    def run(batches):
+        burst = None  # key, segment, first, last, count, close
+        for b in batches:
+            out = []
+            for k, s, t, n, close in zip(*(b.column(c).to_pylist() for c in (key, "_s", "ts_us", "_n", "_close"))):
+                if burst is None or burst[0] != k or burst[1] != s or t > burst[2] + within_us:
+                    if burst is not None:
+                        out.append(burst)
+                    burst = [k, s, t, t, 0, None]
+                burst[3], burst[4], burst[5] = t, burst[4] + n, close
+            yield _burst_batch(out, b.schema.field(key).type, names)
+        if burst is not None:
+            yield _burst_batch([burst], b.schema.field(key).type, names)
+
+    return run
+
+
+def _burst_batch(bursts: list[list], key_type, names: list[str]):
+    columns = list(zip(*bursts)) or [()] * 6
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[0], key_type), *[pa.array(columns[i], pa.int64()) for i in (2, 3, 4, 5)]], names)
+
+
 # --------------------------------------------------------------------------- late rows
+def with_arrival_watermark(df: DataFrame, delay="1 second", chunk="1 minute",
+                           limit: int = HOT_CHUNK) -> tuple[DataFrame, list[str]]:
+    """(``df`` with ``watermark_us``, its arrival order): the watermark before each row, max(ts of
+    earlier arrivals) - delay, NULL before the first.
+
+    The running maximum over the global arrival order is a chunked scan with
+    no key: a task holds one minute of arrivals or a part of it
+    (``add_split_chunk``), or one split of the input files, and the carry runs over
+    one row per chunk in a single small task.
+    """
+    d, arrival = add_arrival_chunk(df, parse_duration_us(chunk), limit=limit)
+    d = running(d, [], arrival, "ts_us", "_maxprev", "_chunk", how="max", inclusive=False)
+    return d.withColumn("watermark_us", F.col("_maxprev") - F.lit(parse_duration_us(delay))).drop("_maxprev", "_chunk"), arrival
+
+
 def split_late(df: DataFrame, size="10 minutes", slide="5 seconds", lateness="1 minute",
-               delay="1 second", arrival: Sequence[str] = ("arrival_us", "seq"),
-               chunk="1 minute") -> tuple[DataFrame, DataFrame]:
+               delay="1 second", chunk="1 minute", limit: int = HOT_CHUNK) -> tuple[DataFrame, DataFrame]:
     """(on-time rows, late rows) of a sliding-window job with bounded disorder.
 
-    Before each arrival the watermark is max(ts of earlier arrivals) - delay.
-    A row is late when even its newest window [start, start + size) is
-    closed for good: start + size - 1 ms + lateness <= watermark. The running
-    maximum over the global arrival order is a chunked scan with no key
-    (one-minute chunks: a task holds one minute of arrivals, and the carry
-    runs over one row per minute, 43,200 a month, in a single small task).
-    Adds ``watermark_us`` (NULL before the first arrival).
+    A row is late when at its arrival even its newest window [start, start +
+    size) is closed for good: start + size - 1 ms + lateness <= watermark.
+    Adds ``watermark_us``.
     """
-    size_us, slide_us = parse_duration_us(size), parse_duration_us(slide)
-    late_us, delay_us = parse_duration_us(lateness), parse_duration_us(delay)
-    arrival = list(arrival)
-    d = add_chunk(df, arrival[0], parse_duration_us(chunk))
-    d = running(d, [], arrival, "ts_us", "_maxprev", "_chunk", how="max", inclusive=False)
-    d = d.withColumn("watermark_us", F.col("_maxprev") - F.lit(delay_us)).drop("_maxprev", "_chunk")
+    size_us, slide_us, late_us = parse_duration_us(size), parse_duration_us(slide), parse_duration_us(lateness)
+    d, _ = with_arrival_watermark(df, delay, chunk, limit)
     newest_end = pane_end(F.col("ts_us"), slide_us) - F.lit(slide_us) + F.lit(size_us)
     is_late = F.coalesce(newest_end - F.lit(1000) + F.lit(late_us) <= F.col("watermark_us"), F.lit(False))
     d = d.withColumn("_late", is_late)
     return d.where(~F.col("_late")).drop("_late"), d.where(F.col("_late")).drop("_late")
+
+
+def fired_counts(df: DataFrame, keys: Sequence[str], size="10 minutes", slide="5 seconds", lateness="1 minute",
+                 delay="1 second", where=None) -> DataFrame:
+    """What a sliding-window count emits under bounded disorder and allowed lateness.
+
+    A window fires when the watermark reaches its end - 1 ms, with the rows
+    that came before (``kind`` 'first'), and again for each row that comes later
+    but before the watermark is ``lateness`` past that ('revision', with the row's
+    ``seq`` as ``event_id``). The input is bounded, so every window fires in the end. Rows
+    left out by ``where`` only advance the watermark. Returns keys, window_end
+    (ms), kind, event_id, cnt.
+
+    The window ends a row is in time for are an interval, so the first counts are
+    a sweep like those of ``sliding_count``; only rows behind the watermark
+    are copied to the few windows they revise.
+    """
+    keys = list(keys)
+    size_us, slide_us, late_us = parse_duration_us(size), parse_duration_us(slide), parse_duration_us(lateness)
+    d, arrival = with_arrival_watermark(df, delay)
+    if where is not None:
+        d = d.where(where)
+    pane, passed = pane_end(F.col("ts_us"), slide_us), F.col("watermark_us") + F.lit(1000)
+    d = d.select(*keys, *dict.fromkeys([*arrival, "seq"]), pane.alias("_lo"), (pane + F.lit(size_us)).alias("_stop"),
+                 F.coalesce(F.greatest(pane, pane_end(passed, slide_us)), pane).alias("_open"),
+                 F.greatest(pane, pane_end(passed - F.lit(late_us), slide_us)).alias("_first_late"),
+                 F.least(pane + F.lit(size_us), pane_end(passed, slide_us)).alias("_late_stop"))
+    on_time = d.where(F.col("_open") < F.col("_stop"))
+    points = (on_time.select(*keys, F.col("_open").alias("point"), F.lit(1).cast("long").alias("delta"))
+              .unionByName(on_time.select(*keys, F.col("_stop").alias("point"), F.lit(-1).cast("long").alias("delta"))))
+    first = expand_segments(changes_from_points(points, keys), keys, slide_us)
+    late = d.where(F.col("_first_late") < F.col("_late_stop")).select(
+        *keys, *dict.fromkeys([*arrival, "seq"]),
+        F.explode(F.sequence(F.col("_first_late"), F.col("_late_stop") - F.lit(slide_us), F.lit(slide_us))).alias("_e"))
+    nth = F.row_number().over(Window.partitionBy(*keys, "_e").orderBy(*arrival))
+    late = late.select(*keys, "_e", F.col("seq").alias("event_id"), nth.alias("_nth"))
+    base = first.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_e").alias("_e1"), F.col("cnt").alias("_base"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_e") == F.col("_e1")]
+    revised = late.join(base, same, "left").select(
+        *keys, "_e", F.lit("revision").alias("kind"), "event_id", (F.coalesce("_base", F.lit(0)) + F.col("_nth")).cast("long").alias("cnt"))
+    fired = first.select(*keys, "_e", F.lit("first").alias("kind"), F.lit(None).cast(df.schema["seq"].dataType).alias("event_id"), F.col("cnt").cast("long").alias("cnt"))
+    return fired.unionByName(revised).select(*keys, floor_div(F.col("_e"), 1000).alias("window_end"), "kind", "event_id", "cnt")

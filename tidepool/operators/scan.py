@@ -29,6 +29,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidepool.functions.timecols import floor_div
 
 _AGGS = {"sum": F.sum, "max": F.max, "min": F.min}
 
@@ -60,10 +63,56 @@ def stitch(local: DataFrame, carry: DataFrame, part: Sequence[str], out: list |
     return local.join(renamed, on=cond, how="left").select(*(out or [*local.columns, *names]))
 
 
+# Rows of one key and chunk beyond which the chunk is cut further.
+HOT_CHUNK = 200_000
+
+
 def add_chunk(df: DataFrame, ts_col: str, width_us: int, name: str = "_chunk") -> DataFrame:
     """Chunk id = epoch-aligned bucket of ``ts_col`` (BIGINT microseconds)."""
-    c = F.col(ts_col)
-    return df.withColumn(name, ((c - F.pmod(c, F.lit(width_us))) / F.lit(width_us)).cast("long"))
+    return df.withColumn(name, floor_div(F.col(ts_col), width_us))
+
+
+def add_split_chunk(df: DataFrame, keys: Sequence[str], ts_col: str, tie: str, width_us: int,
+                    name: str = "_chunk", limit: int = HOT_CHUNK) -> DataFrame:
+    """Chunk id = (bucket, part, split) of rows ordered by (``ts_col``, ``tie``).
+
+    A bucket with more than ``limit`` rows of a key is cut into parts of equal
+    time, or, where all its rows have one time stamp (a bulk load), of equal
+    range of a BIGINT ``tie`` or by input split of a place (file, block, row).
+    Which buckets are that large comes from an aggregate with one row per
+    bucket, of which only those few are joined back.
+    """
+    t = F.col(ts_col)
+    placed = isinstance(df.schema[tie].dataType, T.StructType)
+    s = F.lit(0).cast("long") if placed else F.shiftright(F.col(tie), 2)  # differences stay within BIGINT
+    bucketed = add_chunk(df, ts_col, width_us, "_bucket")
+    hot = (bucketed.groupBy(*keys, "_bucket")
+                   .agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_lo"), F.max(t).alias("_hi"),
+                        F.min(s).alias("_slo"), F.max(s).alias("_shi"))
+                   .where(F.col("_n") > limit))
+    tied = F.col("_lo") == F.col("_hi")
+    low, high = (F.when(tied, F.col(f"_s{x}")).otherwise(F.col(f"_{x}")) for x in ("lo", "hi"))
+    step = F.call_function("div", high - low, 2 * (F.call_function("div", F.col("_n"), F.lit(limit)) + 1)) + 1
+    hot = hot.select(*keys, "_bucket", tied.alias("_tied"), low.alias("_from"), step.alias("_step"))
+    part = F.call_function("div", F.when(F.col("_tied"), s).otherwise(t) - F.col("_from"), F.col("_step"))
+    split = F.when(F.col("_tied"), F.struct(F.col(tie)["file"], F.col(tie)["block"])) if placed else F.lit(0)
+    chunk = F.struct(F.col("_bucket").alias("bucket"), F.coalesce(part, F.lit(0)).alias("part"), split.alias("split"))
+    return stitch(bucketed, hot, [*keys, "_bucket"], [*df.columns, chunk.alias(name)])
+
+
+def add_arrival_chunk(df: DataFrame, width_us: int, keys: Sequence[str] = (), name: str = "_chunk",
+                      limit: int = HOT_CHUNK) -> tuple[DataFrame, list[str]]:
+    """(``df`` with a chunk of its arrival order, that order).
+
+    Rows with ``arrival_us`` arrive in order of (arrival_us, seq); rows read from
+    files in the order of their place ``seq`` (file, block, row), in chunks of
+    one split each.
+    """
+    if "arrival_us" in df.columns:
+        return add_split_chunk(df, keys, "arrival_us", "seq", width_us, name, limit), ["arrival_us", "seq"]
+    if isinstance(df.schema["seq"].dataType, T.StructType):
+        return df.withColumn(name, F.struct("seq.file", "seq.block")), ["seq"]
+    raise ValueError("no arrival order: the rows need arrival_us, or seq as (file, block, row)")
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,

@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.timecols import floor_div, pane_end, parse_duration_us
 from tidepool.operators.scan import add_chunk, stitch
-from tidepool.session import parallelism
 
 
 def window_count(df: DataFrame, keys: Sequence[str], size: str, slide: str | None = None,
@@ -85,15 +84,29 @@ def sliding_count(df: DataFrame, keys: Sequence[str], size, slide, expand: bool
     if not expand:
         return segs.select(*keys, floor_div(F.col("_from"), 1000).alias("end_from"),
                            floor_div(F.col("_to"), 1000).alias("end_to"), F.col(out))
-    # the expansion multiplies rows many times over what the last shuffle
-    # measured, so spread the compact segments over every core first
-    segs = segs.repartition(parallelism(df.sparkSession))
-    ends = F.explode(F.sequence(F.col("_from"), F.col("_to") - F.lit(slide_us), F.lit(slide_us)))
-    return (segs.select(*keys, ends.alias("_e"), F.col(out))
+    return (expand_segments(segs, keys, slide_us, out)
                 .select(*keys, floor_div(F.col("_e") - F.lit(size_us), 1000).alias("window_start"),
                         floor_div(F.col("_e"), 1000).alias("window_end"), F.col(out)))
 
 
+# Window ends that one segment may hold before it is expanded.
+PIECE = 720
+
+
+def expand_segments(segs: DataFrame, keys: Sequence[str], slide_us: int, out: str = "cnt") -> DataFrame:
+    """One row (keys, _e, out) per window end of the segments.
+
+    Segments are first cut into pieces of at most ``PIECE`` ends, so that no row holds a
+    long array, and the pieces, which are as even as the rows they make, are
+    rebalanced; adaptive execution picks the width from their size.
+    """
+    step = PIECE * slide_us
+    start = F.explode(F.sequence(F.col("_from"), F.col("_to") - F.lit(1), F.lit(step)))
+    pieces = segs.select(*keys, out, start.alias("_start"), F.col("_to")).hint("rebalance")
+    stop = F.least(F.col("_to") - F.lit(slide_us), F.col("_start") + F.lit(step - slide_us))
+    return pieces.select(*keys, F.explode(F.sequence(F.col("_start"), stop, F.lit(slide_us))).alias("_e"), out)
+
+
 def changes_from_panes(panes: DataFrame, keys: Sequence[str], size_us: int, slide_us: int, out: str = "cnt",
                        chunk="1 day") -> DataFrame:
     """Segments (keys, _from, _to, out) of constant non-zero window count from
@@ -102,10 +115,14 @@ def changes_from_panes(panes: DataFrame, keys: Sequence[str], size_us: int, slid
     keys = list(keys)
     enter = panes.select(*keys, F.col("pane").alias("point"), F.col("n").alias("delta"))
     leave = panes.select(*keys, (F.col("pane") + F.lit(size_us)).alias("point"), (-F.col("n")).alias("delta"))
-    points = (enter.unionByName(leave)
-                   .groupBy(*keys, "point").agg(F.sum("delta").alias("delta"))
-                   .where(F.col("delta") != 0))
-    return _sweep(add_chunk(points, "point", parse_duration_us(chunk)), keys, out)
+    return changes_from_points(enter.unionByName(leave), keys, out, chunk)
+
+
+def changes_from_points(points: DataFrame, keys: Sequence[str], out: str = "cnt", chunk="1 day") -> DataFrame:
+    """The same segments from (keys, point, delta): the count changes by ``delta`` at window end ``point``."""
+    points = (points.groupBy(*keys, "point").agg(F.sum("delta").alias("delta"))
+                    .where(F.col("delta") != 0))
+    return _sweep(add_chunk(points, "point", parse_duration_us(chunk)), list(keys), out)
 
 
 def _sweep(points: DataFrame, keys: list[str], out: str) -> DataFrame:

@@ -7,8 +7,6 @@ settings. Times in outputs are epoch milliseconds (BIGINT).
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,18 +33,16 @@ def hot_items(ub: DataFrame, n: int = 5, size="1 hour", slide="5 minutes") -> Da
 
 def hot_items_sql(spark: SparkSession, ub: DataFrame, n: int = 5) -> DataFrame:
     """The Table API + SQL form: aggregate table as a view, ROW_NUMBER top-n in SQL."""
-    view = f"agg_table_{uuid.uuid4().hex[:8]}"
     agg = (ub.where("behavior = 'pv'")
              .groupBy(F.window("ts", "1 hour", "5 minutes").alias("sw"), "item_id")
              .agg(F.count("item_id").alias("cnt"))
              .select("item_id", F.unix_millis(F.col("sw.end")).alias("window_end"), "cnt"))
-    agg.createOrReplaceTempView(view)
     return spark.sql(f"""
         SELECT item_id, window_end, cnt, CAST(row_num AS BIGINT) AS row_num
         FROM (
           SELECT *, ROW_NUMBER() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS row_num
-          FROM {view})
-        WHERE row_num <= {int(n)}""")
+          FROM {{agg_table}})
+        WHERE row_num <= {int(n)}""", agg_table=agg)
 
 
 def hot_items_report(ub: DataFrame, n: int = 5, zone: str = "UTC") -> DataFrame:
@@ -143,14 +139,21 @@ def hot_pages_report(log: DataFrame, n: int = 3, zone: str = "UTC", drop_late: b
 
 def late_pages(log: DataFrame, size="10 minutes", slide="5 seconds", lateness="1 minute", delay="1 second",
                method="GET") -> tuple[DataFrame, DataFrame]:
-    """(on-time, late) GET rows; the watermark comes from every log line."""
+    """(on-time, late) GET rows, whole; the watermark comes from every log line."""
     on_time, late = keyed.split_late(log, size, slide, lateness, delay)
-    cols = [F.col("seq").alias("event_id"), "url", ms_of(F.col("ts_us")).alias("ts_ms"),
+    cols = [F.col("seq").alias("event_id"), *[c for c in ("ip", "user_id", "method") if c in log.columns], "url", ms_of(F.col("ts_us")).alias("ts_ms"),
             ms_of(F.col("watermark_us")).alias("watermark_ms")]
     return (on_time.where(F.col("method") == method).select(*cols),
             late.where(F.col("method") == method).select(*cols))
 
 
+def hot_pages_revisions(log: DataFrame, size="10 minutes", slide="5 seconds", lateness="1 minute", delay="1 second",
+                        method="GET") -> DataFrame:
+    """Page counts as they are emitted: at each window's first firing and after each late row
+    until end + lateness (url, window_end, kind, event_id, cnt)."""
+    return keyed.fired_counts(log, ["url"], size, slide, lateness, delay, where=F.col("method") == method)
+
+
 # ----------------------------------------------------------------------------- market
 def _with_text(df: DataFrame, zone: str | None) -> DataFrame:
     """Window bounds also as timestamp text, in the layout the reference prints."""
@@ -176,9 +179,9 @@ def ad_blacklist(clicks: DataFrame, limit: int = 100, zone: str = "Asia/Shanghai
 
 
 def ad_passed_clicks(clicks: DataFrame, limit: int = 100, zone: str = "Asia/Shanghai") -> DataFrame:
-    """The click stream after the blacklist filter: user_id, ad_id, province, ts_ms."""
+    """The click stream after the blacklist filter: user_id, ad_id, province, city, ts_ms."""
     passed, _ = keyed.click_limit(clicks, ["user_id", "ad_id"], limit, zone)
-    return passed.select("user_id", "ad_id", "province", ms_of(F.col("ts_us")).alias("ts_ms"))
+    return passed.select("user_id", "ad_id", "province", "city", ms_of(F.col("ts_us")).alias("ts_ms"))
 
 
 def ad_clicks(clicks: DataFrame, limit: int = 100, size="1 day", slide="5 seconds",
@@ -199,8 +202,8 @@ def login_fail_pattern(logins: DataFrame, within="2 seconds") -> DataFrame:
                     ms_of(F.col("nxt.ts_us")).alias("last_fail_ms"), F.lit(M.LOGIN_PATTERN).alias("msg"))
 
 
-def login_fail_consecutive(logins: DataFrame, within="2 seconds",
-                           order=("arrival_us", "seq")) -> DataFrame:
+def login_fail_consecutive(logins: DataFrame, within="2 seconds", order=None) -> DataFrame:
+    """A fail right after a fail of the same user, in the order of arrival unless ``order`` is given."""
     return keyed.consecutive_fails(logins, "user_id", parse_duration_us(within), order)
 
 
@@ -228,41 +231,39 @@ def order_pay_status(orders: DataFrame, limit="15 minutes") -> DataFrame:
 # ----------------------------------------------------------------------------- payments
 def _pays(orders: DataFrame) -> DataFrame:
     return orders.where(F.col("event_type") == "pay").select(
-        "tx_id", F.col("seq").alias("pay_event_id"), F.col("ts_us").alias("pay_us"))
+        "tx_id", F.col("seq").alias("pay_event_id"), "order_id", "event_type", F.col("ts_us").alias("pay_us"))
 
 
 def _receipts(rc: DataFrame) -> DataFrame:
-    return rc.select("tx_id", F.col("seq").alias("receipt_event_id"), F.col("ts_us").alias("receipt_us"))
+    return rc.select("tx_id", F.col("seq").alias("receipt_event_id"), "pay_channel", F.col("ts_us").alias("receipt_us"))
 
 
 def _pairs(df: DataFrame) -> DataFrame:
-    return df.select("tx_id", "pay_event_id", "receipt_event_id", ms_of(F.col("pay_us")).alias("pay_ms"),
-                     ms_of(F.col("receipt_us")).alias("receipt_ms"))
+    return df.select("tx_id", "pay_event_id", "order_id", "event_type", ms_of(F.col("pay_us")).alias("pay_ms"),
+                     "receipt_event_id", "pay_channel", ms_of(F.col("receipt_us")).alias("receipt_ms"))
+
+
+def _lonely_receipts(rc: DataFrame) -> DataFrame:
+    return rc.select(F.col("receipt_event_id").alias("event_id"), "tx_id", "pay_channel", ms_of(F.col("receipt_us")).alias("ts_ms"))
 
 
 def tx_match_join(orders: DataFrame, rc: DataFrame, lower="-3 seconds", upper="5 seconds") -> DataFrame:
-    """Interval join: every (pay, receipt) of a tx with receipt in [pay + lower, pay + upper]."""
+    """Interval join: every (pay, receipt) of a tx with receipt in [pay + lower, pay + upper], both records whole."""
     j = joins.interval_join(_pays(orders), _receipts(rc), ["tx_id"], parse_duration_us(lower),
                             parse_duration_us(upper), "inner", "pay_us", "receipt_us")
     return _pairs(j)
 
 
-def tx_unmatched_pays(orders: DataFrame, rc: DataFrame, lower="-3 seconds", upper="5 seconds") -> DataFrame:
-    """Pays with no receipt in [pay + lower, pay + upper]: event_id, tx_id, ts_ms."""
-    lp = joins.interval_join(_pays(orders), _receipts(rc), ["tx_id"], parse_duration_us(lower),
-                             parse_duration_us(upper), "left_anti", "pay_us", "receipt_us")
-    return lp.select(F.col("pay_event_id").alias("event_id"), "tx_id", ms_of(F.col("pay_us")).alias("ts_ms"))
-
-
-def tx_unmatched_receipts(orders: DataFrame, rc: DataFrame, lower="-3 seconds", upper="5 seconds") -> DataFrame:
-    """Receipts with no pay they could belong to: event_id, tx_id, ts_ms."""
-    lr = joins.interval_join(_receipts(rc), _pays(orders), ["tx_id"], -parse_duration_us(upper),
-                             -parse_duration_us(lower), "left_anti", "receipt_us", "pay_us")
-    return lr.select(F.col("receipt_event_id").alias("event_id"), "tx_id", ms_of(F.col("receipt_us")).alias("ts_ms"))
-
-
 def tx_match(orders: DataFrame, rc: DataFrame, lower="-3 seconds", upper="5 seconds"
              ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(matched pairs, unmatched pays, unmatched receipts)."""
-    return (tx_match_join(orders, rc, lower, upper), tx_unmatched_pays(orders, rc, lower, upper),
-            tx_unmatched_receipts(orders, rc, lower, upper))
+    """(matched pairs, unmatched pays, unmatched receipts), all records whole.
+
+    One left outer join gives the first two, told apart by the receipt; one
+    anti join gives the third.
+    """
+    lo, hi = parse_duration_us(lower), parse_duration_us(upper)
+    pairs, lonely = joins.match_two_streams(_pays(orders), _receipts(rc), ["tx_id"], lo, hi, "pay_us", "receipt_us")
+    alone = F.col("receipt_us").isNull()
+    pays = pairs.where(alone).select(F.col("pay_event_id").alias("event_id"), "order_id", "event_type", "tx_id",
+                                     ms_of(F.col("pay_us")).alias("ts_ms"))
+    return _pairs(pairs.where(~alone)), pays, _lonely_receipts(lonely)

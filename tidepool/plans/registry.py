@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from tidepool.functions import messages as M
 from tidepool.functions.messages import COUNT_LABEL, ITEM_LABEL, PAGE_LABEL, REPORT_HEADER, RULE
 from tidepool.plans import jobs
-from tidepool.sources import views
+from tidepool.functions.timecols import floor_div, ntz_of
+from tidepool.sources import readers, views
 from tidepool.operators.windows import sliding_count
 
 LOGIN_WITHIN = "6 hours"
@@ -54,6 +55,25 @@ def _late(spark, d, which):
     return late if which == "late" else on_time
 
 
+def _tx(spark, d):
+    ev = _ev(spark, d)
+    return jobs.tx_match(views.order_events(ev), views.receipts(ev), TX_LOWER, TX_UPPER)
+
+
+def _records_parsed(spark, d):
+    """Order lines built from the events and parsed back by the reader that files and streams use."""
+    lines = views.order_events(_ev(spark, d)).select(F.concat_ws(
+        ",", F.col("order_id").cast("string"), "event_type", "tx_id", floor_div(F.col("ts_us"), 1_000_000).cast("string")).alias("value"))
+    return readers.parse_records(lines, "order").select("order_id", "event_type", "tx_id", "ts_us")
+
+
+def _weblog_parsed(spark, d):
+    """Web log lines built from the events and parsed back."""
+    when = F.date_format(ntz_of(F.col("ts_us")), "dd/MM/yyyy:HH:mm:ss")
+    lines = _log(spark, d, only_get=False).select(F.concat_ws(" ", "ip", "user_id", F.lit("-"), when, F.lit("+0000"), "method", "url").alias("value"))
+    return readers.parse_web_log(lines).select("ip", "user_id", "method", "url", "ts_us")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "hot_items": lambda s, d: jobs.hot_items(_ub(s, d)),
@@ -71,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hot_pages_report": lambda s, d: jobs.hot_pages_report(_log(s, d)),
         # as a streaming run counts them: rows past the allowed lateness are left out
         "hot_pages_on_time": lambda s, d: jobs.hot_pages(_log(s, d, only_get=False), drop_late=True),
+        "hot_pages_revisions": lambda s, d: jobs.hot_pages_revisions(_log(s, d, only_get=False)),
         "late_rows": lambda s, d: _late(s, d, "late"),
         "on_time_rows": lambda s, d: _late(s, d, "on_time"),
         "market_by_channel": lambda s, d: jobs.market_by_channel(views.market_events(_ev(s, d)), exclude="signup"),
@@ -90,12 +111,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "order_pay_status": lambda s, d: jobs.order_pay_status(views.order_events(_ev(s, d)), ORDER_LIMIT),
         "tx_match_join": lambda s, d: jobs.tx_match_join(views.order_events(_ev(s, d)), views.receipts(_ev(s, d)),
                                                          TX_LOWER, TX_UPPER),
-        "tx_matched": lambda s, d: jobs.tx_match_join(views.order_events(_ev(s, d)), views.receipts(_ev(s, d)),
-                                                      TX_LOWER, TX_UPPER),
-        "tx_unmatched_pay": lambda s, d: jobs.tx_unmatched_pays(views.order_events(_ev(s, d)),
-                                                                views.receipts(_ev(s, d)), TX_LOWER, TX_UPPER),
-        "tx_unmatched_receipt": lambda s, d: jobs.tx_unmatched_receipts(views.order_events(_ev(s, d)),
-                                                                        views.receipts(_ev(s, d)), TX_LOWER, TX_UPPER),
+        "tx_matched": lambda s, d: _tx(s, d)[0],
+        "tx_unmatched_pay": lambda s, d: _tx(s, d)[1],
+        "tx_unmatched_receipt": lambda s, d: _tx(s, d)[2],
+        "records_parsed": _records_parsed,
+        "weblog_parsed": _weblog_parsed,
     }
 
 
@@ -180,13 +200,15 @@ _ORDERS = f"""(SELECT user_id * 100 + day(ts) // 3 AS order_id,
                CASE WHEN event_type = 'signup' THEN 'create' ELSE 'pay' END AS t, ts_us, event_id AS seq,
                CAST(user_id AS VARCHAR) AS tx_id
                FROM {EV} WHERE event_type IN ('signup', 'purchase'))"""
-_PAYS = f"(SELECT tx_id, seq AS pay_event_id, ts_us AS pay_us FROM {_ORDERS} WHERE t = 'pay')"
-_RECEIPTS = f"""(SELECT CAST(user_id AS VARCHAR) AS tx_id, event_id AS receipt_event_id, ts_us AS receipt_us
+_PAYS = f"(SELECT tx_id, seq AS pay_event_id, order_id, t AS event_type, ts_us AS pay_us FROM {_ORDERS} WHERE t = 'pay')"
+_RECEIPTS = f"""(SELECT CAST(user_id AS VARCHAR) AS tx_id, event_id AS receipt_event_id, ts_us AS receipt_us,
+                 CASE WHEN k % 2 = 0 THEN 'wechat' ELSE 'alipay' END AS pay_channel
                  FROM {EV} WHERE event_type = 'click')"""
 _TX_COND = "r.tx_id = p.tx_id AND r.receipt_us >= p.pay_us - {lo} AND r.receipt_us <= p.pay_us + {hi}".format(
     lo=3 * H, hi=5 * H)
 _PAIRS = f"""
-    SELECT p.tx_id, pay_event_id, receipt_event_id, pay_us // 1000 AS pay_ms, receipt_us // 1000 AS receipt_ms
+    SELECT p.tx_id, pay_event_id, order_id, event_type, pay_us // 1000 AS pay_ms, receipt_event_id, pay_channel,
+           receipt_us // 1000 AS receipt_ms
     FROM {_PAYS} p JOIN {_RECEIPTS} r ON {_TX_COND}"""
 
 _AD_RANKED = f"""
@@ -197,11 +219,11 @@ _AD_RANKED = f"""
      FROM {EV} WHERE event_type = 'click')"""
 
 _LATE = f"""
-    WITH v AS (SELECT event_id, event_type, '/p/' || k AS url, ts_us,
+    WITH v AS (SELECT event_id, user_id, event_type, '/p/' || k AS url, ts_us,
                  max(ts_us) OVER (ORDER BY arrival_us, event_id
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1000000 AS wm
                FROM {EV})
-    SELECT event_id, url, ts_us // 1000 AS ts_ms, wm // 1000 AS watermark_ms FROM v
+    SELECT event_id, '10.0.0.' || (user_id % 256) AS ip, CAST(user_id AS VARCHAR) AS user_id, 'GET' AS method, url, ts_us // 1000 AS ts_ms, wm // 1000 AS watermark_ms FROM v
     WHERE event_type = 'view' AND {{neg}} coalesce(ts_us - ts_us % 5000000 + 600000000 - 1000 + 60000000 <= wm, false)"""
 
 _BURST_A, _BURST_B = M.LOGIN_BURST.format(secs=6 * 3600, n="\x00").split("\x00")
@@ -244,10 +266,10 @@ _ORDER_MATCH = f"""
 
 def oracle_sql() -> dict[str, str]:
     tx_neg = f"""
-        SELECT p.pay_event_id AS event_id, p.tx_id, p.pay_us // 1000 AS ts_ms FROM {_PAYS} p
+        SELECT p.pay_event_id AS event_id, p.order_id, p.event_type, p.tx_id, p.pay_us // 1000 AS ts_ms FROM {_PAYS} p
         WHERE NOT EXISTS (SELECT 1 FROM {_RECEIPTS} r WHERE {_TX_COND})"""
     rx_neg = f"""
-        SELECT r.receipt_event_id AS event_id, r.tx_id, r.receipt_us // 1000 AS ts_ms FROM {_RECEIPTS} r
+        SELECT r.receipt_event_id AS event_id, r.tx_id, r.pay_channel, r.receipt_us // 1000 AS ts_ms FROM {_RECEIPTS} r
         WHERE NOT EXISTS (SELECT 1 FROM {_PAYS} p WHERE {_TX_COND})"""
     uv_bits = ("list_reduce(string_split(CAST(user_id AS VARCHAR), ''), "
                "lambda acc, x: (acc * 61 + ascii(x)) % 536870912, 0::BIGINT)")
@@ -279,6 +301,20 @@ def oracle_sql() -> dict[str, str]:
         "hot_pages": HOT_PAGES,
         "hot_pages_report": _report_sql(HOT_PAGES, "url", PAGE_LABEL),
         "hot_pages_on_time": HOT_PAGES_ON_TIME,
+        "hot_pages_revisions": """
+            WITH v AS (SELECT event_id, event_type, arrival_us, '/p/' || k AS url, ts_us - ts_us % 5000000 + 5000000 AS pane,
+                         max(ts_us) OVER (ORDER BY arrival_us, event_id
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1000000 AS wm
+                       FROM {ev}),
+            w AS (SELECT url, event_id, arrival_us, wm, pane + 5000000 * r.i AS e, coalesce(wm < pane + 5000000 * r.i - 1000, true) AS ok
+                  FROM v, range(120) AS r(i) WHERE event_type = 'view'),
+            f AS (SELECT url, e, count(*) AS cnt FROM w WHERE ok GROUP BY url, e),
+            l AS (SELECT url, e, event_id, row_number() OVER (PARTITION BY url, e ORDER BY arrival_us, event_id) AS nth
+                  FROM w WHERE NOT ok AND wm < e - 1000 + 60000000)
+            SELECT url, e // 1000 AS window_end, 'first' AS kind, NULL::BIGINT AS event_id, cnt FROM f
+            UNION ALL
+            SELECT l.url, l.e // 1000 AS window_end, 'revision' AS kind, event_id, coalesce(f.cnt, 0) + nth AS cnt
+            FROM l LEFT JOIN f ON f.url = l.url AND f.e = l.e""".replace("{ev}", EV),
         "late_rows": _LATE.format(neg=""),
         "on_time_rows": _LATE.format(neg="NOT"),
         "market_by_channel": _change_points(
@@ -292,7 +328,8 @@ def oracle_sql() -> dict[str, str]:
         "ad_province_counts": _change_points(f"SELECT province, ts_us FROM {_AD_RANKED} WHERE rn <= {AD_LIMIT}",
                                              ["province"], 24 * H, 5_000_000),
         "ad_passed_clicks": f"""
-            SELECT user_id, ad_id, province, ts_us // 1000 AS ts_ms FROM {_AD_RANKED} WHERE rn <= {AD_LIMIT}""",
+            SELECT user_id, ad_id, province, CAST(user_id % 11 AS VARCHAR) AS city, ts_us // 1000 AS ts_ms
+            FROM {_AD_RANKED} WHERE rn <= {AD_LIMIT}""",
         "ad_blacklist": f"""
             SELECT user_id, ad_id, day, ts_us // 1000 AS ts_ms, '{M.CLICK_LIMIT.format(limit=AD_LIMIT)}' AS msg
             FROM {_AD_RANKED} WHERE rn = {AD_LIMIT + 1}""",
@@ -327,4 +364,11 @@ def oracle_sql() -> dict[str, str]:
         "tx_matched": _PAIRS,
         "tx_unmatched_pay": tx_neg,
         "tx_unmatched_receipt": rx_neg,
+        "records_parsed": f"""
+            SELECT order_id, t AS event_type, CASE WHEN t = 'pay' THEN tx_id ELSE '' END AS tx_id,
+                   ts_us // 1000000 * 1000000 AS ts_us FROM {_ORDERS}""",
+        "weblog_parsed": f"""
+            SELECT '10.0.0.' || (user_id % 256) AS ip, CAST(user_id AS VARCHAR) AS user_id,
+                   CASE WHEN event_type = 'view' THEN 'GET' ELSE 'POST' END AS method, '/p/' || k AS url,
+                   ts_us // 1000000 * 1000000 AS ts_us FROM {EV}""",
     }

@@ -13,6 +13,8 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool.plans import jobs
 from tidepool.session import get_session
@@ -35,7 +37,7 @@ def _outputs(job: str, spark, a) -> dict[str, DataFrame]:
     if job == "uv-running":
         return {"uv": jobs.unique_visitors_running(rec("user_behavior"))}
     if job == "hot-pages":
-        log = readers.read_web_log(spark, a.input, a.zone)
+        log = readers.read_web_log(spark, a.input, a.zone, a.mode)
         _, late = jobs.late_pages(log)
         return {"hot_pages": jobs.hot_pages_report(log, a.top or 3, a.zone, drop_late=True), "late": late}
     if job == "ad-clicks":
@@ -77,17 +79,18 @@ def main(argv=None) -> None:
     p.add_argument("--out", help="folder for outputs; shown on the console when absent")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv", "json"])
     p.add_argument("--mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE", "DROPMALFORMED"])
-    p.add_argument("--zone", default="UTC", help="zone of printed times (ad clicks: of the day reset)")
+    p.add_argument("--zone", help="zone of printed times, UTC if not given (ad clicks: of the day reset, Asia/Shanghai if not given)")
     p.add_argument("--top", type=int)
     p.add_argument("--limit", type=int)
     p.add_argument("--expand", action="store_true", help="one row per sliding window, not change points")
     p.add_argument("--master")
     a = p.parse_args(argv)
-    if a.job == "ad-clicks" and a.zone == "UTC":
-        a.zone = "Asia/Shanghai"
+    a.zone = a.zone or ("Asia/Shanghai" if a.job == "ad-clicks" else "UTC")
     spark = get_session(a.master, app=f"tidepool {a.job}")
     for name, df in _outputs(a.job, spark, a).items():
         if a.out:
+            if a.format == "csv":  # places in the input are structs
+                df = df.select(*[F.to_json(c).alias(c) if isinstance(df.schema[c].dataType, T.StructType) else c for c in df.columns])
             df.write.mode("overwrite").format(a.format).save(f"{a.out}/{name}")
         else:
             print(f"== {name}")

@@ -1,13 +1,21 @@
-"""Readers for the reference's line formats (batch and streaming).
-
-CSV records are read with a fixed schema (nothing inferred). The default
-mode is FAILFAST, as a bad line stops the reference job; PERMISSIVE keeps
-bad lines in ``_corrupt_record``.
+"""Readers for the reference's line formats (batch, streaming and Kafka).
+
+All record kinds go through one parser over a column of text lines,
+``parse_records`` (and ``parse_web_log`` for web log lines), which checks
+every field of every line whatever columns are read later. A line is bad when
+it has another number of fields or a number that is none. ``FAILFAST``
+(default, as a bad line stops the reference job) raises, ``DROPMALFORMED``
+leaves the line out, ``PERMISSIVE`` keeps it in ``_corrupt_record`` with all
+fields NULL.
+
+Files are read in arrival order: ``seq`` is (file, block, row), a line's place
+by file name, offset of its split and row in it, so that rules that depend on
+the order of arrival see the lines as they stand in the files.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,79 +38,119 @@ MARKET = _schema(("user_id", S), ("behavior", S), ("channel", S), ("ts", L))
 
 RECORDS = {"user_behavior": (USER_BEHAVIOR, "s"), "ad_click": (AD_CLICK, "s"), "login": (LOGIN, "s"),
            "order": (ORDER, "s"), "receipt": (RECEIPT, "s"), "market": (MARKET, "ms")}
+MODES = ("FAILFAST", "DROPMALFORMED", "PERMISSIVE")
+CORRUPT = "_corrupt_record"
 
 
-def _finish(df: DataFrame, kind: str, unit: str, seq: str) -> DataFrame:
-    """Typed time columns and the tie-break ``seq``.
+def _checked(df: DataFrame, good: Column, fields: dict[str, Column], line: Column, what: str, mode: str) -> DataFrame:
+    """``fields`` beside ``df``'s other columns; ``good`` is checked on every row in each mode.
 
-    ``seq='arrival'``: position in the input (batch only); ``seq='hash'``: a
-    hash of the record's fields, the same in batch and streaming reads.
+    In FAILFAST the check is a filter, which no column pruning takes away.
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    if mode == "FAILFAST":
+        message = F.concat(F.lit(f"malformed {what} line: "), F.coalesce(line, F.lit("NULL")))
+        return df.where(F.when(good, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))).withColumns(fields)
+    if mode == "DROPMALFORMED":
+        return df.where(good).withColumns(fields)
+    kept = {n: F.when(good, c) for n, c in fields.items()}
+    return df.withColumns({**kept, CORRUPT: F.when(~good, line)})
+
+
+def parse_records(lines: DataFrame, kind: str, mode: str = "FAILFAST", value: str = "value") -> DataFrame:
+    """Typed records of ``kind`` from text lines, batch or streaming.
+
+    Gives the record's fields, ``ts_us``, ``ts`` and ``seq``: the lines' own
+    ``seq`` where they have one, else a hash of the fields, which is the same in
+    batch and streaming reads. Other columns of ``lines`` stay, ``value`` goes.
     """
-    fields = [c for c in df.columns if c != "_corrupt_record"]
-    if kind == "order":
-        # an empty tx id field reads as NULL; the record holds an empty string
-        df = df.withColumn("tx_id", F.coalesce(F.col("tx_id"), F.lit("")))
-    df = with_event_time(df, "ts", unit)
-    tie = F.monotonically_increasing_id() if seq == "arrival" else F.xxhash64(*fields)
-    return df.withColumn("seq", tie).withColumn("arrival_us", F.col("ts_us"))
+    schema, unit = RECORDS[kind]
+    parts = F.split(F.col("_line"), ",", -1)
+    good = F.size(parts) == len(schema.fields)
+    fields = {}
+    for i, f in enumerate(schema.fields):
+        part = F.get(parts, F.lit(i))
+        if f.dataType != S:
+            good = good & part.rlike("^[+-]?[0-9]+$")
+            part = part.try_cast(f.dataType)
+            good = good & part.isNotNull()
+        fields[f.name] = part
+    df = lines.withColumnRenamed(value, "_line")
+    df = _checked(df, F.coalesce(good, F.lit(False)), fields, F.col("_line"), kind, mode).drop("_line")
+    return _timed(df, list(fields), unit)
+
+
+def _timed(df: DataFrame, fields: list[str], unit: str | None = None) -> DataFrame:
+    timed = with_event_time(df, "ts", unit)
+    return timed if "seq" in df.columns else timed.withColumn("seq", F.xxhash64(*fields))
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, seq): the lines under ``path`` with their place in the input."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("row"))  # grows along the lines of a split
+    return spark.read.text(path).select("value", place.alias("seq"))
 
 
 def read_records(spark: SparkSession, path: str, kind: str, mode: str = "FAILFAST",
                  seq: str = "arrival") -> DataFrame:
-    """Typed records from header-less CSV lines; adds ts_us, ts, seq, arrival_us."""
-    schema, unit = RECORDS[kind]
-    reader = spark.read.schema(schema).option("mode", mode).option("header", "false")
-    if mode == "PERMISSIVE":
-        schema = T.StructType(schema.fields + [T.StructField("_corrupt_record", S, True)])
-        reader = spark.read.schema(schema).option("mode", mode).option("columnNameOfCorruptRecord", "_corrupt_record")
-    return _finish(reader.csv(path), kind, unit, seq)
+    """Typed records from header-less CSV files; adds ts_us, ts, seq.
 
+    ``seq='arrival'``: the line's place in the input; ``seq='hash'``: a hash of the record.
+    """
+    lines = read_lines(spark, path)
+    return parse_records(lines.drop("seq") if seq == "hash" else lines, kind, mode)
 
-def stream_records(spark: SparkSession, path: str, kind: str, max_files: int | None = None) -> DataFrame:
-    """The same records as a file stream (one micro-batch per new file).
 
-    Ties in time are broken by a hash of the record (``seq='hash'``).
-    """
-    schema, unit = RECORDS[kind]
-    reader = spark.readStream.schema(schema).option("header", "false")
+def stream_records(spark: SparkSession, path: str, kind: str, max_files: int | None = None,
+                   mode: str = "FAILFAST") -> DataFrame:
+    """The same records as a file stream (one micro-batch per new file), ties in time broken by a hash."""
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return _finish(reader.csv(path), kind, unit, "hash")
+    return parse_records(reader.text(path), kind, mode)
 
 
 # Web log layout - space separated, field 0 ip, 1 user id,
 # 3 time as dd/MM/yyyy:HH:mm:ss, 4 zone (not read), 5 method, 6 url.
-WEB_LOG_TIME = "dd/MM/yyyy:HH:mm:ss"
+WEB_LOG_FIELDS = 7
+WEB_LOG_TIME = r"^(\d{2})/(\d{2})/(\d{4}):(\d{2}):(\d{2}):(\d{2})$"
 
 
-def parse_web_log(lines: DataFrame, zone: str = "UTC", value: str = "value") -> DataFrame:
-    """ApacheLogEvent rows (ip, user_id, method, url, ts_us, ts) from text lines.
+def parse_web_log(lines: DataFrame, zone: str = "UTC", value: str = "value", mode: str = "FAILFAST") -> DataFrame:
+    """ApacheLogEvent rows (ip, user_id, method, url, ts_us, ts, seq) from text lines.
 
-    The time field has no zone of its own; ``zone`` says which wall clock it is.
+    The time field has no zone of its own; ``zone`` says which wall clock it
+    is. Fields past the seventh are not read.
     """
-    parts = F.split(F.col(value), " ")
-    wall = F.to_timestamp_ntz(parts.getItem(3), F.lit(WEB_LOG_TIME))
+    parts = F.split(F.col("_line"), " ", -1)
+    at = lambda i: F.get(parts, F.lit(i))
+    number = lambda g: F.regexp_extract(at(3), WEB_LOG_TIME, g).try_cast("int")
+    wall = F.try_make_timestamp_ntz(number(3), number(2), number(1), number(4), number(5), number(6).cast("decimal(8,6)"))
+    good = (F.size(parts) >= WEB_LOG_FIELDS) & wall.isNotNull()
     if zone.upper() != "UTC":
         wall = F.convert_timezone(F.lit(zone), F.lit("UTC"), wall)
-    df = lines.select(parts.getItem(0).alias("ip"), parts.getItem(1).alias("user_id"),
-                      parts.getItem(5).alias("method"), parts.getItem(6).alias("url"), wall.alias("ts"))
-    return with_event_time(df, "ts")
+    fields = {"ip": at(0), "user_id": at(1), "method": at(5), "url": at(6), "ts": wall}
+    df = lines.withColumnRenamed(value, "_line")
+    df = _checked(df, F.coalesce(good, F.lit(False)), fields, F.col("_line"), "web log", mode).drop("_line")
+    return _timed(df, list(fields))
 
 
-def read_web_log(spark: SparkSession, path: str, zone: str = "UTC") -> DataFrame:
-    df = parse_web_log(spark.read.text(path), zone)
-    return df.withColumn("seq", F.monotonically_increasing_id()).withColumn("arrival_us", F.col("ts_us"))
+def read_web_log(spark: SparkSession, path: str, zone: str = "UTC", mode: str = "FAILFAST") -> DataFrame:
+    return parse_web_log(read_lines(spark, path), zone, mode=mode)
 
 
-def kafka_lines(spark: SparkSession, servers: str, topic: str, streaming: bool = True) -> DataFrame:
-    """Lines from a Kafka topic as a ``value`` string column.
+def kafka_lines(spark: SparkSession, servers: str, topic: str, streaming: bool = True,
+                options: dict[str, str] | None = None) -> DataFrame:
+    """Lines from a Kafka topic as a ``value`` string column, for ``parse_records`` or ``parse_web_log``.
 
-    Needs the spark-sql-kafka connector on the classpath (not in this image);
-    parse the result with the functions above.
+    ``options`` are passed on (``kafka.group.id``, ``startingOffsets``, ...).
+    Needs the spark-sql-kafka connector on the classpath (not in this image).
     """
     reader = spark.readStream if streaming else spark.read
     try:
-        raw = (reader.format("kafka").option("kafka.bootstrap.servers", servers)
+        raw = (reader.format("kafka").options(**(options or {})).option("kafka.bootstrap.servers", servers)
                      .option("subscribe", topic).load())
     except Exception as e:  # the data source is resolved at load()
         if "kafka" in str(e).lower() and ("find" in str(e).lower() or "not" in str(e).lower()):
