@@ -1,0 +1,37 @@
+"""Registered queries run on the smallest tables; those with SQL agree with DuckDB."""
+
+import duckdb
+import pytest
+
+from tidepool.llm import registry
+
+SF = "/root/testdata/sf0.001"
+ROWS = {"op7_warc": "pages", "op9_embeddings": "embeddings"}
+
+
+@pytest.mark.parametrize("name", sorted(registry.queries()))
+def test_one_row_per_input_row(spark, name):
+    rows = registry.queries()[name](spark, SF).collect()
+    assert len(rows) == spark.read.parquet(f"{SF}/{ROWS.get(name, 'documents')}.parquet").count()
+    sql = registry.oracle_sql().get(name)
+    if sql:
+        con = duckdb.connect()
+        for t in ("documents", "pages", "embeddings"):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+        found = con.execute(sql)
+        columns = [d[0] for d in found.description]
+        assert sorted(map(str, found.fetchall())) == sorted(str(tuple(r[c] for c in columns)) for r in rows)
+
+
+def test_surrogates_leave_no_entity(spark):
+    """The registered query replaces what the detector finds in the originals, and nothing else changes."""
+    from tidepool.llm import pii
+    before = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    originals = {before[d][s:e] for d in before for s, e, *_ in pii.entities(before[d])}
+    n = 0
+    for r in registry.op3_pii(spark, SF).collect():
+        here = pii.entities(before[r.doc_id])
+        assert r.n_entities == len(here) and (here or r.text == before[r.doc_id])
+        assert not any(before[r.doc_id][s:e] in r.text for s, e, *_ in here)
+        n += len(here)
+    assert n == 0 or originals

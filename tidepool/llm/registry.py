@@ -45,7 +45,8 @@ PII_KEY = b"tidepool registered query"
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     replaced = pii.replace_entities(docs, PII_KEY)
-    counts = [F.size(F.filter("entities", lambda e, k=k: e["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    count = lambda kind: F.size(F.filter("entities", lambda e: e["kind"] == kind)).cast("long")
+    counts = [count(k).alias(f"n_{k}") for k in pii.KINDS]
     return replaced.select("doc_id", F.col("n_entities").cast("long").alias("n_entities"), *counts, "text")
 
 
@@ -96,7 +97,7 @@ def op7_digest(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     path = new_path(spark, "warc")
     warc.write_pages(pages, path)
-    return warc.page_captures(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.page_captures(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +117,20 @@ def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+OP9_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND list_dot_product(e, e) > 0
+       AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+      AND list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs, shingle=4, max_bits=4)
@@ -128,4 +143,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": OP4_SQL, "op7_warc": OP7_SQL}
+    return {"op4_line_dedup": OP4_SQL, "op7_warc": OP7_SQL, "op9_embeddings": OP9_SQL}
