@@ -44,7 +44,7 @@ def test_archives_and_captures(spark, tmp_dir):
     path = f"{tmp_dir}/w"
     warc.write_pages(pages, path, file_bytes=1 << 20)
     files = glob.glob(f"{path}/part-*")
-    assert len(files) >= 2
+    assert len(files) >= 2  # maxRecordsPerFile
     records = [r for f in files for r in warc.parse(gzip.open(f))]
     assert Counter(h["warc-type"] for h, _ in records) == {"request": 10, "metadata": 10, "response": 7, "revisit": 3}
     assert len({h["warc-record-id"] for h, _ in records}) == 30

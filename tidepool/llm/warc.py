@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.scratch import new_path
+from tidepool.llm.scratch import cut
 
 #: Smallest payload that may be stored as a revisit, and bytes of payload wanted in a file.
 MIN_REVISIT = 100
@@ -94,38 +94,41 @@ def write_pages(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z",
     Of pages with equal payloads of at least ``MIN_REVISIT`` bytes, those of the
     smallest id are written whole and the others as revisits of it (a null id
     comes last). Null html counts as empty, a null url as an empty one.
+
+    Payloads stay where they are read unless very many are met again: the table of
+    those is written first, so that its size decides how it is joined.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"),
                         F.coalesce("html", F.lit("")).alias("html"))
-    rows = rows.withColumn("digest", F.sha2("html", 256)).withColumn("n", F.octet_length("html"))
+    rows = rows.withColumn("digest", F.sha2("html", 256))
+    narrow = cut(rows.select("page_id", "url", "digest", F.octet_length("html").alias("n")), "payloads")
     order = F.struct(F.col("page_id").isNull().alias("missing"), "page_id")
-    firsts = rows.where(F.col("n") >= MIN_REVISIT).groupBy("digest").agg(
+    firsts = cut(narrow.where(F.col("n") >= MIN_REVISIT).groupBy("digest").agg(
         F.min(order).alias("first"), F.min_by("url", F.struct(order.alias("o"), "url")).alias("first_url"), F.count("*").alias("copies")
-    ).where("copies > 1").drop("copies")  # only payloads met again are joined
+    ).where("copies > 1").drop("copies"), "payloads-met-again")
     marked = rows.join(firsts, "digest", "left").select(
         "page_id", "url", "html", "digest",
         F.when(~order.eqNullSafe(F.col("first")), F.col("first_url")).alias("first_url"))
-    total = rows.agg(F.sum("n")).first()[0] or 0
+    total, count = narrow.agg(F.sum("n"), F.count("*")).first()
+    per_file = max(3, 3 * (file_bytes * count // max(total or 0, 1))) if count else 3
     salt = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n = TaskContext.get().partitionId(), 0
         for b in batches:
-            columns = [b.column(c).to_pylist() for c in ("page_id", "url")]
-            html = b.column("html").cast(pa.binary())
+            columns = [b.column(c).to_pylist() for c in ("page_id", "url", "digest", "first_url")]
             out, held = [], 0
-            for page_id, url, body, digest, first in zip(*columns, html, b.column("digest").to_pylist(), b.column("first_url").to_pylist()):
+            for html, page_id, url, digest, first in zip(b.column("html").cast(pa.binary()), *columns):
                 n += 1
-                out += _members(page_id, url, body.as_py(), digest, first, f"{salt}/{part}/{n}", date)
+                out += _members(page_id, url, html.as_py(), digest, first, f"{salt}/{part}/{n}", date)
                 held += sum(map(len, out[-3:]))
                 if held > 8 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
                     out, held = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
-    files = max(1, -(-total // file_bytes))
-    spread = marked.repartition(files)  # pages of any size, dealt evenly
-    spread.mapInArrow(run, T.StructType([T.StructField("value", T.BinaryType())])).select(F.col("value").cast("string").alias("value")).write.option(
+    members = marked.mapInArrow(run, T.StructType([T.StructField("value", T.BinaryType())]))
+    members.select(F.col("value").cast("string").alias("value")).write.option("maxRecordsPerFile", per_file).option(
         "encoding", "ISO-8859-1").option("lineSep", EMPTY_MEMBER.decode("latin-1")).text(path)
 
 
@@ -139,19 +142,21 @@ _RECORD = T.StructType([
     T.StructField("payload_sha256", T.StringType())])
 
 
-def _parsed(headers: dict[str, str], block: bytes) -> tuple:
+def _parsed(headers: dict[str, str], block: bytes, keep: bool) -> tuple:
     kind = headers.get("content-type", "")
     head, payload = http_parts(block) if kind.startswith("application/http") else (b"", block)
     get = headers.get
     return (get("warc-record-id"), get("warc-type"), get("warc-concurrent-to"), get("warc-target-uri"), get("warc-date"),
-            get("warc-payload-digest"), get("warc-refers-to-target-uri"), kind, head.decode("utf-8", "replace"), payload, len(payload),
+            get("warc-payload-digest"), get("warc-refers-to-target-uri"), kind, head.decode("utf-8", "replace"),
+            payload if keep or headers.get("warc-type") == "metadata" else None, len(payload),
             hashlib.sha256(payload).hexdigest())
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
+def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """Every record of the archives under ``path``, plain or gzip, one row each.
 
-    ``payload_sha256`` is of the payload as stored. A file is held in memory
+    ``payload_sha256`` is of the payload as stored; without ``payloads`` only
+    those of metadata records are returned. A file is held in memory
     while its records are parsed one by one, so archives should be of the usual
     size, a gigabyte at most.
     """
@@ -164,7 +169,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                 stream = io.BufferedReader(gzip.GzipFile(fileobj=raw)) if raw.getvalue()[:2] == b"\x1f\x8b" else raw
                 out, held = [], 0
                 for headers, block in parse(stream):
-                    out.append(_parsed(headers, block))
+                    out.append(_parsed(headers, block, payloads))
                     held += len(block)
                     if held > 8 << 20 or len(out) >= 5000:
                         yield _batch(out)
@@ -197,14 +202,17 @@ def captures(records: DataFrame) -> DataFrame:
         "capture_id", "request", "response", "metadata")
 
 
-def page_captures(spark: SparkSession, path: str) -> DataFrame:
+def page_captures(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """Captures under ``path`` with page_id, payload_bytes, payload_digest, record_type and refers_to.
 
+    The parsed records are written once and joined from there; without
+    ``payloads`` they are a few hundred bytes each.
+
     A revisit gets length and digest of the response with the same payload
     digest, and that response's page id as ``refers_to``. A response's digest is
     taken of the payload read, and a difference from its header raises.
     """
-    whole = captures(read_records(spark, path)).where("response is not null")
+    whole = captures(cut(read_records(spark, path, payloads), "warc-records")).where("response is not null")
     page = F.regexp_extract(F.col("metadata.payload").cast("string"), r"(?m)^page-id: (-?\d+)", 1)
     rows = whole.select(
         F.when(page != "", page).cast("long").alias("page_id"), "request", "response", "metadata",
