@@ -27,9 +27,9 @@ def _dicts(rows):
     return [dict(user_id=r[0], event_type=r[1], ts_us=r[2], seq=r[3]) for r in rows]
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_fail_bursts_match_model(spark, seed):
-    rows = _logins(seed)
+@pytest.mark.parametrize("seed,gap", [(1, 3), (2, 3), (3, 3), (4, 2), (5, 5), (6, 9)])
+def test_fail_bursts_match_model(spark, seed, gap):
+    rows = _logins(seed, n=500, gap=gap)  # segments short and long, over many bucket borders
     got = keyed.fail_bursts(frame(spark, rows, LOGIN), "user_id", 2 * SEC, 2)
     assert tuples(got, ["user_id", "first_fail_ms", "last_fail_ms", "fail_count"]) == \
         models.fail_bursts(_dicts(rows), 2 * SEC)

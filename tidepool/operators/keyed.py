@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tidepool.functions import messages as M
 from tidepool.functions.timecols import day_in_zone, floor_div, ms_of, pane_end, parse_duration_us
 from tidepool.operators.scan import HOT_CHUNK, add_arrival_chunk, add_chunk, add_split_chunk, nearest, running
-from tidepool.operators.sequence import with_neighbours
+from tidepool.operators.sequence import bucket_width, with_neighbours
 from tidepool.operators.topn import first_rows
 from tidepool.operators.windows import changes_from_points, expand_segments
 
@@ -106,38 +106,43 @@ def fail_bursts(df: DataFrame, key: str = "user_id", within_us: int = 2_000_000,
     gives (key, first_fail_ms, last_fail_ms, fail_count, msg).
 
     A fail with no event of its key within ``within`` before it, or right after a
-    success, always opens a burst: it starts a segment. Both that and the
-    success that ends a segment are seen among the rows of a time bucket and
-    copies of its neighbours' edges, in one shuffle. A segment spanning
-    at most ``within`` is one burst, so it is one group of an aggregate. Only
-    longer segments are walked: their rows are sorted by key and segment and
-    streamed through, with one open burst in memory.
+    success, always opens a burst: it starts a segment. The rows of a time bucket
+    and copies of its neighbours' edges show that, the success that ends a
+    segment, and whether the segment spans more than ``within``, all after
+    one shuffle. A segment of at most ``within`` is one burst, so it is one
+    group of an aggregate. Only longer segments are walked: they are numbered by
+    a chunked scan, and their rows sorted by key and segment and streamed
+    through, with one open burst in memory.
     """
     events = df.select(key, "ts_us", "seq", (F.col("event_type") != "fail").cast("int").alias("_ok"))
-    near = with_neighbours(events, "ts_us", within_us, before=True, after=True)
+    near = with_neighbours(events, "ts_us", 2 * within_us, before=True, after=True)
     # repeated records are one row with a count, so that the order is the same wherever it is computed
     near = (near.repartition(key, "_bucket")
                 .groupBy(key, "_bucket", "ts_us", "seq", "_ok").agg(F.count(F.lit(1)).alias("_n"), F.min("_copy").alias("_copy")))
     w = Window.partitionBy(key, "_bucket").orderBy("ts_us", "seq", "_ok")
+    t, me = F.col("ts_us"), F.struct("ts_us", "seq")
     near = near.withColumns({"_before": F.lag(F.struct("ts_us", "_ok")).over(w), "_after": F.lead(F.struct("ts_us", "_ok")).over(w)})
-    t = F.col("ts_us")
-    opens = F.coalesce((F.col("_before._ok") == 1) | (F.col("_before.ts_us") < t - F.lit(within_us)), F.lit(True))
-    fails = near.where((F.col("_copy") == 0) & (F.col("_ok") == 0)).select(
-        key, "ts_us", "seq", "_n", opens.cast("long").alias("_open"), F.when(F.col("_after._ok") == 1, F.col("_after.ts_us")).alias("_close"))
-    fails = add_chunk(fails, "ts_us", chunk_us)
-    fails = running(fails, [key], ["ts_us", "seq"], "_open", "_segment", "_chunk")
-
-    segments = fails.groupBy(key, "_segment").agg(
-        F.min("ts_us").alias("first_u"), F.max("ts_us").alias("last_u"), F.sum("_n").alias("fail_count"),
-        F.max_by("_close", F.struct("ts_us", "seq")).alias("close_u"))
-    is_long = F.col("last_u") - F.col("first_u") > F.lit(within_us)
-    short = segments.where(~is_long).drop("_segment")
-    rows = fails.select(F.col(key).alias("_k"), F.col("_segment").alias("_s"), "ts_us", "seq", "_n", "_close")
-    marks = segments.where(is_long).select(key, "_segment")
-    walked = (rows.join(marks, rows["_k"].eqNullSafe(marks[key]) & (rows["_s"] == marks["_segment"]), "left_semi")
-                  .repartition("_k", "_s").sortWithinPartitions("_k", "_s", "ts_us", "seq")
-                  .select(F.col("_k").alias(key), "_s", "ts_us", "_n", "_close"))
+    # A row at the very front of the copied edge may have an event before it that is not seen. It counts as a
+    # start that is not sure; it lies more than ``within`` ahead of the bucket, so what it starts there is long.
+    opens = (F.col("_ok") == 0) & F.coalesce((F.col("_before._ok") == 1) | (F.col("_before.ts_us") < t - F.lit(within_us)), F.lit(True))
+    near = near.withColumn("_open", opens).withColumn(
+        "_unsure", opens & F.col("_before").isNull() & (t < F.col("_bucket") * F.lit(bucket_width(2 * within_us)) - F.lit(1 + within_us)))
+    near = near.withColumn("_start", F.last(F.when(F.col("_open"), F.struct("ts_us", "seq", "_unsure")), ignorenulls=True).over(w))
+    fails = near.where(F.col("_ok") == 0)
+    last = F.max("ts_us").over(Window.partitionBy(key, "_bucket", "_start"))
+    is_long = F.col("_start._unsure") | (last - F.col("_start.ts_us") > F.lit(within_us))
+    fails = fails.withColumn("_long", is_long).where(F.col("_copy") == 0).select(
+        key, "ts_us", "seq", "_n", "_start", "_long", F.col("_open").cast("long").alias("_open"),
+        F.when(F.col("_after._ok") == 1, F.col("_after.ts_us")).alias("_close"))
+
     schema = T.StructType([df.schema[key], *T._parse_datatype_string(_BURSTS).fields])
+    short = fails.where(~F.col("_long")).groupBy(key, "_start").agg(
+        F.min("ts_us").alias("first_u"), F.max("ts_us").alias("last_u"), F.sum("_n").alias("fail_count"),
+        F.max_by("_close", me).alias("close_u"))
+    walked = add_chunk(fails.where("_long").select(key, "ts_us", "seq", "_n", "_open", "_close"), "ts_us", chunk_us)
+    walked = running(walked, [key], ["ts_us", "seq"], "_open", "_s", "_chunk")
+    walked = (walked.repartition(key, "_s").sortWithinPartitions(key, "_s", "ts_us", "seq")
+                    .select(key, "_s", "ts_us", "_n", "_close"))
     bursts = short.select(schema.names).union(walked.mapInArrow(_walk(key, within_us, schema.names), schema))
 
     cancelled = F.coalesce(F.col("close_u") <= F.col("first_u") + F.lit(within_us), F.lit(False))

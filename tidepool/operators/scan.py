@@ -63,8 +63,10 @@ def stitch(local: DataFrame, carry: DataFrame, part: Sequence[str], out: list |
     return local.join(renamed, on=cond, how="left").select(*(out or [*local.columns, *names]))
 
 
-# Rows of one key and chunk beyond which the chunk is cut further.
+# Rows of one key and chunk beyond which the chunk is cut further, and most chunks
+# that can be so large: the limit rises with the input, so their list is bounded.
 HOT_CHUNK = 200_000
+MOST_HOT = 10_000
 
 
 def add_chunk(df: DataFrame, ts_col: str, width_us: int, name: str = "_chunk") -> DataFrame:
@@ -79,17 +81,18 @@ def add_split_chunk(df: DataFrame, keys: Sequence[str], ts_col: str, tie: str, w
     A bucket with more than ``limit`` rows of a key is cut into parts of equal
     time, or, where all its rows have one time stamp (a bulk load), of equal
     range of a BIGINT ``tie`` or by input split of a place (file, block, row).
-    Which buckets are that large comes from an aggregate with one row per
-    bucket, of which only those few are joined back.
+    Which buckets are that large comes from an aggregate; at most ``MOST_HOT``
+    have more than that share of all rows, so they are broadcast.
     """
     t = F.col(ts_col)
     placed = isinstance(df.schema[tie].dataType, T.StructType)
     s = F.lit(0).cast("long") if placed else F.shiftright(F.col(tie), 2)  # differences stay within BIGINT
     bucketed = add_chunk(df, ts_col, width_us, "_bucket")
-    hot = (bucketed.groupBy(*keys, "_bucket")
-                   .agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_lo"), F.max(t).alias("_hi"),
-                        F.min(s).alias("_slo"), F.max(s).alias("_shi"))
-                   .where(F.col("_n") > limit))
+    stats = (bucketed.groupBy(*keys, "_bucket")
+                     .agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_lo"), F.max(t).alias("_hi"),
+                          F.min(s).alias("_slo"), F.max(s).alias("_shi")))
+    share = F.coalesce(F.call_function("div", stats.agg(F.sum("_n")).scalar(), F.lit(MOST_HOT)), F.lit(0))
+    hot = stats.where(F.col("_n") > F.greatest(F.lit(limit).cast("long"), share))
     tied = F.col("_lo") == F.col("_hi")
     low, high = (F.when(tied, F.col(f"_s{x}")).otherwise(F.col(f"_{x}")) for x in ("lo", "hi"))
     step = F.call_function("div", high - low, 2 * (F.call_function("div", F.col("_n"), F.lit(limit)) + 1)) + 1
@@ -97,7 +100,7 @@ def add_split_chunk(df: DataFrame, keys: Sequence[str], ts_col: str, tie: str, w
     part = F.call_function("div", F.when(F.col("_tied"), s).otherwise(t) - F.col("_from"), F.col("_step"))
     split = F.when(F.col("_tied"), F.struct(F.col(tie)["file"], F.col(tie)["block"])) if placed else F.lit(0)
     chunk = F.struct(F.col("_bucket").alias("bucket"), F.coalesce(part, F.lit(0)).alias("part"), split.alias("split"))
-    return stitch(bucketed, hot, [*keys, "_bucket"], [*df.columns, chunk.alias(name)])
+    return stitch(bucketed, F.broadcast(hot), [*keys, "_bucket"], [*df.columns, chunk.alias(name)])
 
 
 def add_arrival_chunk(df: DataFrame, width_us: int, keys: Sequence[str] = (), name: str = "_chunk",

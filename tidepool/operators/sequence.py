@@ -24,15 +24,18 @@ ORDER = ("ts_us", "seq")
 BUCKET_US = 60_000_000
 
 
-def with_neighbours(df: DataFrame, ts_col: str, reach_us: int, before: bool = False, after: bool = False,
-                    width_us: int | None = None) -> DataFrame:
+def bucket_width(reach_us: int) -> int:
+    return max(4 * reach_us, BUCKET_US)
+
+
+def with_neighbours(df: DataFrame, ts_col: str, reach_us: int, before: bool = False, after: bool = False) -> DataFrame:
     """Rows with ``_bucket`` and ``_copy`` (0: the row itself, 1: a copy for a neighbouring bucket).
 
     With ``after``, a bucket also holds the rows up to ``reach_us`` past its
     end, with ``before`` those up to ``reach_us`` ahead of its start (both
     ends included).
     """
-    width = max(width_us or max(4 * reach_us, BUCKET_US), reach_us + 1)
+    width = bucket_width(reach_us)
     t = F.col(ts_col)
     own = floor_div(t, width)
     into = t - own * F.lit(width)

@@ -1,9 +1,7 @@
-"""Session construction and the shared checkpoint folder."""
+"""Session construction and sizing."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -19,7 +17,8 @@ DEFAULT_CONF = {
     # task (measured: 18 s vs 21 s for all queries at sf0.1); on a cluster the
     # partitions are far above this floor and it changes nothing
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
-    # checkpoint files of iterative operators are deleted once unreferenced
+    # checkpoint files of iterative operators are deleted once unreferenced (they go
+    # to the shared folder the cluster names in spark.checkpoint.dir)
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -36,35 +35,9 @@ def get_session(master: str | None = None, app: str = "tidepool",
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local-mode session without that setting (tests, laptops) gets a
-    scratch folder of its own; on a cluster an unset value is an error,
-    because a machine-local folder would not survive a lost executor. A
-    Spark Connect session has no context here: its server's setting is used.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: checkpoint folder is the server's spark.checkpoint.dir
-        return spark.conf.get("spark.checkpoint.dir", "")
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if shared:
-        sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidepool-ckpt-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")
-    return sc.getCheckpointDir()
-
-
 def sized_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Partition sizing for a cluster run over ``input_bytes`` of input.
 
@@ -82,11 +55,3 @@ def sized_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 <<
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
     }
-
-
-def parallelism(spark: SparkSession) -> int:
-    """Cores available to the session (shuffle width when no context is at hand)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
