@@ -15,7 +15,7 @@ from tidepool.functions.text import ITEM_LABEL, PAGE_LABEL
 from tidepool.functions.timecols import floor_div, ms_of, pane_end, parse_duration_us, timestamp_text
 from tidepool.operators import aggs, keyed, sequence, joins
 from tidepool.operators.topn import ranking_report, top_n
-from tidepool.operators.windows import pane_window_count, sliding_count
+from tidepool.operators.windows import pane_window_count, sliding_count, window_count
 
 
 # ----------------------------------------------------------------------------- hot items
@@ -33,10 +33,7 @@ def hot_items(ub: DataFrame, n: int = 5, size="1 hour", slide="5 minutes") -> Da
 
 def hot_items_sql(spark: SparkSession, ub: DataFrame, n: int = 5) -> DataFrame:
     """The Table API + SQL form: aggregate table as a view, ROW_NUMBER top-n in SQL."""
-    agg = (ub.where("behavior = 'pv'")
-             .groupBy(F.window("ts", "1 hour", "5 minutes").alias("sw"), "item_id")
-             .agg(F.count("item_id").alias("cnt"))
-             .select("item_id", F.unix_millis(F.col("sw.end")).alias("window_end"), "cnt"))
+    agg = window_count(ub.where("behavior = 'pv'"), ["item_id"], "1 hour", "5 minutes", count_col="item_id").drop("window_start")
     return spark.sql(f"""
         SELECT item_id, window_end, cnt, CAST(row_num AS BIGINT) AS row_num
         FROM (

@@ -19,7 +19,7 @@ from tidepool.functions import messages as M
 from tidepool.functions.messages import COUNT_LABEL, ITEM_LABEL, PAGE_LABEL, REPORT_HEADER, RULE
 from tidepool.plans import jobs
 from tidepool.functions.timecols import floor_div, ntz_of
-from tidepool.sources import readers, views
+from tidepool.sources import readers, sinks, views
 from tidepool.operators.windows import sliding_count
 
 LOGIN_WITHIN = "6 hours"
@@ -62,8 +62,7 @@ def _tx(spark, d):
 
 def _records_parsed(spark, d):
     """Order lines built from the events and parsed back by the reader that files and streams use."""
-    lines = views.order_events(_ev(spark, d)).select(F.concat_ws(
-        ",", F.col("order_id").cast("string"), "event_type", "tx_id", floor_div(F.col("ts_us"), 1_000_000).cast("string")).alias("value"))
+    lines = sinks.as_lines(views.order_events(_ev(spark, d)).select("order_id", "event_type", "tx_id", floor_div(F.col("ts_us"), 1_000_000).alias("ts")))
     return readers.parse_records(lines, "order").select("order_id", "event_type", "tx_id", "ts_us")
 
 
