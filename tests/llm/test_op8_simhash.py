@@ -103,6 +103,19 @@ def test_links_equal_brute_force(spark, bucket, cuts):
         [[i for i, e in enumerate(expect) if e == r] for r in set(expect)])
 
 
+@pytest.mark.parametrize("max_bits,bucket", [(3, 4), (3, 4096), (2, 3), (5, 4096), (1, 2)])
+def test_other_distances(spark, max_bits, bucket):
+    rng = random.Random(max_bits)
+    values = sorted(ball(rng, 30, 3) | {rng.getrandbits(64) for _ in range(40)})
+    expect = slow_components(values, max_bits)
+    fps = spark.createDataFrame([(signed(v),) for v in values], "f long").repartition(2)
+    comp = {r["node"]: r["component"] for r in simhash.connected_components(simhash.fingerprint_links(fps, max_bits, bucket, [5])).collect()}
+    groups = {}
+    for i, v in enumerate(values):
+        groups.setdefault(comp.get(signed(v), signed(v)), []).append(i)
+    assert sorted(groups.values()) == sorted([[i for i, e in enumerate(expect) if e == r] for r in set(expect)])
+
+
 ROWS = [(5, "a b c d e f g h", "en"), (3, "A b c\nd e  f g h", "x"), (9, None, None), (7, "", "q"), (7, "", "q"),
         (None, "a b c d e f g h", "n"), (11, "one two", "y"), (None, "zz yy xx ww vv", "n"), (20, "t " * 9000, "long")]
 

@@ -1,0 +1,42 @@
+"""The shared folder and the tables that cut lineage."""
+
+import pytest
+
+from tidepool.llm import scratch
+
+
+class Conf(dict):
+    def get(self, key, default=None):
+        return dict.get(self, key, default)
+
+    def set(self, key, value):
+        self[key] = value
+
+
+class Session:
+    def __init__(self, **conf):
+        self.conf = Conf({k.replace("_", "."): v for k, v in conf.items()})
+
+
+def test_the_named_folder_is_used():
+    assert scratch.shared_dir(Session(spark_master="spark://x", spark_checkpoint_dir="hdfs:///shared")) == "hdfs:///shared"
+    assert scratch.new_path(Session(spark_checkpoint_dir="hdfs:///shared/"), "x").startswith("hdfs:///shared/tidepool-llm/")
+
+
+@pytest.mark.parametrize("master", ["spark://x", "yarn", "local-cluster[2,1,1024]", ""])
+def test_a_cluster_without_one_is_an_error(master):
+    with pytest.raises(RuntimeError):
+        scratch.shared_dir(Session(spark_master=master))
+
+
+def test_a_local_session_gets_its_own():
+    s = Session(spark_master="local[2]")
+    assert scratch.shared_dir(s) == scratch.shared_dir(s) == s.conf["spark.checkpoint.dir"]
+
+
+def test_cut_and_row_hash(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), ("a", "a"), (None, "a")], "x string, y string")
+    assert sorted(map(str, scratch.cut(df, "t").collect())) == sorted(map(str, df.collect()))
+    assert scratch.cut(df.limit(0), "t").collect() == []
+    hashes = [r[0] for r in df.select(scratch.row_hash(df)).collect()]
+    assert len(set(hashes)) == 3 and hashes[0] == hashes[3]

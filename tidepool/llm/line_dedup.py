@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.llm.scratch import cut, row_hash
-from tidepool.llm.textio import utf8
+from tidepool.llm.textio import parts, utf8
 
 #: Line hashes sent to a shard, on average: the bound of a shard's distinct keys but for chance.
 SHARD = 200_000
@@ -137,7 +137,7 @@ def _probes(docs: DataFrame) -> DataFrame:
     """(doc, high, low): the distinct non-empty line keys of each row of ``docs`` (doc, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             keys = [[k for k in dict.fromkeys(line_keys(t)) if k] for t in utf8(b.column("text"))]
             doc = np.repeat(b.column("doc").to_numpy(), [len(k) for k in keys])
             h = _hashes([k for ks in keys for k in ks]).view(np.int64)
@@ -216,7 +216,7 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, text: str = "text")
                            T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             texts, before, dropped = [], [], []
             for t, gone in zip(utf8(b.column("text")), b.column("gone").to_pylist()):
                 lines = t.split(b"\n")

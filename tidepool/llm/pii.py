@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.llm.scratch import cut, row_hash
-from tidepool.llm.textio import utf8
+from tidepool.llm.textio import parts, utf8
 
 KINDS = ("email", "iban", "card", "ssn", "ip", "phone", "name")
 #: Draws after which a surrogate may get longer, and after which the space counts as used up.
@@ -275,7 +275,7 @@ def replace_entities(docs: DataFrame, key: bytes, text: str = "text") -> DataFra
                         F.struct(*[F.col(f"`{c}`") for c in others], F.lit(0).alias("_")).alias("kept"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             rows = []
             for doc, doc2, t in zip(b.column("doc").to_pylist(), b.column("doc2").to_pylist(), utf8(b.column("text"))):
                 t = t.decode()
@@ -292,17 +292,17 @@ def replace_entities(docs: DataFrame, key: bytes, text: str = "text") -> DataFra
     schema = T.StructType([joined.schema["kept"], T.StructField("text", T.StringType()), T.StructField("n_entities", T.IntegerType()), T.StructField("entities", listed)])
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             texts, spans = [], []
             for t, found in zip(b.column("text").to_pylist(), b.column("hits").to_pylist()):
-                parts, at, length, marks = [], 0, 0, []
+                pieces, at, length, marks = [], 0, 0, []
                 for h in found or ():
                     new = render(h["kind"], h["original"], h["surrogate"])
-                    parts += [t[at: h["start"]], new]
+                    pieces += [t[at: h["start"]], new]
                     length += h["start"] - at + len(new)
                     marks.append({"kind": h["kind"], "start": length - len(new), "end": length})
                     at = h["end"]
-                texts.append("".join([*parts, t[at:]]) if parts else t)
+                texts.append("".join([*pieces, t[at:]]) if pieces else t)
                 spans.append(marks)
             yield pa.RecordBatch.from_arrays(
                 [b.column("kept"), pa.array(texts, pa.string()), pa.array(map(len, spans), pa.int32()),

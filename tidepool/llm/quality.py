@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.textio import utf8, word_pieces
+from tidepool.llm.textio import parts, utf8, word_pieces
 
 #: Most labelled rows a model is fitted on.
 MAX_LABELS = 20_000
@@ -205,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     marked = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(chosen), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             x = [statistics(t)[1] for t in utf8(b.column("text"))]
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("y"), pa.array(x, pa.list_(pa.float64()))], ["id", "y", "x"])
 
@@ -227,7 +227,7 @@ def judge(docs: DataFrame, trees: Trees, text: str = "text", threshold: float =
     source = docs.select(F.struct(*[F.col(f"`{c}`") for c in others], F.lit(0).alias("_")).alias("kept_columns"), F.col(f"`{text}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             stats = [statistics(t) for t in utf8(b.column("text"))]
             counts = np.array([s[0] for s in stats], np.int64).reshape(-1, len(COUNTS))
             score = trees.score(np.array([s[1] for s in stats], float).reshape(-1, len(FEATURES)))

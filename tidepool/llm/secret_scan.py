@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.textio import utf8
+from tidepool.llm.textio import parts, utf8
 
 # The base patterns and the shortest value or match that counts.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -212,7 +212,7 @@ def scan(docs: DataFrame, text: str = "text", words: tuple[str, ...] = WORDS, th
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dictionary = Words(words)
-        for b in batches:
+        for b in parts(batches):
             rows = []
             for t in utf8(b.column("text")):
                 found = find(t.decode(), dictionary, threshold)

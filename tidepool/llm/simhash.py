@@ -34,9 +34,11 @@ from pyspark.sql import types as T
 
 from tidepool.llm.components import connected_components
 from tidepool.llm.scratch import cut
-from tidepool.llm.textio import utf8, word_pieces
+from tidepool.llm.textio import parts, utf8, word_pieces
 
 BITS = 64
+#: Bits of a variant's key that hold segments; the others hold the choice of segments and the wildcard.
+KEY_BITS = 48
 #: Largest bucket of distinct fingerprints that one task compares pairwise.
 BUCKET = 4096
 #: Distinct fingerprints up to which a cut of so many segments is used first.
@@ -85,7 +87,7 @@ def with_fingerprints(docs: DataFrame, shingle: int = 4, text: str = "text", kee
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
-        for b in batches:
+        for b in parts(batches):
             fps = np.array([fingerprint(t, shingle) for t in utf8(b.column("_text"))], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row, row + b.num_rows)), pa.array(fps), b.column("_kept")], ["_row", "_fp", "_kept"])
@@ -98,8 +100,9 @@ def _tables(segments: int, max_bits: int) -> list[list[tuple[int, int]]]:
     """The choices of segments, as (low bit, width), of which one differs by at most one bit."""
     edges = [round(i * BITS / segments) for i in range(segments + 1)]
     cuts = [(a, b - a) for a, b in zip(edges, edges[1:])]
-    # the largest k such that the k segments with the fewest of max_bits differences have at most one between them
-    k = max((k for k in range(1, segments) if _least_worst(segments, k, max_bits) <= 1), default=0)
+    # the largest k such that the k segments with the fewest of max_bits differences have at most one between them, and a key holds them
+    widest = sorted((w for _, w in cuts), reverse=True)
+    k = max((k for k in range(1, segments) if _least_worst(segments, k, max_bits) <= 1 and sum(widest[:k]) <= KEY_BITS), default=0)
     if not k:
         raise ValueError(f"{segments} segments are too few for {max_bits} bits")
     return [list(c) for c in itertools.combinations(cuts, k)]
@@ -130,10 +133,8 @@ def variant_keys(fps: np.ndarray, tables: list[list[tuple[int, int]]]) -> np.nda
         for low, w in choice:
             value = (value << np.uint64(w)) | ((fps >> np.uint64(low)) & np.uint64((1 << w) - 1))
             width += w
-        if width > 48:
-            raise ValueError("a key holds at most 48 bits")
         for j in range(width):
-            tag = np.uint64(((t << 6) | j) << 48)
+            tag = np.uint64(((t << 6) | j) << KEY_BITS)
             out.append(tag | (value & ~np.uint64(1 << j)))
     return np.stack(out, axis=1)
 
@@ -243,39 +244,53 @@ def _by_key(fps: DataFrame, keys_of) -> DataFrame:
     return fps.mapInArrow(_explode(keys_of), schema).repartition("k").sortWithinPartitions("k")
 
 
-def _midpoints(max_bits: int):
-    """All values within half of ``max_bits`` (even) of a fingerprint."""
-    flips = [0]
-    for n in range(1, max_bits // 2 + 1):
-        flips += [sum(1 << i for i in c) for c in itertools.combinations(range(BITS), n)]
-    flips = np.array(flips, np.uint64)
-    return lambda fps: fps[:, None] ^ flips[None, :]
+def _flips(max_bits: int) -> np.ndarray:
+    """Changes of at most half of ``max_bits`` bits, rounded up, fewest bits first."""
+    masks = [sum(1 << i for i in c) for n in range((max_bits + 1) // 2 + 1) for c in itertools.combinations(range(BITS), n)]
+    return np.array(masks, np.uint64)
+
 
+_MIDPOINTS = T.StructType([T.StructField("k", T.LongType()), T.StructField("far", T.BooleanType()), T.StructField("f", T.LongType())])
 
-def _midpoint_links(max_bits: int):
-    """Sorted (midpoint, fp) rows to links from each fingerprint to the first one of its midpoint.
 
-    Two fingerprints within half of ``max_bits`` of one value differ by at most
-    ``max_bits``, so these links need no check and a run of any length streams by.
+def _midpoint_links(fps: DataFrame, max_bits: int) -> DataFrame:
+    """Links from every fingerprint near a midpoint to the first that is within half of ``max_bits`` (rounded down) of it.
+
+    Two fingerprints differ by at most ``max_bits`` if and only if some value is
+    within half of that, rounded down, of the one and rounded up of the
+    other. So these links need no check and a run of any length streams by.
     """
-    if max_bits % 2:
-        raise ValueError("midpoints need an even number of bits")
+    flips = _flips(max_bits)
+    far = np.bitwise_count(flips) > max_bits // 2
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, hub = None, 0
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = b.column("f").to_numpy().view(np.uint64)
+            for i in range(0, len(fps), 256):
+                part = fps[i: i + 256]
+                keys = part[:, None] ^ flips[None, :]
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), pa.array(np.tile(far, len(part))),
+                                                  pa.array(np.repeat(part.view(np.int64), len(flips)))], _MIDPOINTS.names)
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, hub = None, None  # of the run that goes on; no hub: no near member
         for b in batches:
             k, f = b.column("k").to_numpy(), b.column("f").to_numpy()
+            is_far = b.column("far").to_numpy(zero_copy_only=False)
+            if not len(k):
+                continue
             starts = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-            hubs = f[starts].copy()
-            if key is not None and len(k) and k[0] == key:
-                hubs[0] = hub
-            hub_of = np.repeat(hubs, np.diff(np.concatenate((starts, [len(k)]))))
-            if len(k):
-                key, hub = k[-1], hub_of[-1]
-            links = np.unique(np.stack((f, hub_of), axis=1)[f != hub_of], axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], ["a", "b"])
+            hubs, has = f[starts].copy(), ~is_far[starts]  # near members come first
+            if key is not None and k[0] == key:
+                hubs[0], has[0] = (hub, True) if hub is not None else (hubs[0], has[0])
+            sizes = np.diff(np.concatenate((starts, [len(k)])))
+            hub_of, linked = np.repeat(hubs, sizes), np.repeat(has, sizes)
+            key, hub = k[-1], hub_of[-1] if linked[-1] else None
+            linked &= f != hub_of
+            links = np.unique(np.stack((f[linked], hub_of[linked]), axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], _LINKS.names)
 
-    return run
+    return fps.mapInArrow(spread, _MIDPOINTS).repartition("k").sortWithinPartitions("k", "far").mapInArrow(link, _LINKS)
 
 
 def fingerprint_links(fps: DataFrame, max_bits: int = 4, bucket: int = BUCKET,
@@ -297,24 +312,22 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4, bucket: int = BUCKET,
         if fps.isEmpty():
             break
     else:
-        links.append(cut(_by_key(fps, _midpoints(max_bits)).mapInArrow(_midpoint_links(max_bits), _LINKS), "links-midpoints"))
+        links.append(cut(_midpoint_links(fps, max_bits), "links-midpoints"))
     out = links[0]
     for more in links[1:]:
         out = out.union(more)
     return out
 
 
-def _assigned(docs: DataFrame, shingle: int, max_bits: int, text: str, id_col: str, keep: list[str], bucket: int) -> DataFrame:
-    """``_row``, ``_fp``, ``_c`` (a fingerprint that names the component), ``_component`` and ``_kept`` (a struct)."""
-    rows = with_fingerprints(docs, shingle, text, keep)
-    ids = rows.select("_fp", F.col(f"_kept.`{id_col}`").alias("_id"))
-    classes = ids.groupBy("_fp").agg(F.min("_id").alias("_id"))
+def _components(rows: DataFrame, id_col: str, max_bits: int, bucket: int) -> DataFrame:
+    """``_fp``, ``_c`` (a fingerprint that names the component) and ``_component`` of the fingerprints of ``rows``."""
+    classes = rows.groupBy("_fp").agg(F.min(f"_kept.`{id_col}`").alias("_id"))
     links = fingerprint_links(classes.select(F.col("_fp").alias("f")), max_bits, bucket)
     comps = connected_components(links)
     joined = classes.join(comps, classes["_fp"] == comps["node"], "left").select(
         "_fp", "_id", F.coalesce("component", "_fp").alias("_c"))
     least = joined.groupBy("_c").agg(F.min("_id").alias("_component"))
-    return rows.join(cut(joined.join(least, "_c").select("_fp", "_c", "_component"), "classes"), "_fp")
+    return cut(joined.join(least, "_c").select("_fp", "_c", "_component"), "classes")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, text: str = "text",
@@ -330,7 +343,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, text:
     table gives no rows.
     """
     keep = [c for c in docs.columns if c != text] if keep is None else keep
-    rows = _assigned(docs, shingle, max_bits, text, id_col, list(dict.fromkeys([*keep, id_col])), bucket)
+    rows = with_fingerprints(docs, shingle, text, list(dict.fromkeys([*keep, id_col])))
+    rows = rows.join(_components(rows, id_col, max_bits, bucket), "_fp")
     shown = [c for c in keep if c.lower() not in ("fingerprint", "component_id")]
     return rows.select(*[F.col(f"_kept.`{c}`").alias(c) for c in shown],
                        F.col("_fp").alias("fingerprint"), F.col("_component").alias("component_id"))
@@ -341,12 +355,11 @@ def keep_one_each(docs: DataFrame, shingle: int = 4, max_bits: int = 4, text: st
     """One row of every near-duplicate component, with the columns of ``docs``.
 
     The row of the smallest id stays (of several such rows the one read
-    first; null ids come last). The rows to drop are few columns wide and are
-    taken off by an anti join on the row number.
+    first; null ids come last). Components and the choice are made on rows a
+    few columns wide; the documents meet them once, on their unique row number.
     """
-    rows = _assigned(docs, shingle, max_bits, text, id_col, docs.columns, bucket)
-    ids = rows.select("_row", "_c", F.col(f"_kept.`{id_col}`").alias("_id"))
+    rows = with_fingerprints(docs, shingle, text, docs.columns)
     first = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_row").alias("r"))
-    best = ids.groupBy("_c").agg(F.min(first).alias("m"), F.count("*").alias("n")).where("n > 1").select("_c", F.col("m.r").alias("_best"))
-    drop = ids.join(best, "_c").where("_row <> _best").select("_row")
-    return rows.join(drop, "_row", "left_anti").select(*[F.col(f"_kept.`{c}`").alias(c) for c in docs.columns])
+    narrow = rows.select("_row", "_fp", F.col(f"_kept.`{id_col}`").alias("_id")).join(_components(rows, id_col, max_bits, bucket), "_fp")
+    best = narrow.groupBy("_c").agg(F.min(first).alias("m")).select(F.col("m.r").alias("_row"))
+    return rows.join(best, "_row", "left_semi").select(*[F.col(f"_kept.`{c}`").alias(c) for c in docs.columns])

@@ -32,5 +32,8 @@ def word_pieces(data: bytes, size: int = 1 << 22) -> Iterator[list[bytes]]:
         start = max(stop, 1)
 
 
-def without(batch: pa.RecordBatch, names: set[str]) -> list[tuple[str, pa.Array]]:
-    return [(n, batch.column(i)) for i, n in enumerate(batch.schema.names) if n not in names]
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows, so that few texts are Python objects at a time."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
