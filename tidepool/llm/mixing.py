@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.llm.scratch import cut, row_hash
-from tidepool.llm.textio import utf8, word_pieces
+from tidepool.llm.textio import parts, utf8, word_pieces
 
-#: Documents to a block of a source in the first round, and blocks that meet in one of the next round.
-BLOCK = 50_000
+#: Documents of all sources to a block in the first round, and blocks that meet in one of the next round.
+BLOCK = 2_000
 FAN = 1024
 #: Fractions so near to 0 or 1 count as decided.
 EPS = 1e-9
@@ -209,10 +209,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     names = ["size", "source_size", "target", "copies", "taken"]
     others = [c for c in docs.columns if c.lower() not in names]
     keyed = docs.select(row_hash(docs, 0).alias("key"), row_hash(docs, 1).alias("key2"), F.col(f"`{source}`").cast("string").alias("source"),
-                        F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in others], F.lit(0).alias("_")).alias("kept"))
+                        F.col(f"`{text}`").alias("text"), *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(others)])
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             n = [sum(map(len, word_pieces(t))) for t in utf8(b.column("text"))]
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("source", "key", "key2")], pa.array(n, pa.int64())], ["source", "key", "key2", "size"])
 
@@ -230,8 +230,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     decided = balanced_fractions(units, block, fan).select(
         "key", "key2", "size", "source_size", "target", "rows", (F.col("whole") + F.col("x").cast("long")).alias("all_copies"))
 
-    joined = keyed.select("key", "key2", "kept").join(decided, ["key", "key2"])
+    # flat columns, so that those the caller drops are not shuffled
+    joined = keyed.select("key", "key2", *[f"_{i}" for i in range(len(others))]).join(decided, ["key", "key2"])
     turn = F.row_number().over(Window.partitionBy("key", "key2").orderBy("key"))
     copies = F.floor(F.col("all_copies") / F.col("rows")) + F.when(turn <= F.col("all_copies") % F.col("rows"), 1).otherwise(0)
     return joined.withColumn("copies", copies.cast("long")).select(
-        *[F.col(f"kept.`{c}`").alias(c) for c in others], "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+        *[F.col(f"_{i}").alias(c) for i, c in enumerate(others)], "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
