@@ -48,6 +48,13 @@ def test_code_points(pair):
             same(pair, f"a{chr(c)}{chr(c)} {chr(c)}1")
 
 
+def test_both_splits_agree(pair):
+    rng = random.Random(10)
+    for _ in range(4000):
+        text = "".join(chr(rng.randrange(256)) if rng.random() < 0.4 else rng.choice(" \n\t'sadé1\xa0\x85!") for _ in range(rng.randint(0, 30)))
+        assert pair[0].split_latin(text) == pair[0].split_any(text), text
+
+
 def test_long_pieces(pair, monkeypatch):
     rng = random.Random(7)
     text = "".join(rng.choices(["ab", " ", "  ", "\n", "1", "'s", " x", "é", "!"], k=4000))
