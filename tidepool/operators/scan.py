@@ -63,8 +63,8 @@ def stitch(local: DataFrame, carry: DataFrame, part: Sequence[str], out: list |
     return local.join(renamed, on=cond, how="left").select(*(out or [*local.columns, *names]))
 
 
-# Rows of one key and chunk beyond which the chunk is cut further, and most chunks
-# that can be so large: the limit rises with the input, so their list is bounded.
+# Rows of one key and chunk beyond which the chunk is cut further, and how many chunks
+# are cut at most: the largest, so any other has at most 1 / MOST_HOT of all rows.
 HOT_CHUNK = 200_000
 MOST_HOT = 10_000
 
@@ -81,8 +81,8 @@ def add_split_chunk(df: DataFrame, keys: Sequence[str], ts_col: str, tie: str, w
     A bucket with more than ``limit`` rows of a key is cut into parts of equal
     time, or, where all its rows have one time stamp (a bulk load), of equal
     range of a BIGINT ``tie`` or by input split of a place (file, block, row).
-    Which buckets are that large comes from an aggregate; at most ``MOST_HOT``
-    have more than that share of all rows, so they are broadcast.
+    Which buckets are that large comes from an aggregate; the ``MOST_HOT``
+    largest of them are broadcast.
     """
     t = F.col(ts_col)
     placed = isinstance(df.schema[tie].dataType, T.StructType)
@@ -91,8 +91,7 @@ def add_split_chunk(df: DataFrame, keys: Sequence[str], ts_col: str, tie: str, w
     stats = (bucketed.groupBy(*keys, "_bucket")
                      .agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_lo"), F.max(t).alias("_hi"),
                           F.min(s).alias("_slo"), F.max(s).alias("_shi")))
-    share = F.coalesce(F.call_function("div", stats.agg(F.sum("_n")).scalar(), F.lit(MOST_HOT)), F.lit(0))
-    hot = stats.where(F.col("_n") > F.greatest(F.lit(limit).cast("long"), share))
+    hot = stats.where(F.col("_n") > limit).orderBy(F.col("_n").desc(), *keys, "_bucket").limit(MOST_HOT)
     tied = F.col("_lo") == F.col("_hi")
     low, high = (F.when(tied, F.col(f"_s{x}")).otherwise(F.col(f"_{x}")) for x in ("lo", "hi"))
     step = F.call_function("div", high - low, 2 * (F.call_function("div", F.col("_n"), F.lit(limit)) + 1)) + 1

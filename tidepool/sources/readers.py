@@ -42,20 +42,35 @@ MODES = ("FAILFAST", "DROPMALFORMED", "PERMISSIVE")
 CORRUPT = "_corrupt_record"
 
 
-def _checked(df: DataFrame, good: Column, fields: dict[str, Column], line: Column, what: str, mode: str) -> DataFrame:
-    """``fields`` beside ``df``'s other columns; ``good`` is checked on every row in each mode.
+def _checked(lines: DataFrame, value: str, sep: str, of, what: str, mode: str) -> DataFrame:
+    """The fields of each line beside the other columns; every line is checked in each mode.
 
-    In FAILFAST the check is a filter, which no column pruning takes away.
+    ``of`` gives (is the line good, its fields by name) from the array of its
+    parts. Both are taken from one split, bound as a lambda variable. In FAILFAST
+    the check is a filter, which no column pruning takes away.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
+    names: list[str] = []
+
+    def record(parts: Column) -> Column:
+        good, fields = of(parts)
+        names[:] = fields
+        return F.struct(F.coalesce(good, F.lit(False)).alias("_good"), *[c.alias(n) for n, c in fields.items()])
+
+    line = F.col("_line")
+    df = lines.withColumnRenamed(value, "_line")
+    df = df.withColumn("_rec", F.get(F.transform(F.array(F.split(line, sep, -1)), record), F.lit(0)))
+    good = F.coalesce(F.col("_rec._good"), F.lit(False))
+    fields = {n: F.col(f"_rec.{n}") for n in names}
     if mode == "FAILFAST":
         message = F.concat(F.lit(f"malformed {what} line: "), F.coalesce(line, F.lit("NULL")))
-        return df.where(F.when(good, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))).withColumns(fields)
-    if mode == "DROPMALFORMED":
-        return df.where(good).withColumns(fields)
-    kept = {n: F.when(good, c) for n, c in fields.items()}
-    return df.withColumns({**kept, CORRUPT: F.when(~good, line)})
+        df = df.where(F.when(good, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    elif mode == "DROPMALFORMED":
+        df = df.where(good)
+    else:
+        fields = {**{n: F.when(good, c) for n, c in fields.items()}, CORRUPT: F.when(~good, line)}
+    return df.withColumns(fields).drop("_line", "_rec")
 
 
 def parse_records(lines: DataFrame, kind: str, mode: str = "FAILFAST", value: str = "value") -> DataFrame:
@@ -66,19 +81,19 @@ def parse_records(lines: DataFrame, kind: str, mode: str = "FAILFAST", value: st
     batch and streaming reads. Other columns of ``lines`` stay, ``value`` goes.
     """
     schema, unit = RECORDS[kind]
-    parts = F.split(F.col("_line"), ",", -1)
-    good = F.size(parts) == len(schema.fields)
-    fields = {}
-    for i, f in enumerate(schema.fields):
-        part = F.get(parts, F.lit(i))
-        if f.dataType != S:
-            good = good & part.rlike("^[+-]?[0-9]+$")
-            part = part.try_cast(f.dataType)
-            good = good & part.isNotNull()
-        fields[f.name] = part
-    df = lines.withColumnRenamed(value, "_line")
-    df = _checked(df, F.coalesce(good, F.lit(False)), fields, F.col("_line"), kind, mode).drop("_line")
-    return _timed(df, list(fields), unit)
+
+    def of(parts: Column) -> tuple[Column, dict[str, Column]]:
+        good, fields = F.size(parts) == len(schema.fields), {}
+        for i, f in enumerate(schema.fields):
+            part = F.get(parts, F.lit(i))
+            if f.dataType != S:
+                good = good & part.rlike("^[+-]?[0-9]+$")
+                part = part.try_cast(f.dataType)
+                good = good & part.isNotNull()
+            fields[f.name] = part
+        return good, fields
+
+    return _timed(_checked(lines, value, ",", of, kind, mode), schema.names, unit)
 
 
 def _timed(df: DataFrame, fields: list[str], unit: str | None = None) -> DataFrame:
@@ -115,7 +130,7 @@ def stream_records(spark: SparkSession, path: str, kind: str, max_files: int | N
 # Web log layout - space separated, field 0 ip, 1 user id,
 # 3 time as dd/MM/yyyy:HH:mm:ss, 4 zone (not read), 5 method, 6 url.
 WEB_LOG_FIELDS = 7
-WEB_LOG_TIME = r"^(\d{2})/(\d{2})/(\d{4}):(\d{2}):(\d{2}):(\d{2})$"
+WEB_LOG_TIME = r"^\d\d/\d\d/\d{4}:\d\d:\d\d:\d\d$"
 
 
 def parse_web_log(lines: DataFrame, zone: str = "UTC", value: str = "value", mode: str = "FAILFAST") -> DataFrame:
@@ -124,17 +139,17 @@ def parse_web_log(lines: DataFrame, zone: str = "UTC", value: str = "value", mod
     The time field has no zone of its own; ``zone`` says which wall clock it
     is. Fields past the seventh are not read.
     """
-    parts = F.split(F.col("_line"), " ", -1)
-    at = lambda i: F.get(parts, F.lit(i))
-    number = lambda g: F.regexp_extract(at(3), WEB_LOG_TIME, g).try_cast("int")
-    wall = F.try_make_timestamp_ntz(number(3), number(2), number(1), number(4), number(5), number(6).cast("decimal(8,6)"))
-    good = (F.size(parts) >= WEB_LOG_FIELDS) & wall.isNotNull()
+    def of(parts: Column) -> tuple[Column, dict[str, Column]]:
+        at = lambda i: F.get(parts, F.lit(i))
+        number = lambda start, n: F.substring(at(3), start, n).try_cast("int")
+        wall = F.try_make_timestamp_ntz(number(7, 4), number(4, 2), number(1, 2), number(12, 2), number(15, 2), number(18, 2).cast("decimal(8,6)"))
+        good = (F.size(parts) >= WEB_LOG_FIELDS) & at(3).rlike(WEB_LOG_TIME) & wall.isNotNull()
+        return good, {"ip": at(0), "user_id": at(1), "method": at(5), "url": at(6), "ts": wall}
+
+    df = _checked(lines, value, " ", of, "web log", mode)
     if zone.upper() != "UTC":
-        wall = F.convert_timezone(F.lit(zone), F.lit("UTC"), wall)
-    fields = {"ip": at(0), "user_id": at(1), "method": at(5), "url": at(6), "ts": wall}
-    df = lines.withColumnRenamed(value, "_line")
-    df = _checked(df, F.coalesce(good, F.lit(False)), fields, F.col("_line"), "web log", mode).drop("_line")
-    return _timed(df, list(fields))
+        df = df.withColumn("ts", F.convert_timezone(F.lit(zone), F.lit("UTC"), F.col("ts")))
+    return _timed(df, ["ip", "user_id", "method", "url", "ts"])
 
 
 def read_web_log(spark: SparkSession, path: str, zone: str = "UTC", mode: str = "FAILFAST") -> DataFrame:
