@@ -90,3 +90,14 @@ def test_dataframe(spark):
     from tidepool.llm.registry import op1_digest
     digest = {r.doc_id: r for r in op1_digest(df).collect()}
     assert digest[2].base_sha256 == hashlib.sha256(b"").hexdigest() and digest[3].n_access == 1
+
+
+def test_words_after_credential_names_are_clean(spark):
+    for text in ("your token is invalid", "the password is incorrect", "the secret is simplicity", "Password is required.", "password: mandatory", "the passphrase is misconfigured"):
+        assert ss.find(text, WORDS) == [] or all(k == "assign" for *_, k, _ in ss.find(text, WORDS)), text
+    # words of another language come from the corpus; a repeated secret does not become one
+    rows = [(i, f"Das Kennwort bleibt ungültig und unvollständig. pwd: qzxvkjwpfhg {'x' * (i % 3)}") for i in range(8)] + [(99, "Das token is unvollständig")]
+    got = {r.doc_id: r for r in ss.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got[99].n_guess == 0 and all(got[i].n_guess == 1 for i in range(8))
+    assert "unvollständig" in ss.corpus_words(spark.createDataFrame(rows, "doc_id long, text string")) and "qzxvkjwpfhg" not in ss.corpus_words(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert len(ss.GENERAL) > 30_000

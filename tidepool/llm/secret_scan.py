@@ -12,8 +12,11 @@ the threshold are reported as spans of kind ``guess``.
 
 from __future__ import annotations
 
+import functools
 import math
+import pkgutil
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -42,12 +45,18 @@ _HINTS = tuple(sorted({"pass", "pwd", "pin", "credential", "secret", "token", "k
 
 #: log10 of the guesses from which a value counts as a secret.
 THRESHOLD = 9.0
-#: Common words of passwords and of prose in order of how often they are guessed; a parameter where a larger list is at hand.
-WORDS = tuple("""password admin root user login welcome letmein master secret test guest changeme default qwerty dragon monkey
+#: Common words of passwords in order of how often they are guessed.
+PASSWORDS = tuple("""password admin root user login welcome letmein master secret test guest changeme default qwerty dragon monkey
 shadow sunshine princess football baseball superman batman trustno starwars hello love money summer winter spring autumn monday friday
 january february march april june july august september october november december the and for you that this with have from
 your what when time work home computer internet server system access token key pass word example sample dummy placeholder foobar
 company office service account test123 public private none null true false todo""".split())
+#: General words, most common first: the whole words among the tokens of three public BPE vocabularies, in the order of their merges.
+GENERAL = tuple(pkgutil.get_data("tidepool.llm", "words.txt").decode().split())
+#: The dictionary a scan uses beside the corpus's own words; a parameter where a larger list is at hand.
+WORDS = tuple(dict.fromkeys(PASSWORDS + GENERAL))
+#: Most words of the corpus that become a dictionary, and documents that must have a word outside credential values.
+CORPUS_WORDS, CORPUS_MIN_DOCS = 20_000, 5
 # Rows of common keyboards; a walk runs along one of them in either direction.
 KEYBOARD = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./", "~!@#$%^&*()_+", "qwertzuiop", "yxcvbnm", "azertyuiop", "abcdefghijklmnopqrstuvwxyz")
 LEET = str.maketrans("4@310$5+7", "aaeiosstt")
@@ -64,13 +73,27 @@ def _class(c: str) -> str:
 
 
 class Words:
-    """Ranks of dictionary words and the rules of their variants."""
+    """Ranks of dictionary words, the best of all dictionaries, and the rules of their variants."""
 
-    def __init__(self, words: tuple[str, ...] = WORDS):
-        self.rank = {}
-        for i, w in enumerate(words, 1):
-            self.rank.setdefault(w.lower(), i)
+    def __init__(self, words: tuple[str, ...] = WORDS, *more: tuple[str, ...]):
+        self.rank: dict[str, int] = {}
+        for ranked in (words, *more):
+            for i, w in enumerate(ranked, 1):
+                self.rank[w.lower()] = min(i, self.rank.get(w.lower(), i))
         self.longest = max(map(len, self.rank), default=0)
+        self.starts = {w[:k] for w in self.rank for k in range(3, len(w) + 1)}  # of words, and of words reversed
+        self.ends = {w[::-1][:k] for w in self.rank for k in range(3, len(w) + 1)}
+
+    def reach(self, low: str, leet: str, i: int) -> int:
+        """Where the longest span from ``i`` ends that may still be a word or a reversed one."""
+        j = min(len(low), i + self.longest)
+        most = i + 2
+        for of, known in ((low, self.starts), (leet, self.starts), (low, self.ends)):
+            k = i + 3
+            while k <= j and of[i:k] in known:
+                k += 1
+            most = max(most, k - 1)
+        return most
 
     def cost(self, part: str) -> float | None:
         """log10 guesses of a span as one dictionary word, in any case, reversed or with digits for letters."""
@@ -86,14 +109,24 @@ class Words:
         return best + (0 if not uppers else 0.31 if uppers == len(part) or part[0].isupper() and uppers == 1 else math.log10(2 + math.comb(len(part), uppers)))
 
 
+@functools.lru_cache(maxsize=2)
+def dictionary(words: tuple[str, ...], own: tuple[str, ...]) -> Words:
+    """The same for all tasks of a Python worker."""
+    return Words(words, own)
+
+
 def spans(value: str, words: Words) -> Iterator[tuple[int, int, float, str]]:
     """(start, end, log10 guesses, kind) of the words, dates, repeats and walks in a value.
 
     Repeats and walks are maximal: a run of one character or of one row of keys.
     """
     n = len(value)
+    low = value.lower()
+    if len(low) != n:  # a letter whose lower case has two
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
+    leet = low.translate(LEET)
     for i in range(n):
-        for j in range(i + 3, min(n, i + words.longest) + 1):
+        for j in range(i + 3, words.reach(low, leet, i) + 1):
             c = words.cost(value[i:j])
             if c is not None:
                 yield i, j, c, "word"
@@ -108,7 +141,6 @@ def spans(value: str, words: Words) -> Iterator[tuple[int, int, float, str]]:
         if j - i >= 3:
             yield i, j, BRUTE[_class(value[i])] + math.log10(j - i), "repeat"
         i = j
-    low = value.lower()
     for row in KEYBOARD:
         place = {c: k for k, c in enumerate(row)}
         i = 0
@@ -198,9 +230,48 @@ _FOUND = T.StructType([
     T.StructField("max_cost", T.DoubleType())])
 
 
-def scan(docs: DataFrame, text: str = "text", words: tuple[str, ...] = WORDS, threshold: float = THRESHOLD) -> DataFrame:
+_LETTERS = re.compile(r"[^\W\d_]{3,}")
+
+
+def corpus_words(docs: DataFrame, text: str = "text", most: int = CORPUS_WORDS, min_docs: int = CORPUS_MIN_DOCS) -> tuple[str, ...]:
+    """The words of the most documents, most common first and equal counts by word.
+
+    A word counts where it stands outside credential values, so that a secret
+    that is repeated does not become a word. A task holds the counts of about a
+    million words at a time; they are added up by a shuffle.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[str] = Counter()
+
+        def out() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
+            held.clear()
+            return made
+
+        for b in parts(batches):
+            for t in utf8(b.column("text")):
+                t = t.decode()
+                at, pieces = 0, []
+                for i, j in credential_values(t):
+                    pieces.append(t[at:i])
+                    at = j
+                held.update(set(_LETTERS.findall(" ".join([*pieces, t[at:]]).lower())))
+                if len(held) > 1 << 20:
+                    yield out()
+        yield out()
+
+    counted = docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(run, "word string, n long")
+    top = counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs).orderBy(F.desc("n"), "word").limit(most)
+    return tuple(r.word for r in top.collect())
+
+
+def scan(docs: DataFrame, text: str = "text", words: tuple[str, ...] = WORDS, threshold: float = THRESHOLD,
+         most_corpus_words: int = CORPUS_WORDS) -> DataFrame:
     """Columns of ``docs`` with counts by kind, ``base_spans``, ``spans`` and ``max_cost``.
 
+    ``words`` is the dictionary, most common first; the words of ``docs`` themselves are
+    counted before and make another one of ``most_corpus_words`` at most (0: none).
+
     Spans are ``kind:start:end`` in code points, the end exclusive, by start and
     joined by commas. ``max_cost`` is the highest guess cost reported, null if none.
     Null and empty texts have none; columns named like an output are
@@ -210,12 +281,15 @@ def scan(docs: DataFrame, text: str = "text", words: tuple[str, ...] = WORDS, th
     others = [c for c in docs.columns if c.lower() not in names]
     source = docs.select(F.struct(*[F.col(f"`{c}`") for c in others], F.lit(0).alias("_")).alias("kept"), F.col(f"`{text}`").alias("text"))
 
+    own = corpus_words(docs, text, most_corpus_words) if most_corpus_words else ()
+    sent = docs.sparkSession.sparkContext.broadcast((tuple(words), own))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dictionary = Words(words)
+        known = dictionary(*sent.value)
         for b in parts(batches):
             rows = []
             for t in utf8(b.column("text")):
-                found = find(t.decode(), dictionary, threshold)
+                found = find(t.decode(), known, threshold)
                 n = [sum(s[2] == k for s in found) for k in KINDS]
                 rows.append((*n, listed([s for s in found if s[2] != "guess"]), listed(found), max((s[3] for s in found if s[3] is not None), default=None)))
             kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
