@@ -101,3 +101,48 @@ def test_words_after_credential_names_are_clean(spark):
     assert got[99].n_guess == 0 and all(got[i].n_guess == 1 for i in range(8))
     assert "unvollständig" in ss.corpus_words(spark.createDataFrame(rows, "doc_id long, text string")) and "qzxvkjwpfhg" not in ss.corpus_words(spark.createDataFrame(rows, "doc_id long, text string"))
     assert len(ss.GENERAL) > 30_000
+
+
+def cheapest_by_hand(value, known=None):
+    """Cheapest of all ways to cut a value, every piece judged by itself: word, date, walk, repeat of any block, brute force."""
+    known = {} if known is None else known
+    if value in known:
+        return known[value]
+
+    def piece(i, j):
+        part, costs = value[i:j], [sum(ss.BRUTE[ss._class(c)] for c in value[i:j])]
+        if len(part) >= 3:
+            c = WORDS.cost(part)
+            costs += [] if c is None else [c]
+            for row in ss.KEYBOARD:
+                if part.lower() in row or part.lower() in row[::-1]:
+                    costs.append(math.log10(len(ss.KEYBOARD) * 2 * len(row)) + math.log10(len(part)))
+        m = ss._DATE.match(value, i)
+        if m and m.end() == j:
+            costs.append(math.log10(365 * 120) + (0.6 if m[1] or m[2] else 0) if j - i > 4 else math.log10(120))
+        for p in range(1, len(part) // 2 + 1):
+            block = part[:p]
+            primitive = not any(p % d == 0 and block[:d] * (p // d) == block for d in range(1, p))
+            if primitive and len(part) % p == 0 and block * (len(part) // p) == part and len(part) // p >= (3 if p == 1 else 2):
+                costs.append(cheapest_by_hand(block, known) + math.log10(len(part) // p))
+        return min(costs)
+
+    best = [0.0] + [math.inf] * len(value)
+    for j in range(1, len(value) + 1):
+        best[j] = min(best[i] + (ss.SEGMENT if i else 0) + piece(i, j) for i in range(j))
+    known[value] = best[-1]
+    return best[-1]
+
+
+def test_guess_cost_is_the_cheapest_segmentation_with_repeated_blocks():
+    cost = lambda v: ss.guess_cost(v, WORDS, blocks=True)
+    for value in ("abcabcabcabc", "asdasdasdasd", "blahblahblah", "abcdefghello"):
+        assert cost(value) < ss.THRESHOLD, value
+    assert ss.guess_cost("abcdefghello", WORDS) < ss.THRESHOLD and ss.find("pwd: x9Kx9Kx9Kx9K", WORDS) == []
+    rng = random.Random(3)
+    for alphabet in (["a", "b"], ["a", "bc", "1", "Z"], ["abc", "hello", "qwe", "x", "9", "ll", "abcdefg", "2001", "é"]):
+        for _ in range(80):
+            value = "".join(rng.choices(alphabet, k=rng.randint(1, 9)))
+            value = value * rng.choice((1, 1, 2, 3)) + rng.choice(("", value[:2], "hello"))
+            assert cost(value) == pytest.approx(cheapest_by_hand(value)), value
+    assert cost("q7" * 2000) < 7 and cost("a" * 5000) < 6 and cost("".join(rng.choices("abcXYZ019#", k=3000))) > 1000

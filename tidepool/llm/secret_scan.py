@@ -6,7 +6,7 @@ Beyond them, every value in a credential context ("pwd: x", "passphrase is x",
 minimum over all segmentations of the value into dictionary words, dates,
 repeats, keyboard walks and brute-force spans (after Wheeler, "zxcvbn:
 Low-Budget Password Strength Estimation", 2016), found by dynamic
-programming in time linear in the value's length. Values whose cost reaches
+programming in time linear in the value's length, but for repeats of long blocks. Values whose cost reaches
 the threshold are reported as spans of kind ``guess``.
 """
 
@@ -115,11 +115,8 @@ def dictionary(words: tuple[str, ...], own: tuple[str, ...]) -> Words:
     return Words(words, own)
 
 
-def spans(value: str, words: Words) -> Iterator[tuple[int, int, float, str]]:
-    """(start, end, log10 guesses, kind) of the words, dates, repeats and walks in a value.
-
-    Repeats and walks are maximal: a run of one character or of one row of keys.
-    """
+def fixed_spans(value: str, words: Words) -> Iterator[tuple[int, int, float, str]]:
+    """(start, end, log10 guesses, kind) of the words, dates and walks in a value; any 3 or more keys of a walk are one."""
     n = len(value)
     low = value.lower()
     if len(low) != n:  # a letter whose lower case has two
@@ -133,14 +130,6 @@ def spans(value: str, words: Words) -> Iterator[tuple[int, int, float, str]]:
         m = _DATE.match(value, i)
         if m:
             yield i, m.end(), math.log10(365 * 120) + (0.6 if m[1] or m[2] else 0) if m.end() - i > 4 else math.log10(120), "date"
-    i = 0
-    while i < n:
-        j = i + 1
-        while j < n and value[j] == value[i]:
-            j += 1
-        if j - i >= 3:
-            yield i, j, BRUTE[_class(value[i])] + math.log10(j - i), "repeat"
-        i = j
     for row in KEYBOARD:
         place = {c: k for k, c in enumerate(row)}
         i = 0
@@ -152,32 +141,146 @@ def spans(value: str, words: Words) -> Iterator[tuple[int, int, float, str]]:
             j, d = i + 2, b - a
             while j < n and low[j] in place and place[low[j]] - place[low[j - 1]] == d:
                 j += 1
-            if j - i >= 3:
-                yield i, j, math.log10(len(KEYBOARD) * 2 * len(row)) + math.log10(j - i), "walk"
+            for s in range(i, j - 2):  # a walk is no longer than its row
+                for e in range(s + 3, j + 1):
+                    yield s, e, math.log10(len(KEYBOARD) * 2 * len(row)) + math.log10(e - s), "walk"
             i = j - 1
 
 
-def guess_cost(value: str, words: Words) -> float:
+def _same(value: str, a: int, b: int, step: int) -> int:
+    """How many characters agree from ``a`` and ``b`` > a on, forwards or (step -1) ending there."""
+    most = len(value) - b if step > 0 else a + 1
+    if most <= 0 or value[a] != value[b]:
+        return 0
+    part = (lambda at, k: value[at: at + k]) if step > 0 else (lambda at, k: value[at + 1 - k: at + 1])
+    low, k = 1, 2
+    while k <= most and part(a, k) == part(b, k):
+        low, k = k, 2 * k
+    high = min(k - 1, most)
+    while low < high:
+        k = (low + high + 1) // 2
+        low, high = (k, high) if part(a, k) == part(b, k) else (low, k - 1)
+    return low
+
+
+def repeated(value: str) -> list[tuple[int, int, int]]:
+    """(period, start, end) of the maximal runs of a block, at least two blocks long; the block is no repeat itself.
+
+    A run of period p holds two neighbouring multiples of p, so n / p
+    comparisons find all runs of the period (after Main and Lorentz, 1984).
+    """
+    n = len(value)
+    out: list[tuple[int, int, int]] = []
+    active: list[tuple[int, int, int]] = []
+    for p in range(1, n // 2 + 1):
+        active = [r for r in active if r[2] - r[1] >= 2 * p]
+        finer = [r for r in active if p % r[0] == 0]
+        at = 0
+        while at + p < n:
+            inside = next((r for r in finer if r[1] <= at and at + 2 * p <= r[2]), None)
+            if inside:
+                at = max(at + p, (inside[2] - p) // p * p)
+                continue
+            if value[at] == value[at + p]:
+                start = at - _same(value, at - 1, at + p - 1, -1) if at else 0
+                end = at + p + _same(value, at, at + p, 1)
+                if end - start >= 2 * p:
+                    if not any(r[1] <= start and end <= r[2] for r in finer):
+                        out.append((p, start, end))
+                        active.append(out[-1])
+                    at = max(at + p, (end - p) // p * p)
+                    continue
+            at += p
+    return list(dict.fromkeys(out))
+
+
+def least_repeats(period: int) -> int:
+    return 3 if period == 1 else 2
+
+
+def spans(value: str, words: Words) -> Iterator[tuple[int, int, float, str]]:
+    """The fixed spans of a value and its repeats of one character: quadratic in a repeat's length, for looking at only."""
+    yield from fixed_spans(value, words)
+    for _, s, e in _single(value):
+        for i in range(s, e - 2):
+            for j in range(i + 3, e + 1):
+                yield i, j, BRUTE[_class(value[s])] + math.log10(j - i), "repeat"
+
+
+class _Run:
+    """The cheapest last repeat at each position of one run of blocks, over all starts and counts.
+
+    Blocks that start a multiple of the period apart are the same. A start is dropped as
+    soon as an earlier one with the same block is as cheap: the earlier one's cost grows more slowly.
+    """
+
+    def __init__(self, period: int, start: int, end: int):
+        self.period, self.start, self.end = period, start, end
+        self.least = least_repeats(period) * period
+        self.starts: dict[int, list[tuple[int, float]]] = {}
+        self.block: dict[int, float] = {}
+
+    def cheapest(self, j: int, free: list[float], block_cost) -> float:
+        """For the repeats that end at ``j``, where ``free`` is known before it."""
+        i = j - self.least
+        if i < self.start:
+            return math.inf
+        r = (i - self.start) % self.period
+        if r not in self.block:
+            self.block[r] = block_cost(i, i + self.period)
+        kept: list[tuple[int, float]] = []
+        best = math.inf
+        for at, before in (*self.starts.get(r, ()), (i, free[i] + (SEGMENT if i else 0))):
+            c = before + math.log10((j - at) // self.period)
+            if c < best:
+                best = c
+                kept.append((at, before))
+        self.starts[r] = kept
+        return best + self.block[r]
+
+
+def guess_cost(value: str, words: Words, blocks: bool = False) -> float:
     """log10 of the guesses for a value: the cheapest segmentation.
 
     The cost of a segmentation is the sum of its spans' costs plus ``SEGMENT``
     for each span after the first; a brute-force span costs the logarithm of
-    its characters' classes, one after the other.
+    its characters' classes, one after the other. A repeat costs its block and
+    the logarithm of the repetitions. Blocks are single characters or, with
+    ``blocks``, of any length, each costing its own cheapest segmentation.
     """
+    return _cheapest(value, words, blocks, {})
+
+
+def _cheapest(value: str, words: Words, blocks: bool, known: dict[str, float]) -> float:
+    if value in known:
+        return known[value]
     n = len(value)
     ending: dict[int, list[tuple[int, float]]] = {}
-    for i, j, c, _ in spans(value, words):
+    for i, j, c, _ in fixed_spans(value, words):
         ending.setdefault(j, []).append((i, c))
+    runs: dict[int, list[_Run]] = {}  # by the first position where one of their repeats can end
+    for p, s, e in (repeated(value) if blocks else _single(value)):
+        if e - s >= least_repeats(p) * p:
+            runs.setdefault(s + least_repeats(p) * p, []).append(_Run(p, s, e))
+    active: list[_Run] = []
     free = [math.inf] * (n + 1)  # cheapest way to each position, any last span
     brute = [math.inf] * (n + 1)  # the same with a brute-force span last
     free[0] = 0.0
+    cost = lambda a, b: BRUTE[_class(value[a])] if b - a == 1 else _cheapest(value[a:b], words, blocks, known)
     for j in range(1, n + 1):
         step = BRUTE[_class(value[j - 1])]
         brute[j] = min(brute[j - 1], free[j - 1] + (SEGMENT if j > 1 else 0)) + step
-        free[j] = min([brute[j], *[free[i] + (SEGMENT if i else 0) + c for i, c in ending.get(j, ())]])
+        active = [r for r in active if r.end >= j] + runs.get(j, [])
+        free[j] = min([brute[j], *[free[i] + (SEGMENT if i else 0) + c for i, c in ending.get(j, ())], *[r.cheapest(j, free, cost) for r in active]])
+    known[value] = free[n]
     return free[n]
 
 
+def _single(value: str) -> list[tuple[int, int, int]]:
+    """The runs of one character among ``repeated``, in linear time."""
+    return [(1, *m.span()) for m in re.finditer(r"(.)\1+", value, re.DOTALL)]
+
+
 # -- finding --------------------------------------------------------------------------------------
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -214,7 +317,7 @@ def find(text: str, words: Words, threshold: float = THRESHOLD) -> list[tuple[in
     for a, b in credential_values(text):
         while b > a and text[b - 1] in ".!?)":  # the end of a sentence is not part of the value
             b -= 1
-        cost = guess_cost(text[a:b], words)
+        cost = guess_cost(text[a:b], words, blocks=True)
         if cost >= threshold:
             found.append((a, b, "guess", cost))
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
