@@ -146,3 +146,18 @@ def test_guess_cost_is_the_cheapest_segmentation_with_repeated_blocks():
             value = value * rng.choice((1, 1, 2, 3)) + rng.choice(("", value[:2], "hello"))
             assert cost(value) == pytest.approx(cheapest_by_hand(value)), value
     assert cost("q7" * 2000) < 7 and cost("a" * 5000) < 6 and cost("".join(rng.choices("abcXYZ019#", k=3000))) > 1000
+
+
+@pytest.mark.parametrize("text,value", [
+    ('passphrase: "correct horse battery staple"', "correct horse battery staple"), ("'passphrase' : 'correct horse battery staple', 1", "correct horse battery staple"),
+    ('pwd="x9$ \\"Lq!7 Wz"', 'x9$ \\"Lq!7 Wz'), ("pwd:            x9$Lq!7Wz@", "x9$Lq!7Wz@"), ("pwd \t      =\t\t     x9$Lq!7Wz@", "x9$Lq!7Wz@"),
+    ("Bearer      abcDEF123ghiJKL456", "abcDEF123ghiJKL456"), ("redis://:x9$Lq!7Wz@host", "x9$Lq!7Wz"), (f"ftp://{'u' * 200}:x9$Lq!7Wz@host", "x9$Lq!7Wz"),
+    ("dbPwd=x9$Lq!7Wz@", "x9$Lq!7Wz@"), ("DBPASS=x9$Lq!7Wz@", "x9$Lq!7Wz@"), ("userpass: x9$Lq!7Wz@", "x9$Lq!7Wz@"), ("mainPass: x9$Lq!7Wz@", "x9$Lq!7Wz@"),
+    ("authtoken=x9$Lq!7Wz@", "x9$Lq!7Wz@"), ("cardPin: x9$Lq!7Wz@", "x9$Lq!7Wz@")])
+def test_forms_of_credentials(text, value):
+    assert [text[s:e] for s, e, k, _ in ss.find(text, WORDS) if k == "guess"] == [value]
+
+
+def test_names_that_are_part_of_other_words():
+    for text in ("bypass: x9$Lq!7Wz@", "compass=x9$Lq!7Wz@", "the spin is x9$Lq!7Wz@", "passport: x9$Lq!7Wz@", 'pwd: "x9$Lq!\n7Wz@qP"', "http://host:8080/a@bcdefgh"):
+        assert ss.find(text, WORDS) == [], text

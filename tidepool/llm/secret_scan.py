@@ -36,11 +36,20 @@ KINDS = ("assign", "access", "hex", "guess")
 #: Words before a value that make it a credential. Longest first: the first that fits is taken.
 CONTEXT_WORDS = ("passphrase", "passcode", "password", "passwd", "pass", "pwd", "pin", "credential", "credentials", "secret", "private_key",
                  "access_key", "secret_key", "auth_token", "access_token", "client_secret", "apikey", "api_key", "api-key", "token")
-_AFTER = r"""["']?[ \t]{0,3}(?:[:=]{1,2}|=>|\bis\b)[ \t]{0,3}"""
+#: Those that also count with letters or digits glued in front (authtoken, mysqlpwd), and what may be glued before the short ones.
+_GLUED = tuple(w for w in CONTEXT_WORDS if w not in ("pass", "pin"))
+_BEFORE_SHORT = ("admin", "api", "app", "auth", "db", "dev", "email", "ftp", "host", "http", "imap", "jdbc", "key", "keystore", "ldap", "login", "mail", "mongo",
+                 "my", "mysql", "new", "old", "pg", "postgres", "prod", "proxy", "redis", "root", "sa", "smtp", "sql", "ssh", "store", "sudo", "super", "svc", "sys",
+                 "test", "truststore", "user", "usr", "vpn", "wifi", "wlan")
+_any = lambda words: "(?:" + "|".join(sorted(map(re.escape, words), key=len, reverse=True)) + ")"
+_START = r"(?:(?<![A-Za-z0-9])|(?-i:(?<=[a-z0-9])(?=[A-Z])))"  # of a word, or of a part of it at a change of case
+_NAME = rf"(?:{_any(_GLUED)}|{_START}(?:{_any(_BEFORE_SHORT)}?pass|pin))(?![A-Za-z0-9])"
+_AFTER = r"""["']?[ \t]*(?:[:=]{1,2}|=>|\bis\b)[ \t]*"""
+# A quoted value runs to the closing quote on its line; a backslash takes the next character along.
 CONTEXT = re.compile(
-    r"(?<![A-Za-z0-9])(?:(?:" + "|".join(sorted(map(re.escape, CONTEXT_WORDS), key=len, reverse=True)) + r")(?![A-Za-z0-9])" + _AFTER
-    + r"""|bearer[ \t]{1,3})(?:"([^"\s]{6,})"|'([^'\s]{6,})'|([^\s"'<>,;]{6,}))""", re.ASCII | re.IGNORECASE)
-URL = re.compile(r"""[a-z][a-z0-9+.-]{1,20}://[^\s:/@"'<>]{1,64}:([^\s/@"'<>]{6,})@""", re.ASCII | re.IGNORECASE)
+    rf"""(?:{_NAME}{_AFTER}|(?<![A-Za-z0-9])bearer[ \t]+)"""
+    r"""(?:"((?:[^"\\\r\n]|\\[^\r\n]){6,})"|'((?:[^'\\\r\n]|\\[^\r\n]){6,})'|([^\s"'<>,;]{6,}))""", re.ASCII | re.IGNORECASE)
+URL = re.compile(r"""[a-z][a-z0-9+.-]{1,20}://[^\s:/@"'<>]*:([^\s/@"'<>]{6,})@""", re.ASCII | re.IGNORECASE)
 _HINTS = tuple(sorted({"pass", "pwd", "pin", "credential", "secret", "token", "key", "bearer"}))
 
 #: log10 of the guesses from which a value counts as a secret.
