@@ -161,3 +161,9 @@ def test_forms_of_credentials(text, value):
 def test_names_that_are_part_of_other_words():
     for text in ("bypass: x9$Lq!7Wz@", "compass=x9$Lq!7Wz@", "the spin is x9$Lq!7Wz@", "passport: x9$Lq!7Wz@", 'pwd: "x9$Lq!\n7Wz@qP"', "http://host:8080/a@bcdefgh"):
         assert ss.find(text, WORDS) == [], text
+
+
+def test_corpus_words_of_one_count_are_all_in_or_all_out(spark):
+    df = spark.createDataFrame([(" ".join(w for k, w in ((9, "often"), (7, "mid"), (7, "das"), (5, "few"), (3, "rare")) if i < k),) for i in range(9)], "text string")
+    assert ss.corpus_words(df) == ("often", "das", "mid", "few")
+    assert ss.corpus_words(df, most=3) == ("often", "das", "mid") and ss.corpus_words(df, most=2) == ("often",) and ss.corpus_words(df.limit(0)) == ()

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepool.llm.scratch import cut
 from tidepool.llm.textio import parts, utf8
 
 # The base patterns and the shortest value or match that counts.
@@ -348,6 +349,8 @@ _LETTERS = re.compile(r"[^\W\d_]{3,}")
 def corpus_words(docs: DataFrame, text: str = "text", most: int = CORPUS_WORDS, min_docs: int = CORPUS_MIN_DOCS) -> tuple[str, ...]:
     """The words of the most documents, most common first and equal counts by word.
 
+    Words of one count are all in or all out, so that at most ``most`` reach the driver.
+
     A word counts where it stands outside credential values, so that a secret
     that is repeated does not become a word. A task holds the counts of about a
     million words at a time; they are added up by a shuffle.
@@ -373,8 +376,15 @@ def corpus_words(docs: DataFrame, text: str = "text", most: int = CORPUS_WORDS,
         yield out()
 
     counted = docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(run, "word string, n long")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs).orderBy(F.desc("n"), "word").limit(most)
-    return tuple(r.word for r in top.collect())
+    summed = cut(counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs), "corpus-words")
+    least, room = None, most
+    for n, of in sorted(((r["n"], r["of"]) for r in summed.groupBy("n").agg(F.count("*").alias("of")).collect()), reverse=True):
+        if of > room:
+            break
+        least, room = n, room - of
+    if least is None:
+        return ()
+    return tuple(r["word"] for r in sorted(summed.where(F.col("n") >= least).collect(), key=lambda r: (-r["n"], r["word"])))
 
 
 def scan(docs: DataFrame, text: str = "text", words: tuple[str, ...] = WORDS, threshold: float = THRESHOLD,
