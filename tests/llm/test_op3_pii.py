@@ -89,3 +89,30 @@ def test_documents(spark):
     assert first[1] == second and "Lopez" not in by[None].text
     assert by[6].text.startswith("pad pad") and "bob@" not in by[6].text
     assert pii.replace_entities(df.where(F.lit(False)), KEY).collect() == []
+
+
+@pytest.mark.parametrize("text,names", [
+    ("Mr John Michael Smith left", ["John", "Michael", "Smith"]), ("by John F. Kennedy.", ["John F.", "Kennedy"]), ("Mr. J. Smith and J.", ["J. Smith"]),
+    ("JOHN SMITH, MR SMITH", ["JOHN", "SMITH", "SMITH"]), ("asked Mr\nSmith of John\n  Miller\nThen", ["Smith", "John", "Miller"]), ("Maria Lopez's hat", ["Maria", "Lopez"]),
+    ("Mrs Maria Lopez came. Lopez, or Maria, said the Lopez-Bank", ["Maria", "Lopez", "Lopez", "Maria", "Lopez"]), ("mr  Smith\tand Mr Smith\nThe", ["Smith", "Smith"]),
+    ("Frau Ursula von der Leyen", ["Ursula", "Leyen"]), ("MS Windows in 5 ms Later", []), ("Monsieur Émile Zola", ["Émile", "Zola"])])
+def test_whole_names(text, names):
+    assert found(text) == [(n, "name") for n in names]
+
+
+def test_plain_phones_and_ipv6():
+    text = "call 415 555 0132, 4155550132 or 020 7946 0958; 2001:db8::ff00:42:8329, fe80::1 and ::ffff:10.1.2.3"
+    assert found(text) == [("415 555 0132", "phone"), ("4155550132", "phone"), ("020 7946 0958", "phone"),
+                           ("2001:db8::ff00:42:8329", "ip"), ("fe80::1", "ip"), ("::ffff:10.1.2.3", "ip")]
+    for clean in ("at 12:30:45 std::vector a::b 1700000000 and 12345678901", "3.4155550132 x:: ::", "id 4155550132-7"):
+        assert found(clean) == [], clean
+    for kind, canonical, original in (("ip", "fe80::1", "fe80::1"), ("phone", "4155550132", "415 555 0132"), ("phone", "02079460958", "020 7946 0958")):
+        for attempt in range(4):
+            assert [k for _, k in found(pii.render(kind, original, pii.surrogate(KEY, kind, canonical, attempt)))] == [kind]
+
+
+def test_initials_and_bare_mentions_get_the_surrogate_of_the_name(spark):
+    rows = [(1, "Mr John F. Kennedy met Mr. J. Smith. Kennedy and SMITH spoke.")]
+    text = pii.replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), KEY).first().text
+    m = re.fullmatch(r"Mr (\w+) \w\. (\w+) met Mr\. \w\. (\w+)\. (\w+) and (\w+) spoke\.", text)
+    assert m and m[2] == m[4] and m[3].upper() == m[5] and not re.search("John|Kennedy|Smith", text, re.IGNORECASE)

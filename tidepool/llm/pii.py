@@ -1,8 +1,8 @@
 """Personal data replaced by surrogates of the same type, format, script and gender.
 
 Entities are found by pattern and checksum (e-mail addresses, phone numbers, IP
-addresses, payment cards, social security numbers, IBANs) and by title or given
-name (persons; given and family names are entities of their own, so "Maria
+addresses, payment cards, social security numbers, IBANs) and by title or listed given
+name, and then wherever the text has that name again (persons; given and family names are entities of their own, so "Maria
 Lopez" and a later "Mrs Lopez" stay the same person). A surrogate is drawn
 from a keyed hash of the entity, so the same entity gets the same surrogate in
 every document and run, and without the key none can be traced back.
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -39,12 +40,29 @@ TITLES = {"Mr": "m", "Mister": "m", "Sir": "m", "Herr": "m", "Monsieur": "m", "S
           "Mrs": "f", "Ms": "f", "Miss": "f", "Madam": "f", "Frau": "f", "Madame": "f", "Mme": "f", "Señora": "f", "Sra": "f", "госпожа": "f",
           "Dr": "n", "Prof": "n", "Professor": "n"}
 GIVEN = {
-    ("latin", "m"): "James Robert John Michael David William Richard Joseph Thomas Charles Daniel Matthew Peter Andreas Stefan Jürgen Pierre François Carlos José".split(),
-    ("latin", "f"): "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Margaret Sabine Ursula Katharina Françoise Camille Carmen María Lucía".split(),
-    ("cyrillic", "m"): "Александр Дмитрий Сергей Андрей Михаил Николай Владимир Павел".split(),
-    ("cyrillic", "f"): "Анна Мария Елена Ольга Татьяна Наталья Ирина Светлана".split(),
-    ("greek", "m"): "Γιώργος Δημήτρης Κώστας Νίκος Παναγιώτης".split(),
-    ("greek", "f"): "Μαρία Ελένη Κατερίνα Βασιλική Σοφία".split(),
+    ("latin", "m"): """James Robert John Michael David William Richard Joseph Thomas Charles Daniel Matthew Peter Andreas Stefan Jürgen Pierre François Carlos José
+        Christopher Anthony Mark Donald Steven Andrew Paul Joshua Kenneth Kevin Brian George Timothy Ronald Edward Jason Jeffrey Ryan Jacob Gary Nicholas Eric Jonathan
+        Stephen Larry Justin Scott Brandon Benjamin Samuel Gregory Alexander Patrick Frank Raymond Jack Dennis Jerry Tyler Aaron Henry Adam Douglas Nathan Zachary Kyle
+        Walter Harold Jeremy Ethan Carl Keith Roger Gerald Lawrence Sean Christian Albert Arthur Ralph Bryan Philip Eugene Vincent Russell Louis Oliver Simon Martin
+        Hans Klaus Wolfgang Jörg Günter Günther Uwe Dieter Manfred Heinrich Friedrich Matthias Markus Sebastian Florian Lukas Felix Björn Sven Lars Erik Nils
+        Jean Jacques Michel Philippe Alain Bernard Nicolas Laurent Julien Olivier Frédéric Étienne Émile André René Gérard Guillaume Mathieu Antoine
+        Juan Antonio Manuel Francisco Luis Javier Miguel Ángel Pedro Pablo Jorge Fernando Diego Alejandro Sergio Rafael Andrés Raúl Álvaro Óscar Jesús Ramón Enrique
+        Giovanni Giuseppe Marco Luca Paolo Francesco Roberto Alessandro Matteo João Paulo Tiago Mohammed Muhammad Ahmed Ali Omar Hassan Ibrahim Raj Amit Rahul Vijay
+        Wei Jan Piotr Krzysztof Andrzej Tomasz Ivan Dmitry Sergei Vladimir Hiroshi Kenji""".split(),
+    ("latin", "f"): """Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Margaret Sabine Ursula Katharina Françoise Camille Carmen María Lucía
+        Maria Lisa Betty Sandra Ashley Kimberly Emily Donna Michelle Carol Amanda Melissa Deborah Stephanie Rebecca Sharon Laura Cynthia Dorothy Amy Kathleen Angela
+        Shirley Emma Brenda Pamela Nicole Anna Samantha Katherine Christine Helen Debra Rachel Carolyn Janet Catherine Heather Diane Olivia Julie Joyce Victoria Ruth
+        Virginia Lauren Kelly Christina Joan Evelyn Judith Andrea Hannah Megan Cheryl Jacqueline Martha Madison Teresa Gloria Sara Janice Ann Anne Kathryn Abigail Sophia
+        Frances Alice Judy Isabella Julia Grace Amber Denise Danielle Marilyn Beverly Charlotte Natalie Theresa Diana Brittany Doris Kayla Alexis Lori Marie Sophie
+        Claudia Monika Petra Gabriele Birgit Heike Renate Ingrid Helga Anja Silke Kerstin Greta Jutta Käthe Zoë Chloé Léa Manon Élise Émilie Hélène Céline Amélie Aurélie
+        Isabelle Nathalie Sylvie Valérie Monique Brigitte Jeanne Pilar Dolores Isabel Ana Cristina Marta Elena Rosa Raquel Sofía Beatriz Inés Mónica Verónica Ángela
+        Giulia Chiara Francesca Paola Fatima Aisha Leila Priya Anjali Mei Yuki Agnieszka Katarzyna Małgorzata Olga Tatiana Svetlana Natalia Irina""".split(),
+    ("cyrillic", "m"): """Александр Дмитрий Сергей Андрей Михаил Николай Владимир Павел Алексей Иван Максим Евгений Виктор Юрий Олег Игорь Пётр Петр Артём Артем Константин Борис
+        Василий Григорий Роман Денис Антон Кирилл Илья Фёдор Федор Анатолий Валерий Вячеслав""".split(),
+    ("cyrillic", "f"): """Анна Мария Елена Ольга Татьяна Наталья Ирина Светлана Екатерина Юлия Людмила Галина Марина Надежда Анастасия Виктория Дарья Ксения Нина Любовь Вера
+        Алина Полина Валентина Лариса Оксана София Александра""".split(),
+    ("greek", "m"): "Γιώργος Δημήτρης Κώστας Νίκος Παναγιώτης Γιάννης Βασίλης Χρήστος Μιχάλης Ανδρέας Αλέξανδρος Θανάσης Σπύρος Σταύρος Πέτρος".split(),
+    ("greek", "f"): "Μαρία Ελένη Κατερίνα Βασιλική Σοφία Αικατερίνη Αγγελική Γεωργία Δήμητρα Άννα Ιωάννα Ευαγγελία Κωνσταντίνα Χριστίνα Όλγα".split(),
 }
 _SYLLABLES = {"latin": "ba be bo da del dor fa fen gar ha kel la len lo mar mi nor pa per ra ro sa sel ta tor va wen zan".split(),
               "cyrillic": "ба бе бор ва вел дан дор ка кор ла лен ма мир на нор ра рос са сел та тор".split(),
@@ -52,6 +70,13 @@ _SYLLABLES = {"latin": "ba be bo da del dor fa fen gar ha kel la len lo mar mi n
 _ENDING = {("latin", "m"): "n", ("latin", "f"): "a", ("latin", "n"): "s", ("cyrillic", "m"): "н", ("cyrillic", "f"): "на", ("cyrillic", "n"): "к",
            ("greek", "m"): "ς", ("greek", "f"): "α", ("greek", "n"): "ου"}
 _FAMILY_ENDING = {"cyrillic": {"m": "ов", "f": "ова", "n": "ко"}, "greek": {"m": "ίδης", "f": "ίδου", "n": "άκης"}}
+# Small words between a given and a family name; capitalised words that end a run of name words.
+_PARTICLES = frozenset("von van der den de la las los del della di da dos das du le el al bin ibn ter ten zu zum zur af av".split())
+_STOP = frozenset("""the and or but if of in on at to by for from with as is are was were be has have had will would can could should may might must do does did not no
+    he she it we they you his her its their our my your this that these those there here then than when while where who what which how why after before since until
+    also however although because so yet both either und oder aber der die das ein eine ist war hat wird mit für von zu im am den dem des er sie wir ihr es nicht
+    et ou mais le les un une des est était avec pour dans sur il elle nous vous ils elles y o pero el los las una es era con para en se su que
+    и или но он она мы вы они не что как это в на с к по за και ή αλλά ο η το οι τα δεν που""".split())
 _GENDER_OF = {name.casefold(): gender for (_, gender), names in GIVEN.items() for name in names}
 
 _NUMBER = re.compile(r"\d[\d(). -]{4,}", re.ASCII)  # none of the number patterns matches without
@@ -62,9 +87,12 @@ _CARD = re.compile(r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])", re.ASCII)
 _SSN = re.compile(r"(?<![\w-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])", re.ASCII)
 _PHONE = re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ ]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])", re.ASCII)
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)", re.ASCII)
-_WORD = r"[^\W\d_a-zа-яα-ω][^\W\d_]+(?:[-'’][^\W\d_]+)?"
-_TITLED = re.compile(r"(?<!\w)(" + "|".join(sorted(TITLES, key=len, reverse=True)) + rf")\.?[ ]({_WORD})(?:[ ]({_WORD}))?", re.UNICODE)
-_NAMED = re.compile(r"(?<!\w)(" + "|".join(sorted((n for names in GIVEN.values() for n in names), key=len, reverse=True)) + rf")[ ]({_WORD})", re.UNICODE)
+_NANP = re.compile(r"(?<![\w+.-])(?<!\d[ (])(?:[2-9]\d{2} [2-9]\d{2} \d{4}|[2-9]\d{2}[2-9]\d{6}|0[1-9]\d{0,3}[ -]\d{3,4}[ -]\d{3,4}|0[1-9]\d{8,9})(?![\w-]|\.\d| \d)", re.ASCII)
+_IP6 = re.compile(r"(?<![\w:.])[0-9A-Fa-f]{0,4}:[0-9A-Fa-f:]*:[0-9A-Fa-f.]*(?!\w|:)", re.ASCII)
+_LETTERS = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*")
+_INITIALS = re.compile(r"(?:[^\W\d_]\.[ ]?)*[^\W\d_](?:\.|(?!\w))")
+_GAP = re.compile(r"[^\S\r\n]*(?:\r?\n)?[^\S\r\n]*")
 
 
 # -- finding --------------------------------------------------------------------------------------
@@ -98,6 +126,8 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
             local = _LOCAL.search(text, max(0, m.start() - 64), m.start())
             if local:
                 found.append((local.start(), m.end(), "email", text[local.start(): m.end()].lower()))
+    if text.count(":") > 1:
+        found += [(*m.span(), "ip", str(a)) for m in _IP6.finditer(text) if (a := _ip6(m[0]))]
     if _NUMBER.search(text):
         found += _numbers(text)
     found += _names(text)
@@ -128,27 +158,132 @@ def _numbers(text: str) -> list[tuple[int, int, str, str]]:
         digits = re.sub(r"[^\d+]", "", m[0])
         if 8 <= len(digits.lstrip("+")) <= 15:
             found.append((*m.span(), "phone", digits))
+    for m in _NANP.finditer(text):
+        digits = re.sub(r"\D", "", m[0])
+        if 9 <= len(digits) <= 11 and len(set(digits)) > 2:
+            found.append((*m.span(), "phone", digits))
     return found
 
 
+def _ip6(part: str) -> ipaddress.IPv6Address | None:
+    """The address that ``part`` is; scopes of programs (a::b) and the addresses of no host are none."""
+    try:
+        a = ipaddress.IPv6Address(part)
+    except ValueError:
+        return None
+    groups = [g for g in part.split(":") if g]
+    return a if len(groups) > 2 or len(groups) == 2 and any(c.isdigit() for c in part) else None
+
+
+_TITLE_OF = {t.casefold(): gender for t, gender in TITLES.items()}
+_LEADS = frozenset(_TITLE_OF) | frozenset(_GENDER_OF)
+
+
 def _names(text: str) -> list[tuple[int, int, str, str]]:
-    found = {}
-    if any(t in text for t in TITLES):
-        for m in _TITLED.finditer(text):
-            gender, script = TITLES[m[1]], script_of(m[2])
-            given = m[3] is not None
-            if given:
-                found[m.start(2)] = (*m.span(2), "name", f"given {script} {_GENDER_OF.get(m[2].casefold(), gender)} {m[2].casefold()}")
-            g = 3 if given else 2
-            found[m.start(g)] = (*m.span(g), "name", f"family {script} {_family_gender(m[g], gender)} {m[g].casefold()}")
-    for m in _NAMED.finditer(text) if any(n in text for n in _NAMES) else ():
-        script, gender = script_of(m[1]), _GENDER_OF[m[1].casefold()]
-        found.setdefault(m.start(1), (*m.span(1), "name", f"given {script} {gender} {m[1].casefold()}"))
-        found.setdefault(m.start(2), (*m.span(2), "name", f"family {script} {_family_gender(m[2], gender)} {m[2].casefold()}"))
+    """Persons: the run of name words behind a title or from a listed given name on, and later bare mentions of them."""
+    if _LEADS.isdisjoint(map(str.casefold, set(_LETTERS.findall(text)))):
+        return []
+    found: dict[int, tuple[int, int, str, str]] = {}
+    at = 0
+    for m in _LETTERS.finditer(text):
+        low = m[0].casefold()
+        if m.start() < at or low not in _LEADS or m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_"):
+            continue
+        if low in _TITLE_OF:
+            start = m.end() + text.startswith(".", m.end())
+            gap = _GAP.match(text, start).end()
+            if gap == start or low == "ms" and not m[0][0].isupper() and text[: m.start()].rstrip()[-1:].isdigit():
+                continue
+            run = _run(text, gap)
+            # MS Windows: a title in capitals goes with a name in capitals
+            if run and not (m[0].isupper() and len(m[0]) > 1 and not all(text[i:j].isupper() for i, j in run["words"])):
+                at = _add(found, text, run, _TITLE_OF[low])
+        elif m[0][0].isupper():
+            run = _run(text, m.start())
+            if run and len(run["words"]) > 1:
+                at = _add(found, text, run, _GENDER_OF[low])
+    if found:
+        _add_bare(found, text)
     return list(found.values())
 
 
-_NAMES = tuple(n for names in GIVEN.values() for n in names)
+def _run(text: str, at: int) -> dict | None:
+    """Name words and initials from ``at`` on. A line break is crossed only while given names and initials came."""
+    words: list[tuple[int, int]] = []
+    spans: list[list[int]] = []  # of the words with the initials that go with them
+    held = None  # where initials without a word before them begin
+    particles, given, first = 0, True, True
+    while True:
+        start = at
+        if not first:
+            at = _GAP.match(text, start).end()
+            if at == start or not given and ("\n" in text[start:at]):
+                break
+        first = False
+        m = _INITIALS.match(text, at)
+        if m and all(c.isupper() for c in m[0] if c.isalpha()) and (m[0].endswith(".") or m[0] not in ("I", "A", "O", "Y")) and not particles:
+            if spans:
+                # an initial that ends a sentence is not followed by a name
+                nxt = _WORD.match(text, _GAP.match(text, m.end()).end())
+                if not nxt or not nxt[0][0].isupper() or nxt[0].casefold() in _STOP:
+                    break
+                spans[-1][1] = m.end()
+                given = True
+            elif held is None:
+                held = at
+            at = m.end()
+            continue
+        m = _WORD.match(text, at)
+        if not m:
+            break
+        end = m.end() - 2 if m[0][-2:] in ("'s", "’s") else m.end()
+        word = text[at:end]
+        low = word.casefold()
+        if word in _PARTICLES and particles < 3 and given:
+            particles += 1
+            at = m.end()
+            continue
+        if not word[0].isupper() or len(word) < 2 or low in _STOP or low in _TITLE_OF:
+            break
+        words.append((at, end))
+        spans.append([at if held is None else held, end])
+        held, particles, given = None, 0, low in _GENDER_OF
+        at = m.end()
+        if end < m.end():
+            break
+    return {"words": words, "spans": spans, "end": spans[-1][1]} if words else None
+
+
+def _add(found: dict, text: str, run: dict, gender: str) -> int:
+    """The words of a run as entities, the last as the family name; returns where the run ends."""
+    last = len(run["words"]) - 1
+    for k, ((i, j), (a, b)) in enumerate(zip(run["words"], run["spans"])):
+        low = text[i:j].casefold()
+        if k < last:
+            gender = _GENDER_OF.get(low, gender) if k == 0 else gender
+            found[a] = (a, b, "name", f"given {script_of(low)} {_GENDER_OF.get(low, gender)} {low}")
+        else:
+            found[a] = (a, b, "name", f"family {script_of(low)} {_family_gender(low, gender)} {low}")
+    return run["end"]
+
+
+def _add_bare(found: dict, text: str) -> None:
+    """Mentions of the names found without title or given name, capitalised as names are."""
+    known: dict[str, str] = {}
+    taken = sorted(s[:2] for s in found.values())
+    for _, _, _, canonical in sorted(found.values()):
+        part, _, _, low = canonical.split(" ", 3)
+        if low not in known or part == "family":
+            known[low] = canonical
+    k = 0
+    for m in _WORD.finditer(text):
+        pieces = [m.span()] if m[0].casefold() in known else [p.span() for p in _LETTERS.finditer(text, *m.span())] if not m[0].isalpha() else []
+        for i, j in pieces:
+            while k < len(taken) and taken[k][1] <= i:
+                k += 1
+            low = text[i:j].casefold()
+            if low in known and text[i].isupper() and not (k < len(taken) and taken[k][0] < j) and not (i and text[i - 1] in "_0123456789"):
+                found[i] = (i, j, "name", known[low])
 
 
 def _family_gender(name: str, gender: str) -> str:
@@ -192,8 +327,14 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
         return f"{draw.shaped(local + 'x' * longer)}@{host}.example.{top if top in ('com', 'net', 'org') else 'com'}"
     if kind == "phone":
         plain = canonical.lstrip("+")
+        if plain == canonical and plain[0] == "0":
+            return "0" + str(1 + draw.below(9)) + draw.digits(len(plain) - 2 + longer)
+        if plain == canonical and len(plain) == 10:
+            return str(2 + draw.below(8)) + draw.digits(2) + str(2 + draw.below(8)) + draw.digits(6 + longer)
         code = 0 if plain == canonical else 1 if plain[0] in "17" else 2  # the country stays
         return canonical[: len(canonical) - len(plain)] + plain[:code] + draw.digits(len(plain) - code + longer)
+    if kind == "ip" and ":" in canonical:  # of the range for documentation
+        return str(ipaddress.IPv6Address((0x20010DB8 << 96) + int.from_bytes(draw.seed[:12], "big")))
     if kind == "ip":
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
     if kind == "card":
@@ -218,7 +359,10 @@ def render(kind: str, original: str, new: str) -> str:
     """A surrogate in the format of the text it replaces."""
     if kind == "name":
         name = new.split(" ", 3)[3]
-        return name.upper() if original.isupper() and len(original) > 1 else name.title()
+        word = max(_WORD.findall(original), key=len)
+        whole = name.upper() if word.isupper() and len(word) > 1 else name.title()
+        letters = iter(name.upper() * (1 + len(original)))
+        return _WORD.sub(lambda m: whole if m[0] == word else next(letters), original)
     if kind == "email":
         return new.upper() if original.isupper() else new
     if kind == "ip":
