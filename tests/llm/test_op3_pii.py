@@ -116,3 +116,26 @@ def test_initials_and_bare_mentions_get_the_surrogate_of_the_name(spark):
     text = pii.replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), KEY).first().text
     m = re.fullmatch(r"Mr (\w+) \w\. (\w+) met Mr\. \w\. (\w+)\. (\w+) and (\w+) spoke\.", text)
     assert m and m[2] == m[4] and m[3].upper() == m[5] and not re.search("John|Kennedy|Smith", text, re.IGNORECASE)
+
+
+@pytest.mark.parametrize("text,names", [
+    ("Monsieur Dupont était là. Monsieur Dupont.", ["Dupont", "Dupont"]), ("Herr Müller über Wasser", ["Müller"]), ("Señor Ruiz ñandú", ["Ruiz"]),
+    ("господин Орлов ёлка", ["Орлов"]), ("Μαρία Παππά άλλη", ["Μαρία", "Παππά"])])
+def test_lower_case_words_are_no_names(text, names):
+    got = pii.entities(text)
+    assert [text[s:e] for s, e, *_ in got] == names
+    assert all(c.startswith("family") for s, e, _, c in got if text[s:e] == names[-1])
+
+
+def test_one_person_whatever_the_title(spark):
+    rows = [(1, "Dr Kim Lee"), (2, "Ms Kim Lee"), (3, "Monsieur Dupont était là."), (4, "Monsieur Dupont."), (5, "Dr Rin Lee"), (6, "Mr Kim Lee"), (7, "Ms Kim Lee"),
+            (8, "госпожа Ким Орлова"), (9, "Dr Ким Орлова")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    new = {r.doc_id: r.text for r in pii.replace_entities(df, KEY).collect()}
+    people = {new[i].split(" ", 1)[1] for i in (1, 2, 6, 7)}
+    assert len(people) == 1 and new[5].split()[2] == new[1].split()[2] and new[5].split()[1] != new[1].split()[1]
+    assert new[3].split()[1] == new[4].split()[1].rstrip(".") and new[3].endswith(" était là.")
+    assert new[8].split(" ", 1)[1] == new[9].split(" ", 1)[1]
+    kinds = [("name", "given latin n kim"), ("name", "given latin f kim"), ("name", "given latin f kim"), ("name", "given latin m kim"), ("ip", "1.2.3.4"), ("name", "family latin n lee")]
+    got = {tuple(r) for r in pii.settle_genders(spark.createDataFrame(kinds, "kind string, canonical string")).collect()}
+    assert got == {("name", "given latin kim", "given latin f kim"), ("ip", "1.2.3.4", "1.2.3.4"), ("name", "family latin lee", "family latin n lee")}

@@ -118,7 +118,8 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical) of the entities of a text, in order, none overlapping.
 
     Of overlapping candidates the kind listed first in KINDS has it. The
-    canonical form of a name is ``given`` or ``family``, script, gender and the name.
+    canonical form of a name is ``given`` or ``family``, script, gender and the name; the
+    gender is what this mention shows, see ``settle_genders``.
     """
     found: list[tuple[int, int, str, str]] = []
     if "@" in text:
@@ -345,7 +346,8 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
     if kind == "iban":
         body = "".join(str(draw.below(10)) if c.isdigit() else chr(65 + draw.below(26)) for c in canonical[4:])
         return canonical[:2] + f"{98 - _mod97(canonical[:2] + '00' + body):02d}" + body
-    part, script, gender, _ = canonical.split(" ", 3)
+    part, script, gender, name = canonical.split(" ", 3)
+    draw = _Draw(key, kind, f"{part} {script} {name}", attempt)  # the gender only chooses among the forms
     pool = GIVEN.get((script, gender))
     if part == "given" and pool and attempt == 0:
         return f"{part} {script} {gender} {pool[draw.below(len(pool))].casefold()}"
@@ -385,11 +387,12 @@ def draw_surrogates(found: DataFrame, key: bytes) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([kinds, names, pa.array(new, pa.string())], schema.names)
 
         drawn = pending.mapInArrow(draw, schema)
-        free = drawn.join(found.select("kind", F.col("canonical").alias("surrogate")), ["kind", "surrogate"], "left_anti")
+        drawn = drawn.withColumn("as", bare(F.col("surrogate")))  # names are told apart without their genders
+        free = drawn.join(found.select("kind", bare(F.col("canonical")).alias("as")), ["kind", "as"], "left_anti")
         for earlier in done:
-            free = free.join(earlier.select("kind", "surrogate"), ["kind", "surrogate"], "left_anti")
-        first = free.groupBy("kind", "surrogate").agg(F.min(F.struct(F.xxhash64("canonical").alias("h"), "canonical")).alias("m"))
-        done.append(cut(first.select("kind", F.col("m.canonical").alias("canonical"), "surrogate"), f"surrogates-{attempt}"))
+            free = free.join(earlier.select("kind", bare(F.col("surrogate")).alias("as")), ["kind", "as"], "left_anti")
+        first = free.groupBy("kind", "as").agg(F.min(F.struct(F.xxhash64("canonical").alias("h"), "canonical", "surrogate")).alias("m"))
+        done.append(cut(first.select("kind", "m.canonical", "m.surrogate"), f"surrogates-{attempt}"))
         pending = cut(pending.join(done[-1].select("kind", "canonical"), ["kind", "canonical"], "left_anti"), f"pending-{attempt}")
         if pending.isEmpty():
             break
@@ -401,6 +404,25 @@ def draw_surrogates(found: DataFrame, key: bytes) -> DataFrame:
     return out
 
 
+def bare(canonical):
+    """The entity of a canonical form, as a column: of a name all but the gender."""
+    return F.regexp_replace(canonical, "^(given|family) (latin|cyrillic|greek) [mfn] ", "$1 $2 ")
+
+
+def settle_genders(mentions: DataFrame) -> DataFrame:
+    """(kind, entity, canonical) for the mentions (kind, canonical): one row per entity.
+
+    A name has the gender that more of its mentions show; none if they are as many or show none.
+    """
+    shown = lambda g: F.when((F.col("kind") == "name") & F.col("canonical").rlike(f"^(given|family) (latin|cyrillic|greek) {g} "), F.col("n")).otherwise(0)
+    per_form = mentions.groupBy("kind", "canonical").agg(F.count("*").alias("n"))
+    votes = per_form.groupBy("kind", bare(F.col("canonical")).alias("entity"), (F.col("kind") == "name").alias("named")).agg(
+        F.sum(shown("m")).alias("m"), F.sum(shown("f")).alias("f"))
+    gender = F.when(F.col("m") > F.col("f"), "m").when(F.col("f") > F.col("m"), "f").otherwise("n")
+    whole = F.when(F.col("named"), F.concat(F.regexp_extract("entity", r"^(\w+ \w+) ", 1), F.lit(" "), gender, F.lit(" "), F.regexp_extract("entity", r"(?s)^\w+ \w+ (.*)$", 1)))
+    return votes.select("kind", "entity", F.coalesce(whole, "entity").alias("canonical"))
+
+
 _HITS = T.StructType([T.StructField("doc", T.LongType()), T.StructField("doc2", T.LongType()), T.StructField("start", T.IntegerType()),
                       T.StructField("end", T.IntegerType()), *[T.StructField(c, T.StringType()) for c in ("kind", "canonical", "original")]])
 
@@ -428,8 +450,9 @@ def replace_entities(docs: DataFrame, key: bytes, text: str = "text") -> DataFra
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 7, kinds)], _HITS.names)
 
     hits = cut(keyed.select("doc", "doc2", "text").mapInArrow(find, _HITS), "entities")
-    surrogates = draw_surrogates(cut(hits.select("kind", "canonical").distinct(), "distinct"), key)
-    per_doc = hits.join(surrogates, ["kind", "canonical"]).groupBy("doc", "doc2").agg(
+    settled = cut(settle_genders(hits), "distinct")
+    surrogates = draw_surrogates(settled.select("kind", "canonical"), key).select("kind", bare(F.col("canonical")).alias("entity"), "surrogate")
+    per_doc = hits.withColumn("entity", bare(F.col("canonical"))).join(surrogates, ["kind", "entity"]).groupBy("doc", "doc2").agg(
         F.sort_array(F.collect_set(F.struct("start", "end", "kind", "original", "surrogate"))).alias("hits"))
     joined = keyed.join(per_doc, ["doc", "doc2"], "left").select("kept", "text", "hits")
     listed = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
