@@ -6,17 +6,18 @@ import pytest
 from tidepool.llm import registry
 
 SF = "/root/testdata/sf0.001"
-ROWS = {"op7_warc": "pages", "op9_embeddings": "embeddings"}
+ROWS = {"op7_warc": "pages", "op9_embeddings": "embeddings", "op11_conversations": "conversations"}
 
 
 @pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_one_row_per_input_row(spark, name):
     rows = registry.queries()[name](spark, SF).collect()
-    assert len(rows) == spark.read.parquet(f"{SF}/{ROWS.get(name, 'documents')}.parquet").count()
+    table = spark.read.parquet(f"{SF}/{ROWS.get(name, "documents")}.parquet")
+    assert len(rows) == (table.select("conv_id").distinct() if "conv_id" in table.columns else table).count()
     sql = registry.oracle_sql().get(name)
     if sql:
         con = duckdb.connect()
-        for t in ("documents", "pages", "embeddings"):
+        for t in ("documents", "pages", "embeddings", "conversations"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
         found = con.execute(sql)
         columns = [d[0] for d in found.description]

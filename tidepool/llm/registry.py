@@ -6,6 +6,7 @@ contract from what its operator returns.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidepool.llm import bpe, embedding_dedup, line_dedup, mixing, pii, quality, secret_scan, sharding, simhash, warc
+from tidepool.llm import bpe, conversation, embedding_dedup, line_dedup, mixing, pii, quality, secret_scan, sharding, simhash, warc
 from tidepool.llm.scratch import new_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -137,10 +138,88 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_damage(turns: DataFrame) -> DataFrame:
+    """The contract's damage: a checksum of conversation and turn drops, empties, cuts, repeats or reroles a row."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    d = turns.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"),
+                     (F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn"))) % 20).alias("_x")).where("_x <> 0")
+    d = d.withColumn("text", F.when(F.col("_x") == 1, "").when(F.col("_x") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")))
+    d = d.withColumn("role", F.when(F.col("_x") == 4, "user").otherwise(F.col("role")))
+    twice = F.explode(F.when(F.col("_x") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return d.withColumn("_twice", twice).select("conv_id", "turn", "role", "text")
+
+
+def op11_digest(turns: DataFrame) -> DataFrame:
+    damaged = op11_damage(turns.select("conv_id", "turn", "role", "text"))
+    found = conversation.summary(damaged, conversation.repair(damaged))
+    every = turns.select(F.col("conv_id").alias("_c")).distinct()
+    zeros = {c: 0 for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")} | {"audit": "", "repaired_sha256": hashlib.sha256().hexdigest()}
+    return every.join(found, F.col("_c").eqNullSafe(F.col("conv_id")), "left").select(F.col("_c").alias("conv_id"), *zeros).fillna(zeros)
+
+
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_digest(_table(spark, sf_dir, "conversations"))
+
+
+def _op11_sql() -> str:
+    """The cheapest repair as a recursion over the rows of a conversation: the best (cost, edits, lines) by state."""
+    add = lambda v, cost, edit, line="''": (f"{{'c': {v}.c + {cost}, 'e': {v}.e || '{edit}', 't': CASE WHEN {line} = '' THEN {v}.t "
+                                            f"WHEN {v}.t = '' THEN {line} ELSE {v}.t || chr(10) || {line} END}}")
+    best = lambda *x: f"list_sort([{', '.join(x)}])[1]"
+    none = "{'c': 1000000000, 'e': '', 't': ''}"
+    drop = lambda v: add(v, 2, "D")
+    keep = lambda v, role: f"CASE WHEN fault IN (0, 3) AND initial = '{role}' THEN {add(v, '5 * (fault = 3)::INT', 'K', 'line')} ELSE {none} END"
+    rerole = lambda v, role: (f"CASE WHEN fault IN (0, 3) THEN {add(v, '1 + 5 * (fault = 3)::INT', 'R', repr(role + ':') + ' || text')} "
+                              f"ELSE {none} END")
+    to_u, to_a = best("w0", "ws", "wa"), "wu"
+    return f"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+crc AS (
+  SELECT *, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(k, ''), lambda x: ascii(x)::BIGINT)), lambda c, b:
+    list_reduce(list_concat([xor(c, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END))) % 20 AS x
+  FROM src),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN x = 4 THEN 'user' ELSE role END AS role,
+         CASE x WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM crc, unnest(CASE WHEN x = 3 THEN [1, 2] ELSE [1] END) WHERE x <> 0),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+rows AS (
+  SELECT *, role || ':' || text AS line, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+         rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+         CASE WHEN body = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+              WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault
+  FROM numbered),
+steps AS (
+  SELECT conv_id, 0::BIGINT AS i, {{'c': 0, 'e': '', 't': ''}} AS v0, {none} AS vs, {none} AS vu, {none} AS va
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, {drop('w0')}, {best(drop('ws'), keep('w0', 's'))},
+         {best(drop('wu'), keep(to_u, 'u'), rerole(to_u, 'user'))}, {best(drop('wa'), keep(to_a, 'a'), rerole(to_a, 'assistant'))}
+  FROM (SELECT rows.*, v0 AS w0, vs AS ws, {best('vu', *[add(v, 5, 'I', "'user:'") for v in ('v0', 'vs', 'va')])} AS wu,
+               {best('va', add('vu', 5, 'I', "'assistant:'"), *[add(v, 10, 'II', "'user:' || chr(10) || 'assistant:'") for v in ('v0', 'vs')])} AS wa
+        FROM steps JOIN rows ON rows.conv_id IS NOT DISTINCT FROM steps.conv_id AND rows.i = steps.i + 1)),
+ends AS (
+  SELECT conv_id, {best('v0', 'va', add('vu', 5, 'I', "'assistant:'"), add('vs', 10, 'II', "'user:' || chr(10) || 'assistant:'"))} AS best FROM steps
+  QUALIFY i = max(i) OVER (PARTITION BY conv_id)),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+         count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, best.c::BIGINT AS cost, best.e AS audit, sha256(best.t) AS repaired_sha256
+FROM ends e LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
+OP11_SQL = _op11_sql()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_secret_scan, op2_quality, op3_pii, op4_line_dedup, op5_mixing, op6_sharding, op7_warc,
-                                    op8_simhash, op9_embeddings, op10_bpe)}
+                                    op8_simhash, op9_embeddings, op10_bpe, op11_conversations)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": OP4_SQL, "op7_warc": OP7_SQL, "op9_embeddings": OP9_SQL}
+    return {"op4_line_dedup": OP4_SQL, "op7_warc": OP7_SQL, "op9_embeddings": OP9_SQL, "op11_conversations": OP11_SQL}
