@@ -6,14 +6,16 @@ import pytest
 from tidepool.llm import registry
 
 SF = "/root/testdata/sf0.001"
-ROWS = {"op7_warc": "pages", "op9_embeddings": "embeddings", "op11_conversations": "conversations"}
+ROWS = {"op7_warc": "pages", "op9_embeddings": "embeddings", "op11_conversations": "conversations",
+        "op13_whitening": "embeddings"}
+PER_ROW = {"op13_whitening": 32}
 
 
 @pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_one_row_per_input_row(spark, name):
     rows = registry.queries()[name](spark, SF).collect()
     table = spark.read.parquet(f"{SF}/{ROWS.get(name, "documents")}.parquet")
-    assert len(rows) == (table.select("conv_id").distinct() if "conv_id" in table.columns else table).count()
+    assert len(rows) == PER_ROW.get(name, 1) * (table.select("conv_id").distinct() if "conv_id" in table.columns else table).count()
     sql = registry.oracle_sql().get(name)
     if sql:
         con = duckdb.connect()
