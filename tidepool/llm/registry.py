@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidepool.llm import bpe, conversation, embedding_dedup, line_dedup, mixing, pii, quality, secret_scan, sharding, simhash, warc, whitening
+from tidepool.llm import bpe, conversation, embedding_dedup, line_dedup, mixing, pii, quality, secret_scan, sharding, simhash, suffix_dedup, warc, whitening
 from tidepool.llm.scratch import new_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -216,13 +216,18 @@ FROM ends e LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM e.conv_id
 OP11_SQL = _op11_sql()
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.drop_repeats(docs, length=400).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=32)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_secret_scan, op2_quality, op3_pii, op4_line_dedup, op5_mixing, op6_sharding, op7_warc,
-                                    op8_simhash, op9_embeddings, op10_bpe, op11_conversations, op13_whitening)}
+                                    op8_simhash, op9_embeddings, op10_bpe, op11_conversations, op12_suffix_dedup, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
