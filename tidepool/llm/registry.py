@@ -221,6 +221,24 @@ def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.drop_repeats(docs, length=400).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+OP12_SQL = """
+WITH t AS (SELECT row_number() OVER () AS id, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT id, p, substr(h, 2 * p + 1, 2 * 899) AS h FROM (SELECT id, h, unnest(range(0, length(h) // 2 - 399, 500)) AS p FROM t)),
+k AS (SELECT id, p + a AS a, md5_number(substr(h, 2 * a + 1, 800)) AS k FROM (SELECT id, p, h, unnest(range(length(h) // 2 - 399)) AS a FROM p)),
+twice AS (SELECT k FROM k GROUP BY k HAVING count(*) > 1),
+hits AS (SELECT id, a, a - lag(a) OVER (PARTITION BY id ORDER BY a) <= 400 AS goes_on FROM k WHERE k IN (SELECT k FROM twice)),
+runs AS (SELECT id, a, sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER (PARTITION BY id ORDER BY a) AS run FROM hits),
+spans AS (SELECT id, run, min(a) AS lo, max(a) + 400 AS hi FROM runs GROUP BY id, run),
+gaps AS (SELECT id, hi AS lo, lead(lo) OVER (PARTITION BY id ORDER BY lo) AS hi FROM (SELECT id, lo, hi FROM spans UNION ALL SELECT DISTINCT id, -1, 0 FROM spans)),
+kept AS (SELECT id, string_agg(substr(h, 2 * lo + 1, 2 * (coalesce(hi, length(h) // 2) - lo)), '' ORDER BY lo) AS h FROM gaps JOIN (SELECT id, h FROM t) USING (id)
+         WHERE coalesce(hi, length(h) // 2) > lo GROUP BY id),
+sums AS (SELECT id, sum(hi - lo) AS n_removed, count(*) AS n_spans FROM spans GROUP BY id)
+SELECT doc_id, length(t.h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN t.h ELSE coalesce(kept.h, '') END)) AS kept_sha256
+FROM t LEFT JOIN sums USING (id) LEFT JOIN kept USING (id)
+"""
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=32)
 
@@ -231,4 +249,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": OP4_SQL, "op7_warc": OP7_SQL, "op9_embeddings": OP9_SQL, "op11_conversations": OP11_SQL}
+    return {"op4_line_dedup": OP4_SQL, "op7_warc": OP7_SQL, "op9_embeddings": OP9_SQL, "op11_conversations": OP11_SQL, "op12_suffix_dedup": OP12_SQL}
