@@ -118,3 +118,27 @@ def test_query_over_its_whole_table(spark):
     for r in registry.op12_suffix_dedup(spark, "/root/testdata/sf0.001").collect():
         n, removed, spans, kept = want[r.doc_id]
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (n, removed, spans, hashlib.sha256(kept).hexdigest())
+
+
+def test_frequent_samples_like_others():
+    """Windows before samples of frequent names: alone as the merge by sorting finds them, and in parts once their keys meet."""
+    rng = np.random.default_rng(6)
+    n, before = 400, 12
+    names, near = rng.integers(1, 4, n).astype(np.uint64), rng.integers(0, 2, (n, before + 13)).astype(np.uint8)
+    low, high, idx = rng.integers(0, 4, n).astype(np.uint8), rng.integers(3, before + 1, n).astype(np.uint8), np.arange(n) * 7
+    least, most = sd._mark(names, near, low, high, before)
+    (found, lo, hi), (places, dist, keys) = sd._frequent(idx, names, near, low, high, before)
+    assert found.tolist() == idx[most >= 0].tolist() and lo.tolist() == least[most >= 0].tolist() and hi.tolist() == most[most >= 0].tolist()
+    met = {}
+    for part in (slice(0, 150), slice(150, n)):
+        (found, lo, hi), (places, dist, keys) = sd._frequent(idx[part], names[part], near[part], low[part], high[part], before)
+        for i, a, z in zip(found.tolist(), lo.tolist(), hi.tolist()):
+            met.setdefault(i, set()).update((a, z))
+        for p, s, k in zip(places.tolist(), dist.tolist(), map(tuple, keys.tolist())):
+            met.setdefault(k, []).append((p, s))
+    for key, members in [(k, v) for k, v in met.items() if isinstance(k, tuple) and len(v) > 1]:
+        for p, s in members:
+            if p != sd.MANY:
+                met.setdefault(p, set()).add(s)
+    got = {k: (min(v), max(v)) for k, v in met.items() if isinstance(k, int)}
+    assert got == {int(i): (int(a), int(z)) for i, a, z in zip(idx, least, most) if z >= 0}

@@ -20,7 +20,8 @@ is found in these steps, each a Spark job over rows or packed arrays of them:
 
 A sort deals keys to tasks by splitters from a sample. A key that equals a splitter is
 frequent; it has its name from the splitter and is not sent to a task, and suffixes before such a
-sample are merged by a count over hashes of their windows, so no task holds all copies of one key.
+sample are merged by hashes of their windows, each sent once by the samples looked at together, so
+no task holds all copies of one key.
 """
 
 from __future__ import annotations
@@ -45,6 +46,9 @@ SEGMENT, CHUNK, PIECE, PER_TASK = 1 << 18, 2 << 20, 1 << 20, 400_000
 _U = np.uint64
 _BASE, _MIX = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
 _INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_OTHER = _U(0xC2B2AE3D27D4EB4F)
+#: Samples of frequent names whose windows are hashed at a time, and the place of a window that stands for several.
+FREQUENT, MANY = 20_000, 0xFFFFFFFF
 
 
 def plan(length: int) -> tuple[int, list[int]]:
@@ -299,27 +303,33 @@ def _named(state: DataFrame, period: int, depths: list[int], level: int, tasks:
     return dealt.groupBy("task").applyInArrow(name, "cid long, idx binary, names binary")
 
 
-def _mark(names: np.ndarray, near: np.ndarray, low: np.ndarray, high: np.ndarray, length: int, depth: int, period: int) -> tuple[np.ndarray, np.ndarray]:
-    """Least and greatest distance at which the suffix before each sample repeats (greatest -1: none).
-
-    ``near`` holds the ``period`` - 1 bytes before a sample and those from ``depth`` to ``length``
-    behind it. The suffix ``s`` before a sample is its s bytes, the sample's name and the bytes
-    after its depth that are left of ``length``: neighbouring columns of ``near``.
-    """
-    wide, before = length - depth, period - 1
-    least, most = np.full(len(names), 255, np.uint8), np.full(len(names), -1, np.int16)
-    up, _ = _powers(1 << wide.bit_length())
-    h = np.zeros(len(names), _U)
+def _windows(names: np.ndarray, near: np.ndarray, before: int, base: np.uint64 = _BASE) -> Iterator[np.ndarray]:
+    """For each distance from 0 to ``before``, a hash of the name and the neighbouring columns of ``near`` that stand for the suffix."""
+    wide, back = near.shape[1] - before, _U(pow(int(base), -1, 1 << 64))
+    up = np.cumprod(np.concatenate([np.ones(1, _U), np.full(wide, base)]))
+    h, salt = np.zeros(len(names), _U), _mixed(names * base)
     for k in range(wide):
         h += (near[:, before + k].astype(_U) + _U(1)) * up[wide - 1 - k]
-    salt = _mixed(names * _BASE)
     for s in range(before + 1):
         if s:  # one byte further to the left
-            h = (h - near[:, before - s + wide] - _U(1)) * _INVERSE + (near[:, before - s].astype(_U) + _U(1)) * up[wide - 1]
+            h = (h - near[:, before - s + wide] - _U(1)) * back + (near[:, before - s].astype(_U) + _U(1)) * up[wide - 1]
+        yield _mixed(h) ^ salt
+
+
+def _mark(names: np.ndarray, near: np.ndarray, low: np.ndarray, high: np.ndarray, before: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest distance at which the suffix before each sample repeats (greatest -1: none).
+
+    ``near`` holds the ``before`` bytes before a sample and those behind the depth sorted, as far as a window may
+    reach. The suffix ``s`` before a sample is its s bytes, the sample's name and the bytes
+    after its depth that are left of a window: neighbouring columns of ``near``.
+    """
+    wide = near.shape[1] - before
+    least, most = np.full(len(names), 255, np.uint8), np.full(len(names), -1, np.int16)
+    for s, h in enumerate(_windows(names, near, before)):
         here = np.flatnonzero((low <= s) & (s <= high))
-        key = _mixed(h[here]) ^ salt[here]
-        order = here[np.argsort(key, kind="stable")]
-        key = np.sort(key, kind="stable")
+        key = h[here]
+        order = np.argsort(key, kind="stable")
+        key, order = key[order], here[order]
         twin = np.flatnonzero(key[1:] == key[:-1])
         a, b = order[twin], order[twin + 1]
         span = slice(before - s, before - s + wide)
@@ -330,9 +340,31 @@ def _mark(names: np.ndarray, near: np.ndarray, low: np.ndarray, high: np.ndarray
     return least, most
 
 
+def _frequent(idx: np.ndarray, names: np.ndarray, near: np.ndarray, low: np.ndarray, high: np.ndarray, before: int) -> tuple[tuple, tuple]:
+    """Suffixes before samples of frequent names, in two parts: (places, least, most) of those that repeat among
+    these samples, and (places, distances, two hashes) of every distinct window, place ``MANY`` if it is one of the former."""
+    rows, dist, keys = [], [], []
+    for s, (one, two) in enumerate(zip(_windows(names, near, before), _windows(names, near, before, _OTHER))):
+        here = np.flatnonzero((low <= s) & (s <= high))
+        rows.append(here)
+        dist.append(np.full(len(here), s, np.uint8))
+        keys.append(np.stack([one[here] + _U(s), two[here]], axis=1))
+    rows, dist, keys = map(np.concatenate, (rows, dist, keys))
+    order = np.lexsort((keys[:, 1], keys[:, 0]))
+    new = np.concatenate([[True], (keys[order[1:]] != keys[order[:-1]]).any(axis=1)])[: len(order)]
+    group = np.cumsum(new) - 1
+    twice = (np.bincount(group) > 1)[group] if len(group) else np.zeros(0, bool)
+    least, most = np.full(len(idx), 255, np.uint8), np.full(len(idx), -1, np.int16)
+    np.minimum.at(least, rows[order[twice]], dist[order[twice]])
+    np.maximum.at(most, rows[order[twice]], dist[order[twice]].astype(np.int16))
+    found, heads = np.flatnonzero(most >= 0), order[new]
+    places = np.where(twice[new], MANY, idx[rows[heads]]).astype(np.uint32)
+    return (idx[found].astype(np.uint32), least[found], most[found].astype(np.uint8)), (places, dist[heads], keys[heads])
+
+
 def _repeats(state: DataFrame, length: int, period: int, depths: list[int], tasks: int) -> DataFrame:
     """(cid, idx, least, most) in packets: the samples before which suffixes repeat, and the distances."""
-    depth, packets = depths[-1], "cid long, idx binary, least binary, most binary"
+    depth, before, packets = depths[-1], period - 1, "cid long, idx binary, least binary, most binary"
 
     def rows(c, hot: bool):
         chunk = _Chunk(c["data"], c["pieces"], period, c["named"])
@@ -360,7 +392,7 @@ def _repeats(state: DataFrame, length: int, period: int, depths: list[int], task
     def mark(table: pa.Table) -> pa.Table:
         column = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
         names = column("names", _U)
-        least, most = _mark(names, column("near", np.uint8).reshape(len(names), -1), column("low", np.uint8), column("high", np.uint8), length, depth, period)
+        least, most = _mark(names, column("near", np.uint8).reshape(len(names), -1), column("low", np.uint8), column("high", np.uint8), before)
         idx, ends = column("idx", np.uint32), np.cumsum([len(x) // 4 for x in table.column("idx").to_pylist()])
         out = []
         for cid, a, z in zip(table.column("cid").to_pylist(), [0, *ends.tolist()], ends.tolist()):
@@ -369,30 +401,40 @@ def _repeats(state: DataFrame, length: int, period: int, depths: list[int], task
                 out.append((cid, idx[g].tobytes(), least[g].tobytes(), most[g].astype(np.uint8).tobytes()))
         return pa.table([pa.array([o[0] for o in out], pa.int64()), *[pa.array([o[k] for o in out], pa.binary()) for k in (1, 2, 3)]], names=["cid", "idx", "least", "most"])
 
-    def windows(batches):
-        """A row per suffix before a frequent sample: two hashes of its window."""
+    def deal_frequent(batches):
         for c in _each(batches):
             whole = rows(c, True)
-            for part in range(0, len(whole[0]), 20_000):
-                idx, names, near, low, high = (x[part: part + 20_000] for x in whole)
-                for s in range(period):
-                    g = np.flatnonzero((low <= s) & (s <= high))
-                    if len(g):
-                        window = np.ascontiguousarray(np.concatenate([names[g].view(np.uint8).reshape(-1, 8), near[g, period - 1 - s: period - 1 - s + length - depth]], axis=1))
-                        h = [xxhash.xxh3_128_intdigest(x, seed=s) for x in window.view(f"V{window.shape[1]}").ravel().tolist()]
-                        low64 = np.array([x & (1 << 64) - 1 for x in h], _U).view(np.int64)
-                        high64 = np.array([x >> 64 for x in h], _U).view(np.int64)
-                        yield pa.RecordBatch.from_arrays([pa.array([c["cid"]] * len(g), pa.int64()), pa.array(idx[g].astype(np.int64)), pa.array(np.full(len(g), s, np.int32)),
-                                                          pa.array(low64), pa.array(high64)], ["cid", "at", "s", "w1", "w2"])
+            for i in range(0, len(whole[0]), FREQUENT):
+                here, (places, dist, keys) = _frequent(*(x[i: i + FREQUENT] for x in whole), before)
+                task = (keys[:, 0] % _U(tasks)).astype(np.int64)
+                order = np.argsort(task, kind="stable")
+                out = [(int(task[g[0]]), places[g], dist[g], dist[g], keys[g]) for g in np.split(order, np.flatnonzero(np.diff(task[order])) + 1) if len(g)]
+                out += [(-1 - c["cid"] % tasks, *here, np.zeros((0, 2), _U))] * bool(len(here[0]))
+                yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([c["cid"]] * len(out), pa.int64()),
+                                                  *[pa.array([o[k].tobytes() for o in out], pa.binary()) for k in (1, 2, 3, 4)]], ["task", "cid", "idx", "least", "most", "keys"])
+
+    def mark_frequent(table: pa.Table) -> pa.Table:
+        """Windows that more than one packet has; packets of a negative task pass."""
+        cids, keep = table.column("cid").to_pylist(), ["cid", "idx", "least", "most"]
+        if table.column("task")[0].as_py() < 0:
+            return table.select(keep)
+        keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), _U).reshape(-1, 2)
+        places = np.frombuffer(b"".join(table.column("idx").to_pylist()), np.uint32)
+        dist = np.frombuffer(b"".join(table.column("least").to_pylist()), np.uint8)
+        order = np.lexsort((keys[:, 1], keys[:, 0]))
+        same = (keys[order[1:]] == keys[order[:-1]]).all(axis=1)
+        hit = np.zeros(len(keys), bool)
+        hit[order[1:][same]] = hit[order[:-1][same]] = True
+        hit &= places != MANY
+        ends = np.cumsum([len(x) // 4 for x in table.column("idx").to_pylist()]).tolist()
+        out = [(cid, a + np.flatnonzero(hit[a:z])) for cid, a, z in zip(cids, [0, *ends], ends) if hit[a:z].any()]
+        return pa.table([pa.array([o[0] for o in out], pa.int64()), *[pa.array([x[o[1]].tobytes() for o in out], pa.binary()) for x in (places, dist, dist)]], names=keep)
 
     cold = state.mapInArrow(deal, "task long, cid long, idx binary, names binary, near binary, low binary, high binary").groupBy("task").applyInArrow(mark, packets)
     if tasks == 1:
         return cold
-    hot = state.mapInArrow(windows, "cid long, at long, s int, w1 long, w2 long")
-    twice = hot.groupBy(F.col("w1").alias("_1"), F.col("w2").alias("_2")).count().where("count > 1")
-    hot = hot.join(twice, (F.col("w1") == F.col("_1")) & (F.col("w2") == F.col("_2")), "left_semi").groupBy("cid", "at").agg(F.min("s").alias("least"), F.max("s").alias("most"))
-    little = lambda c, n: F.unhex(F.concat(*[F.substring(F.lpad(F.hex(c), 8, "0"), 7 - 2 * k, 2) for k in range(n)]))
-    return cold.unionByName(hot.select("cid", little("at", 4).alias("idx"), little("least", 1).alias("least"), little("most", 1).alias("most")))
+    hot = state.mapInArrow(deal_frequent, "task long, cid long, idx binary, least binary, most binary, keys binary")
+    return cold.unionByName(hot.groupBy("task").applyInArrow(mark_frequent, packets))
 
 
 def _spans(state: DataFrame, repeats: DataFrame, length: int) -> DataFrame:
