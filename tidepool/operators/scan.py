@@ -74,20 +74,13 @@ def add_chunk(df: DataFrame, ts_col: str, width_us: int, name: str = "_chunk") -
     return df.withColumn(name, floor_div(F.col(ts_col), width_us))
 
 
-def add_split_chunk(df: DataFrame, keys: Sequence[str], ts_col: str, tie: str, width_us: int,
-                    name: str = "_chunk", limit: int = HOT_CHUNK) -> DataFrame:
-    """Chunk id = (bucket, part, split) of rows ordered by (``ts_col``, ``tie``).
+def hot_buckets(bucketed: DataFrame, keys: Sequence[str], ts_col: str, tie: str, limit: int = HOT_CHUNK) -> DataFrame:
+    """The (keys, ``_bucket``) with more than ``limit`` rows, the ``MOST_HOT`` largest, and how to cut them.
 
-    A bucket with more than ``limit`` rows of a key is cut into parts of equal
-    time, or, where all its rows have one time stamp (a bulk load), of equal
-    range of a BIGINT ``tie`` or by input split of a place (file, block, row).
-    Which buckets are that large comes from an aggregate; the ``MOST_HOT``
-    largest of them are broadcast.
+    They are cut into parts of equal time, or, where all rows have one time stamp
+    (a bulk load), of equal range of a BIGINT ``tie`` or by input split of a place (file, block, row).
     """
-    t = F.col(ts_col)
-    placed = isinstance(df.schema[tie].dataType, T.StructType)
-    s = F.lit(0).cast("long") if placed else F.shiftright(F.col(tie), 2)  # differences stay within BIGINT
-    bucketed = add_chunk(df, ts_col, width_us, "_bucket")
+    t, s = F.col(ts_col), _tie_code(bucketed, tie)
     stats = (bucketed.groupBy(*keys, "_bucket")
                      .agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_lo"), F.max(t).alias("_hi"),
                           F.min(s).alias("_slo"), F.max(s).alias("_shi")))
@@ -95,11 +88,33 @@ def add_split_chunk(df: DataFrame, keys: Sequence[str], ts_col: str, tie: str, w
     tied = F.col("_lo") == F.col("_hi")
     low, high = (F.when(tied, F.col(f"_s{x}")).otherwise(F.col(f"_{x}")) for x in ("lo", "hi"))
     step = F.call_function("div", high - low, 2 * (F.call_function("div", F.col("_n"), F.lit(limit)) + 1)) + 1
-    hot = hot.select(*keys, "_bucket", tied.alias("_tied"), low.alias("_from"), step.alias("_step"))
-    part = F.call_function("div", F.when(F.col("_tied"), s).otherwise(t) - F.col("_from"), F.col("_step"))
+    return hot.select(*keys, "_bucket", tied.alias("_tied"), low.alias("_from"), step.alias("_step"))
+
+
+def _tie_code(df: DataFrame, tie: str) -> Column:
+    placed = isinstance(df.schema[tie].dataType, T.StructType)
+    return F.lit(0).cast("long") if placed else F.shiftright(F.col(tie), 2)  # differences stay within BIGINT
+
+
+def cut_buckets(bucketed: DataFrame, hot: DataFrame, keys: Sequence[str], ts_col: str, tie: str, columns: Sequence[str], name: str = "_chunk") -> DataFrame:
+    """``columns`` and the chunk (bucket, part, split) of each row, given the hot buckets."""
+    placed = isinstance(bucketed.schema[tie].dataType, T.StructType)
+    part = F.call_function("div", F.when(F.col("_tied"), _tie_code(bucketed, tie)).otherwise(F.col(ts_col)) - F.col("_from"), F.col("_step"))
     split = F.when(F.col("_tied"), F.struct(F.col(tie)["file"], F.col(tie)["block"])) if placed else F.lit(0)
     chunk = F.struct(F.col("_bucket").alias("bucket"), F.coalesce(part, F.lit(0)).alias("part"), split.alias("split"))
-    return stitch(bucketed, F.broadcast(hot), [*keys, "_bucket"], [*df.columns, chunk.alias(name)])
+    return stitch(bucketed, F.broadcast(hot), [*keys, "_bucket"], [*columns, chunk.alias(name)])
+
+
+def add_split_chunk(df: DataFrame, keys: Sequence[str], ts_col: str, tie: str, width_us: int,
+                    name: str = "_chunk", limit: int = HOT_CHUNK) -> DataFrame:
+    """Chunk id = (bucket, part, split) of rows ordered by (``ts_col``, ``tie``).
+
+    A bucket with more than ``limit`` rows of a key is cut further (``hot_buckets``).
+    Which buckets are that large comes from an aggregate; the ``MOST_HOT``
+    largest of them are broadcast.
+    """
+    bucketed = add_chunk(df, ts_col, width_us, "_bucket")
+    return cut_buckets(bucketed, hot_buckets(bucketed, keys, ts_col, tie, limit), keys, ts_col, tie, df.columns, name)
 
 
 def add_arrival_chunk(df: DataFrame, width_us: int, keys: Sequence[str] = (), name: str = "_chunk",

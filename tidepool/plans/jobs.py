@@ -14,6 +14,7 @@ from tidepool.functions import messages as M
 from tidepool.functions.text import ITEM_LABEL, PAGE_LABEL
 from tidepool.functions.timecols import floor_div, ms_of, pane_end, parse_duration_us, timestamp_text
 from tidepool.operators import aggs, keyed, sequence, joins
+from tidepool.operators.pattern import Pattern, match_sequence
 from tidepool.operators.topn import ranking_report, top_n
 from tidepool.operators.windows import pane_window_count, sliding_count, window_count
 
@@ -199,6 +200,33 @@ def login_fail_pattern(logins: DataFrame, within="2 seconds") -> DataFrame:
                     ms_of(F.col("nxt.ts_us")).alias("last_fail_ms"), F.lit(M.LOGIN_PATTERN).alias("msg"))
 
 
+def login_fail_streak(logins: DataFrame, fails: int = 3, within="2 seconds") -> DataFrame:
+    """begin(fail).next(fail)... ``fails`` times within d: user_id, first_fail_ms, last_fail_ms, fail_count, msg."""
+    fail = F.col("event_type") == "fail"
+    p = Pattern.begin("f1", fail)
+    for n in range(2, fails + 1):
+        p = p.next(f"f{n}", fail)
+    matches, _ = match_sequence(logins, ["user_id"], p.within(within))
+    return matches.select("user_id", ms_of(F.col("f1.ts_us")).alias("first_fail_ms"), ms_of(F.col(f"f{fails}.ts_us")).alias("last_fail_ms"),
+                          F.lit(fails).cast("long").alias("fail_count"), F.lit(M.LOGIN_PATTERN).alias("msg"))
+
+
+def purchase_funnel(ub: DataFrame, within="15 minutes") -> tuple[DataFrame, DataFrame]:
+    """begin(signup).followedBy(pv).followedBy(click).next(purchase).within(d) per user: (purchases, lost).
+
+    A lost one is a sign-up whose pattern was pending when the time had passed: the step reached and when it timed out.
+    """
+    is_ = lambda kind: F.col("behavior") == kind
+    p = (Pattern.begin("signup", is_("signup")).followed_by("view", is_("pv")).followed_by("click", is_("click"))
+         .next("purchase", is_("purchase")).within(within))
+    bought, lost = match_sequence(ub, ["user_id"], p, payload=["item_id"])
+    steps = [s.name for s in p.steps]
+    taken = F.array_size(F.array_compact(F.array(*[F.col(f"{s}.seq") for s in steps])))
+    return (bought.select("user_id", *[F.col(f"{s}.seq").alias(f"{s}_id") for s in steps], F.col("purchase.item_id").alias("item_id"),
+                          ms_of(F.col("signup.ts_us")).alias("signup_ms"), ms_of(F.col("purchase.ts_us")).alias("purchase_ms")),
+            lost.select("user_id", F.col("signup.seq").alias("signup_id"), taken.cast("long").alias("steps_taken"), ms_of(F.col("timeout_us")).alias("timeout_ms")))
+
+
 def login_fail_consecutive(logins: DataFrame, within="2 seconds", order=None) -> DataFrame:
     """A fail right after a fail of the same user, in the order of arrival unless ``order`` is given."""
     return keyed.consecutive_fails(logins, "user_id", parse_duration_us(within), order)

@@ -24,6 +24,7 @@ from tidepool.operators.windows import sliding_count
 
 LOGIN_WITHIN = "6 hours"
 ORDER_LIMIT = "12 hours"
+STREAK_WITHIN, FUNNEL_WITHIN = "12 hours", "72 hours"
 TX_LOWER, TX_UPPER = "-3 hours", "5 hours"
 AD_LIMIT = 1
 H = 3_600_000_000  # one hour in µs
@@ -103,6 +104,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "login_fail_consecutive": lambda s, d: jobs.login_fail_consecutive(views.login_events(_ev(s, d)),
                                                                            LOGIN_WITHIN),
         "login_fail_burst": lambda s, d: jobs.login_fail_burst(views.login_events(_ev(s, d)), LOGIN_WITHIN),
+        "login_fail_streak": lambda s, d: jobs.login_fail_streak(views.login_events(_ev(s, d)), 3, STREAK_WITHIN),
+        "purchase_funnel": lambda s, d: jobs.purchase_funnel(views.user_behavior(_ev(s, d)), FUNNEL_WITHIN)[0],
+        "purchase_funnel_lost": lambda s, d: jobs.purchase_funnel(views.user_behavior(_ev(s, d)), FUNNEL_WITHIN)[1],
         "order_pattern_paid": lambda s, d: jobs.order_timeout_pattern(views.order_events(_ev(s, d)),
                                                                       ORDER_LIMIT)[0],
         "order_pattern_timeout": lambda s, d: jobs.order_timeout_pattern(views.order_events(_ev(s, d)),
@@ -255,6 +259,17 @@ _BURST = f"""
     FROM b
     WHERE fail_count >= 2 AND NOT (nrk IS NULL AND close_u IS NOT NULL AND close_u <= ts_us + {6 * H})"""
 
+# Of each row the position of the next row and of the first later view and click, by windows over the whole user; -1 marks a
+# funnel that failed at its last step in time.
+_FUNNEL = f"""
+    WITH e AS (SELECT event_id AS seq, user_id, event_type AS t, ts_us, k FROM {EV}),
+    n AS (SELECT *, min(CASE WHEN t = 'view' THEN {{'u': ts_us, 's': seq}} END) OVER w AS v, min(CASE WHEN t = 'click' THEN {{'u': ts_us, 's': seq}} END) OVER w AS c,
+                 min({{'u': ts_us, 's': seq}}) OVER w AS nx
+          FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts_us, seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+    s AS (SELECT a.user_id, a.seq AS s1, a.ts_us AS u1, CASE WHEN v.ts_us < a.ts_us + {72 * H} THEN v.seq END AS s2,
+                 CASE WHEN c.ts_us < a.ts_us + {72 * H} THEN c.seq END AS s3, CASE WHEN x.ts_us < a.ts_us + {72 * H} THEN x.seq END AS nx, x.t AS nt, x.ts_us AS u4, x.k AS item
+          FROM n a LEFT JOIN n v ON v.seq = a.v.s LEFT JOIN n c ON c.seq = v.c.s LEFT JOIN n x ON x.seq = c.nx.s WHERE a.t = 'signup')"""
+
 _ORDER_MATCH = f"""
     WITH c AS (SELECT * FROM {_ORDERS} WHERE t = 'create'),
     m AS (SELECT c.order_id, c.ts_us, c.seq, min(p.ts_us) AS pay_u
@@ -344,6 +359,17 @@ def oracle_sql() -> dict[str, str]:
                    '{M.LOGIN_CONSECUTIVE.format(secs=6 * 3600)}' AS msg
             FROM n WHERE t = 'fail' AND pt = 'fail' AND ts_us < pu + {6 * H}""",
         "login_fail_burst": _BURST,
+        "login_fail_streak": f"""
+            WITH n AS (SELECT *, lead(t) OVER w AS t2, lead(t, 2) OVER w AS t3, lead(ts_us, 2) OVER w AS u3 FROM {_LOGIN}
+                       WINDOW w AS (PARTITION BY user_id ORDER BY ts_us, seq))
+            SELECT user_id, ts_us // 1000 AS first_fail_ms, u3 // 1000 AS last_fail_ms, 3::BIGINT AS fail_count, '{M.LOGIN_PATTERN}' AS msg
+            FROM n WHERE t = 'fail' AND t2 = 'fail' AND t3 = 'fail' AND u3 - ts_us < {12 * H}""",
+        "purchase_funnel": _FUNNEL + """
+            SELECT user_id, s1 AS signup_id, s2 AS view_id, s3 AS click_id, nx AS purchase_id, item AS item_id,
+                   u1 // 1000 AS signup_ms, u4 // 1000 AS purchase_ms FROM s WHERE nx IS NOT NULL AND nt = 'purchase'""",
+        "purchase_funnel_lost": _FUNNEL + f"""
+            SELECT user_id, s1 AS signup_id, (1 + (s2 IS NOT NULL)::INT + (s3 IS NOT NULL)::INT)::BIGINT AS steps_taken, (u1 + {72 * H}) // 1000 AS timeout_ms
+            FROM s WHERE nx IS NULL""",
         "order_pattern_paid": _ORDER_MATCH + f"""
             SELECT order_id, '{M.PAID}' AS result, ts_us // 1000 AS create_ms, pay_u // 1000 AS pay_ms
             FROM m WHERE pay_u IS NOT NULL AND pay_u - ts_us < {12 * H}""",
