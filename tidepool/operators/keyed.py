@@ -9,15 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidepool.functions import messages as M
 from tidepool.functions.timecols import day_in_zone, floor_div, ms_of, pane_end, parse_duration_us
-from tidepool.operators.scan import HOT_CHUNK, add_arrival_chunk, add_chunk, add_split_chunk, nearest, running
-from tidepool.operators.sequence import bucket_width, with_neighbours
+from tidepool.operators.bursts import greedy_bursts
+from tidepool.operators.scan import HOT_CHUNK, add_arrival_chunk, add_split_chunk, nearest, running
 from tidepool.operators.topn import first_rows
 from tidepool.operators.windows import changes_from_points, expand_segments
 
@@ -92,93 +90,25 @@ def consecutive_fails(df: DataFrame, key: str = "user_id", within_us: int = 2_00
 
 
 # --------------------------------------------------------------------------- login: bursts
-_BURSTS = "first_u long, last_u long, fail_count long, close_u long"
-
-
 def fail_bursts(df: DataFrame, key: str = "user_id", within_us: int = 2_000_000, min_fails: int = 2,
-                chunk_us: int = WIDE_CHUNK_US) -> DataFrame:
+                limit: int = HOT_CHUNK) -> DataFrame:
     """Greedy fail bursts per key in event-time order.
 
     A fail opens a burst with deadline ts + within; later fails up to the
     deadline join it; the next fail after the deadline opens a new burst. A
     success cancels the open burst if it comes by its deadline, and fails
     after it start afresh. A burst that closes with >= ``min_fails`` fails
-    gives (key, first_fail_ms, last_fail_ms, fail_count, msg).
-
-    A fail with no event of its key within ``within`` before it, or right after a
-    success, always opens a burst: it starts a segment. The rows of a time bucket
-    and copies of its neighbours' edges show that, the success that ends a
-    segment, and whether the segment spans more than ``within``, all after
-    one shuffle. A segment of at most ``within`` is one burst, so it is one
-    group of an aggregate. Only longer segments are walked: they are numbered by
-    a chunked scan, and their rows sorted by key and segment and streamed
-    through, with one open burst in memory.
+    gives (key, first_fail_ms, last_fail_ms, fail_count, msg). ``bursts`` says how
+    a key's life is cut into chunks.
     """
-    events = df.select(key, "ts_us", "seq", (F.col("event_type") != "fail").cast("int").alias("_ok"))
-    near = with_neighbours(events, "ts_us", 2 * within_us, before=True, after=True)
-    # repeated records are one row with a count, so that the order is the same wherever it is computed
-    near = (near.repartition(key, "_bucket")
-                .groupBy(key, "_bucket", "ts_us", "seq", "_ok").agg(F.count(F.lit(1)).alias("_n"), F.min("_copy").alias("_copy")))
-    w = Window.partitionBy(key, "_bucket").orderBy("ts_us", "seq", "_ok")
-    t, me = F.col("ts_us"), F.struct("ts_us", "seq")
-    near = near.withColumns({"_before": F.lag(F.struct("ts_us", "_ok")).over(w), "_after": F.lead(F.struct("ts_us", "_ok")).over(w)})
-    # A row at the very front of the copied edge may have an event before it that is not seen. It counts as a
-    # start that is not sure; it lies more than ``within`` ahead of the bucket, so what it starts there is long.
-    opens = (F.col("_ok") == 0) & F.coalesce((F.col("_before._ok") == 1) | (F.col("_before.ts_us") < t - F.lit(within_us)), F.lit(True))
-    near = near.withColumn("_open", opens).withColumn(
-        "_unsure", opens & F.col("_before").isNull() & (t < F.col("_bucket") * F.lit(bucket_width(2 * within_us)) - F.lit(1 + within_us)))
-    near = near.withColumn("_start", F.last(F.when(F.col("_open"), F.struct("ts_us", "seq", "_unsure")), ignorenulls=True).over(w))
-    fails = near.where(F.col("_ok") == 0)
-    last = F.max("ts_us").over(Window.partitionBy(key, "_bucket", "_start"))
-    is_long = F.col("_start._unsure") | (last - F.col("_start.ts_us") > F.lit(within_us))
-    fails = fails.withColumn("_long", is_long).where(F.col("_copy") == 0).select(
-        key, "ts_us", "seq", "_n", "_start", "_long", F.col("_open").cast("long").alias("_open"),
-        F.when(F.col("_after._ok") == 1, F.col("_after.ts_us")).alias("_close"))
-
-    schema = T.StructType([df.schema[key], *T._parse_datatype_string(_BURSTS).fields])
-    short = fails.where(~F.col("_long")).groupBy(key, "_start").agg(
-        F.min("ts_us").alias("first_u"), F.max("ts_us").alias("last_u"), F.sum("_n").alias("fail_count"),
-        F.max_by("_close", me).alias("close_u"))
-    walked = add_chunk(fails.where("_long").select(key, "ts_us", "seq", "_n", "_open", "_close"), "ts_us", chunk_us)
-    walked = running(walked, [key], ["ts_us", "seq"], "_open", "_s", "_chunk")
-    walked = (walked.repartition(key, "_s").sortWithinPartitions(key, "_s", "ts_us", "seq")
-                    .select(key, "_s", "ts_us", "_n", "_close"))
-    bursts = short.select(schema.names).union(walked.mapInArrow(_walk(key, within_us, schema.names), schema))
-
-    cancelled = F.coalesce(F.col("close_u") <= F.col("first_u") + F.lit(within_us), F.lit(False))
+    bursts = greedy_bursts(df, key, within_us, limit=limit)
     secs = within_us // 1_000_000
-    out = bursts.where(~cancelled & (F.col("fail_count") >= min_fails))
+    out = bursts.where(~F.col("cancelled") & (F.col("fail_count") >= min_fails))
     return out.select(F.col(key), ms_of(F.col("first_u")).alias("first_fail_ms"),
                       ms_of(F.col("last_u")).alias("last_fail_ms"), F.col("fail_count").cast("long"),
                       F.format_string(M.LOGIN_BURST.format(secs=secs, n="%d"), F.col("fail_count")).alias("msg"))
 
 
-def _walk(key: str, within_us: int, names: list[str]):
-    """Bursts of sorted segments, row by row: a burst starts after the deadline of the one before."""
-
-    def run(batches):
-        burst = None  # key, segment, first, last, count, close
-        for b in batches:
-            out = []
-            for k, s, t, n, close in zip(*(b.column(c).to_pylist() for c in (key, "_s", "ts_us", "_n", "_close"))):
-                if burst is None or burst[0] != k or burst[1] != s or t > burst[2] + within_us:
-                    if burst is not None:
-                        out.append(burst)
-                    burst = [k, s, t, t, 0, None]
-                burst[3], burst[4], burst[5] = t, burst[4] + n, close
-            yield _burst_batch(out, b.schema.field(key).type, names)
-        if burst is not None:
-            yield _burst_batch([burst], b.schema.field(key).type, names)
-
-    return run
-
-
-def _burst_batch(bursts: list[list], key_type, names: list[str]):
-    columns = list(zip(*bursts)) or [()] * 6
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[0], key_type), *[pa.array(columns[i], pa.int64()) for i in (2, 3, 4, 5)]], names)
-
-
 # --------------------------------------------------------------------------- late rows
 def with_arrival_watermark(df: DataFrame, delay="1 second", chunk="1 minute",
                            limit: int = HOT_CHUNK) -> tuple[DataFrame, list[str]]:
