@@ -20,6 +20,7 @@ from tidepool.functions.messages import COUNT_LABEL, ITEM_LABEL, PAGE_LABEL, REP
 from tidepool.plans import jobs
 from tidepool.functions.timecols import floor_div, ntz_of
 from tidepool.sources import readers, sinks, views
+from tidepool.operators.accumulate import Count, Mean, TopK, window_aggregate
 from tidepool.operators.windows import sliding_count
 
 LOGIN_WITHIN = "6 hours"
@@ -74,6 +75,23 @@ def _weblog_parsed(spark, d):
     return readers.parse_web_log(lines).select("ip", "user_id", "method", "url", "ts_us")
 
 
+def _agg_item_counts(spark, d):
+    """Hot items' counts by a user-written accumulator in place of the built-in count."""
+    return window_aggregate(_ub(spark, d), ["item_id"], Count(), "1 hour", "5 minutes")
+
+
+def _agg_top_values(spark, d):
+    """Of each hour and event type the three events of the greatest value."""
+    ev = _ev(spark, d).select("event_type", "event_id", "value", "ts_us")
+    top = window_aggregate(ev, ["event_type"], TopK("value", "event_id", 3), "1 hour")
+    return top.select("event_type", "window_end", F.array_join(F.col("top").cast("array<string>"), ",").alias("top"))
+
+
+def _agg_mean(spark, d):
+    ev = _ev(spark, d).select("event_type", views.prop_k().cast("double").alias("k"), "ts_us")
+    return window_aggregate(ev, ["event_type"], Mean("k", "mean_k"), "1 hour", "5 minutes")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "hot_items": lambda s, d: jobs.hot_items(_ub(s, d)),
@@ -117,6 +135,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tx_matched": lambda s, d: _tx(s, d)[0],
         "tx_unmatched_pay": lambda s, d: _tx(s, d)[1],
         "tx_unmatched_receipt": lambda s, d: _tx(s, d)[2],
+        "agg_item_counts": _agg_item_counts,
+        "agg_top_values": _agg_top_values,
+        "agg_mean": _agg_mean,
         "records_parsed": _records_parsed,
         "weblog_parsed": _weblog_parsed,
     }
@@ -389,6 +410,20 @@ def oracle_sql() -> dict[str, str]:
         "tx_matched": _PAIRS,
         "tx_unmatched_pay": tx_neg,
         "tx_unmatched_receipt": rx_neg,
+        "agg_item_counts": f"""
+            SELECT k AS item_id, (pe + 300000000 * r.i - {H}) // 1000 AS window_start, (pe + 300000000 * r.i) // 1000 AS window_end, count(*) AS cnt
+            FROM (SELECT k, ts_us - ts_us % 300000000 + 300000000 AS pe FROM {EV} WHERE event_type = 'view') e, range(12) AS r(i)
+            GROUP BY ALL""",
+        "agg_top_values": f"""
+            SELECT event_type, window_end, string_agg(event_id::VARCHAR, ',' ORDER BY value DESC, event_id) AS top
+            FROM (SELECT event_type, {_HOURLY} AS window_end, event_id, value,
+                         row_number() OVER (PARTITION BY event_type, {_HOURLY} ORDER BY value DESC, event_id) AS n
+                  FROM (SELECT *, epoch_us(ts) AS ts_us FROM events)) WHERE n <= 3 GROUP BY ALL""",
+        "agg_mean": f"""
+            SELECT event_type, (pe + 300000000 * r.i - {H}) // 1000 AS window_start, (pe + 300000000 * r.i) // 1000 AS window_end,
+                   sum(k)::DOUBLE / count(k) AS mean_k
+            FROM (SELECT event_type, k, ts_us - ts_us % 300000000 + 300000000 AS pe FROM {EV}) e, range(12) AS r(i)
+            GROUP BY ALL""",
         "records_parsed": f"""
             SELECT order_id, t AS event_type, CASE WHEN t = 'pay' THEN tx_id ELSE '' END AS tx_id,
                    ts_us // 1000000 * 1000000 AS ts_us FROM {_ORDERS}""",
