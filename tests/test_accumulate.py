@@ -13,25 +13,30 @@ SCHEMA = "k string, v double, id long, ts_us long"
 SEC = 1_000_000
 
 
-class Distinct(acc.Aggregate):
-    """Distinct ids as a set, and a window hook that writes the key and its bounds."""
+def distinct():
+    """A class of its own function, so that it is sent by value, as one of a notebook is."""
 
-    inputs, output = ("id",), "n long, label string"
+    class Distinct(acc.Aggregate):
+        """Distinct ids as a set, and a window hook that writes the key and its bounds."""
 
-    def create(self):
-        return set()
+        inputs, output = ("id",), "n long, label string"
 
-    def add(self, a, rows):
-        return a | set(pc.unique(rows.column("id")).to_pylist()) - {None}
+        def create(self):
+            return set()
 
-    def merge(self, a, b):
-        return a | b
+        def add(self, a, rows):
+            return a | set(pc.unique(rows.column("id")).to_pylist()) - {None}
 
-    def result(self, a):
-        return len(a), ""
+        def merge(self, a, b):
+            return a | b
 
-    def window(self, key, result):
-        return result[0], f"{key['k']}@{key['window_end']}" if "window_end" in key else str(key["k"])
+        def result(self, a):
+            return len(a), ""
+
+        def window(self, key, result):
+            return result[0], f"{key['k']}@{key['window_end']}" if "window_end" in key else str(key["k"])
+
+    return Distinct()
 
 
 def data(rng, n):
@@ -58,11 +63,11 @@ def test_like_python(spark, held, files):
 
 def test_sliding_windows_and_hook(spark):
     rows = data(random.Random(5), 400)
-    got = {(r.k, r.window_end): (r.n, r.label) for r in acc.window_aggregate(spark.createDataFrame(rows, SCHEMA).repartition(5), ["k"], Distinct(), "60 seconds", "20 seconds").collect()}
+    got = {(r.k, r.window_end): (r.n, r.label) for r in acc.window_aggregate(spark.createDataFrame(rows, SCHEMA).repartition(5), ["k"], distinct(), "60 seconds", "20 seconds").collect()}
     want = defaultdict(set)
     for k, _, i, ts in rows:
         if ts is not None:
-            for e in range(ts // (20 * SEC) * 20 + 20, ts // (20 * SEC) * 20 + 81, 20):
+            for e in range(ts // (20 * SEC) * 20 + 20, ts // (20 * SEC) * 20 + 61, 20):
                 want[k, e * 1000].add(i)
     assert got == {key: (len(ids), f"{key[0]}@{key[1]}") for key, ids in want.items()}
 
