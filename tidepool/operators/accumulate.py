@@ -110,6 +110,8 @@ class TopK(Aggregate):
 
     def add(self, acc, rows):
         rows = rows.drop_null()
+        if not rows.num_rows:
+            return acc
         few = rows.take(pc.select_k_unstable(rows, self.k, [(self.inputs[0], "descending"), (self.inputs[1], "ascending")]))
         return self.merge(acc, list(zip(few.column(0).to_pylist(), few.column(1).to_pylist())))
 
