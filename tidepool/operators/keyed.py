@@ -111,9 +111,10 @@ def fail_bursts(df: DataFrame, key: str = "user_id", within_us: int = 2_000_000,
 
 # --------------------------------------------------------------------------- late rows
 def with_arrival_watermark(df: DataFrame, delay="1 second", chunk="1 minute",
-                           limit: int = HOT_CHUNK) -> tuple[DataFrame, list[str]]:
+                           limit: int = HOT_CHUNK, floor_us: int | None = None) -> tuple[DataFrame, list[str]]:
     """(``df`` with ``watermark_us``, its arrival order): the watermark before each row, max(ts of
-    earlier arrivals) - delay, NULL before the first.
+    earlier arrivals) - delay, NULL before the first. ``floor_us`` is the newest time of
+    what arrived before all of ``df``.
 
     The running maximum over the global arrival order is a chunked scan with
     no key: a task holds one minute of arrivals or a part of it
@@ -122,11 +123,12 @@ def with_arrival_watermark(df: DataFrame, delay="1 second", chunk="1 minute",
     """
     d, arrival = add_arrival_chunk(df, parse_duration_us(chunk), limit=limit)
     d = running(d, [], arrival, "ts_us", "_maxprev", "_chunk", how="max", inclusive=False)
-    return d.withColumn("watermark_us", F.col("_maxprev") - F.lit(parse_duration_us(delay))).drop("_maxprev", "_chunk"), arrival
+    newest = F.col("_maxprev") if floor_us is None else F.greatest("_maxprev", F.lit(floor_us))
+    return d.withColumn("watermark_us", newest - F.lit(parse_duration_us(delay))).drop("_maxprev", "_chunk"), arrival
 
 
 def split_late(df: DataFrame, size="10 minutes", slide="5 seconds", lateness="1 minute",
-               delay="1 second", chunk="1 minute", limit: int = HOT_CHUNK) -> tuple[DataFrame, DataFrame]:
+               delay="1 second", chunk="1 minute", limit: int = HOT_CHUNK, floor_us: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(on-time rows, late rows) of a sliding-window job with bounded disorder.
 
     A row is late when at its arrival even its newest window [start, start +
@@ -134,7 +136,7 @@ def split_late(df: DataFrame, size="10 minutes", slide="5 seconds", lateness="1
     Adds ``watermark_us``.
     """
     size_us, slide_us, late_us = parse_duration_us(size), parse_duration_us(slide), parse_duration_us(lateness)
-    d, _ = with_arrival_watermark(df, delay, chunk, limit)
+    d, _ = with_arrival_watermark(df, delay, chunk, limit, floor_us)
     newest_end = pane_end(F.col("ts_us"), slide_us) - F.lit(slide_us) + F.lit(size_us)
     is_late = F.coalesce(newest_end - F.lit(1000) + F.lit(late_us) <= F.col("watermark_us"), F.lit(False))
     d = d.withColumn("_late", is_late)

@@ -127,6 +127,14 @@ def stream_records(spark: SparkSession, path: str, kind: str, max_files: int | N
     return parse_records(reader.text(path), kind, mode)
 
 
+def stream_places(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """(value, place): the lines under ``path`` as a stream, each with its file and the block of it."""
+    reader = spark.readStream
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.text(path).select("value", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")).alias("place"))
+
+
 # Web log layout - space separated, field 0 ip, 1 user id,
 # 3 time as dd/MM/yyyy:HH:mm:ss, 4 zone (not read), 5 method, 6 url.
 WEB_LOG_FIELDS = 7

@@ -40,6 +40,7 @@ from tidepool.functions import messages as M
 from tidepool.functions.timecols import floor_div, parse_duration_us
 from tidepool.operators.topn import changelog, top_n
 from tidepool.operators.windows import changes_from_panes, expand_segments
+from tidepool.streaming.epochlog import EpochLog
 
 
 def _interval(*durations) -> str:
@@ -433,31 +434,39 @@ def pane_updates(df: DataFrame, keys, size, slide, delay="0 seconds", where=None
 
 
 class _PaneLog:
-    """The pane updates of each epoch as a partition of a table under a shared folder.
+    """The pane updates of the epochs up to one, kept in an ``EpochLog``.
 
-    A replayed epoch overwrites its own partition and reads only those before
-    it, so it gives the same result again. A table that can't be read raises.
-    Partitions older than every open window are no longer read (their files
-    are skipped by the statistics of ``pane``) and may be removed at any time
-    but for the newest of them."""
+    Merged panes that no open window can hold are let go, but for the newest time
+    of all."""
 
     def __init__(self, batch: DataFrame, epoch: int, path: str, keys: list[str], size_us: int, slide_us: int, delay_us: int):
-        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/epoch={epoch}")
-        schema = T.StructType([*batch.schema.fields, T.StructField("epoch", T.LongType())])
-        self.rows = batch.sparkSession.read.schema(schema).option("basePath", path).parquet(path).where(F.col("epoch") <= epoch)
-        self.epoch, self.keys, self.size_us, self.slide_us = epoch, keys, size_us, slide_us
-        newest = self.rows.agg(F.max(F.when(F.col("epoch") < epoch, F.col("max_us"))), F.max("max_us")).first()
+        self.keys, self.size_us, self.slide_us, self.delay_us = keys, size_us, slide_us, delay_us
+        earlier, self.own = EpochLog(path, self._merge).write(batch, epoch)
+        self.rows = earlier.withColumn("own", F.lit(False)).unionByName(self.own.withColumn("own", F.lit(True)))
+        newest = self.rows.agg(F.max(F.when(~F.col("own"), F.col("max_us"))), F.max("max_us")).first()
         # the last window end that the watermark (newest time - delay) has passed, before this epoch and with it
-        self.closed_before, self.closed = ((m - delay_us) // slide_us * slide_us if m is not None else None for m in newest)
+        self.closed_before, self.closed = (self._closed(m) if m is not None else None for m in newest)
+
+    def _closed(self, newest_us):
+        return (newest_us - self.delay_us) // self.slide_us * self.slide_us
+
+    def _merge(self, rows: DataFrame) -> DataFrame:
+        newest = rows.agg(F.max("max_us")).first()[0]
+        panes = rows.groupBy(*self.keys, "pane").agg(F.max("n").alias("n"), F.max("max_us").alias("max_us"))  # a pane's count only grows
+        if newest is None:
+            return panes
+        mark = rows.limit(1).select(*[F.lit(None).cast(rows.schema[k].dataType).alias(k) for k in self.keys], F.lit(0).cast("long").alias("pane"),
+                                    F.lit(0).cast("long").alias("n"), F.lit(newest).cast("long").alias("max_us"))
+        return panes.where((F.col("n") > 0) & (F.col("pane") > F.lit(self._closed(newest) - self.size_us))).unionByName(mark)
 
     def panes(self, before: bool = False) -> DataFrame:
         """(keys, pane, n) of the panes that windows open before this epoch can hold."""
         rows = self.rows.where(F.col("n") > 0)
         if before:
-            rows = rows.where(F.col("epoch") < self.epoch)
+            rows = rows.where(~F.col("own"))
         if self.closed_before is not None:
             rows = rows.where(F.col("pane") > F.lit(self.closed_before - self.size_us + self.slide_us))
-        return rows.groupBy(*self.keys, "pane").agg(F.max("n").alias("n"))  # a pane's count only grows
+        return rows.groupBy(*self.keys, "pane").agg(F.max("n").alias("n"))
 
 
 def sliding_count_writer(df: DataFrame, keys, size, slide, state_dir: str, write_batch,
@@ -573,7 +582,7 @@ def top_n_changelog_writer(rows: DataFrame, id_col: str, write_changes, state_di
 
     def each(batch: DataFrame, epoch_id: int) -> None:
         log = _PaneLog(batch, epoch_id, state_dir, [id_col], size_us, slide_us, delay_us)
-        own = log.rows.where((F.col("epoch") == epoch_id) & (F.col("n") > 0))
+        own = log.own.where(F.col("n") > 0)
         touched = ends(own.select("pane").distinct()).select("window_end").distinct()
         if log.closed_before is not None:
             touched = touched.where(F.col("window_end") > F.lit(log.closed_before))
