@@ -5,8 +5,10 @@ import itertools
 import math
 import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidepool.llm import secret_scan as ss
 
@@ -92,17 +94,58 @@ def test_dataframe(spark):
     assert digest[2].base_sha256 == hashlib.sha256(b"").hexdigest() and digest[3].n_access == 1
 
 
-def test_words_after_credential_names_are_clean(spark):
-    for text in ("your token is invalid", "the password is incorrect", "the secret is simplicity", "Password is required.", "password: mandatory", "the passphrase is misconfigured"):
-        assert ss.find(text, WORDS) == [] or all(k == "assign" for *_, k, _ in ss.find(text, WORDS)), text
-    # words of another language come from the corpus; a repeated secret does not become one
-    rows = [(i, f"Das Kennwort bleibt ungültig und unvollständig. pwd: qzxvkjwpfhg {'x' * (i % 3)}") for i in range(8)] + [(99, "Das token is unvollständig")]
-    got = {r.doc_id: r for r in ss.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
-    assert got[99].n_guess == 0 and all(got[i].n_guess == 1 for i in range(8))
-    assert "unvollständig" in ss.corpus_words(spark.createDataFrame(rows, "doc_id long, text string")) and "qzxvkjwpfhg" not in ss.corpus_words(spark.createDataFrame(rows, "doc_id long, text string"))
+def guesses(text):
+    return [text[s:e] for s, e, k, _ in ss.find(text, WORDS) if k == "guess"]
+
+
+def test_words_after_credential_names_are_clean():
+    for text in ("your token is invalid", "the password is incorrect", "the secret is simplicity", "Password is required.", "password: mandatory", "the passphrase is misconfigured",
+                 "token is responsible/accountable", "the password is неправильный", "pass is Rechtsschutzversicherung", "the secret is kindheartedness", "Das token is unvollständig",
+                 "密码 token is 不正确的密码值", "pwd: ungültig", "secret = oubliée", "password is WRONG-USERNAME!"):
+        assert guesses(text) == [], text
     assert len(ss.GENERAL) > 30_000
 
 
+def test_code_is_clean():
+    for text in ("password = getpass.getpass()", "api_key = os.environ['KEY']", "password: ${DB_PASSWORD}", "token = request.headers.get('X-Auth')", "pwd=$PGPASSWORD", "secret: {{ vault_secret }}",
+                 "password = settings.DATABASE_PASSWORD", "password=%(password)s", "pwd = user_password_field", "access_token: <your-token>", "token = generate_token(length)", "PASSWORD=$(cat /run/secret)"):
+        assert guesses(text) == [], text
+    assert guesses("pwd: x9$(Lq!7Wz@") and guesses("pwd: $x9Lq!7Wz@") and guesses("secret = qzxvkjwpfhg") and guesses('password: "correcthorsebatterystaplewagon"')
+
+
+def test_random_letters_are_no_words():
+    rng = random.Random(4)
+    values = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(500)]
+    assert sum(bool(guesses(f"the password is {v}")) for v in values) > 450
+    assert sum(ss.wordlike(w) for w in ss.GENERAL if len(w) > 5) > 0.95 * sum(len(w) > 5 for w in ss.GENERAL)
+
+
+def test_neighbours_do_not_matter(spark):
+    """The same spans whatever the table: each text alone, with 1,200 others of its words, or repeated."""
+    texts = ["the password is zworgelfrm", "pwd: hrmplqw9x", "token: Ab3$efgh!j"]
+    more = [f"{w} zworgelfrm hrmplqw9x" for w in ss.GENERAL[:1200]]
+    alone = {t: ss.listed(ss.find(t, WORDS)) for t in texts}
+    for table in (texts, texts + more, texts * 3):
+        got = ss.scan(spark.createDataFrame([(t,) for t in table], "text string")).where(F.col("text").isin(texts)).collect()
+        assert {r.text: r.spans for r in got} == alone
+
+
+@pytest.mark.parametrize("n, times", [(250, 3), (1000, 3), (3000, 3), (40, 200), (5000, 2)])
+def test_long_repeats_take_time_in_proportion(n, times):
+    rng = random.Random(n)
+    block = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", k=n))
+    began = time.time()
+    cost = ss.guess_cost(block * times, WORDS, blocks=True)
+    assert cost < 1.1 * ss.guess_cost(block, WORDS, blocks=True) + 4 and time.time() - began < 1 + n * times / 2000
+
+
+def test_long_value_of_several_repeats():
+    rng = random.Random(8)
+    parts = ["".join(rng.choices("abcdefXYZ0123456789+/", k=400)) * 2 for _ in range(5)]
+    began = time.time()
+    assert ss.guess_cost("".join(parts), WORDS, blocks=True) < 5 * 400 * 1.5 and time.time() - began < 10
+
+
 def cheapest_by_hand(value, known=None):
     """Cheapest of all ways to cut a value, every piece judged by itself: word, date, walk, repeat of any block, brute force."""
     known = {} if known is None else known
@@ -161,9 +204,3 @@ def test_forms_of_credentials(text, value):
 def test_names_that_are_part_of_other_words():
     for text in ("bypass: x9$Lq!7Wz@", "compass=x9$Lq!7Wz@", "the spin is x9$Lq!7Wz@", "passport: x9$Lq!7Wz@", 'pwd: "x9$Lq!\n7Wz@qP"', "http://host:8080/a@bcdefgh"):
         assert ss.find(text, WORDS) == [], text
-
-
-def test_corpus_words_of_one_count_are_all_in_or_all_out(spark):
-    df = spark.createDataFrame([(" ".join(w for k, w in ((9, "often"), (7, "mid"), (7, "das"), (5, "few"), (3, "rare")) if i < k),) for i in range(9)], "text string")
-    assert ss.corpus_words(df) == ("often", "das", "mid", "few")
-    assert ss.corpus_words(df, most=3) == ("often", "das", "mid") and ss.corpus_words(df, most=2) == ("often",) and ss.corpus_words(df.limit(0)) == ()

@@ -6,8 +6,11 @@ Beyond them, every value in a credential context ("pwd: x", "passphrase is x",
 minimum over all segmentations of the value into dictionary words, dates,
 repeats, keyboard walks and brute-force spans (after Wheeler, "zxcvbn:
 Low-Budget Password Strength Estimation", 2016), found by dynamic
-programming in time linear in the value's length, but for repeats of long blocks. Values whose cost reaches
-the threshold are reported as spans of kind ``guess``.
+programming in time linear in the value's length, repeats of long blocks included but for the few that may be cheapest.
+Values whose cost reaches the threshold are reported as spans of kind ``guess``, unless they are code that
+fetches a value or, by the statistics of their letters, words of a language.
+
+The dictionary is fixed, so what a text yields does not depend on the texts it is scanned with.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ import functools
 import math
 import pkgutil
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,7 +28,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.scratch import cut
 from tidepool.llm.textio import parts, utf8
 
 # The base patterns and the shortest value or match that counts.
@@ -63,10 +66,11 @@ your what when time work home computer internet server system access token key p
 company office service account test123 public private none null true false todo""".split())
 #: General words, most common first: the whole words among the tokens of three public BPE vocabularies, in the order of their merges.
 GENERAL = tuple(pkgutil.get_data("tidepool.llm", "words.txt").decode().split())
-#: The dictionary a scan uses beside the corpus's own words; a parameter where a larger list is at hand.
+#: The dictionary of a scan; a parameter where a larger list is at hand.
 WORDS = tuple(dict.fromkeys(PASSWORDS + GENERAL))
-#: Most words of the corpus that become a dictionary, and documents that must have a word outside credential values.
-CORPUS_WORDS, CORPUS_MIN_DOCS = 20_000, 5
+#: Mean log10 probability of a letter after the one before from which letters count as a word: of random letters one in twenty
+#: reaches it, of the general words of 6 letters or more 97 in a hundred; and the longest word that stands behind a colon or an equals sign.
+WORDLIKE, LONGEST_WORD = -1.5, 20
 # Rows of common keyboards; a walk runs along one of them in either direction.
 KEYBOARD = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./", "~!@#$%^&*()_+", "qwertzuiop", "yxcvbnm", "azertyuiop", "abcdefghijklmnopqrstuvwxyz")
 LEET = str.maketrans("4@310$5+7", "aaeiosstt")
@@ -120,9 +124,9 @@ class Words:
 
 
 @functools.lru_cache(maxsize=2)
-def dictionary(words: tuple[str, ...], own: tuple[str, ...]) -> Words:
+def dictionary(words: tuple[str, ...]) -> Words:
     """The same for all tasks of a Python worker."""
-    return Words(words, own)
+    return Words(words)
 
 
 def fixed_spans(value: str, words: Words) -> Iterator[tuple[int, int, float, str]]:
@@ -230,14 +234,12 @@ class _Run:
         self.starts: dict[int, list[tuple[int, float]]] = {}
         self.block: dict[int, float] = {}
 
-    def cheapest(self, j: int, free: list[float], block_cost) -> float:
-        """For the repeats that end at ``j``, where ``free`` is known before it."""
+    def cheapest(self, j: int, free: list[float], block_cost, wanted) -> float:
+        """For the repeats that end at ``j``, where ``free`` is known before it; blocks that aren't ``wanted`` are passed over."""
         i = j - self.least
         if i < self.start:
             return math.inf
         r = (i - self.start) % self.period
-        if r not in self.block:
-            self.block[r] = block_cost(i, i + self.period)
         kept: list[tuple[int, float]] = []
         best = math.inf
         for at, before in (*self.starts.get(r, ()), (i, free[i] + (SEGMENT if i else 0))):
@@ -246,6 +248,10 @@ class _Run:
                 best = c
                 kept.append((at, before))
         self.starts[r] = kept
+        if r not in self.block:
+            if not any(wanted(self, at, j) for at, _ in kept):
+                return math.inf
+            self.block[r] = block_cost(i, i + self.period)
         return best + self.block[r]
 
 
@@ -262,28 +268,112 @@ def guess_cost(value: str, words: Words, blocks: bool = False) -> float:
 
 
 def _cheapest(value: str, words: Words, blocks: bool, known: dict[str, float]) -> float:
+    """A block may begin anywhere in its run, and each beginning is another block to be segmented. Few can be part of the cheapest
+    segmentation: a way that repeats blocks from each run's start alone is an upper bound, and one that charges repeats less
+    than they can cost bounds what lies before and behind any other block, which is segmented only if the two leave room."""
     if value in known:
         return known[value]
     n = len(value)
     ending: dict[int, list[tuple[int, float]]] = {}
     for i, j, c, _ in fixed_spans(value, words):
         ending.setdefault(j, []).append((i, c))
+    single = [r for r in _single(value) if r[2] - r[1] >= least_repeats(1)]
+    longer = [(p, s, e) for p, s, e in repeated(value) if p > 1 and e - s >= 2 * p] if blocks else []
+    cost = lambda a, b: BRUTE[_class(value[a])] if b - a == 1 else _cheapest(value[a:b], words, blocks, known)
+    plain = _forward(value, ending, single, cost, lambda r, at, j: True)
+    if longer:
+        below = _bounds(value, ending, single, longer, plain)
+        upper = _forward(value, ending, single + longer, cost, lambda r, at, j: r.period == 1 or at == r.start)[n]
+        low, behind = below
+        # a repeat from ``at`` to ``j`` costs, with all before it, at least what its first block's end does
+        room = lambda r, at, j: r.period == 1 or at == r.start or low[at + r.period] + math.log10((j - at) // r.period) + behind[j] < upper
+        plain = _forward(value, ending, single + longer, cost, room)
+    known[value] = plain[n]
+    return plain[n]
+
+
+def _forward(value: str, ending: dict[int, list[tuple[int, float]]], repeats: list[tuple[int, int, int]], block_cost, wanted) -> list[float]:
+    """Cheapest cost of each prefix, of the ways that use only repeats that are ``wanted``."""
+    n = len(value)
     runs: dict[int, list[_Run]] = {}  # by the first position where one of their repeats can end
-    for p, s, e in (repeated(value) if blocks else _single(value)):
-        if e - s >= least_repeats(p) * p:
-            runs.setdefault(s + least_repeats(p) * p, []).append(_Run(p, s, e))
+    for p, s, e in repeats:
+        runs.setdefault(s + least_repeats(p) * p, []).append(_Run(p, s, e))
     active: list[_Run] = []
     free = [math.inf] * (n + 1)  # cheapest way to each position, any last span
     brute = [math.inf] * (n + 1)  # the same with a brute-force span last
     free[0] = 0.0
-    cost = lambda a, b: BRUTE[_class(value[a])] if b - a == 1 else _cheapest(value[a:b], words, blocks, known)
     for j in range(1, n + 1):
         step = BRUTE[_class(value[j - 1])]
         brute[j] = min(brute[j - 1], free[j - 1] + (SEGMENT if j > 1 else 0)) + step
         active = [r for r in active if r.end >= j] + runs.get(j, [])
-        free[j] = min([brute[j], *[free[i] + (SEGMENT if i else 0) + c for i, c in ending.get(j, ())], *[r.cheapest(j, free, cost) for r in active]])
-    known[value] = free[n]
-    return free[n]
+        free[j] = min([brute[j], *[free[i] + (SEGMENT if i else 0) + c for i, c in ending.get(j, ())], *[r.cheapest(j, free, block_cost, wanted) for r in active]])
+    return free
+
+
+def _bounds(value: str, ending: dict[int, list[tuple[int, float]]], single: list[tuple[int, int, int]], longer: list[tuple[int, int, int]],
+            plain: list[float]) -> tuple[list[float], list[float]]:
+    """(no prefix costs less, no suffix with the ``SEGMENT`` ahead of it costs less), where repeats of longer blocks are charged too little.
+
+    Without repeats in it, a block costs at least the difference of the ``plain`` costs of the prefixes it ends and begins at,
+    less a segment; with some, at least nothing.
+    """
+    n = len(value)
+    runs = []
+    for p, s, e in longer:
+        nested = any(q < p and min(e, f) - max(s, t) >= 2 * q for q, t, f in longer)
+        least = [0.0 if nested else max(0.0, plain[i + p] - plain[i] - SEGMENT) for i in range(s, e - 2 * p + 1)]
+        runs.append((p, s, e, least))
+    begin: dict[int, list[int]] = {}
+    for k, (p, s, e, _) in enumerate(runs):
+        begin.setdefault(s + 2 * p, []).append(k)
+    ones: dict[int, float] = {}
+    low, brute, cheapest, active = [0.0] + [math.inf] * n, math.inf, {}, []
+    by_end = {j: s for _, s, e in single for j in range(s + 3, e + 1)}
+    for j in range(1, n + 1):
+        step = BRUTE[_class(value[j - 1])]
+        brute = min(brute, low[j - 1] + (SEGMENT if j > 1 else 0)) + step
+        active = [k for k in active if runs[k][2] >= j] + begin.get(j, [])
+        best = min([brute, *[low[i] + (SEGMENT if i else 0) + c for i, c in ending.get(j, ())]])
+        if j in by_end:
+            best = min(best, _one(low, by_end[j], j, ones) + step)
+        for k in active:
+            p, s, _, least = runs[k]
+            i = j - 2 * p
+            cheapest[k] = min(cheapest.get(k, math.inf), low[i] + (SEGMENT if i else 0) + least[i - s])
+            best = min(best, cheapest[k] + math.log10(2))
+        low[j] = best
+    behind, brute, cheapest, active = [math.inf] * n + [0.0], math.inf, {}, []
+    starting: dict[int, list[tuple[int, float]]] = {}
+    for j, spans_ in ending.items():
+        for i, c in spans_:
+            starting.setdefault(i, []).append((j, c))
+    finish: dict[int, list[int]] = {}
+    for k, (p, s, e, _) in enumerate(runs):
+        finish.setdefault(e - 2 * p, []).append(k)
+    by_start = {i: e for _, s, e in single for i in range(s, e - 2)}
+    ahead: dict[int, float] = {}
+    for i in range(n - 1, -1, -1):
+        step = BRUTE[_class(value[i])]
+        brute = min(brute, behind[i + 1]) + step
+        active = [k for k in active if runs[k][1] <= i] + finish.get(i, [])
+        best = min([brute, *[behind[j] + c for j, c in starting.get(i, ())]])
+        if i in by_start:
+            e = by_start[i]
+            ahead[e] = min(ahead.get(e, math.inf), behind[i + 3])
+            best = min(best, ahead[e] + step)
+        for k in active:
+            p, s, _, least = runs[k]
+            cheapest[k] = min(cheapest.get(k, math.inf), behind[i + 2 * p])
+            best = min(best, cheapest[k] + least[i - s] + math.log10(2))
+        behind[i] = best + SEGMENT
+    return low, behind
+
+
+def _one(low: list[float], start: int, j: int, held: dict) -> float:
+    """The least cost before a repeat of one character that ends at ``j``, its run beginning at ``start``."""
+    i = j - 3
+    held[start] = min(held.get(start, math.inf), low[i] + (SEGMENT if i else 0))
+    return held[start]
 
 
 def _single(value: str) -> list[tuple[int, int, int]]:
@@ -305,26 +395,83 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def credential_values(text: str) -> list[tuple[int, int]]:
-    """Spans of the values in a credential context, in order, without overlaps of their own."""
+def _values(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, what stands before) of the values in a credential context, in order, without overlaps:
+    'quote', 'is', 'sign' or 'other'."""
     low = text.encode().lower().decode()
     found = []
     if any(h in low for h in _HINTS):
-        found += [next((m.span(g) for g in (1, 2, 3) if m[g] is not None)) for m in CONTEXT.finditer(text)]
+        for m in CONTEXT.finditer(text):
+            group = next(g for g in (1, 2, 3) if m[g] is not None)
+            before = text[m.start(): m.start(group)].rstrip(" \t")
+            found.append((*m.span(group), "quote" if group < 3 else "is" if before[-2:].lower() == "is" else "sign" if before[-1:] in ":=>" else "other"))
     if "://" in text and "@" in text:
-        found += [m.span(1) for m in URL.finditer(text)]
-    out: list[tuple[int, int]] = []
+        found += [(*m.span(1), "other") for m in URL.finditer(text)]
+    out: list[tuple[int, int, str]] = []
     for s in sorted(found):
         if not out or s[0] >= out[-1][1]:
             out.append(s)
     return out
 
 
+def credential_values(text: str) -> list[tuple[int, int]]:
+    """Spans of the values in a credential context, in order, without overlaps of their own."""
+    return [(a, b) for a, b, _ in _values(text)]
+
+
+#: Code that fetches a value: a call, an index, a variable of a shell or a template, a path of names.
+_CODE = re.compile(r"[A-Za-z_][\w.]*[(\[]|\$\{|\$[A-Za-z_]\w*$|\$\(|\{\{|%\(|[A-Za-z_]+(?:\.[A-Za-z_]+)+$|<[A-Za-z]")
+
+
+@functools.cache
+def _letter_pairs() -> tuple[Counter, Counter]:
+    """How often a letter follows another in the general words, and how often it comes at all; ^ begins and $ ends a word."""
+    pairs, all_ = Counter(), Counter()
+    for w in GENERAL:
+        w = f"^{_plain(w)}$"
+        pairs.update(zip(w, w[1:]))
+        all_.update(w[:-1])
+    return pairs, all_
+
+
+def _plain(word: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFKD", word.lower()) if c.isalpha())
+
+
+def wordlike(part: str) -> bool:
+    """Letters of one script in the case of a word, that follow each other as letters of words do; of other scripts than the Latin one, any letters."""
+    if not part.isalpha() or not (part.islower() or part.isupper() or part[1:].islower() or not (part.lower() != part or part.upper() != part)):
+        return False
+    plain = _plain(part)
+    if not plain.isascii():
+        return not any("a" <= c <= "z" for c in plain)
+    pairs, all_ = _letter_pairs()
+    w = f"^{plain}$"
+    return sum(math.log10((pairs[p] + 0.5) / (all_[p[0]] + 14)) for p in zip(w, w[1:])) / (len(w) - 1) >= WORDLIKE
+
+
+def is_plain(value: str, before: str) -> bool:
+    """Whether an unquoted value is no secret on the face of it: code that fetches one, or words as prose and forms have them.
+
+    Behind "is" any words, joined by hyphens, slashes or apostrophes, are prose; behind a sign a name in code or one word, if it isn't longer than words are.
+    """
+    if before not in ("is", "sign"):
+        return False
+    if _CODE.match(value):
+        return True
+    words = [w for w in re.split(r"[-/'’_]" if before == "sign" else r"[-/'’]", value) if w]
+    if before == "sign" and any(len(w) > LONGEST_WORD for w in words):
+        return False
+    return bool(words) and all(wordlike(w) for w in words)
+
+
 def find(text: str, words: Words, threshold: float = THRESHOLD) -> list[tuple[int, int, str, float | None]]:
     """All spans (start, end, kind, log10 guesses) by start, then kind as listed; base spans have no cost."""
     base = base_spans(text)
     found = [(*s, None) for s in base]
-    for a, b in credential_values(text):
+    for a, b, before in _values(text):
+        if is_plain(text[a:b].rstrip(".!?);"), before) or is_plain(text[a:b], before):
+            continue
         while b > a and text[b - 1] in ".!?)":  # the end of a sentence is not part of the value
             b -= 1
         cost = guess_cost(text[a:b], words, blocks=True)
@@ -343,71 +490,25 @@ _FOUND = T.StructType([
     T.StructField("max_cost", T.DoubleType())])
 
 
-_LETTERS = re.compile(r"[^\W\d_]{3,}")
-
-
-def corpus_words(docs: DataFrame, text: str = "text", most: int = CORPUS_WORDS, min_docs: int = CORPUS_MIN_DOCS) -> tuple[str, ...]:
-    """The words of the most documents, most common first and equal counts by word.
-
-    Words of one count are all in or all out, so that at most ``most`` reach the driver.
-
-    A word counts where it stands outside credential values, so that a secret
-    that is repeated does not become a word. A task holds the counts of about a
-    million words at a time; they are added up by a shuffle.
-    """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[str] = Counter()
-
-        def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
-            held.clear()
-            return made
-
-        for b in parts(batches):
-            for t in utf8(b.column("text")):
-                t = t.decode()
-                at, pieces = 0, []
-                for i, j in credential_values(t):
-                    pieces.append(t[at:i])
-                    at = j
-                held.update(set(_LETTERS.findall(" ".join([*pieces, t[at:]]).lower())))
-                if len(held) > 1 << 20:
-                    yield out()
-        yield out()
-
-    counted = docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(run, "word string, n long")
-    summed = cut(counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs), "corpus-words")
-    least, room = None, most
-    for n, of in sorted(((r["n"], r["of"]) for r in summed.groupBy("n").agg(F.count("*").alias("of")).collect()), reverse=True):
-        if of > room:
-            break
-        least, room = n, room - of
-    if least is None:
-        return ()
-    return tuple(r["word"] for r in sorted(summed.where(F.col("n") >= least).collect(), key=lambda r: (-r["n"], r["word"])))
-
-
-def scan(docs: DataFrame, text: str = "text", words: tuple[str, ...] = WORDS, threshold: float = THRESHOLD,
-         most_corpus_words: int = CORPUS_WORDS) -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", words: tuple[str, ...] = WORDS, threshold: float = THRESHOLD) -> DataFrame:
     """Columns of ``docs`` with counts by kind, ``base_spans``, ``spans`` and ``max_cost``.
 
-    ``words`` is the dictionary, most common first; the words of ``docs`` themselves are
-    counted before and make another one of ``most_corpus_words`` at most (0: none).
+    ``words`` is the dictionary, most common first.
 
     Spans are ``kind:start:end`` in code points, the end exclusive, by start and
     joined by commas. ``max_cost`` is the highest guess cost reported, null if none.
-    Null and empty texts have none; columns named like an output are
-    replaced; an empty table gives no rows.
+    Null and empty texts have none; repeated rows each have their own; texts and values
+    may be as long as a row may be (a block of 10,000 characters three times
+    over takes a second); columns named like an output are replaced; an empty table gives no rows.
     """
     names = {f.name for f in _FOUND}
     others = [c for c in docs.columns if c.lower() not in names]
     source = docs.select(F.struct(*[F.col(f"`{c}`") for c in others], F.lit(0).alias("_")).alias("kept"), F.col(f"`{text}`").alias("text"))
 
-    own = corpus_words(docs, text, most_corpus_words) if most_corpus_words else ()
-    sent = docs.sparkSession.sparkContext.broadcast((tuple(words), own))
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = dictionary(*sent.value)
+        known = dictionary(sent.value)
         for b in parts(batches):
             rows = []
             for t in utf8(b.column("text")):
