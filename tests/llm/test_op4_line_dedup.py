@@ -61,3 +61,18 @@ def test_all_lines_go(spark):
 
 def test_empty_table(spark):
     assert ld.drop_frequent_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_query_and_sql_count_rows(spark, tmp_path):
+    """A repeated row is a document of its own, in the query and in its SQL."""
+    import duckdb
+
+    from tidepool.llm import registry
+    rows = [(1, "a\nb")] * 12 + [(k, f"c\nd{k}\n C ") for k in range(2, 12)] + [(50, "e")] * 9 + [(None, "only"), (60, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = registry.op4_line_dedup(spark, str(tmp_path)).collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(registry.OP4_SQL).fetchall()
+    assert sorted(map(str, want)) == sorted(str((r.doc_id, r.n_lines, r.n_dropped, r.kept_sha256)) for r in got)
+    assert sum(r.n_dropped for r in got) == 12 * 2 + 10 * 2

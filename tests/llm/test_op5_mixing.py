@@ -95,3 +95,20 @@ def test_edge_tables(spark):
         assert len(mine) == n and abs(sum(r.taken for r in mine) - mine[0].target) <= 10
     long = mx.mix(spark.createDataFrame([(1, "w " * 300_000, "a"), (2, "x", "a")], schema)).collect()
     assert max(r.size for r in long) == 300_000
+
+
+def test_a_third_of_all_rows_is_one_row(spark):
+    """Copies of a repeated row are dealt among its rows, numbered by place and not in one task."""
+    data = rows(5, 400) + [(7, "w " * 9, "b")] * 200
+    df = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(9)
+    found = mx.mix(df).collect()
+    assert len(found) == 600
+    for s in {r[2] for r in data}:
+        mine = [r for r in found if r.source == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 200
+    hot = [r.copies for r in found if r.doc_id == 7 and r.source == "b" and r.size == 9]
+    assert len(hot) == 200 and max(hot) - min(hot) <= 1
+    from tidepool.llm.scratch import cut
+    numbered = mx._numbered(cut(df.selectExpr("source AS key", "doc_id"), "numbers"), ["key"], "n").collect()
+    for s in {r[2] for r in data if r[2]}:
+        assert sorted(r.n for r in numbered if r.key == s) == list(range(1, 1 + sum(r[2] == s for r in data)))

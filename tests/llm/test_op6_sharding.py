@@ -73,3 +73,24 @@ def test_edge_rows(spark):
     for r in found:
         slots[r.shard].append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+@pytest.mark.parametrize("from_files", [False, True])
+def test_a_third_of_all_rows_is_one_row(spark, from_files, tmp_path):
+    """The same row 1,500 times among 2,000: shards stay as equal as without it."""
+    rng = random.Random(12)
+    rows = [(i, "z" * rng.randint(0, 60) + str(rng.random())) for i in range(2000)] + [(7, "hot " * 12)] * 1500
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    if from_files:
+        df.write.parquet(str(tmp_path / "t"))
+        df = spark.read.parquet(str(tmp_path / "t"))
+    found = sh.histogram_shards(df, 8, from_files=from_files).collect()
+    assert Counter((r.doc_id, r.text) for r in found) == Counter(rows)
+    size, slots = Counter(), defaultdict(list)
+    for r in found:
+        size[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    mean = sum(size.values()) / 8
+    assert all(abs(s - mean) <= 0.03 * mean for s in size.values()), size
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())

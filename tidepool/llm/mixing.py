@@ -194,6 +194,20 @@ def balanced_fractions(units: DataFrame, block: int = BLOCK, fan: int = FAN) ->
     return out
 
 
+def _numbered(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Rows of each key, read from files, numbered from 1: first those of the first partition, then on from the partitions before.
+
+    No task holds all rows of a key, only those of one partition.
+    """
+    rows = rows.withColumn("_place", F.spark_partition_id())
+    counts = rows.groupBy(*keys, "_place").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ahead = counts.select(*keys, "_place", ahead.alias("_ahead"))
+    here = F.row_number().over(Window.partitionBy(*keys, "_place").orderBy(F.lit(0)))
+    local = rows.repartition(*keys, "_place").withColumn("_here", here)
+    return local.join(ahead, [*keys, "_place"]).withColumn(name, (F.col("_here") + F.col("_ahead")).cast("int")).drop("_here", "_ahead", "_place")
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0,
         text: str = "text", source: str = "source", block: int = BLOCK, fan: int = FAN) -> DataFrame:
     """Columns of ``docs`` with ``size``, ``source_size``, ``target``, ``copies`` and ``taken``.
@@ -232,7 +246,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
 
     # flat columns, so that those the caller drops are not shuffled
     joined = keyed.select("key", "key2", *[f"_{i}" for i in range(len(others))]).join(decided, ["key", "key2"])
-    turn = F.row_number().over(Window.partitionBy("key", "key2").orderBy("key"))
-    copies = F.floor(F.col("all_copies") / F.col("rows")) + F.when(turn <= F.col("all_copies") % F.col("rows"), 1).otherwise(0)
-    return joined.withColumn("copies", copies.cast("long")).select(
+    turned = joined.where("rows = 1").withColumn("_turn", F.lit(1))
+    if not decided.where("rows > 1").isEmpty():
+        turned = turned.unionByName(_numbered(cut(joined.where("rows > 1"), "repeats"), ["key", "key2"], "_turn"))
+    copies = F.floor(F.col("all_copies") / F.col("rows")) + F.when(F.col("_turn") <= F.col("all_copies") % F.col("rows"), 1).otherwise(0)
+    return turned.withColumn("copies", copies.cast("long")).select(
         *[F.col(f"_{i}").alias(c) for i, c in enumerate(others)], "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))

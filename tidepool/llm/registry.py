@@ -59,16 +59,16 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP4_SQL = """
 WITH lines AS (
-  SELECT doc_id, pos, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+  SELECT row_id, doc_id, pos, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
-  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+  FROM (SELECT row_id, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
-        FROM documents)),
-frequent AS (SELECT key FROM lines WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
-marked AS (SELECT doc_id, pos, line, key IN (SELECT key FROM frequent) AS gone FROM lines)
+        FROM (SELECT row_number() OVER () AS row_id, doc_id, text FROM documents))),
+frequent AS (SELECT key FROM lines WHERE key <> '' GROUP BY key HAVING count(DISTINCT row_id) >= 10),
+marked AS (SELECT row_id, doc_id, pos, line, key IN (SELECT key FROM frequent) AS gone FROM lines)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
+FROM marked GROUP BY row_id, doc_id
 """
 
 
@@ -84,14 +84,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, weights=(3, 1, 2), share=1.5, cap=2.0).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
-def op6_digest(docs: DataFrame) -> DataFrame:
+def op6_digest(docs: DataFrame, from_files: bool = False) -> DataFrame:
     crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32")
-    rows = sharding.histogram_shards(docs.select("doc_id", "text", crc), 8)
+    rows = sharding.histogram_shards(docs.select("doc_id", "text", crc), 8, from_files=from_files)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op6_digest(_table(spark, sf_dir, "documents"))
+    return op6_digest(_table(spark, sf_dir, "documents"), from_files=True)
 
 
 def op7_digest(pages: DataFrame) -> DataFrame:

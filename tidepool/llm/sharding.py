@@ -14,8 +14,11 @@ stay whole unless one text has more bytes than a shard's share: then its rows
 are dealt in pieces, since near equal sizes come first. Heavy texts are
 numbered in pieces as well, so no task gets more than a bin or a piece.
 
-What reaches the driver is bounded: ``2 ** MAX_BITS`` bins and ``HEAVY`` texts and pieces
-a shard, whatever the input.
+Rows are told apart by their place in the input, also where all their columns are equal, so a
+row that is repeated very often is dealt like any other heavy text.
+
+What reaches the driver is bounded whatever the input: ``2 ** STEP`` bins of each splitter a
+round, and ``HEAVY`` texts and pieces a shard.
 """
 
 from __future__ import annotations
@@ -85,7 +88,7 @@ def _edge(prefix: int, bits: int) -> int:
     return min(prefix << (64 - bits), (1 << 63) - 1)
 
 
-def histogram_shards(docs: DataFrame, shards: int = 8, text: str = "text", tolerance: float = 0.001) -> DataFrame:
+def histogram_shards(docs: DataFrame, shards: int = 8, text: str = "text", tolerance: float = 0.001, from_files: bool = False) -> DataFrame:
     """Columns of ``docs`` with ``size`` (UTF-8 bytes of the text plus 1), ``shard`` and ``slot``.
 
     Shards are as near to equal in bytes as whole groups of equal texts allow
@@ -93,10 +96,15 @@ def histogram_shards(docs: DataFrame, shards: int = 8, text: str = "text", toler
     without gaps in each shard. Null and empty texts are one group. Repeated rows
     get slots of their own. Columns named like an output are replaced. An
     empty table gives no rows.
+
+    ``docs`` is read several times, and a row needs the same place each time. ``from_files`` says that it comes
+    from files row by row, without a shuffle, join or sort; else it is written to the shared folder first.
     """
+    if not from_files:
+        docs = cut(docs, "docs-to-shard")
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     size = F.octet_length(body).cast("long") + 1
-    key, second = F.xxhash64(body), row_hash(docs, 1)
+    key, second = F.xxhash64(body), F.xxhash64(row_hash(docs, 1), F.monotonically_increasing_id())
     groups = cut(docs.select(key.alias("key"), size.alias("size")).groupBy("key").agg(
         F.sum("size").alias("bytes"), F.count("*").alias("n")), "text-groups")
     total = groups.agg(F.sum("bytes")).first()[0] or 0
