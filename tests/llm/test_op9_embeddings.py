@@ -75,3 +75,33 @@ def test_close_pairs_prunes_safely():
     assert set(zip(*map(list, ed.close_pairs(a, b, turn, 0.98, False)))) == set(zip(*np.nonzero(cos >= 0.98)))
     i, j = ed.close_pairs(a, a, turn, 0.9, True)
     assert (i < j).all()
+
+
+def test_wide_vectors_have_principal_axes(spark):
+    """1,536 numbers a vector, more vectors than a block: axes from the covariance, links as all pairs have them."""
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(150, 1536)) * np.linspace(2, 0.05, 1536)
+    rows = [(i, near(rng, base[i % 150], 0.02), 1) for i in range(1100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(4)
+    turn = ed._moments(df.selectExpr("embedding AS vector", "size(embedding) AS width"))[1536]
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    v = np.cov((x @ turn).T, bias=True)
+    assert np.abs(v - np.diag(np.diag(v))).max() < 1e-10 and (np.diff(np.diag(v)) <= 1e-12).all()
+    got = {r.vec_id: (r.n_links, r.component_id) for r in ed.near_duplicate_vectors(df).collect()}
+    cos = x @ x.T >= 0.98
+    assert got == {i: (int(cos[i].sum()) - 1, int(np.flatnonzero(cos[i])[0])) for i in range(1100)}
+
+
+def test_blocks_too_far_apart_are_passed_over(monkeypatch):
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(ed, "BLOCK", 16)
+    a = np.concatenate([rng.normal(size=(60, 12)) * 0.1 + c for c in np.eye(12)[:4] * 3])
+    turn = ed.axes(a.T @ a, a.sum(0), len(a))
+    calls, inner = [], ed._close_blocks
+    monkeypatch.setattr(ed, "_close_blocks", lambda *x: calls.append(1) or inner(*x))
+    i, j = ed.close_pairs(a, a, turn, 0.98, True)
+    n = a / np.linalg.norm(a, axis=1)[:, None]
+    assert set(zip(i, j)) == set(zip(*np.nonzero(np.triu(n @ n.T >= 0.98, 1)))) and len(calls) < 15 * 16 / 2
+    i, j = ed.close_pairs(a[:130], a[130:], turn, 0.98, False)
+    assert set(zip(i, j)) == set(zip(*np.nonzero(n[:130] @ n[130:].T >= 0.98)))

@@ -1,9 +1,11 @@
 """Near-duplicate vectors by PCA-ordered tiled comparison.
 
 Vectors are scaled to length 1 and turned onto the principal axes of the
-table. Two vectors of cosine t or more are at most sqrt(2 - 2t) apart on
-every axis, so along the first axis only cells within that reach are compared,
-tile by tile. In a pair of tiles the products of the leading axes
+table. Two vectors of cosine t or more are at most sqrt(2 - 2t) apart, on
+every axis and together. Labels that fit in a tile are one; of larger ones only cells
+within that reach along the first axis are compared, tile by tile. A pair of tiles is sorted by the first
+axis and cut into blocks, and pairs of blocks whose boxes on the leading axes are too far apart are passed
+over. In the others the products of the leading axes
 are accumulated first; what the other axes can still add is at most the
 product of the suffix norms, and pairs that cannot reach the threshold are given
 up. Survivors are verified by the cosine of the original vectors in double
@@ -21,18 +23,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.llm.components import connected_components
 from tidepool.llm.scratch import cut
 
-TILE = 2048
-#: Cells along the first axis to one reach of the threshold.
-FINE = 4
-#: Widest vectors whose axes are taken from the covariance; wider ones are only ordered by variance.
-WIDEST = 1024
+#: Most vectors of a tile, and most numbers of one where vectors are wide; vectors of a block inside.
+TILE, NUMBERS, BLOCK = 8192, 1 << 19, 1024
+#: Cells along the first axis to one reach of the threshold, and axes of a block's box.
+FINE, BOX = 1, 8
+#: Rows of a second-moment matrix sent at a time, and parts in which the tasks' sums are added first.
+BAND, SALT = 64, 16
 SLACK = 1e-9
 
 
@@ -43,26 +47,55 @@ def axes(moments: np.ndarray, total: np.ndarray, n: int) -> np.ndarray:
     return vectors[:, np.argsort(-values, kind="stable")]
 
 
+class _Turned:
+    """Vectors with their norms, their places on the axes and what is left of them behind each stop."""
+
+    def __init__(self, x: np.ndarray, turn: np.ndarray):
+        self.x, self.norm = x, np.sqrt(np.einsum("ij,ij->i", x, x))
+        self.z = (x / self.norm[:, None]) @ turn
+        self.rest = np.sqrt(np.maximum(0, np.cumsum((self.z * self.z)[:, ::-1], axis=1)[:, ::-1]))
+
+    def suffix(self, rows: np.ndarray, k: int) -> np.ndarray:
+        return self.rest[rows, k] if k < self.z.shape[1] else np.zeros(len(rows))
+
+
 def close_pairs(a: np.ndarray, b: np.ndarray, turn: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Indices of the pairs of rows whose cosine in double precision is at least ``threshold``.
 
     With ``same`` (a is b) each pair comes once, the first index smaller.
     """
-    na, nb = np.sqrt(np.einsum("ij,ij->i", a, a)), np.sqrt(np.einsum("ij,ij->i", b, b))
-    za, zb = (a / na[:, None]) @ turn, (b / nb[:, None]) @ turn
-    width = a.shape[1]
-    stops = sorted({min(width, s) for s in (8, 16, 32)} | {width})
-    rest_a, rest_b = (np.sqrt(np.maximum(0, np.cumsum((z * z)[:, ::-1], axis=1)[:, ::-1])) for z in (za, zb))
-    suffix = lambda rest, k: rest[:, k] if k < width else np.zeros(len(rest))
-    products = za[:, : stops[0]] @ zb[:, : stops[0]].T
-    may = products + np.outer(suffix(rest_a, stops[0]), suffix(rest_b, stops[0])) >= threshold - SLACK
+    left = _Turned(a, turn)
+    right = left if same else _Turned(b, turn)
+    reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
+    cut_ = lambda t: np.array_split(np.argsort(t.z[:, 0], kind="stable"), max(1, -(-len(t.z) // BLOCK)))
+    blocks_a = cut_(left)
+    blocks_b = blocks_a if same else cut_(right)
+    box = lambda t, rows: (t.z[rows, :BOX].min(0), t.z[rows, :BOX].max(0))
+    boxes_a, boxes_b = [box(left, r) for r in blocks_a if len(r)], [box(right, r) for r in blocks_b if len(r)]
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for p, (low_a, high_a) in enumerate(boxes_a):
+        for q, (low_b, high_b) in enumerate(boxes_b):
+            if same and q < p:
+                continue
+            gap = np.maximum(0, np.maximum(low_a - high_b, low_b - high_a))
+            if gap @ gap <= reach * reach + SLACK:
+                found.append(_close_blocks(left, blocks_a[p], right, blocks_b[q], threshold, same and p == q))
+    i, j = (np.concatenate(x) for x in zip(*found))
+    return (np.minimum(i, j), np.maximum(i, j)) if same else (i, j)
+
+
+def _close_blocks(a: _Turned, rows_a: np.ndarray, b: _Turned, rows_b: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    width = a.z.shape[1]
+    stops = sorted({min(width, s) for s in (8, 16, 32, 128)} | {width})
+    products = a.z[rows_a, : stops[0]] @ b.z[rows_b, : stops[0]].T
+    may = products + np.outer(a.suffix(rows_a, stops[0]), b.suffix(rows_b, stops[0])) >= threshold - SLACK
     i, j = np.nonzero(np.triu(may, 1) if same else may)
-    so_far = products[i, j]
+    so_far, i, j = products[i, j], rows_a[i], rows_b[j]
     for low, high in zip(stops, stops[1:]):
-        so_far = so_far + _paired(za[:, low:high], zb[:, low:high], i, j)
-        may = so_far + suffix(rest_a, high)[i] * suffix(rest_b, high)[j] >= threshold - SLACK
+        so_far = so_far + _paired(a.z[:, low:high], b.z[:, low:high], i, j)
+        may = so_far + a.suffix(i, high) * b.suffix(j, high) >= threshold - SLACK
         i, j, so_far = i[may], j[may], so_far[may]
-    exact = _paired(a, b, i, j) / (na[i] * nb[j])
+    exact = _paired(a.x, b.x, i, j) / (a.norm[i] * b.norm[j])
     return i[exact >= threshold], j[exact >= threshold]
 
 
@@ -92,40 +125,44 @@ def _stack(column: pa.Array, width: int) -> np.ndarray:
 
 
 def _moments(reps: DataFrame) -> dict[int, np.ndarray]:
-    """Axes for each vector length; width squared numbers come back of all that is read."""
-    schema = T.StructType([T.StructField("width", T.IntegerType()), T.StructField("i", T.IntegerType()), T.StructField("j", T.IntegerType()),
-                           T.StructField("v", T.DoubleType())])
+    """Axes for each vector length with more vectors than a block; for others nothing is gained by turning.
+
+    Tasks send bands of their second-moment matrices, which are added up in ``SALT`` parts and then whole. The driver
+    holds width squared numbers of one length after the other.
+    """
+    counts = {r["width"]: r["n"] for r in reps.groupBy("width").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).collect()}
+    bands = T.StructType([T.StructField("band", T.IntegerType()), T.StructField("salt", T.IntegerType()), T.StructField("sums", T.BinaryType())])
+
+    def batch(found: dict[tuple[int, int], np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.int32()), pa.array([k[1] for k in found], pa.int32()),
+                                           pa.array([m.tobytes() for m in found.values()], pa.binary())], bands.names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple[int, int], np.ndarray] = {}
         for b in batches:
-            widths = b.column("width").to_numpy()
-            for w in np.unique(widths).tolist():
-                x = _stack(b.column("vector").filter(pa.array(widths == w)), w)
-                x /= np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
-                m = sums.setdefault(w, np.zeros((w + 1, w)))
-                if w <= WIDEST:
-                    m[:w] += x.T @ x
-                else:
-                    m[np.arange(w), np.arange(w)] += (x * x).sum(0)
-                m[w] += x.sum(0)
-        for w, m in sums.items():
-            i, j = np.nonzero(m)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), w, np.int32)), pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(m[i, j])],
-                                             ["width", "i", "j", "v"])
-
-    rows = reps.select("width", "vector").mapInArrow(run, schema).groupBy("width", "i", "j").agg(F.sum("v").alias("v")).toPandas()
-    counts = {r["width"]: r["n"] for r in reps.groupBy("width").agg(F.count("*").alias("n")).collect()}
+            for band, salt, sums in zip(*(b.column(c).to_pylist() for c in bands.names)):
+                found[band, salt] = found.get((band, salt), 0) + np.frombuffer(sums)
+        if found:
+            yield batch(found)
+
     turns = {}
-    for w, part in rows.groupby("width"):
-        m = np.zeros((w + 1, w))
-        m[part["i"], part["j"]] = part["v"]
-        if w <= WIDEST:
-            turns[int(w)] = axes(m[:w], m[w], counts[w])
-        else:
-            order = np.argsort(-(m[np.arange(w), np.arange(w)] / counts[w] - (m[w] / counts[w]) ** 2), kind="stable")
-            turns[int(w)] = np.eye(w)[:, order]
-    return {w: turns.get(w, np.eye(w)) for w in counts}
+    for width, n in counts.items():
+        def multiply(batches: Iterator[pa.RecordBatch], width: int = width) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((width + 1, width))
+            for b in batches:
+                x = _stack(b.column("vector"), width)
+                x /= np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+                total[:width] += x.T @ x
+                total[width] += x.sum(0)
+            salt = TaskContext.get().partitionId() % SALT
+            yield batch({(i, salt): total[i: i + BAND] for i in range(0, width + 1, BAND)})
+
+        parts = reps.where(F.col("width") == width).select("vector").mapInArrow(multiply, bands)
+        parts = parts.repartition("band", "salt").mapInArrow(add, bands).withColumn("salt", F.lit(0))
+        found = {r["band"]: np.frombuffer(r["sums"]).reshape(-1, width) for r in parts.repartition("band").mapInArrow(add, bands).collect()}
+        m = np.concatenate([found[i] for i in range(0, width + 1, BAND)])
+        turns[width] = axes(m[:width], m[width], n)
+    return turns
 
 
 def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id", vector: str = "embedding",
@@ -152,7 +189,7 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.98, id_col:
     reps = rows.select("row", "label", "vector").join(classes.select("node", "weight"), F.col("row") == F.col("node")).select(
         "node", "label", "weight", "vector", F.size("vector").alias("width"))
 
-    turns = vectors.sparkSession.sparkContext.broadcast(_moments(reps))  # width squared numbers
+    turns = vectors.sparkSession.sparkContext.broadcast(_moments(reps))  # width squared numbers of each length
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
     schema = T.StructType([*reps.schema.fields, T.StructField("cell", T.LongType())])
 
@@ -162,18 +199,23 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.98, id_col:
             cell = np.zeros(b.num_rows, np.int64)
             for w in np.unique(widths).tolist():
                 x = _stack(b.column("vector").filter(pa.array(widths == w)), w)
-                first = (x @ turns.value[w][:, 0]) / np.sqrt(np.einsum("ij,ij->i", x, x))
+                first = (x @ turns.value[w][:, 0] if w in turns.value else x[:, 0]) / np.sqrt(np.einsum("ij,ij->i", x, x))
                 cell[widths == w] = np.floor(first / (reach / FINE))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell)], schema.names)
 
     placed = cut(reps.mapInArrow(cells, schema), "cells")
-    at = ["label", "width", "cell"]
-    tiles = placed.groupBy(*at).agg(F.ceil(F.count("*") / tile).alias("tiles"))
+    at, home = ["label", "width", "cell"], ["label", "width", "home"]
+    most = F.least(F.lit(tile), F.greatest(F.lit(BLOCK // 2), F.floor(F.lit(NUMBERS) / F.col("width"))))
+    cells_ = placed.groupBy(*at).agg(F.count("*").alias("n"))
+    all_ = F.sum("n").over(Window.partitionBy("label", "width"))  # over cells, a few dozen a label
+    cells_ = cells_.withColumn("home", F.when(all_ <= most, F.lit(0).cast("long")).otherwise(F.col("cell")))
+    tiles = cells_.groupBy(*home).agg(F.ceil(F.sum("n") / F.first(most)).alias("tiles"))
     steps = F.sequence(F.lit(-FINE), F.lit(FINE))
-    near = tiles.select("label", "width", "tiles", "cell", F.explode(steps).alias("d")).select(
-        "label", "width", (F.col("cell") - F.col("d")).alias("cell"), "d", "tiles").groupBy(*at).agg(
+    near = tiles.select("label", "width", "tiles", "home", F.explode(steps).alias("d")).select(
+        "label", "width", (F.col("home") - F.col("d")).alias("home"), "d", "tiles").groupBy(*home).agg(
         F.map_from_entries(F.collect_list(F.struct("d", "tiles"))).alias("near"))  # 2 * FINE + 1 entries
-    rows_in = placed.join(near, at).withColumn("tile", F.pmod(F.xxhash64("node"), F.element_at("near", F.lit(0))))
+    near = cells_.select(*at, "home").join(near, home).select(*at, "home", "near")
+    rows_in = placed.join(near, at).drop("cell").withColumnRenamed("home", "cell").withColumn("tile", F.pmod(F.xxhash64("node"), F.element_at("near", F.lit(0))))
 
     def partners(d):
         n = F.coalesce(F.element_at(F.col("near"), d), F.lit(0))
@@ -197,7 +239,8 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.98, id_col:
         order = np.argsort(node, kind="stable")
         a = order[left[order]]
         b = a if same else order[~left[order]]
-        i, j = close_pairs(x[a], x[b], turns.value[width], threshold, same)
+        turn = turns.value[width] if width in turns.value else np.eye(width)
+        i, j = close_pairs(x[a], x[b], turn, threshold, same)
         i, j = a[i], b[j]
         links = np.zeros(len(node), np.int64)
         np.add.at(links, i, weight[j])
