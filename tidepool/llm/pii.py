@@ -5,7 +5,9 @@ addresses, payment cards, social security numbers, IBANs) and by title or listed
 name, and then wherever the text has that name again (persons; given and family names are entities of their own, so "Maria
 Lopez" and a later "Mrs Lopez" stay the same person). A surrogate is drawn
 from a keyed hash of the entity, so the same entity gets the same surrogate in
-every document and run, and without the key none can be traced back.
+every document of a run, and without the key none can be traced back. Another run with
+other documents may draw others, as draws are checked against the entities there and a name's
+gender is that of most of its mentions.
 
 Draws are checked against each other and against all entities found: no two
 entities share a surrogate, and no surrogate is an entity that occurs. An
@@ -16,9 +18,11 @@ entities, which never leave the executors.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import hmac
 import ipaddress
+import itertools
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -32,8 +36,9 @@ from tidepool.llm.scratch import cut, row_hash
 from tidepool.llm.textio import parts, utf8
 
 KINDS = ("email", "iban", "card", "ssn", "ip", "phone", "name")
-#: Draws after which a surrogate may get longer, and after which the space counts as used up.
-GROW, MOST_DRAWS = 6, 60
+#: Draws after which the format is left for a larger space: phones, cards and e-mail names get longer, social security numbers and
+#: IBANs take letters for digits, IPv4 addresses become ones of the documentation range of IPv6. So the draws always come to an end.
+GROW = 6
 
 # Titles and given names by gender, most common first.
 TITLES = {"Mr": "m", "Mister": "m", "Sir": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Sr": "m", "господин": "m",
@@ -48,7 +53,7 @@ GIVEN = {
         Jean Jacques Michel Philippe Alain Bernard Nicolas Laurent Julien Olivier Frédéric Étienne Émile André René Gérard Guillaume Mathieu Antoine
         Juan Antonio Manuel Francisco Luis Javier Miguel Ángel Pedro Pablo Jorge Fernando Diego Alejandro Sergio Rafael Andrés Raúl Álvaro Óscar Jesús Ramón Enrique
         Giovanni Giuseppe Marco Luca Paolo Francesco Roberto Alessandro Matteo João Paulo Tiago Mohammed Muhammad Ahmed Ali Omar Hassan Ibrahim Raj Amit Rahul Vijay
-        Wei Jan Piotr Krzysztof Andrzej Tomasz Ivan Dmitry Sergei Vladimir Hiroshi Kenji""".split(),
+        Wei Jan Piotr Krzysztof Andrzej Tomasz Ivan Dmitry Sergei Vladimir Hiroshi Kenji Tariq Imran Yusuf Mustafa Mehmet Kwame Chinedu Oluwaseun Arjun Sanjay Minh Ciarán""".split(),
     ("latin", "f"): """Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Margaret Sabine Ursula Katharina Françoise Camille Carmen María Lucía
         Maria Lisa Betty Sandra Ashley Kimberly Emily Donna Michelle Carol Amanda Melissa Deborah Stephanie Rebecca Sharon Laura Cynthia Dorothy Amy Kathleen Angela
         Shirley Emma Brenda Pamela Nicole Anna Samantha Katherine Christine Helen Debra Rachel Carolyn Janet Catherine Heather Diane Olivia Julie Joyce Victoria Ruth
@@ -56,7 +61,7 @@ GIVEN = {
         Frances Alice Judy Isabella Julia Grace Amber Denise Danielle Marilyn Beverly Charlotte Natalie Theresa Diana Brittany Doris Kayla Alexis Lori Marie Sophie
         Claudia Monika Petra Gabriele Birgit Heike Renate Ingrid Helga Anja Silke Kerstin Greta Jutta Käthe Zoë Chloé Léa Manon Élise Émilie Hélène Céline Amélie Aurélie
         Isabelle Nathalie Sylvie Valérie Monique Brigitte Jeanne Pilar Dolores Isabel Ana Cristina Marta Elena Rosa Raquel Sofía Beatriz Inés Mónica Verónica Ángela
-        Giulia Chiara Francesca Paola Fatima Aisha Leila Priya Anjali Mei Yuki Agnieszka Katarzyna Małgorzata Olga Tatiana Svetlana Natalia Irina""".split(),
+        Giulia Chiara Francesca Paola Fatima Aisha Leila Priya Anjali Mei Yuki Agnieszka Katarzyna Małgorzata Olga Tatiana Svetlana Natalia Irina Siobhan Niamh Ayesha Zainab Ngozi Adaeze Priyanka Deepika Lakshmi Ayşe Elif Sakura""".split(),
     ("cyrillic", "m"): """Александр Дмитрий Сергей Андрей Михаил Николай Владимир Павел Алексей Иван Максим Евгений Виктор Юрий Олег Игорь Пётр Петр Артём Артем Константин Борис
         Василий Григорий Роман Денис Антон Кирилл Илья Фёдор Федор Анатолий Валерий Вячеслав""".split(),
     ("cyrillic", "f"): """Анна Мария Елена Ольга Татьяна Наталья Ирина Светлана Екатерина Юлия Людмила Галина Марина Надежда Анастасия Виктория Дарья Ксения Нина Любовь Вера
@@ -195,7 +200,7 @@ def _names(text: str) -> list[tuple[int, int, str, str]]:
             gap = _GAP.match(text, start).end()
             if gap == start or low == "ms" and not m[0][0].isupper() and text[: m.start()].rstrip()[-1:].isdigit():
                 continue
-            run = _run(text, gap)
+            run = _run(text, gap, titled=True)
             # MS Windows: a title in capitals goes with a name in capitals
             if run and not (m[0].isupper() and len(m[0]) > 1 and not all(text[i:j].isupper() for i, j in run["words"])):
                 at = _add(found, text, run, _TITLE_OF[low])
@@ -208,7 +213,7 @@ def _names(text: str) -> list[tuple[int, int, str, str]]:
     return list(found.values())
 
 
-def _run(text: str, at: int) -> dict | None:
+def _run(text: str, at: int, titled: bool = False) -> dict | None:
     """Name words and initials from ``at`` on. A line break is crossed only while given names and initials came."""
     words: list[tuple[int, int]] = []
     spans: list[list[int]] = []  # of the words with the initials that go with them
@@ -244,7 +249,9 @@ def _run(text: str, at: int) -> dict | None:
             particles += 1
             at = m.end()
             continue
-        if not word[0].isupper() or len(word) < 2 or low in _STOP or low in _TITLE_OF:
+        if not word[0].isupper() or len(word) < 2 or low in _STOP or low in _TITLE_OF or low in _NO_PERSON and not titled:
+            if low in _NO_PERSON and words and word[0].isupper():
+                return None  # what the noun names has the words before it in its name
             break
         words.append((at, end))
         spans.append([at if held is None else held, end])
@@ -283,10 +290,26 @@ def _add_bare(found: dict, text: str) -> None:
             while k < len(taken) and taken[k][1] <= i:
                 k += 1
             low = text[i:j].casefold()
-            if low in known and text[i].isupper() and not (k < len(taken) and taken[k][0] < j) and not (i and text[i - 1] in "_0123456789"):
+            if low in known and text[i].isupper() and (m.span() != (i, j) or not _ARTICLE.search(text, max(0, i - 12), i)) and not _named_after(text, j) and not (k < len(taken) and taken[k][0] < j) and not (i and text[i - 1] in "_0123456789"):
                 found[i] = (i, j, "name", known[low])
 
 
+#: Nouns that end names of places, bodies and things; a capitalised run without a title that has one of them is no person.
+_NO_PERSON = frozenset("""university college school academy institute station church cathedral temple period alert report street road avenue boulevard
+    lane square park garden gardens river lake bay beach island islands mountain mountains valley bridge tower house hall castle palace hotel hospital clinic airport harbour
+    museum library theatre theater bank company corporation corp inc ltd llc gmbh group holdings foundation center centre association society club union committee council
+    department ministry office court act law day week month year award prize cup league team city town county state district province republic kingdom market mall store
+    press times post news journal review award building street universität schule kirche bahnhof straße platz université école église gare rue place universidad
+    escuela iglesia calle plaza""".split())
+_ARTICLE = re.compile(r"(?:^|[^\w])(?:the|a|an|our|your|their|this|that|every|each|no|der|die|das|den|dem|des|le|la|les|un|une|el|los|las)[ \t]+\Z", re.IGNORECASE)
+
+
+def _named_after(text: str, end: int) -> bool:
+    """Whether a noun of ``_NO_PERSON`` follows: what stands before it is part of its name."""
+    m = _LETTERS.match(text, end + 1) if text[end: end + 1] == " " else None
+    return bool(m) and m[0][0].isupper() and m[0].casefold() in _NO_PERSON
+
+
 def _family_gender(name: str, gender: str) -> str:
     """Latin family names have no gender, so that all mentions agree; others show it in their ending."""
     return "n" if script_of(name) == "latin" else gender
@@ -320,6 +343,7 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
     """The canonical form of the surrogate that an entity gets at a draw."""
     draw = _Draw(key, kind, canonical, attempt)
     longer = max(0, attempt - GROW + 1)
+    mixed = lambda n: "".join("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"[draw.below(36)] for _ in range(n))
     if kind == "email":
         local, _, domain = canonical.partition("@")
         *labels, top = domain.split(".")
@@ -334,17 +358,17 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
             return str(2 + draw.below(8)) + draw.digits(2) + str(2 + draw.below(8)) + draw.digits(6 + longer)
         code = 0 if plain == canonical else 1 if plain[0] in "17" else 2  # the country stays
         return canonical[: len(canonical) - len(plain)] + plain[:code] + draw.digits(len(plain) - code + longer)
-    if kind == "ip" and ":" in canonical:  # of the range for documentation
+    if kind == "ip" and (":" in canonical or longer):  # of the range for documentation
         return str(ipaddress.IPv6Address((0x20010DB8 << 96) + int.from_bytes(draw.seed[:12], "big")))
     if kind == "ip":
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
     if kind == "card":
-        body = canonical[0] + draw.digits(len(canonical) - 2)
+        body = canonical[0] + draw.digits(len(canonical) - 2 + longer)
         return next(body + c for c in "0123456789" if luhn(body + c))
     if kind == "ssn":
-        return "9" + draw.digits(8)
+        return "9" + (mixed(8) if longer else draw.digits(8))
     if kind == "iban":
-        body = "".join(str(draw.below(10)) if c.isdigit() else chr(65 + draw.below(26)) for c in canonical[4:])
+        body = mixed(len(canonical) - 4 + longer) if longer else "".join(str(draw.below(10)) if c.isdigit() else chr(65 + draw.below(26)) for c in canonical[4:])
         return canonical[:2] + f"{98 - _mod97(canonical[:2] + '00' + body):02d}" + body
     part, script, gender, name = canonical.split(" ", 3)
     draw = _Draw(key, kind, f"{part} {script} {name}", attempt)  # the gender only chooses among the forms
@@ -352,7 +376,7 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
     if part == "given" and pool and attempt == 0:
         return f"{part} {script} {gender} {pool[draw.below(len(pool))].casefold()}"
     syllables = _SYLLABLES[script]
-    stem = "".join(syllables[draw.below(len(syllables))] for _ in range(2 + (part == "family") + longer))
+    stem = "".join(syllables[draw.below(len(syllables))] for _ in range(2 + (part == "family") + attempt * (attempt + 1) // 2))  # names grow at once: listed ones are soon used up
     ending = _ENDING[script, gender] if part == "given" else _FAMILY_ENDING.get(script, {}).get(gender, "")
     return f"{part} {script} {gender} {stem}{ending}"
 
@@ -379,7 +403,7 @@ def draw_surrogates(found: DataFrame, key: bytes) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("kind", "canonical", "surrogate")])
     done = []
     pending = found
-    for attempt in range(MOST_DRAWS):
+    for attempt in itertools.count():
         def draw(batches: Iterator[pa.RecordBatch], attempt=attempt) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 kinds, names = b.column("kind"), b.column("canonical")
@@ -389,19 +413,13 @@ def draw_surrogates(found: DataFrame, key: bytes) -> DataFrame:
         drawn = pending.mapInArrow(draw, schema)
         drawn = drawn.withColumn("as", bare(F.col("surrogate")))  # names are told apart without their genders
         free = drawn.join(found.select("kind", bare(F.col("canonical")).alias("as")), ["kind", "as"], "left_anti")
-        for earlier in done:
-            free = free.join(earlier.select("kind", bare(F.col("surrogate")).alias("as")), ["kind", "as"], "left_anti")
+        if done:
+            free = free.join(functools.reduce(DataFrame.union, done).select("kind", bare(F.col("surrogate")).alias("as")), ["kind", "as"], "left_anti")
         first = free.groupBy("kind", "as").agg(F.min(F.struct(F.xxhash64("canonical").alias("h"), "canonical", "surrogate")).alias("m"))
         done.append(cut(first.select("kind", "m.canonical", "m.surrogate"), f"surrogates-{attempt}"))
         pending = cut(pending.join(done[-1].select("kind", "canonical"), ["kind", "canonical"], "left_anti"), f"pending-{attempt}")
         if pending.isEmpty():
-            break
-    else:
-        raise RuntimeError("there are more entities of a kind than surrogates of its format")
-    out = done[0]
-    for more in done[1:]:
-        out = out.union(more)
-    return out
+            return functools.reduce(DataFrame.union, done)
 
 
 def bare(canonical):
