@@ -49,25 +49,62 @@ def test_archives_and_captures(spark, tmp_dir):
     assert Counter(h["warc-type"] for h, _ in records) == {"request": 10, "metadata": 10, "response": 7, "revisit": 3}
     assert len({h["warc-record-id"] for h, _ in records}) == 30
     got = warc.page_captures(spark, path)
-    assert got.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "request", "response", "metadata"]
+    assert got.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "requests", "response", "metadata"]
     rows = got.collect()
     assert sorted([tuple(r[:5]) for r in rows], key=str) == expected(ROWS)
     for r in rows:
-        assert r.request.concurrent_to == r.metadata.concurrent_to == r.response.record_id
-        assert r.request.head.startswith("GET /")
+        assert [x.concurrent_to for x in (*r.requests, *r.metadata)] == [[r.response.record_id]] * 2
+        assert r.requests[0].head.startswith("GET /")
         html = dict((p, h) for p, _, h in ROWS)[r.page_id]
         assert bytes(r.response.payload) == (b"" if r.record_type == "revisit" else (html or "").encode())
 
 
-def test_incomplete_captures(spark, tmp_dir):
-    path = f"{tmp_dir}/part-plain.warc"
+def archive(path, records):
+    """A plain archive of (type, id, ids it is concurrent to)."""
     with open(path, "wb") as f:
-        for kind, rid, to in (("response", "<r1>", None), ("request", "<q1>", "<r0>"), ("request", "<q2>", "<r1>"), ("metadata", "<m>", "<r1>")):
-            headers = [("WARC-Type", kind), ("WARC-Record-ID", rid), *([("WARC-Concurrent-To", to)] if to else [])]
+        for kind, rid, to in records:
+            headers = [("WARC-Type", kind), *([("WARC-Record-ID", rid)] if rid else []), *[("WARC-Concurrent-To", t) for t in to]]
             f.write(gzip.decompress(warc.record(headers, b"x")))
-    rows = {r.capture_id: r for r in warc.captures(warc.read_records(spark, tmp_dir)).collect()}
-    assert rows["<r0>"].response is None and rows["<r0>"].request.record_id == "<q1>"
-    assert rows["<r1>"].request.record_id == "<q2>" and rows["<r1>"].metadata.record_id == "<m>"
+
+
+def shape(rows):
+    ids = lambda records: [r.record_id for r in records]
+    return {r.capture_id: (r.response and r.response.record_id, ids(r.requests), ids(r.metadata), ids(r.others)) for r in rows}
+
+
+def test_one_row_per_capture(spark, tmp_dir):
+    archive(f"{tmp_dir}/part-plain.warc", [
+        ("warcinfo", "<info>", []), ("response", "<r1>", []), ("request", "<q1>", ["<r1>"]), ("request", "<q2>", ["<r1>"]), ("metadata", "<m1>", ["<r1>"]),
+        ("metadata", "<m2>", ["<r1>", "<r2>"]), ("revisit", "<r2>", []), ("request", "<q0>", ["<r0>"]), ("metadata", "<alone>", []), ("response", "<r3>", ["<q3>", "<m3>"]),
+        ("request", "<q3>", []), ("metadata", "<m3>", []), ("response", "<r4>", []), ("response", "<r4>", []), ("resource", "<x>", ["<r4>"]), ("request", None, [])])
+    rows = warc.captures(warc.read_records(spark, tmp_dir)).collect()
+    assert len(rows) == 8 and shape(rows) == {
+        "<info>": (None, [], [], ["<info>"]), "<r1>": ("<r1>", ["<q1>", "<q2>"], ["<m1>", "<m2>"], []), "<r2>": ("<r2>", [], ["<m2>"], []),
+        "<r0>": (None, ["<q0>"], [], []), "<alone>": (None, [], ["<alone>"], []), "<r3>": ("<r3>", ["<q3>"], ["<m3>"], []),
+        "<r4>": ("<r4>", [], [], ["<x>", "<r4>"]), None: (None, [None], [], [])}
+
+
+def test_names_of_archives(spark, tmp_dir):
+    archive(f"{tmp_dir}/CRAWL-2024-00001.warc", [("response", "<a>", [])])
+    with gzip.open(f"{tmp_dir}/other.warc.gz", "wb") as f:
+        f.write(gzip.decompress(warc.record([("WARC-Type", "response"), ("WARC-Record-ID", "<b>")], b"x")))
+    ids = lambda **how: {r.record_id for r in warc.read_records(spark, tmp_dir, **how).collect()}
+    assert ids() == {"<a>", "<b>"} and ids(glob="*.warc.gz") == {"<b>"} and ids(glob="CRAWL*") == {"<a>"}
+
+
+def test_files_are_cut_by_bytes(spark, tmp_dir):
+    """Large pages that lie together among small ones: no file much beyond the bytes wanted, but for one page's own."""
+    import os
+    import random
+    rng = random.Random(3)
+    noise = lambda n: rng.randbytes(n // 2).hex()
+    rows = [(i, f"u{i}", noise(300)) for i in range(300)] + [(1000 + i, f"v{i}", noise(400_000)) for i in range(20)] + [(2000, "big", noise(6_000_000))] + [(3000 + i, f"w{i}", noise(300)) for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_pages(pages, f"{tmp_dir}/w", file_bytes=1 << 20)
+    sizes = sorted(os.path.getsize(f) for f in glob.glob(f"{tmp_dir}/w/part-*"))
+    assert len(sizes) >= 6 and sizes[-2] < 1.5 * (1 << 20) and sizes[-1] < 5_000_000
+    got = warc.page_captures(spark, f"{tmp_dir}/w").select("page_id", "payload_bytes").collect()
+    assert sorted(map(tuple, got)) == sorted((p, len(h)) for p, _, h in rows)
 
 
 def test_ties_nulls_and_empty_tables(spark):
