@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from tidepool.functions import messages as M
 from tidepool.functions.messages import COUNT_LABEL, ITEM_LABEL, PAGE_LABEL, REPORT_HEADER, RULE
 from tidepool.plans import jobs
-from tidepool.functions.timecols import floor_div, ntz_of
+from tidepool.functions.timecols import floor_div, ntz_of, pane_end
+from tidepool.operators import bloom
 from tidepool.sources import readers, sinks, views
 from tidepool.operators.accumulate import Count, Mean, TopK, window_aggregate
 from tidepool.operators.windows import sliding_count
@@ -92,6 +93,20 @@ def _agg_mean(spark, d):
     return window_aggregate(ev, ["event_type"], Mean("k", "mean_k"), "1 hour", "5 minutes")
 
 
+def _uv_bloom(spark, d):
+    """Visitors of each hour by a Bloom filter: bits set, and the estimate from the fill."""
+    views_ = _ub(spark, d).withColumn("window_end", floor_div(pane_end(F.col("ts_us"), H), 1000))
+    return bloom.summary(bloom.build(views_, ["window_end"], "user_id", bits=16), ["window_end"], bits=16).select("window_end", "bits_set", "estimate")
+
+
+def _uv_returning(spark, d):
+    """Views by users that the filter of the hour before may hold."""
+    views_ = _ub(spark, d).withColumn("window_end", floor_div(pane_end(F.col("ts_us"), H), 1000))
+    before = bloom.build(views_, ["window_end"], "user_id", bits=16).withColumn("window_end", F.col("window_end") + 3_600_000)
+    seen = bloom.might_contain(views_.withColumnRenamed("seq", "event_id"), before, ["window_end"], "user_id", ["event_id", "window_end"], bits=16)
+    return seen.where("seen").select("event_id", "window_end")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "hot_items": lambda s, d: jobs.hot_items(_ub(s, d)),
@@ -105,6 +120,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "uv_bitmap": lambda s, d: jobs.unique_visitors(_ub(s, d), method="bitmap"),
         "uv_hll": lambda s, d: jobs.unique_visitors(_ub(s, d), method="hll"),
         "uv_running": lambda s, d: jobs.unique_visitors_running(_ub(s, d)),
+        "uv_bloom": _uv_bloom,
+        "uv_returning": _uv_returning,
         "hot_pages": lambda s, d: jobs.hot_pages(_log(s, d)),
         "hot_pages_report": lambda s, d: jobs.hot_pages_report(_log(s, d)),
         # as a streaming run counts them: rows past the allowed lateness are left out
@@ -218,6 +235,8 @@ def _change_points(src: str, keys: list[str], size_us: int, slide_us: int) -> st
     SELECT {k}, pt // 1000 AS end_from, nx // 1000 AS end_to, cnt FROM s WHERE cnt <> 0"""
 
 
+_BLOOM = "[" + ", ".join(f"list_reduce(string_split(CAST(user_id AS VARCHAR), ''), lambda acc, x: (acc * {s} + ascii(x)) % 65536, 0::BIGINT)"
+                         for s in bloom.SEEDS) + "]"
 _LOGIN = f"""(SELECT user_id, CASE WHEN event_type = 'error' THEN 'fail' ELSE 'success' END AS t,
               ts_us, arrival_us, event_id AS seq FROM {EV})"""
 _ORDERS = f"""(SELECT user_id * 100 + day(ts) // 3 AS order_id,
@@ -325,6 +344,14 @@ def oracle_sql() -> dict[str, str]:
         "uv_bits": f"SELECT {_HOURLY} AS window_end, count(DISTINCT {uv_bits}) AS uv {hourly_views}",
         "uv_bitmap": f"SELECT {_HOURLY} AS window_end, count(DISTINCT user_id) AS uv {hourly_views}",
         "uv_hll": f"SELECT {_HOURLY} AS window_end, count(DISTINCT user_id) AS uv {hourly_views}",
+        "uv_bloom": f"""
+            SELECT window_end, count(DISTINCT p) AS bits_set, round(-65536.0 / 3 * ln(1 - count(DISTINCT p) / 65536.0))::BIGINT AS estimate
+            FROM (SELECT window_end, unnest({_BLOOM}) AS p FROM (SELECT *, {_HOURLY} AS window_end FROM {EV} WHERE event_type = 'view')) GROUP BY window_end""",
+        "uv_returning": f"""
+            WITH v AS (SELECT event_id, {_HOURLY} AS window_end, {_BLOOM} AS p FROM {EV} WHERE event_type = 'view'),
+            f AS (SELECT DISTINCT window_end + 3600000 AS window_end, unnest(p) AS p FROM v)
+            SELECT event_id, window_end FROM (SELECT event_id, window_end, unnest(list_distinct(p)) AS p, len(list_distinct(p)) AS n FROM v) JOIN f USING (window_end, p)
+            GROUP BY event_id, window_end, n HAVING count(*) = n""",
         "uv_running": f"""
             WITH v AS (SELECT event_id, user_id, ts_us, {_HOURLY} AS window_end FROM {EV} WHERE event_type = 'view'),
             f AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY window_end, user_id ORDER BY ts_us, event_id) = 1
