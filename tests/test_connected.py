@@ -1,0 +1,72 @@
+"""Connected streams against a walk in order of arrival with state and timers."""
+
+import random
+
+import pytest
+
+from helpers import frame, tuples
+from tidepool.operators import connected
+
+SCHEMA = "tx_id long, ts_us long, arrival_us long, seq long"
+
+
+def model(left, right, lw, rw):
+    """Rows in order of arrival; pending rows leave when the smaller running maximum reaches their deadline."""
+    rows = sorted([(a, s, k, t, True) for k, t, a, s in left] + [(a, s, k, t, False) for k, t, a, s in right])
+    newest, pending, matched, alone = {True: None, False: None}, [], [], {True: [], False: []}
+    had = set()
+    for a, s, k, t, side in rows:
+        for pk, pt, ps, pside in pending:
+            l, r = (t, pt) if side else (pt, t)
+            if pk == k and pside != side and l - rw <= r <= l + lw:
+                matched.append((k, s if side else ps, l, ps if side else s, r, a, s))
+                had |= {s, ps}
+        pending.append((k, t, s, side))
+        newest[side] = t if newest[side] is None else max(newest[side], t)
+        if None not in newest.values():
+            clock = min(newest.values())
+            for p in [p for p in pending if clock >= p[1] + (lw if p[3] else rw)]:
+                pending.remove(p)
+                if p[2] not in had:
+                    alone[p[3]].append((p[0], p[2], p[1], a, s))
+    for k, t, s, side in pending:
+        if s not in had:
+            alone[side].append((k, s, t, None, None))
+    return [sorted(x, key=str) for x in (matched, alone[True], alone[False])]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_like_a_walk(spark, seed):
+    rng = random.Random(seed)
+    stream = lambda first, n, lag: [(rng.randrange(12), t, t + lag * rng.randrange(20), first + i) for i, t in enumerate(sorted(rng.randrange(0, 300) * 1_000_000 for _ in range(n)))]
+    left, right = stream(0, 90, 500_000), stream(1000, 120, rng.choice([0, 1_500_000]))
+    got = connected.match_connected(frame(spark, left, SCHEMA), frame(spark, right, SCHEMA), ["tx_id"], "5 seconds", "3 seconds")
+    want = model(left, right, 5_000_000, 3_000_000)
+    for df, rows in zip(got, want):
+        assert sorted(tuples_as_they_are(df), key=str) == rows
+    assert want[0] and want[1] and want[2]
+
+
+def tuples_as_they_are(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_one_stream_alone_never_moves_the_clock(spark):
+    left, none = [(1, 10, 10, 1), (1, 9_000_000, 9_000_000, 2)], frame(spark, [], SCHEMA)
+    matched, pays, receipts = connected.match_connected(frame(spark, left, SCHEMA), none, ["tx_id"])
+    assert matched.count() == receipts.count() == 0 and sorted(tuples_as_they_are(pays), key=str) == [(1, 1, 10, None, None), (1, 2, 9_000_000, None, None)]
+
+
+def test_clock_in_cut_chunks(spark):
+    rng = random.Random(9)
+    rows = [(rng.randrange(5), rng.randrange(10 ** 8), 7, s) for s in range(200)]
+    df = frame(spark, rows, SCHEMA).selectExpr("*", "seq % 3 = 0 AS a")
+    got = {r.seq: (r.clock_before, r.clock) for r in connected.with_clock(df, "a", limit=10).collect()}
+    best, clock = {True: None, False: None}, None
+    for _, t, _, s in rows:
+        side = s % 3 == 0
+        best[side] = t if best[side] is None else max(best[side], t)
+        after = None if None in best.values() else min(best.values())
+        assert got[s] == (clock, after)
+        clock = after
+    assert len(tuples(df)) == 200

@@ -22,6 +22,7 @@ from tidepool.functions.timecols import floor_div, ntz_of, pane_end
 from tidepool.operators import bloom
 from tidepool.sources import readers, sinks, views
 from tidepool.operators.accumulate import Count, Mean, TopK, window_aggregate
+from tidepool.operators.connected import match_connected
 from tidepool.operators.windows import sliding_count
 
 LOGIN_WITHIN = "6 hours"
@@ -107,6 +108,12 @@ def _uv_returning(spark, d):
     return seen.where("seen").select("event_id", "window_end")
 
 
+def _connected(spark, d):
+    ev = _ev(spark, d)
+    pays = views.order_events(ev).where(F.col("event_type") == "pay")
+    return match_connected(pays, views.receipts(ev), ["tx_id"], TX_UPPER, TX_LOWER.lstrip("-"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "hot_items": lambda s, d: jobs.hot_items(_ub(s, d)),
@@ -152,6 +159,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tx_matched": lambda s, d: _tx(s, d)[0],
         "tx_unmatched_pay": lambda s, d: _tx(s, d)[1],
         "tx_unmatched_receipt": lambda s, d: _tx(s, d)[2],
+        "tx_connected": lambda s, d: _connected(s, d)[0],
+        "tx_connected_pays": lambda s, d: _connected(s, d)[1],
+        "tx_connected_receipts": lambda s, d: _connected(s, d)[2],
         "agg_item_counts": _agg_item_counts,
         "agg_top_values": _agg_top_values,
         "agg_mean": _agg_mean,
@@ -254,6 +264,27 @@ _PAIRS = f"""
            receipt_us // 1000 AS receipt_ms
     FROM {_PAYS} p JOIN {_RECEIPTS} r ON {_TX_COND}"""
 
+_CONNECTED = f"""
+    WITH e AS (
+      SELECT tx_id, true AS l, p.ts_us AS u, a.arrival_us AS a, p.seq AS s FROM {_ORDERS} p JOIN {EV} a ON a.event_id = p.seq WHERE t = 'pay'
+      UNION ALL SELECT tx_id, false, receipt_us, a.arrival_us, receipt_event_id FROM {_RECEIPTS} r JOIN {EV} a ON a.event_id = receipt_event_id),
+    m AS (SELECT *, max(u) FILTER (l) OVER w AS xa, max(u) FILTER (NOT l) OVER w AS xb, max(u) FILTER (l) OVER b AS ya, max(u) FILTER (NOT l) OVER b AS yb
+          FROM e WINDOW w AS (ORDER BY a, s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), b AS (ORDER BY a, s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    c AS (SELECT *, CASE WHEN xa IS NOT NULL AND xb IS NOT NULL THEN least(xa, xb) END AS after, CASE WHEN ya IS NOT NULL AND yb IS NOT NULL THEN least(ya, yb) END AS before FROM m),
+    pairs AS (
+      SELECT p.tx_id, p.s AS l_seq, p.u AS l_us, r.s AS r_seq, r.u AS r_us, greatest(p.a, r.a) AS emitted_us, CASE WHEN (r.a, r.s) > (p.a, p.s) THEN r.s ELSE p.s END AS emitted_seq
+      FROM c p JOIN c r ON p.l AND NOT r.l AND p.tx_id = r.tx_id AND r.u BETWEEN p.u - {3 * H} AND p.u + {5 * H}
+      WHERE CASE WHEN (r.a, r.s) > (p.a, p.s) THEN coalesce(r.before < p.u + {5 * H}, true) ELSE coalesce(p.before < r.u + {3 * H}, true) END),
+    steps AS (SELECT after AS at, a, s FROM c WHERE after IS NOT NULL AND coalesce(after > before, true))"""
+
+
+def _alone_sql(name: str, is_left: str, wait: int) -> str:
+    return _CONNECTED + f""",
+    alone AS (SELECT tx_id, s AS {name}_seq, u AS {name}_us, u + {wait} AS deadline, a AS own FROM c WHERE l = {is_left} AND s NOT IN (SELECT {name}_seq FROM pairs))
+    SELECT tx_id, {name}_seq, {name}_us, CASE WHEN (steps.a, steps.s) < (own, {name}_seq) THEN own ELSE steps.a END AS emitted_us,
+           CASE WHEN (steps.a, steps.s) < (own, {name}_seq) THEN {name}_seq ELSE steps.s END AS emitted_seq FROM alone ASOF LEFT JOIN steps ON alone.deadline <= steps.at"""
+
+
 _AD_RANKED = f"""
     (SELECT user_id, k % 5 AS ad_id, CAST(user_id % 7 AS VARCHAR) AS province, ts_us,
             strftime(CAST(ts + INTERVAL 8 HOUR AS DATE), '%Y-%m-%d') AS day,
@@ -437,6 +468,9 @@ def oracle_sql() -> dict[str, str]:
         "tx_matched": _PAIRS,
         "tx_unmatched_pay": tx_neg,
         "tx_unmatched_receipt": rx_neg,
+        "tx_connected": _CONNECTED + " SELECT * FROM pairs",
+        "tx_connected_pays": _alone_sql("l", "true", 5 * H),
+        "tx_connected_receipts": _alone_sql("r", "false", 3 * H),
         "agg_item_counts": f"""
             SELECT k AS item_id, (pe + 300000000 * r.i - {H}) // 1000 AS window_start, (pe + 300000000 * r.i) // 1000 AS window_end, count(*) AS cnt
             FROM (SELECT k, ts_us - ts_us % 300000000 + 300000000 AS pe FROM {EV} WHERE event_type = 'view') e, range(12) AS r(i)
