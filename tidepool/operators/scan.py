@@ -66,7 +66,7 @@ def stitch(local: DataFrame, carry: DataFrame, part: Sequence[str], out: list |
 # Rows of one key and chunk beyond which the chunk is cut further, and how many chunks
 # are cut at most: the largest, so any other has at most 1 / MOST_HOT of all rows.
 HOT_CHUNK = 200_000
-MOST_HOT = 10_000
+MOST_HOT = 200_000
 
 
 def add_chunk(df: DataFrame, ts_col: str, width_us: int, name: str = "_chunk") -> DataFrame:
