@@ -270,8 +270,9 @@ def _mapped(df: DataFrame, column: str, path: str, outputs: list[tuple[str, T.Da
 def encode(docs: DataFrame, path: str, text: str = "text", match_special: bool = True) -> DataFrame:
     """Columns of ``docs`` and ``ids``: little-endian unsigned 32-bit token ids (binary).
 
-    Null and empty texts have no ids; an empty table gives no rows; a column
-    named ``ids`` is replaced. Added tokens in a text become their id, or plain
+    Null and empty texts have no ids; repeated rows are encoded alike, each by itself; an empty table gives no rows; a column
+    named ``ids`` is replaced. A text may be as long as a row may be; a piece of it without a place to split, such as a run of
+    letters, is held as a list with an entry per byte. Added tokens in a text become their id, or plain
     text if ``match_special`` is false.
     """
     return _mapped(docs, text, path, [("ids", T.BinaryType())], lambda v, c: [

@@ -219,7 +219,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 def judge(docs: DataFrame, trees: Trees, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """Columns of ``docs`` with COUNTS, ``base_failed``, ``score`` and ``kept`` (columns so named are replaced).
 
-    A null text counts as one without words, which fails the base rules. An
+    A null or empty text counts as one without words, which fails the base rules. Repeated rows
+    are judged alike, each by itself; texts may be as long as a row may be, their words are taken a piece at a time. An
     empty table gives no rows.
     """
     names = {f.name for f in _STATS}
