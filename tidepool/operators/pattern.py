@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.functions.timecols import parse_duration_us
+from tidepool.functions.timecols import floor_div, parse_duration_us
 from tidepool.operators.scan import HOT_CHUNK, add_chunk, cut_buckets, hot_buckets, stitch
 from tidepool.operators.sequence import ORDER, bucket_width, with_neighbours
 
@@ -136,6 +136,9 @@ def match_sequence(df: DataFrame, keys: Sequence[str], pattern: Pattern, payload
     when ``within`` has passed since it, or at the end of the input, is a timeout: the same columns, null for steps not
     taken, and ``timeout_us``. One whose ``next`` step met another row in time is neither. A step's
     condition that is null does not hold; null keys are a key of their own; rows without a time are left out.
+
+    Whether there are buckets of more than ``limit`` rows is counted when the plan is made, by a job over keys and times. Rows that
+    come to the input later don't change what is right, only how even the tasks are.
     """
     steps, keys = pattern.steps, list(keys)
     if pattern.within_us is None:
@@ -151,6 +154,10 @@ def match_sequence(df: DataFrame, keys: Sequence[str], pattern: Pattern, payload
     near = with_neighbours(d, "ts_us", pattern.within_us, after=True).withColumnRenamed("_bucket", "_home")
     group = [*keys, "_home"]
     bucketed = add_chunk(near, "ts_us", bucket_width(pattern.within_us), "_bucket")
+    # a bucket has its own rows and at most those of the next
+    own = floor_div(F.col("ts_us"), bucket_width(pattern.within_us))
+    if d.groupBy(*keys, own.alias("_b")).count().where(F.col("count") > limit // 2).isEmpty():
+        return _judged(_ended(_chains(near, group, steps, row), keys, "_g1"), keys, pattern)
     hot = hot_buckets(bucketed, group, "ts_us", "seq", limit)
     marked = F.broadcast(hot.select(*[F.col(c).alias(f"_m_{c}") for c in group]).distinct())
     same = [F.col(c).eqNullSafe(F.col(f"_m_{c}")) for c in group]

@@ -1,20 +1,14 @@
-"""Two-step event patterns per key (begin -> next / followedBy, within d).
+"""Time buckets with their neighbours' edges, for patterns of rows at most ``d`` apart.
 
-Spark SQL has no MATCH_RECOGNIZE. A two-step pattern only needs the next
-row of the key (strict contiguity) or the first later row that matches
-(relaxed contiguity), and a match lies within ``d`` of its begin row. So the
-rows are cut into time buckets at least ``d`` wide and each bucket also
+Rows are cut into time buckets at least ``d`` wide and each bucket also
 gets copies of the rows in the first ``d`` of the one after: every begin row
-finds its match in its own bucket, with one scan, one shuffle and no join, and
-no key goes whole to one task. Each begin row is judged on its own, so
-overlapping matches come out as in a pattern engine without a skip strategy.
+finds its match in its own bucket, with one shuffle and no join, and
+no key goes whole to one task. ``pattern`` matches in them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions.timecols import floor_div
@@ -48,43 +42,3 @@ def with_neighbours(df: DataFrame, ts_col: str, reach_us: int, before: bool = Fa
     # a NULL time has no bucket of its own and no neighbours
     place = F.explode(F.array_compact(F.array(*places)))
     return df.withColumn("_place", place).select(*df.columns, F.col("_place.b").alias("_bucket"), F.col("_place.c").alias("_copy"))
-
-
-def match_next(df: DataFrame, keys: Sequence[str], first: Column, second: Column, within_us: int,
-               payload: Sequence[str] = ()) -> DataFrame:
-    """Pairs (row, very next row of its key) with ``first`` true on the row,
-    ``second`` true on the next row and next.ts - row.ts < within.
-
-    Output: the row's columns plus ``nxt`` (struct ts_us, seq, payload...).
-    """
-    d = df.withColumn("_p1", first).withColumn("_p2", second)
-    d = with_neighbours(d, "ts_us", within_us, after=True)
-    me = F.struct(*[F.col(c) for c in ("ts_us", "seq", "_p2", *payload)])
-    d = d.withColumn("nxt", F.lead(me).over(Window.partitionBy(*keys, "_bucket").orderBy(*ORDER)))
-    hit = ((F.col("_copy") == 0) & F.col("_p1") & F.col("nxt._p2")
-           & ((F.col("nxt.ts_us") - F.col("ts_us")) < F.lit(within_us)))
-    return d.where(hit).drop("_p1", "_p2", "_bucket", "_copy")
-
-
-def match_followed_by(df: DataFrame, keys: Sequence[str], first: Column, second: Column, within_us: int,
-                      payload: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """begin(first).followedBy(second).within(d), per key, in event-time order.
-
-    Returns (matches, timeouts). A match pairs a ``first`` row with the first
-    later ``second`` row of its key when the gap is < d (column ``nxt``);
-    every other ``first`` row is a timeout with ``timeout_us`` = ts + d.
-    """
-    cand = F.when(second, F.struct(*[F.col(c) for c in ("ts_us", "seq", *payload)]))
-    d = df.withColumn("_p1", first).withColumn("_cand", cand).where(F.col("_p1") | F.col("_cand").isNotNull())
-    d = with_neighbours(d, "ts_us", within_us, after=True)
-    # the first candidate after a row is the last one before it in reversed order (one pass)
-    w = (Window.partitionBy(*keys, "_bucket").orderBy(*[F.col(c).desc() for c in ORDER])
-         .rowsBetween(Window.unboundedPreceding, -1))
-    d = d.withColumn("nxt", F.last("_cand", ignorenulls=True).over(w))
-    begins = d.where(F.col("_p1") & (F.col("_copy") == 0))
-    in_time = F.col("nxt").isNotNull() & ((F.col("nxt.ts_us") - F.col("ts_us")) < F.lit(within_us))
-    drop = ("_p1", "_cand", "_bucket", "_copy")
-    matches = begins.where(in_time).drop(*drop)
-    timeouts = (begins.where(~in_time).drop(*drop, "nxt")
-                      .withColumn("timeout_us", F.col("ts_us") + F.lit(within_us)))
-    return matches, timeouts

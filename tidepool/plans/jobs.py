@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidepool.functions import messages as M
 from tidepool.functions.text import ITEM_LABEL, PAGE_LABEL
 from tidepool.functions.timecols import floor_div, ms_of, pane_end, parse_duration_us, timestamp_text
-from tidepool.operators import aggs, keyed, sequence, joins
+from tidepool.operators import aggs, keyed, joins
 from tidepool.operators.pattern import Pattern, match_sequence
 from tidepool.operators.topn import ranking_report, top_n
 from tidepool.operators.windows import pane_window_count, sliding_count, window_count
@@ -194,10 +194,7 @@ def ad_clicks(clicks: DataFrame, limit: int = 100, size="1 day", slide="5 second
 # ----------------------------------------------------------------------------- login
 def login_fail_pattern(logins: DataFrame, within="2 seconds") -> DataFrame:
     """begin(fail).next(fail).within(d): user_id, first_fail_ms, last_fail_ms, msg."""
-    fail = F.col("event_type") == "fail"
-    m = sequence.match_next(logins, ["user_id"], fail, fail, parse_duration_us(within))
-    return m.select("user_id", ms_of(F.col("ts_us")).alias("first_fail_ms"),
-                    ms_of(F.col("nxt.ts_us")).alias("last_fail_ms"), F.lit(M.LOGIN_PATTERN).alias("msg"))
+    return login_fail_streak(logins, 2, within).drop("fail_count")
 
 
 def login_fail_streak(logins: DataFrame, fails: int = 3, within="2 seconds") -> DataFrame:
@@ -239,11 +236,10 @@ def login_fail_burst(logins: DataFrame, within="2 seconds", fail_times: int = 2)
 # ----------------------------------------------------------------------------- orders
 def order_timeout_pattern(orders: DataFrame, within="15 minutes") -> tuple[DataFrame, DataFrame]:
     """begin(create).followedBy(pay).within(d) -> (paid, timeouts)."""
-    w = parse_duration_us(within)
-    m, t = sequence.match_followed_by(orders, ["order_id"], F.col("event_type") == "create",
-                                      F.col("event_type") == "pay", w)
+    p = Pattern.begin("create", F.col("event_type") == "create").followed_by("pay", F.col("event_type") == "pay").within(within)
+    m, t = match_sequence(orders, ["order_id"], p)
     paid = m.select("order_id", F.lit(M.PAID).alias("result"),
-                    ms_of(F.col("ts_us")).alias("create_ms"), ms_of(F.col("nxt.ts_us")).alias("pay_ms"))
+                    ms_of(F.col("create.ts_us")).alias("create_ms"), ms_of(F.col("pay.ts_us")).alias("pay_ms"))
     timeouts = t.select("order_id", F.format_string(M.PATTERN_TIMEOUT.format(ms="%d"), ms_of(F.col("timeout_us")))
                         .alias("result"))
     return paid, timeouts
